@@ -1,0 +1,33 @@
+"""Small tables whose size is checked before anything relies on it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup list of this many short rows stays below a few MB.
+MAX_LOOKUP_ROWS = 10_000
+
+
+class TooManyRows(ValueError):
+    pass
+
+
+def small_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it proves to hold at most ``max_rows`` rows, else ``df`` as it is.
+
+    The probe reads no more than ``max_rows + 1`` rows. A list within the bound is kept from that one read; a longer
+    one is left to a shuffle join, where adaptive execution splits hot keys.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def bounded_values(df: DataFrame, column: str, max_values: int) -> list:
+    """Distinct values of one column on the driver; raises rather than cutting the list short."""
+    rows = df.select(column).distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        raise TooManyRows(f"{column} has more than {max_values} distinct values; stay with the long table")
+    return [row[0] for row in rows]
