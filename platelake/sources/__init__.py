@@ -1 +1,9 @@
 """Files, archives, workbooks and option tables to DataFrames."""
+
+from pyspark import cloudpickle
+
+from platelake.sources import archives, workbooks
+
+# Workers get the readers' code with each task, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(archives)
+cloudpickle.register_pickle_by_value(workbooks)

@@ -368,4 +368,13 @@ ORACLE_SQL: dict[str, str] = {
                diverging, gradient, gradient_rgb
         from axis {FILLS}""",
     ),
+    "workbook_ingest": """
+        select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+               l_returnflag, l_linestatus, cast(null as varchar) as error
+        from lineitem""",
+    "archive_ingest": """
+        select concat('P', cast(page_id as varchar)) as cell_line,
+               concat('20260122_P', cast(page_id as varchar), '_7TA_144H_paste.xlsx') as file_name,
+               octet_length(encode(html)) as n_bytes, html, cast(null as varchar) as error
+        from pages where page_id % 5 <> 0 and page_id % 7 <> 0""",
 }

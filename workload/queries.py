@@ -13,8 +13,8 @@ from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
 from platelake.operators import grid, metadata, readings, sections
 from platelake.sinks import summary
-from platelake.sources import tables
-from workload import adapters
+from platelake.sources import archives, tables, workbooks
+from workload import adapters, fixtures
 
 PLOTS_PER_WORKBOOK = 7
 BAR_AXIS = bar_ops.AxisBreak(0.0, 2000.0, 6000.0, 8000.0)
@@ -188,6 +188,38 @@ def bar_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bar_ops.bar_table(adapters.bars(spark, sf_dir), BAR_AXIS)
 
 
+def workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as Summary sheets of workbooks, read back into the plain table's columns."""
+    items = adapters.table(spark, sf_dir, "lineitem")
+    types = {f.name: f.dataType for f in items.schema if f.name != "l_shipdate"}
+    cells = {
+        c: fixtures.text_cell(F.col(c)) if t.typeName() == "string" else fixtures.number_cell(F.col(c))
+        for c, t in types.items()
+    }
+    books = fixtures.to_workbooks(items, cells, workbooks.SUMMARY_SHEET, workbooks.SUMMARY_HEADER_ROW)
+    # A few large workbooks per task would be parsed one after the other; files are small, so spreading them is cheap.
+    rows = workbooks.read_sheet(
+        books.repartition("path"), {c: c for c in types}, workbooks.SUMMARY_SHEET, workbooks.SUMMARY_HEADER_ROW
+    )
+    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()], "error")
+
+
+def archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as members of zip files, read back by the workbook name rule; every fifth lies where it must be skipped."""
+    pages = adapters.table(spark, sf_dir, "pages")
+    member = F.concat(
+        F.when(F.col("page_id") % 5 == 0, F.lit("__MACOSX/")).otherwise(F.lit("a/b/")),
+        F.lit("20260122_P"),
+        F.col("page_id").cast("string"),
+        F.when(F.col("page_id") % 7 == 0, F.lit("_Summary_paste.xlsx")).otherwise(F.lit("_7TA_144H_paste.xlsx")),
+    )
+    zips = fixtures.to_archives(pages, member, F.encode("html", "UTF-8"), ("", "c/"))
+    found = archives.workbook_members(archives.read_members(zips, r"_paste\.xlsx$", ["path"]))
+    return found.select(
+        "cell_line", "file_name", "n_bytes", F.decode("content", "UTF-8").alias("html"), "error"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -214,5 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bar_axis,
         bar_colors,
         bar_ranked,
+        workbook_ingest,
+        archive_ingest,
     )
 }
