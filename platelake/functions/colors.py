@@ -121,7 +121,8 @@ def interpolate(t: Column, stops: Sequence[Stop], channel: int) -> Column:
 
 def rgb_hex(channels: Sequence[Column]) -> Column:
     """``#RRGGBB`` from three channels in 0-255."""
-    whole = [F.floor(F.least(F.greatest(c, F.lit(0.0)), F.lit(255.0)) + F.lit(0.5)) for c in channels]
+    clipped = [F.when(c < 0, F.lit(0.0)).when(c > 255, F.lit(255.0)).otherwise(c) for c in channels]
+    whole = [F.floor(c + F.lit(0.5)) for c in clipped]
     return F.concat(F.lit("#"), *[F.lpad(F.hex(c), 2, "0") for c in whole])
 
 
@@ -147,8 +148,8 @@ def lab_hex(light: Column, a: Column, b: Column) -> Column:
     channels = []
     for row in XYZ_TO_RGB:
         c = xyz[0] * F.lit(row[0]) + xyz[1] * F.lit(row[1]) + xyz[2] * F.lit(row[2])
-        curve = F.pow(F.greatest(c, F.lit(0.0)), F.lit(1 / 2.4)) * F.lit(1.055) - F.lit(0.055)
-        channels.append(F.when(c <= F.lit(0.0031308), c * F.lit(12.92)).otherwise(curve) * F.lit(255.0))
+        curve = F.pow(c, F.lit(1 / 2.4)) * F.lit(1.055) - F.lit(0.055)
+        channels.append(F.when(c > F.lit(0.0031308), curve).otherwise(c * F.lit(12.92)) * F.lit(255.0))
     return rgb_hex(channels)
 
 
@@ -165,5 +166,5 @@ def diverging_table() -> list[str]:
 
 
 def diverging_color(t: Column) -> Column:
-    level = F.least(F.floor(t * F.lit(float(DIVERGING_LEVELS))), F.lit(DIVERGING_LEVELS - 1).cast("long"))
+    level = F.floor(F.when(t >= 1, F.lit((DIVERGING_LEVELS - 1) / DIVERGING_LEVELS)).otherwise(t) * DIVERGING_LEVELS)
     return F.element_at(F.array(*[F.lit(c) for c in diverging_table()]), (level + 1).cast("int"))

@@ -35,7 +35,9 @@ def header_bands(
     return spark.createDataFrame(rows, BAND_SCHEMA)
 
 
-def run_summary(readings: DataFrame, first: DataFrame, consolidated: DataFrame) -> DataFrame:
+def run_summary(
+    readings: DataFrame, first: DataFrame, consolidated: DataFrame, key: str = "cell_line"
+) -> DataFrame:
     """One row of counts: input batches, cell lines, readings and texts; output rows, matched rows, compounds."""
     text = [F.col(f"{m}_raw").isNotNull() & F.col(m).isNull() for m in ("ic50", "max_inhib")]
     counted = readings.agg(
@@ -47,7 +49,7 @@ def run_summary(readings: DataFrame, first: DataFrame, consolidated: DataFrame)
     workbooks = readings.select("batch", "cell_line").distinct()
     files = workbooks.agg(F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
     compounds = first.filter(F.col("ic50_ord").isNotNull()).select("compound").distinct()
-    out = consolidated.agg(F.count("*").alias("n_rows"), F.count("cell_line").alias("n_matched_rows"))
+    out = consolidated.agg(F.count("*").alias("n_rows"), F.count(key).alias("n_matched_rows"))
     one = [counted, files, compounds.agg(F.count("*").alias("n_compounds")), out]
     structs = [df.select(F.struct(*df.columns).alias("s")).scalar().alias(f"s{i}") for i, df in enumerate(one)]
     row = readings.sparkSession.range(1).select(*structs)

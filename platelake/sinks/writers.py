@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame
 from platelake.operators import grid
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
 def write_readings(readings: DataFrame, path: str) -> None:
     """Long readings as Parquet, one folder per batch, so that a run over some batches reads only those."""
     readings.write.mode("overwrite").partitionBy("batch").parquet(path)

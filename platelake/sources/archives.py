@@ -195,10 +195,11 @@ def open_members(members: DataFrame) -> DataFrame:
 def read_archive_workbooks(files: DataFrame) -> DataFrame:
     """``path`` of zip files to their workbooks: ``path, file_name, cell_line, n_bytes, content, error``.
 
-    ``path`` is the archive's path with the member's name after it. An archive that cannot be read gives one row with
-    ``error`` set.
+    ``path`` is the archive's path with the member's name after it.
     """
-    members = list_members(files)
-    opened = open_members(workbook_members(members))
-    path = F.concat_ws("/", "archive", "member")
-    return opened.select(path.alias("path"), "file_name", "cell_line", "n_bytes", "content", "error")
+    return with_paths(open_members(workbook_members(list_members(files))))
+
+
+def with_paths(opened: DataFrame) -> DataFrame:
+    path = F.concat_ws("/", "archive", "member").alias("path")
+    return opened.select(path, "file_name", "cell_line", "n_bytes", "content", "error")

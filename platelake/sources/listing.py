@@ -20,6 +20,11 @@ from platelake.functions.identifiers import (
 )
 
 
+def literal_path(path: str) -> str:
+    """``path`` with its glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _files(spark: SparkSession, pattern: str, name: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", name).load(pattern)
 
