@@ -109,48 +109,67 @@ def gradient_stops(
     return [((v - low) / (high - low), *map(float, hex_to_rgb(c))) for c, v in zip(colors, values)]
 
 
-def interpolate(t: Column, stops: Sequence[Stop], channel: int) -> Column:
+def segment_of(t: Column, stops: Sequence[Stop]) -> Column:
+    """Number of the stretch between two stops that holds ``t``, from 1; a stop belongs to the stretch below it."""
+    passed = sum((F.when(t > F.lit(at), 1).otherwise(0) for at, *_ in stops[1:-1]), F.lit(1))
+    return F.when(t.isNotNull(), passed)
+
+
+def interpolate(t: Column, segment: Column, stops: Sequence[Stop], channel: int) -> Column:
     """Straight line between the two stops around ``t``; ``channel`` 1-3."""
-    branches = F
-    for low, high in zip(stops, stops[1:]):
-        share = (t - F.lit(low[0])) / F.lit(high[0] - low[0])
-        line = F.lit(low[channel]) + share * F.lit(high[channel] - low[channel])
-        branches = branches.when(t <= F.lit(high[0]), line)
-    return branches
+
+    def pick(values: list[float]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), segment)
+
+    pairs = list(zip(stops, stops[1:]))
+    share = (t - pick([a[0] for a, _ in pairs])) / pick([b[0] - a[0] for a, b in pairs])
+    return pick([a[channel] for a, _ in pairs]) + share * pick([b[channel] - a[channel] for a, b in pairs])
 
 
 def rgb_hex(channels: Sequence[Column]) -> Column:
-    """``#RRGGBB`` from three channels in 0-255."""
-    clipped = [F.when(c < 0, F.lit(0.0)).when(c > 255, F.lit(255.0)).otherwise(c) for c in channels]
-    whole = [F.floor(c + F.lit(0.5)) for c in clipped]
-    return F.concat(F.lit("#"), *[F.lpad(F.hex(c), 2, "0") for c in whole])
+    """``#RRGGBB`` from three channels, cut to 0-255; NULL when the first is."""
+    whole = [F.floor(F.least(F.greatest(c, F.lit(0.0)), F.lit(255.0)) + F.lit(0.5)) for c in channels]
+    return F.when(channels[0].isNotNull(), F.concat(F.lit("#"), *[F.lpad(F.hex(c), 2, "0") for c in whole]))
 
 
-def gradient_rgb_color(t: Column) -> Column:
-    """The gradient with each of red, green and blue on a straight line between stops."""
-    stops = gradient_stops()
-    return rgb_hex([interpolate(t, stops, c) for c in (1, 2, 3)])
+def gradient_rgb(t: str, segment: str) -> list[Column]:
+    """Red, green and blue, each on a straight line between the gradient's stops."""
+    return [interpolate(F.col(t), F.col(segment), gradient_stops(), c) for c in (1, 2, 3)]
 
 
-def gradient_lab_channels(t: Column) -> tuple[Column, Column, Column]:
+def gradient_lab(t: str, segment: str) -> list[Column]:
+    """CIE Lab channels, each on a straight line between the gradient's stops."""
     stops = [(at, *_rgb_to_lab(rgb)) for at, *rgb in gradient_stops()]
-    return tuple(interpolate(t, stops, c) for c in (1, 2, 3))
+    return [interpolate(F.col(t), F.col(segment), stops, c) for c in (1, 2, 3)]
+
 
+def lab_axes(light: str, a: str, b: str) -> list[Column]:
+    fy = (F.col(light) + F.lit(16.0)) / F.lit(116.0)
+    return [fy + F.col(a) / F.lit(500.0), fy, fy - F.col(b) / F.lit(200.0)]
 
-def lab_hex(light: Column, a: Column, b: Column) -> Column:
-    """``#RRGGBB`` of a CIE Lab colour, out-of-range channels clipped."""
+
+def axes_to_xyz(axes: Sequence[str]) -> list[Column]:
     knee = 6 / 29
-    fy = (light + F.lit(16.0)) / F.lit(116.0)
-    xyz = []
-    for f, white in zip((fy + a / F.lit(500.0), fy, fy - b / F.lit(200.0)), WHITE):
-        straight = (f - F.lit(4 / 29)) * F.lit(3 * knee**2)
-        xyz.append(F.when(f > F.lit(knee), f * f * f).otherwise(straight) * F.lit(white))
+    return [
+        F.when(F.col(f) > F.lit(knee), F.col(f) * F.col(f) * F.col(f)).otherwise(
+            (F.col(f) - F.lit(4 / 29)) * F.lit(3 * knee**2)
+        )
+        * F.lit(white)
+        for f, white in zip(axes, WHITE)
+    ]
+
+
+def xyz_to_linear(xyz: Sequence[str]) -> list[Column]:
+    x, y, z = (F.col(c) for c in xyz)
+    return [x * F.lit(p) + y * F.lit(q) + z * F.lit(r) for p, q, r in XYZ_TO_RGB]
+
+
+def linear_to_rgb(linear: Sequence[str]) -> list[Column]:
     channels = []
-    for row in XYZ_TO_RGB:
-        c = xyz[0] * F.lit(row[0]) + xyz[1] * F.lit(row[1]) + xyz[2] * F.lit(row[2])
+    for c in (F.col(name) for name in linear):
         curve = F.pow(c, F.lit(1 / 2.4)) * F.lit(1.055) - F.lit(0.055)
         channels.append(F.when(c > F.lit(0.0031308), curve).otherwise(c * F.lit(12.92)) * F.lit(255.0))
-    return rgb_hex(channels)
+    return channels
 
 
 def diverging_table() -> list[str]:
@@ -166,5 +185,7 @@ def diverging_table() -> list[str]:
 
 
 def diverging_color(t: Column) -> Column:
-    level = F.floor(F.when(t >= 1, F.lit((DIVERGING_LEVELS - 1) / DIVERGING_LEVELS)).otherwise(t) * DIVERGING_LEVELS)
-    return F.element_at(F.array(*[F.lit(c) for c in diverging_table()]), (level + 1).cast("int"))
+    """Entry of the table, which is one text constant cut to its seven characters."""
+    last = F.lit((DIVERGING_LEVELS - 1) / DIVERGING_LEVELS)
+    level = F.floor(F.when(t >= 1, last).otherwise(t) * F.lit(float(DIVERGING_LEVELS))).cast("int")
+    return F.lit("".join(diverging_table())).substr(level * 7 + 1, F.lit(7))

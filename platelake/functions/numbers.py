@@ -20,23 +20,36 @@ NUMBER_FORM = (
 )
 
 
+PLAIN_NUMBER = "0123456789.+-eE"
+
+
 def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*MISSING_TEXTS), text)
 
 
 def number_of(text: Column) -> Column:
-    """The number a text stands for, any ``>`` left out; NULL when it is not a number."""
+    """The number a text stands for, any ``>`` left out; NULL when it is not a number.
+
+    Texts of digits, signs, points and exponents alone are what nearly all readings are, and Spark's cast takes them
+    just as Python's ``float`` does. Only the others are matched against the full form.
+    """
     core = strip(F.replace(text, F.lit(">"), F.lit("")))
-    return F.replace(F.regexp_extract(core, NUMBER_FORM, 0), F.lit("_"), F.lit("")).try_cast("double")
+    matched = F.replace(F.regexp_extract(core, NUMBER_FORM, 0), F.lit("_"), F.lit(""))
+    plain = F.translate(core, PLAIN_NUMBER, "") == ""
+    return F.when(plain, core).otherwise(matched).try_cast("double")
 
 
 def round2(value: Column) -> Column:
     """Round half-even on the exact binary value, which Spark's ``round`` and ``bround`` do not.
 
-    Infinity has no decimal print and stays as it is.
+    Away from a tie the nearest whole number of hundredths is certain, and its division by 100 is exact to the last
+    bit. Near a tie, and for large values, the decimal print decides. Infinity has no decimal print and stays.
     """
+    hundredths = value * F.lit(100.0)
+    from_tie = F.abs(hundredths - F.floor(hundredths) - F.lit(0.5))
+    certain = (F.abs(hundredths) < F.lit(1e12)) & (from_tie > F.lit(1e-3))
     printed = F.call_function("format_number", value, F.lit("0.00")).try_cast("double")
-    return F.coalesce(printed + F.lit(0.0), value)
+    return F.when(certain, F.rint(hundredths) / F.lit(100.0)).otherwise(F.coalesce(printed, value)) + F.lit(0.0)
 
 
 def is_censored(text: Column) -> Column:

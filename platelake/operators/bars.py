@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.functions import colors
@@ -68,13 +69,27 @@ def on_axis(bars: DataFrame, axis: AxisBreak = TWO_PANEL_BREAK) -> DataFrame:
     )
 
 
+def _step(df: DataFrame, names: Sequence[str], columns: Sequence[Column]) -> DataFrame:
+    return df.withColumns(dict(zip(names, columns)))
+
+
 def colored(bars: DataFrame) -> DataFrame:
-    """Add the fill colour of each style: diverging map, Lab gradient, and the gradient in plain RGB."""
-    t = F.col("t")
-    return (
-        bars.withColumn("diverging", colors.diverging_color(t))
-        .withColumn("gradient", colors.lab_hex(*colors.gradient_lab_channels(t)))
-        .withColumn("gradient_rgb", colors.gradient_rgb_color(t))
+    """Add the fill colour of each style: diverging map, Lab gradient, and the gradient in plain RGB.
+
+    Built column by column: as one nested expression each channel would repeat all steps before it many times.
+    """
+    keep = bars.columns
+    stepped = bars.withColumn("_at", colors.segment_of(F.col("t"), colors.gradient_stops()))
+    stepped = _step(stepped, ("_r", "_g", "_b", "_l", "_a", "_s"), colors.gradient_rgb("t", "_at") + colors.gradient_lab("t", "_at"))
+    stepped = _step(stepped, ("_fx", "_fy", "_fz"), colors.lab_axes("_l", "_a", "_s"))
+    stepped = _step(stepped, ("_x", "_y", "_z"), colors.axes_to_xyz(("_fx", "_fy", "_fz")))
+    stepped = _step(stepped, ("_x", "_y", "_z"), colors.xyz_to_linear(("_x", "_y", "_z")))
+    stepped = _step(stepped, ("_x", "_y", "_z"), colors.linear_to_rgb(("_x", "_y", "_z")))
+    return stepped.select(
+        *keep,
+        colors.diverging_color(F.col("t")).alias("diverging"),
+        colors.rgb_hex([F.col(c) for c in ("_x", "_y", "_z")]).alias("gradient"),
+        colors.rgb_hex([F.col(c) for c in ("_r", "_g", "_b")]).alias("gradient_rgb"),
     )
 
 
@@ -85,6 +100,7 @@ def ranked(bars: DataFrame) -> DataFrame:
 
 def bar_table(bars: DataFrame, axis: AxisBreak = TWO_PANEL_BREAK) -> DataFrame:
     """``gene, value`` to ``rank, gene, value, t, segment, left_len, right_len, diverging, gradient, gradient_rgb``."""
-    return ranked(colored(on_axis(normalised(bars.select("gene", "value")), axis))).select(
+    # Ranked first: only gene and value pass through the sort.
+    return colored(on_axis(normalised(ranked(bars.select("gene", "value"))), axis)).select(
         "rank", "gene", "value", "t", "segment", "left_len", "right_len", "diverging", "gradient", "gradient_rgb"
     )

@@ -1,8 +1,7 @@
 """Raw assay rows to one reading per cell line, batch and compound, then to the wide table.
 
 Long form throughout: ``batch, cell_line, compound, ic50, max_inhib, ic50_raw, max_inhib_raw, ic50_censored, ord``.
-``ord`` is the reading order as one number (bigint or decimal). With a numeric ordering key and numeric values every
-aggregate below stays a hash aggregate with map-side combine, so a hot key shrinks before the shuffle.
+``ord`` is the reading order: anything that sorts, such as a number or a struct of path and row.
 """
 
 from __future__ import annotations
@@ -56,17 +55,13 @@ def _is_text(metric: str) -> Column:
 
 def rejected_values(readings: DataFrame) -> DataFrame:
     """One row per reading value that stayed text: ``batch, cell_line, compound, metric, value, ord``."""
-    values = F.array(
-        *[
-            F.when(_is_text(m), F.struct(F.lit(m).alias("metric"), F.col(f"{m}_raw").alias("value")))
-            for m in METRICS
-        ]
-    )
-    return (
-        readings.filter(_is_text("ic50") | _is_text("max_inhib"))
-        .select("batch", "cell_line", "compound", "ord", F.explode(F.array_compact(values)).alias("v"))
-        .select("batch", "cell_line", "compound", "v.metric", "v.value", "ord")
-    )
+    values = [
+        F.when(_is_text(m), F.struct(F.lit(m).alias("metric"), F.col(f"{m}_raw").alias("value"))) for m in METRICS
+    ]
+    # No filter on the parsed columns: it would be pushed below the parsing and repeat it.
+    return readings.select(
+        "batch", "cell_line", "compound", "ord", F.explode(F.array_compact(F.array(*values))).alias("v")
+    ).select("batch", "cell_line", "compound", "v.metric", "v.value", "ord")
 
 
 def latest_names(mapping: DataFrame) -> DataFrame:
@@ -89,40 +84,28 @@ def map_compounds(readings: DataFrame, mapping: DataFrame) -> DataFrame:
 def first_readings(mapped: DataFrame) -> DataFrame:
     """First value per key and metric, judged on the raw value and taken by ``ord``.
 
-    ``<metric>_ord`` tells which row won; it is NULL when the key has no value of that metric at all. The value is
-    NULL and the ord is not when the winner is a text.
+    ``<metric>_text`` holds the winner where it is a text; both columns are NULL when the key has no value of that
+    metric at all. Each task combines its rows per key before the shuffle, so a hot key sends one row per task.
     """
     picks = []
     for metric in METRICS:
         order = F.when(F.col(f"{metric}_raw").isNotNull(), F.col("ord"))
-        picks += [F.min_by(metric, order).alias(metric), F.min(order).alias(f"{metric}_ord")]
-    return mapped.filter(F.col("compound").isNotNull()).groupBy(*KEYS).agg(*picks)
-
+        picks.append(F.min_by(F.struct(F.col(metric).alias("number"), F.col(f"{metric}_raw").alias("raw")), order).alias(f"_{metric}"))
+    found = mapped.filter(F.col("compound").isNotNull()).groupBy(*KEYS).agg(*picks)
+    columns = []
+    for metric in METRICS:
+        number = F.col(f"_{metric}.number")
+        columns += [number.alias(metric), F.when(number.isNull(), F.col(f"_{metric}.raw")).alias(f"{metric}_text")]
+    return found.select(*KEYS, *columns)
 
-def with_winning_texts(first: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Add ``<metric>_text``: the text that won a key where no number did.
 
-    Only the text readings are grouped and joined, so the large side keeps its hash aggregate and its partitioning.
-    """
-    picks = []
-    for metric in METRICS:
-        order = F.when(_is_text(metric), F.col("ord"))
-        picks += [F.min_by(f"{metric}_raw", order).alias(f"_{metric}_text"), F.min(order).alias(f"_{metric}_at")]
-    texts = (
-        mapped.filter(F.col("compound").isNotNull() & (_is_text("ic50") | _is_text("max_inhib")))
-        .groupBy(*KEYS)
-        .agg(*picks)
-    )
-    winning = [
-        F.when(F.col(f"_{m}_at") == F.col(f"{m}_ord"), F.col(f"_{m}_text")).alias(f"{m}_text") for m in METRICS
-    ]
-    return first.join(texts, list(KEYS), "left").select(*first.columns, *winning)
+def has_value(metric: str) -> Column:
+    return F.col(metric).isNotNull() | F.col(f"{metric}_text").isNotNull()
 
 
-def compound_columns(mapped: DataFrame, max_compounds: int = MAX_COMPOUND_COLUMNS) -> list[str]:
+def compound_columns(first: DataFrame, max_compounds: int = MAX_COMPOUND_COLUMNS) -> list[str]:
     """Compounds with at least one IC50 value, in code-point order: the columns of the wide table."""
-    measured = mapped.filter(F.col("ic50_raw").isNotNull() & F.col("compound").isNotNull())
-    return sorted(bounded_values(measured, "compound", max_compounds))
+    return sorted(bounded_values(first.filter(has_value("ic50")), "compound", max_compounds))
 
 
 def wide_names(compounds: list[str]) -> tuple[list[str], list[str]]:
@@ -146,7 +129,7 @@ def wide_readings(first: DataFrame, compounds: list[str]) -> DataFrame:
         raise ValueError("no compound has an IC50 value")
     ic50_names, inhib_names = wide_names(compounds)
     pivoted = (
-        first.filter(F.col("ic50_ord").isNotNull() | F.col("max_inhib_ord").isNotNull())
+        first.filter(has_value("ic50") | has_value("max_inhib"))
         .groupBy("cell_line", "batch")
         .pivot("compound", compounds)
         .agg(F.first("ic50").alias("IC50"), F.first("max_inhib").alias("INHIB"))

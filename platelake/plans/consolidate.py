@@ -48,8 +48,8 @@ def consolidate(
 ) -> tuple[DataFrame, list[str]]:
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
-    Tables: ``raw, readings, rejected_files, rejected_values, consolidated, header_bands, cells_per_batch,
-    run_summary``.
+    Tables: ``raw, readings, first_readings, rejected_files, rejected_values, consolidated, header_bands,
+    cells_per_batch, run_summary``.
     """
     raw = ingest(spark, base, out)
     raw.filter(F.col("error").isNotNull()).select("batch", "path", "error").write.mode("overwrite").json(
@@ -66,8 +66,10 @@ def consolidate(
     panel = metadata.marker_panel(
         tables.read_metadata(spark, metadata_path, metadata_format), metadata.INFO_COLUMNS, known
     )
-    compounds = readings.compound_columns(mapped)
-    first = readings.first_readings(mapped)
+    # Written once: it names the columns of the pivot and then fills them.
+    writers.write_table(readings.first_readings(mapped), f"{out}/first_readings")
+    first = spark.read.parquet(f"{out}/first_readings")
+    compounds = readings.compound_columns(first)
     joined = metadata.join_metadata(readings.wide_readings(first, compounds), panel, key=KEY, batch=BATCH)
     writers.write_wide(metadata.in_report_order(joined, KEY, BATCH), f"{out}/consolidated", table_format)
     done = spark.read.schema(joined.schema).format(table_format).option("header", True).load(f"{out}/consolidated")

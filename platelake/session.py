@@ -20,6 +20,7 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         "spark.ui.enabled": "false",
     }
@@ -40,3 +41,12 @@ def pin(df: DataFrame) -> DataFrame:
     """``df`` as written to the shared checkpoint folder, so that later passes all see the same rows and ids."""
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when it comes from fewer files than there are cores; larger inputs stay as they are.
+
+    A small table is often one row group, which one task would read and then work on alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.operators.readings import wide_names
+from platelake.operators.readings import has_value, wide_names
 
 BANDS = ("Metadata", "Gene", "IC50", "Max%Inhib")  # fixed values
 BAND_SCHEMA = "ordinal int, column_name string, label string, band string, start_col int, end_col int"
@@ -48,7 +48,7 @@ def run_summary(
     )
     workbooks = readings.select("batch", "cell_line").distinct()
     files = workbooks.agg(F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
-    compounds = first.filter(F.col("ic50_ord").isNotNull()).select("compound").distinct()
+    compounds = first.filter(has_value("ic50")).select("compound").distinct()
     out = consolidated.agg(F.count("*").alias("n_rows"), F.count(key).alias("n_matched_rows"))
     one = [counted, files, compounds.agg(F.count("*").alias("n_compounds")), out]
     structs = [df.select(F.struct(*df.columns).alias("s")).scalar().alias(f"s{i}") for i, df in enumerate(one)]

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from platelake.functions import colors, identifiers, markup, numbers
+from platelake.operators import bars
 
 
 def apply(spark, values, *columns, schema="v string"):
@@ -102,13 +103,23 @@ def test_escaping(spark):
     assert apply(spark, ['<a & "b">'], markup.escape(F.col("v"))) == ["&lt;a &amp; &quot;b&quot;&gt;"]
 
 
-def test_gradient_ends_and_stops(spark):
+def test_gradient_stops(spark):
     stops = [s[0] for s in colors.gradient_stops()]
     assert stops == [0.0, 9 / 59, 19 / 59, 29 / 59, 39 / 59, 1.0]
     df = spark.createDataFrame([(t,) for t in [*stops, None]], "t double")
-    t = F.col("t")
-    found = df.select(colors.gradient_rgb_color(t), colors.lab_hex(*colors.gradient_lab_channels(t))).collect()
-    assert [tuple(r) for r in found] == [(c, c) for c in colors.GRADIENT_COLORS] + [(None, None)]
+    found = bars.colored(df).collect()
+    assert [(r["gradient"], r["gradient_rgb"]) for r in found] == [(c, c) for c in colors.GRADIENT_COLORS] + [(None, None)]
+
+
+def test_gradient_between_stops(spark):
+    between = [(a[0] + b[0]) / 2 for a, b in zip(colors.gradient_stops(), colors.gradient_stops()[1:])]
+    found = bars.colored(spark.createDataFrame([(t,) for t in between], "t double")).collect()
+    for i, row in enumerate(found):
+        low, high = (colors.hex_to_rgb(c) for c in colors.GRADIENT_COLORS[i : i + 2])
+        plain = [(a + b) / 2 for a, b in zip(low, high)]
+        assert all(abs(a - b) <= 0.5 for a, b in zip(colors.hex_to_rgb(row["gradient_rgb"]), plain))
+        lab = [(a + b) / 2 for a, b in zip(colors._rgb_to_lab(low), colors._rgb_to_lab(high))]
+        assert all(abs(a - b) <= 0.51 for a, b in zip(colors.hex_to_rgb(row["gradient"]), colors._lab_to_rgb(lab)))
 
 
 def test_diverging_map(spark):
@@ -116,5 +127,6 @@ def test_diverging_map(spark):
     assert len(table) == 256 and table[0] == "#3B4CC0" and table[255] == "#B40426"
     grey = [int(table[128][i : i + 2], 16) for i in (1, 3, 5)]
     assert max(grey) - min(grey) <= 4
-    df = spark.createDataFrame([(t,) for t in (0.0, 0.5, 1.0, None)], "t double")
-    assert [r[0] for r in df.select(colors.diverging_color(F.col("t"))).collect()] == [table[0], table[128], table[255], None]
+    df = spark.createDataFrame([(t,) for t in (0.0, 0.5, 0.999, 1.0, None)], "t double")
+    found = [r[0] for r in df.select(colors.diverging_color(F.col("t"))).collect()]
+    assert found == [table[0], table[128], table[255], table[255], None]

@@ -1,7 +1,7 @@
 """Assay-shaped views over the given tables.
 
-The SQL is valid in Spark and in DuckDB: the queries run it in Spark over ``parquet.`path``` tables, the SQL
-counterparts use it as common table expressions over the registered views.
+The SQL is valid in Spark and in DuckDB: the queries run it in Spark over the given files, the SQL counterparts use it
+as common table expressions over the registered views.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from platelake.session import spread
+
 ASSAY_RAW = """
 select concat(l_returnflag, l_linestatus, ' cells') as batch,
        concat('20260122_S', cast(l_suppkey as string), '_7TA_144H_paste.xlsx') as file_name,
@@ -71,8 +73,7 @@ INFO = ("model_id", "lineage", "disease")
 REQUESTED_MARKERS = ("gene_a", "gene_x", "gene_y", "gene_b")
 AVAILABLE_MARKERS = ("gene_a", "gene_b", "gene_c")
 
-# Room for 12 digits of part and 11 of supplier below the line number, and 14 of order above it.
-ORD_WEIGHTS = {"l_orderkey": 10**24, "l_linenumber": 10**23, "l_partkey": 10**11, "l_suppkey": 1}
+ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +81,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(re.sub(r"\{(\w+)\}", lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", text))
+    names = set(re.findall(r"\{(\w+)\}", text))
+    found = {n: table(spark, sf_dir, n) for n in names}
+    if "lineitem" in found:
+        found["lineitem"] = spread(found["lineitem"])
+    return spark.sql(text, **found)
 
 
 def plain(text: str) -> str:
@@ -89,10 +94,8 @@ def plain(text: str) -> str:
 
 
 def assay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw readings with ``ord``, the reading order as one number that fits a hash aggregate's buffer."""
-    wide = "decimal(38,0)"
-    ord_ = sum((F.col(c).cast(wide) * F.lit(str(w)).cast(wide) for c, w in ORD_WEIGHTS.items()), F.lit(0).cast(wide))
-    return view(spark, sf_dir, ASSAY_RAW).withColumn("ord", ord_.cast(wide))
+    """Raw readings with ``ord``, the reading order."""
+    return view(spark, sf_dir, ASSAY_RAW).withColumn("ord", F.struct(*ORDER)).drop(*ORDER)
 
 
 def compound_map(spark: SparkSession, sf_dir: str) -> DataFrame:

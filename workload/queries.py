@@ -12,6 +12,7 @@ from platelake.functions.markup import payload_text
 from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
 from platelake.operators import grid, metadata, readings, sections
+from platelake.session import pin, spread
 from platelake.sinks import summary
 from platelake.sources import archives, tables, workbooks
 from workload import adapters, fixtures
@@ -52,17 +53,17 @@ def mapped_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = _mapped(spark, sf_dir)
-    return readings.with_winning_texts(readings.first_readings(mapped), mapped).drop("ic50_ord", "max_inhib_ord")
+    return readings.first_readings(_mapped(spark, sf_dir))
 
 
-def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = _mapped(spark, sf_dir)
-    return readings.wide_readings(readings.first_readings(mapped), readings.compound_columns(mapped))
+def _wide(first: DataFrame) -> DataFrame:
+    """Pinned first: its compounds are needed before the pivot can be planned, and parsing twice costs more."""
+    pinned = pin(first)
+    return readings.wide_readings(pinned, readings.compound_columns(pinned))
 
 
 def wide_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wide(spark, sf_dir)
+    return _wide(first_readings(spark, sf_dir))
 
 
 def metadata_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,8 @@ def marker_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metadata.join_metadata(_wide(spark, sf_dir), marker_panel(spark, sf_dir), info=("cell_line", *adapters.INFO))
+    wide = _wide(first_readings(spark, sf_dir))
+    return metadata.join_metadata(wide, marker_panel(spark, sf_dir), info=("cell_line", *adapters.INFO))
 
 
 def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,12 +90,16 @@ def cells_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = _mapped(spark, sf_dir)
-    return summary.run_summary(mapped, readings.first_readings(mapped), _consolidated(spark, sf_dir))
+    first = pin(readings.first_readings(mapped))
+    wide = readings.wide_readings(first, readings.compound_columns(first))
+    panel = marker_panel(spark, sf_dir)
+    joined = metadata.join_metadata(wide, panel, info=("cell_line", *adapters.INFO))
+    return summary.run_summary(mapped, first, joined)
 
 
 def header_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
-    compounds = readings.compound_columns(_mapped(spark, sf_dir))
+    compounds = readings.compound_columns(first_readings(spark, sf_dir))
     return summary.header_bands(spark, compounds, adapters.INFO, markers, keys=OUTPUT_KEYS)
 
 
@@ -190,17 +196,14 @@ def bar_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as Summary sheets of workbooks, read back into the plain table's columns."""
-    items = adapters.table(spark, sf_dir, "lineitem")
+    items = spread(adapters.table(spark, sf_dir, "lineitem"))
     types = {f.name: f.dataType for f in items.schema if f.name != "l_shipdate"}
     cells = {
         c: fixtures.text_cell(F.col(c)) if t.typeName() == "string" else fixtures.number_cell(F.col(c))
         for c, t in types.items()
     }
     books = fixtures.to_workbooks(items, cells, workbooks.SUMMARY_SHEET, workbooks.SUMMARY_HEADER_ROW)
-    # A few large workbooks per task would be parsed one after the other; files are small, so spreading them is cheap.
-    rows = workbooks.read_sheet(
-        books.repartition("path"), {c: c for c in types}, workbooks.SUMMARY_SHEET, workbooks.SUMMARY_HEADER_ROW
-    )
+    rows = workbooks.read_sheet(books, {c: c for c in types}, workbooks.SUMMARY_SHEET, workbooks.SUMMARY_HEADER_ROW)
     return rows.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()], "error")
 
 
