@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,16 +15,15 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Digits may be grouped by single underscores. Spark's own cast would also take "1.0d" and "1.0f".
+# Digits may be grouped by single underscores, which Spark's cast refuses; it would also take "1.0d", "1.0f" and
+# hexadecimal forms. A text with any of the letters below is therefore matched against the full form.
+_DOUBTFUL = "dDfFxX_"
 _DIGITS = "[0-9](?:_?[0-9])*"
 NUMBER_FORM = (
     rf"(?i)^[+-]?(?:(?:{_DIGITS}[.]?(?:{_DIGITS})?|[.]{_DIGITS})(?:e[+-]?{_DIGITS})?|inf(?:inity)?|nan)$"
 )
 
 
-PLAIN_NUMBER = "0123456789.+-eE"
-
-
 def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*MISSING_TEXTS), text)
 
@@ -30,13 +31,12 @@ def missing_to_null(text: Column) -> Column:
 def number_of(text: Column) -> Column:
     """The number a text stands for, any ``>`` left out; NULL when it is not a number.
 
-    Texts of digits, signs, points and exponents alone are what nearly all readings are, and Spark's cast takes them
-    just as Python's ``float`` does. Only the others are matched against the full form.
+    Nearly all readings are plain decimals, which Spark's cast reads just as Python's ``float`` does.
     """
     core = strip(F.replace(text, F.lit(">"), F.lit("")))
     matched = F.replace(F.regexp_extract(core, NUMBER_FORM, 0), F.lit("_"), F.lit(""))
-    plain = F.translate(core, PLAIN_NUMBER, "") == ""
-    return F.when(plain, core).otherwise(matched).try_cast("double")
+    doubtful = reduce(Column.__or__, [core.contains(letter) for letter in _DOUBTFUL])
+    return F.when(doubtful, matched).otherwise(core).try_cast("double")
 
 
 def round2(value: Column) -> Column:

@@ -20,6 +20,7 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.checkpoint.compress": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         "spark.ui.enabled": "false",
@@ -49,4 +50,5 @@ def spread(df: DataFrame) -> DataFrame:
     A small table is often one row group, which one task would read and then work on alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    # By all columns: dealing rows out in turn would sort them first.
+    return df.repartition(cores, *df.columns) if len(df.inputFiles()) < cores else df

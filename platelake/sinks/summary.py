@@ -40,17 +40,18 @@ def run_summary(
 ) -> DataFrame:
     """One row of counts: input batches, cell lines, readings and texts; output rows, matched rows, compounds."""
     text = [F.col(f"{m}_raw").isNotNull() & F.col(m).isNull() for m in ("ic50", "max_inhib")]
-    counted = readings.agg(
+    # One pass over the readings: counted per cell line, then added up.
+    per_line = readings.groupBy("batch", "cell_line").agg(
         F.count("*").alias("n_readings"),
         F.count_if(text[0]).alias("n_ic50_texts"),
         F.count_if(text[1]).alias("n_max_inhib_texts"),
         F.count_if("ic50_censored").alias("n_censored"),
     )
-    workbooks = readings.select("batch", "cell_line").distinct()
-    files = workbooks.agg(F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
+    sums = [F.sum(c).alias(c) for c in per_line.columns if c.startswith("n_")]
+    counted = per_line.agg(*sums, F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
     compounds = first.filter(has_value("ic50")).select("compound").distinct()
     out = consolidated.agg(F.count("*").alias("n_rows"), F.count(key).alias("n_matched_rows"))
-    one = [counted, files, compounds.agg(F.count("*").alias("n_compounds")), out]
+    one = [counted, compounds.agg(F.count("*").alias("n_compounds")), out]
     structs = [df.select(F.struct(*df.columns).alias("s")).scalar().alias(f"s{i}") for i, df in enumerate(one)]
     row = readings.sparkSession.range(1).select(*structs)
     return row.select(*[f"s{i}.*" for i in range(len(one))], F.lit(len(consolidated.columns) - 1).alias("n_columns"))

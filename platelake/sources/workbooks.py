@@ -32,6 +32,7 @@ BAR_COLUMNS = {"gene": "TAA", "value": "IAA/Receptor"}
 IMAGE_PATTERN = r"^xl/media/[^/]+\.emf$"
 
 ERROR_CELL = "e"
+PIECE_BYTES = 1 << 16
 
 CELL_FIELDS = [
     T.StructField("sheet", T.StringType()),
@@ -86,18 +87,15 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
 
 def _number_text(text: str) -> str:
     """Whole numbers without a point, all others as Python prints them."""
-    try:
-        return str(int(text))
-    except ValueError:
-        number = float(text)
-        return str(int(number)) if number.is_integer() else repr(number)
+    if text.isdigit():
+        return text
+    number = float(text)
+    return str(int(number)) if number.is_integer() else repr(number)
 
 
 def _column_of(reference: str) -> int:
     column = 0
-    for letter in reference:
-        if not letter.isalpha():
-            break
+    for letter in reference.rstrip("0123456789"):
         column = column * 26 + ord(letter.upper()) - 64
     return column
 
@@ -107,43 +105,71 @@ def _cell_value(cell, strings: list[str]) -> tuple[str, str] | None:
     kind = cell.get("t", "n")
     value = None
     for child in cell:
-        name = _tag(child)
-        if name == "v":
+        tag = child.tag
+        if tag.endswith("}v"):
             value = child.text
-        elif name == "is":
+        elif tag.endswith("}is"):
             return _text_of(child), "s"
     if value is None:
         return None
-    if kind == "s":
-        return strings[int(value)], "s"
     if kind == "n":
         return _number_text(value), "n"
+    if kind == "s":
+        return strings[int(value)], "s"
     if kind == "b":
         return ("True" if value.strip() == "1" else "False"), "b"
     return value, (ERROR_CELL if kind == "e" else "s")
 
 
-def _rows(book: zipfile.ZipFile, part: str, strings: list[str], last_row: int | None) -> Iterator[tuple[int, dict]]:
-    """``(row number, {column number: (text, type)})`` for each row that has a value."""
-    number = 0
-    with book.open(part) as sheet:
-        for _, element in ElementTree.iterparse(sheet):
-            if not element.tag.endswith("}row"):
-                continue
-            number = int(element.get("r", number + 1))
-            if last_row is not None and number > last_row:
-                return
-            column, values = 0, {}
-            for cell in element:
-                if _tag(cell) != "c":
-                    continue
-                column = _column_of(cell.get("r", "")) or column + 1
-                value = _cell_value(cell, strings)
-                if value is not None:
-                    values[column] = value
-            element.clear()
-            if values:
-                yield number, values
+class _Rows:
+    """``(row number, {column number: (text, type)})`` for each row that has a value, up to ``last_row``.
+
+    The sheet is parsed in pieces and each row is dropped once taken, so memory does not grow with the sheet. After
+    ``only`` is set, cells of other columns are passed over.
+    """
+
+    def __init__(self, book: zipfile.ZipFile, part: str, strings: list[str], last_row: int | None = None):
+        self.book, self.part, self.strings, self.last_row = book, part, strings, last_row
+        self.only: frozenset[int] | None = None
+
+    def __iter__(self) -> Iterator[tuple[int, dict]]:
+        number = 0
+        with self.book.open(self.part) as sheet:
+            for row in _row_elements(sheet):
+                number = int(row.get("r", number + 1))
+                if self.last_row is not None and number > self.last_row:
+                    return
+                column, values = 0, {}
+                for cell in row:
+                    reference = cell.get("r")
+                    column = column + 1 if reference is None else _column_of(reference)
+                    if self.only is None or column in self.only:
+                        value = _cell_value(cell, self.strings)
+                        if value is not None:
+                            values[column] = value
+                if values:
+                    yield number, values
+
+
+def _row_elements(sheet) -> Iterator[ElementTree.Element]:
+    """Row elements of a sheet part, one piece of the file at a time."""
+    builder = ElementTree.TreeBuilder()
+    # An outer element opened by hand gives access to the tree while it grows.
+    outer = builder.start("outer", {})
+    parser = ElementTree.XMLParser(target=builder)
+    rows = None
+    while piece := sheet.read(PIECE_BYTES):
+        parser.feed(piece)
+        if rows is None and len(outer):
+            rows = next((e for e in outer[0] if e.tag.endswith("}sheetData")), None)
+        if rows is not None and len(rows) > 1:
+            # The last row may still be growing.
+            done = rows[:-1]
+            del rows[:-1]
+            yield from done
+    parser.close()
+    if rows is not None:
+        yield from rows
 
 
 def read_sheet(
@@ -167,17 +193,19 @@ def read_sheet(
             part = parts[0][1] if sheet is None else dict(reversed(parts)).get(sheet)
             if part is None:
                 raise ValueError(f"no sheet {sheet!r}")
+            rows = _Rows(book, part, _shared_strings(book))
             places = None
-            for number, values in _rows(book, part, _shared_strings(book), None):
-                if places is None and number >= header_row:
+            for number, values in rows:
+                if places is not None:
+                    cells = [values.get(p) for p in places]
+                    yield number, *[c[0] if c is not None and c[1] != ERROR_CELL else None for c in cells]
+                elif number >= header_row:
                     found = {} if number > header_row else {t: c for c, (t, _) in sorted(values.items(), reverse=True)}
                     missing = [h for h in headers if isinstance(h, str) and h not in found]
                     if missing:
                         raise ValueError(f"no column {missing}")
                     places = [found[h] if isinstance(h, str) else h for h in headers]
-                elif places is not None:
-                    cells = [values.get(p) for p in places]
-                    yield number, *(c[0] if c is not None and c[1] != ERROR_CELL else None for c in cells)
+                    rows.only = frozenset(places)
             if places is None:
                 raise ValueError(f"no column {headers}")
 
@@ -204,10 +232,11 @@ def read_cells(
             name = next((n for n in names if n in parts), None)
             if name is None:
                 return
-            for number, values in _rows(book, parts[name], _shared_strings(book), last_row):
+            rows = _Rows(book, parts[name], _shared_strings(book), last_row)
+            rows.only = wanted
+            for number, values in rows:
                 for column, (text, kind) in values.items():
-                    if wanted is None or column in wanted:
-                        yield name, number, column, text, kind
+                    yield name, number, column, text, kind
 
     return explode_bytes(workbooks, keep, CELL_FIELDS, each)
 
