@@ -100,7 +100,7 @@ def ranked(bars: DataFrame) -> DataFrame:
 
 def bar_table(bars: DataFrame, axis: AxisBreak = TWO_PANEL_BREAK) -> DataFrame:
     """``gene, value`` to ``rank, gene, value, t, segment, left_len, right_len, diverging, gradient, gradient_rgb``."""
-    # Ranked first: only gene and value pass through the sort.
-    return colored(on_axis(normalised(ranked(bars.select("gene", "value"))), axis)).select(
+    # Ranked before the rest: only gene, value and t pass through the sort.
+    return colored(on_axis(ranked(normalised(bars.select("gene", "value"))), axis)).select(
         "rank", "gene", "value", "t", "segment", "left_len", "right_len", "diverging", "gradient", "gradient_rgb"
     )

@@ -34,6 +34,10 @@ IMAGE_PATTERN = r"^xl/media/[^/]+\.emf$"
 ERROR_CELL = "e"
 PIECE_BYTES = 1 << 16
 
+# Decimals of at most 15 digits in this form are already what Python prints for them.
+SHORT_NUMBER = 16
+PRINTED_NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)\.(?!000)[0-9]*[1-9]")
+
 CELL_FIELDS = [
     T.StructField("sheet", T.StringType()),
     T.StructField("row", T.IntegerType()),
@@ -87,7 +91,7 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
 
 def _number_text(text: str) -> str:
     """Whole numbers without a point, all others as Python prints them."""
-    if text.isdigit():
+    if text.isdigit() or (len(text) <= SHORT_NUMBER and PRINTED_NUMBER.fullmatch(text)):
         return text
     number = float(text)
     return str(int(number)) if number.is_integer() else repr(number)
@@ -143,10 +147,12 @@ class _Rows:
                 for cell in row:
                     reference = cell.get("r")
                     column = column + 1 if reference is None else _column_of(reference)
-                    if self.only is None or column in self.only:
-                        value = _cell_value(cell, self.strings)
-                        if value is not None:
-                            values[column] = value
+                    if self.only is not None and column not in self.only:
+                        continue
+                    if len(cell) == 1 and cell.get("t") is None and cell[0].tag.endswith("}v") and cell[0].text:
+                        values[column] = _number_text(cell[0].text), "n"
+                    elif (value := _cell_value(cell, self.strings)) is not None:
+                        values[column] = value
                 if values:
                     yield number, values
 

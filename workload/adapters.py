@@ -97,7 +97,7 @@ def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     names = set(re.findall(r"\{(\w+)\}", text))
     found = {n: table(spark, sf_dir, n) for n in names}
     if "lineitem" in found:
-        found["lineitem"] = spread(found["lineitem"])
+        found["lineitem"] = spread(found["lineitem"], "l_orderkey", "l_partkey")
     return spark.sql(text, **found)
 
 
