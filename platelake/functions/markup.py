@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PAGE_START = '<!DOCTYPE html><html><head><meta charset="utf-8"><title>IC50 plots</title></head><body>'
+PAGE_END = "</body></html>"
 EMPTY_CELL = "<td>-</td>"
 DEFAULT_COLOR = "#FFFFFF"  # fixed value
 

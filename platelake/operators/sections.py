@@ -51,7 +51,8 @@ def section_entries(cells: DataFrame, last_row: int = LAST_ROW) -> DataFrame:
     A workbook gives at most ``last_row`` cells, so they travel as one short array per workbook: one shuffle,
     no sort, no row-by-row state.
     """
-    text = F.when(F.col("value_type") == "s", F.col("value"))
+    # An error cell reads as its text, such as #N/A.
+    text = F.when(F.col("value_type").isin("s", "e"), F.col("value"))
     compound = id_last(text)
     marker = is_section_marker(text)
     kept = F.coalesce(~marker & (compound != "") & ~is_control(compound), F.lit(False))

@@ -29,6 +29,8 @@ def test_section_edges(spark):
     assert entries(spark, (1, "XLFit Chart", "s"), (2, "A_x", "s"), (4, "A_y", "s")) == [(1, 2, "x")]
     for empty in (("0", "n"), ("0.0", "n"), ("", "s"), ("False", "b")):
         assert entries(spark, (1, "XLFit Chart", "s"), (2, "A_x", "s"), (3, *empty), (4, "A_y", "s")) == [(1, 2, "x")]
+    error = entries(spark, (1, "XLFit Chart", "s"), (2, "A_x", "s"), (3, "#N/A", "e"), (4, "A_y", "s"))
+    assert [e[2] for e in error] == ["x", "#N/A", "y"]
     for filled in (("  ", "s"), ("7", "n"), ("True", "b"), ("A_", "s"), ("control stauro", "s")):
         found = entries(spark, (1, "XLFit Chart", "s"), (2, "A_x", "s"), (3, *filled), (4, "A_y", "s"))
         assert found == [(1, 2, "x"), (2, 4, "y")]
@@ -147,7 +149,7 @@ def test_grid_and_report(spark):
         '<td><img src="data:image/png;base64,P0" alt="c1_A"></td><td><img src="data:image/png;base64,P2" alt="c2_A"></td></tr>'
     )
     assert lines[2].endswith('alt="c1_B"></td><td>-</td></tr>')
-    assert lines[3] == '</table><p class="caption">2 test compounds × 2 cell lines (% Inhibition plots only)</p>'
+    assert lines[3] == '</table><p class="caption">2 test compounds × 2 cell lines (% Inhibition plots only)</p></body></html>'
     assert len(lines) == 4
 
 
@@ -207,3 +209,13 @@ def test_plot_order_takes_one_workbook(spark):
     df = spark.range(60).selectExpr("cast(id as int) as plot_no", "'c' as compound")
     with pytest.raises(ValueError):
         sections.plot_order(df)
+
+
+def test_one_workbook_with_most_images(spark):
+    values = [asset("hot", "H", n, payload=f"{n:05d}" * 201) for n in range(1, 3001)]
+    values += [asset(f"w{i % 40}", f"L{i % 40}", i, payload=f"{i:05d}" * 201) for i in range(1000)]
+    df = spark.createDataFrame(values, ASSET).repartition(8)
+    found = assets.cell_images(assets.usable(assets.rank_assets(df, 5)))
+    got = {r["cell_line"]: [r["images"][i][:5] for i in sorted(r["images"])] for r in found.collect()}
+    assert got["H"] == [f"{n:05d}" for n in range(1, 6)]
+    assert got == {"H": got["H"], **{f"L{i}": [f"{n:05d}" for n in range(i, 1000, 40)[:5]] for i in range(40)}}

@@ -149,3 +149,23 @@ def test_run_summary(spark):
         "n_readings": 3, "n_ic50_texts": 1, "n_max_inhib_texts": 1, "n_censored": 1, "n_batches": 1, "n_cell_lines": 2,
         "n_compounds": 1, "n_rows": 2, "n_matched_rows": 1, "n_columns": 6,
     }
+
+
+def test_one_group_with_most_rows(spark):
+    """Two thirds of all rows in one key, spread over tasks: same result as a plain loop, one row per key and task."""
+    values = [("L", "hot", None if i % 5 == 0 else f"{i}.125", None if i % 7 else str(i), 100_000 - i) for i in range(6000)]
+    values += [(f"L{i % 50}", f"c{i % 11}", str(i), "n.d." if i % 13 == 0 else str(i), i) for i in range(3000)]
+    df = raw(spark, *values).repartition(8)
+    first = readings.first_readings(df)
+    expected = {}
+    for line, compound, ic50, inhib, order in sorted(values, key=lambda v: v[4]):
+        held = expected.setdefault((line, compound), [None, None])
+        held[0] = held[0] or ic50
+        held[1] = held[1] or inhib
+    found = {
+        (r["cell_line"], r["compound"]): [r["ic50"], r["max_inhib"] if r["max_inhib_text"] is None else r["max_inhib_text"]]
+        for r in first.collect()
+    }
+    assert found == {
+        k: [round(float(i), 2) if i else None, m if m in (None, "n.d.") else float(m)] for k, (i, m) in expected.items()
+    }

@@ -211,7 +211,7 @@ def check_plot_table(spark, source, tmp_path):
     ]
     parts = sorted(p for p in os.listdir(f"{tmp_path}/out/report") if p.endswith(".txt"))
     text = "".join(open(f"{tmp_path}/out/report/{p}").read() for p in parts)
-    assert text.startswith("<table>") and text.count("<tr>") == 3 and "2 test compounds × 2 cell lines" in text
+    assert text.startswith("<!DOCTYPE html>") and text.rstrip().endswith("</html>") and text.count("<tr>") == 3 and "2 test compounds × 2 cell lines" in text
 
 
 def test_plot_table_of_a_folder(spark, tmp_path):

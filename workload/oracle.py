@@ -337,7 +337,8 @@ ORACLE_SQL: dict[str, str] = {
         *TO_DENSE,
         select=f"""
         select cast(0 as integer) as section, cast(null as varchar) as cell_line,
-               concat('<table><tr><th class="cell-line-header">Cell Line</th>',
+               concat('<!DOCTYPE html><html><head><meta charset="utf-8"><title>IC50 plots</title></head><body>',
+                      '<table><tr><th class="cell-line-header">Cell Line</th>',
                       coalesce(string_agg({TH}, '' order by plot_no), ''), '</tr>') as line
         from (select o.plot_no, o.compound, coalesce(n.display_name, '') as display_name
               from plot_order o left join display_names n using (compound))
@@ -348,7 +349,7 @@ ORACLE_SQL: dict[str, str] = {
         from dense group by cell_line
         union all
         select 2, null, concat('</table><p class="caption">', (select count(*) from plot_order), ' test compounds × ',
-               count(*), ' cell lines (% Inhibition plots only)</p>')
+               count(*), ' cell lines (% Inhibition plots only)</p></body></html>')
         from last_books""",
     ),
     "json_options": """
