@@ -30,10 +30,9 @@ def file_name_of(path: Column) -> Column:
 
 def cell_line_of(file_name: Column, fallback: bool = False) -> Column:
     """Second ``_`` part of a workbook name; with ``fallback`` the bare name if there is none."""
-    part = F.try_element_at(F.split(file_name, "_"), F.lit(2))
-    if not fallback:
-        return part
-    return F.coalesce(part, F.replace(file_name, F.lit(".xlsx"), F.lit("")))
+    second = F.substring_index(F.substring_index(file_name, "_", 2), "_", -1)
+    bare = F.replace(file_name, F.lit(".xlsx"), F.lit("")) if fallback else F.lit(None)
+    return F.when(F.instr(file_name, "_") > 0, second).otherwise(bare)
 
 
 def is_batch_folder(name: Column) -> Column:

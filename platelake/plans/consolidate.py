@@ -48,7 +48,7 @@ def consolidate(
 ) -> tuple[DataFrame, list[str]]:
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
-    Tables: ``raw, readings, first_readings, rejected_files, rejected_values, consolidated, header_bands,
+    Tables: ``raw, readings, first_readings, rejected_files, rejected_values, consolidated, header_bands, sheet,
     cells_per_batch, run_summary``.
     """
     raw = ingest(spark, base, out)
@@ -75,8 +75,9 @@ def consolidate(
     done = spark.read.schema(joined.schema).format(table_format).option("header", True).load(f"{out}/consolidated")
 
     info = [c for c in metadata.INFO_COLUMNS if c != KEY]
-    bands = summary.header_bands(spark, compounds, info, known)
-    writers.write_table(bands, f"{out}/header_bands")
+    columns = summary.header_columns(compounds, info, known, (KEY, BATCH))
+    writers.write_table(summary.header_bands(spark, columns), f"{out}/header_bands")
+    writers.write_sheet(summary.sheet_lines(done, columns, KEY, BATCH), f"{out}/sheet")
     writers.write_table(metadata.cells_per_batch(done, KEY, BATCH), f"{out}/cells_per_batch")
     writers.write_table(summary.run_summary(mapped, first, done, KEY), f"{out}/run_summary")
     return done, unknown

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,26 +14,67 @@ BANDS = ("Metadata", "Gene", "IC50", "Max%Inhib")  # fixed values
 BAND_SCHEMA = "ordinal int, column_name string, label string, band string, start_col int, end_col int"
 
 
-def header_bands(
-    spark: SparkSession,
+class HeaderColumn(NamedTuple):
+    """One output column: its name, its label, and the band over it with the band's first and last column."""
+
+    ordinal: int
+    column_name: str
+    label: str
+    band: str
+    start_col: int
+    end_col: int
+
+
+def header_columns(
     compounds: Sequence[str],
     info: Sequence[str],
     markers: Sequence[str],
     keys: Sequence[str] = ("CellLine", "Batch"),
-) -> DataFrame:
-    """One row per output column: its label and the header band over it with the band's first and last column.
-
-    Column names are metadata, held to the column limit of the wide table. A band without columns does not appear.
-    """
+) -> list[HeaderColumn]:
+    """The two header rows, column by column. A band without columns does not appear."""
     ic50_names, inhib_names = wide_names(list(compounds))
     groups = [("", keys, keys), (BANDS[0], info, info), (BANDS[1], markers, markers)]
     groups += [(BANDS[2], ic50_names, compounds), (BANDS[3], inhib_names, compounds)]
-    rows, start = [], 1
+    columns, start = [], 1
     for band, names, labels in groups:
         end = start + len(names) - 1
-        rows += [(start + i, name, label, band, start, end) for i, (name, label) in enumerate(zip(names, labels))]
+        columns += [HeaderColumn(start + i, n, text, band, start, end) for i, (n, text) in enumerate(zip(names, labels))]
         start = end + 1
-    return spark.createDataFrame(rows, BAND_SCHEMA)
+    return columns
+
+
+def header_bands(spark: SparkSession, columns: Sequence[HeaderColumn]) -> DataFrame:
+    """The header as a table; column names are metadata, held to the column limit of the wide table."""
+    return spark.createDataFrame(list(columns), BAND_SCHEMA)
+
+
+def sheet_lines(
+    consolidated: DataFrame, columns: Sequence[HeaderColumn], key: str = "CellLine", batch: str = "Batch"
+) -> DataFrame:
+    """``section, batch, cell_line, assay_cell_line, line``: CSV lines with both header rows, then the data."""
+    names = [f"`{c.column_name.replace('`', '``')}`" for c in columns]
+    bands = [c.band if c.ordinal == c.start_col else "" for c in columns]
+    heads = [(0, *bands), (1, *[c.label for c in columns])]
+    schema = "section int, " + ", ".join(f"c{c.ordinal} string" for c in columns)
+    header = consolidated.sparkSession.createDataFrame(heads, schema)
+    # An empty text and a missing value both leave the cell blank.
+    options = {"emptyValue": "", "nullValue": ""}
+    none = F.lit(None).cast("string")
+    top = header.select(
+        "section",
+        none.alias("batch"),
+        none.alias("cell_line"),
+        none.alias("assay_cell_line"),
+        F.to_csv(F.struct(*header.columns[1:]), options).alias("line"),
+    )
+    body = consolidated.select(
+        F.lit(2).alias("section"),
+        F.col(batch).alias("batch"),
+        F.col(key).alias("cell_line"),
+        "assay_cell_line",
+        F.to_csv(F.struct(*[F.col(n).alias(f"c{i}") for i, n in enumerate(names)]), options).alias("line"),
+    )
+    return top.unionByName(body)
 
 
 def run_summary(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from platelake.operators import grid
 
@@ -27,6 +28,12 @@ def write_wide(consolidated: DataFrame, path: str, fmt: str = "parquet") -> None
         raise ValueError(f"unknown format {fmt!r}")
 
 
+def write_sheet(lines: DataFrame, path: str) -> None:
+    """The consolidated sheet with its two header rows as CSV text parts; the parts in name order are the sheet."""
+    ordered = lines.orderBy("section", *[F.asc_nulls_last(c) for c in ("batch", "cell_line", "assay_cell_line")])
+    ordered.select("line").write.mode("overwrite").text(path)
+
+
 def write_report(rows: DataFrame, path: str) -> None:
     """The report table as text parts; the parts in name order are the document."""
     grid.in_report_order(rows).select("line").write.mode("overwrite").text(path)

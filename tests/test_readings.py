@@ -127,7 +127,7 @@ def test_markers():
 
 
 def test_header_bands(spark):
-    bands = summary.header_bands(spark, ["c1", "c2"], ["ModelID", "Code"], ["G1"])
+    bands = summary.header_bands(spark, summary.header_columns(["c1", "c2"], ["ModelID", "Code"], ["G1"]))
     assert rows(bands, "ordinal") == [
         (1, "CellLine", "CellLine", "", 1, 2), (2, "Batch", "Batch", "", 1, 2),
         (3, "ModelID", "ModelID", "Metadata", 3, 4), (4, "Code", "Code", "Metadata", 3, 4),
@@ -135,8 +135,8 @@ def test_header_bands(spark):
         (6, "c1_IC50", "c1", "IC50", 6, 7), (7, "c2_IC50", "c2", "IC50", 6, 7),
         (8, "c1_INHIB", "c1", "Max%Inhib", 8, 9), (9, "c2_INHIB", "c2", "Max%Inhib", 8, 9),
     ]
-    no_genes = summary.header_bands(spark, ["c1"], ["ModelID"], [])
-    assert [r["band"] for r in no_genes.orderBy("ordinal").collect()] == ["", "", "Metadata", "IC50", "Max%Inhib"]
+    no_genes = summary.header_columns(["c1"], ["ModelID"], [])
+    assert [c.band for c in no_genes] == ["", "", "Metadata", "IC50", "Max%Inhib"]
 
 
 def test_run_summary(spark):

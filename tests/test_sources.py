@@ -187,6 +187,14 @@ def test_consolidate_folders(spark, tmp_path, fmt):
     assert rows(spark.read.parquet(f"{out}/rejected_values").select("compound", "value")) == [("TA2", "n.d.")]
     assert "bad" in spark.read.json(f"{out}/rejected_files").first()["path"]
     assert spark.read.parquet(f"{out}/run_summary").first()["n_compounds"] == 3
+    parts = sorted(p for p in os.listdir(f"{out}/sheet") if p.endswith(".txt"))
+    assert "".join(open(f"{out}/sheet/{p}").read() for p in parts).splitlines() == [
+        ",,Metadata,,,,,,Gene,,IC50,,,Max%Inhib,,",
+        "CellLine,Batch,ModelID,OncotreeLineage,OncotreePrimaryDisease,OncotreeSubtype,OncotreeCode,in_BioMetas,"
+        "TACSTD2,CEACAM5,Drug,Staurosporine,TA2,Drug,Staurosporine,TA2",
+        "BxPC3,1st_10 cells,ACH-1,Pancreas,d,s,c,Yes,9.57,,0.47,300.0,,7.0,1.0,8.0",
+        ",2nd cells,,,,,,,,,5.0,,,,,",
+    ]
     bands = spark.read.parquet(f"{out}/header_bands")
     assert [r[0] for r in rows(bands.select("column_name"), "ordinal")] == done.columns[:-1]
 

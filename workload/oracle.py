@@ -249,6 +249,14 @@ TH = """concat('<th><span class="compound-id">', compound, '</span>',
 TD = """case when payload is null then '<td>-</td>'
         else concat('<td><img src="data:image/png;base64,', payload, '" alt="', compound, '_', cell_line, '"></td>') end"""
 
+_SHEET = ["cell_line", "batch", "model_id", "lineage", "disease", "gene_a", "gene_b"]
+_SHEET += [f"{c}_IC50" for c in COMPOUNDS] + [f"{c}_INHIB" for c in COMPOUNDS]
+SHEET_CELLS = ", ".join(f"coalesce(cast(\"{c}\" as varchar), '')" for c in _SHEET)
+LABEL_LINE = ",".join(_SHEET[:7] + COMPOUNDS + COMPOUNDS)
+BAND_LINE = ",".join(
+    ["", "", "Metadata", "", "", "Gene", ""] + ["IC50"] + [""] * (len(COMPOUNDS) - 1) + ["Max%Inhib"] + [""] * (len(COMPOUNDS) - 1)
+)
+
 CLEAN_COLUMNS = "batch, cell_line, compound, ic50, max_inhib, ic50_raw, max_inhib_raw, ic50_censored"
 
 ORACLE_SQL: dict[str, str] = {
@@ -378,4 +386,25 @@ ORACLE_SQL: dict[str, str] = {
                concat('20260122_P', cast(page_id as varchar), '_7TA_144H_paste.xlsx') as file_name,
                octet_length(encode(html)) as n_bytes, html, cast(null as varchar) as error
         from pages where page_id % 5 <> 0 and page_id % 7 <> 0""",
+    "cell_ingest": """
+        select 'Data analysis for IC50' as sheet, cast(1 as integer) as col, event_type as value, 's' as value_type,
+               cast(null as varchar) as error
+        from events
+        union all
+        select 'Data analysis for IC50', 2,
+               case when event_id % 4 = 0 then cast(event_id // 4 as varchar) else cast(event_id / 4 as varchar) end, 'n', null
+        from events""",
+    "image_ingest": """
+        select page_id as image_no, octet_length(encode(html)) as n_bytes, html, cast(null as varchar) as error
+        from pages where octet_length(encode(html)) > 3000""",
+    "sheet_lines": with_(
+        *TO_CONSOLIDATED,
+        select=f"""
+        select cast(0 as integer) as section, cast(null as varchar) as batch, cast(null as varchar) as cell_line,
+               cast(null as varchar) as assay_cell_line,
+               '{BAND_LINE}' as line
+        union all select 1, null, null, null, '{LABEL_LINE}'
+        union all
+        select 2, batch, cell_line, assay_cell_line, concat_ws(',', {SHEET_CELLS}) from consolidated""",
+    ),
 }

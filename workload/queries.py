@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.functions.identifiers import is_batch_folder, picture_name
+from platelake.functions.identifiers import image_number, is_batch_folder, picture_name
 from platelake.functions.markup import payload_text
 from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
@@ -100,7 +100,18 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def header_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
     compounds = readings.compound_columns(first_readings(spark, sf_dir))
-    return summary.header_bands(spark, compounds, adapters.INFO, markers, keys=OUTPUT_KEYS)
+    return summary.header_bands(spark, summary.header_columns(compounds, adapters.INFO, markers, OUTPUT_KEYS))
+
+
+def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
+    first = pin(first_readings(spark, sf_dir))
+    compounds = readings.compound_columns(first)
+    joined = metadata.join_metadata(
+        readings.wide_readings(first, compounds), marker_panel(spark, sf_dir), info=("cell_line", *adapters.INFO)
+    )
+    columns = summary.header_columns(compounds, adapters.INFO, markers, OUTPUT_KEYS)
+    return summary.sheet_lines(joined, columns, "cell_line", "batch")
 
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +234,27 @@ def archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cell_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as sheet cells, text and numbers, read back cell by cell."""
+    events = spread(adapters.table(spark, sf_dir, "events"), "event_id")
+    kind, number = F.col("event_type"), F.col("event_id") / 4
+    cells = {"kind": fixtures.text_cell(kind), "number": fixtures.number_cell(number), "props": fixtures.text_cell(F.col("props"))}
+    books = fixtures.to_workbooks(events, cells, sections.SECTION_SHEETS[1], 1)
+    found = workbooks.read_cells(books, columns=(1, 2), last_row=None).filter(F.col("row") > 1)
+    return found.select("sheet", "col", "value", "value_type", "error")
+
+
+def image_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as embedded images, read back above the size of a placeholder."""
+    pages = adapters.table(spark, sf_dir, "pages")
+    name = F.concat(F.lit("image"), F.col("page_id").cast("string"), F.lit(".emf"))
+    books = fixtures.to_archives(pages, name, F.encode("html", "UTF-8"), ("xl/media/",))
+    found = workbooks.read_images(books, plots.PLACEHOLDER_BYTES, keep=("path",))
+    return found.select(
+        image_number(F.col("member")).alias("image_no"), "n_bytes", F.decode("content", "UTF-8").alias("html"), "error"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -239,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cells_per_batch,
         run_summary,
         header_bands,
+        sheet_lines,
         section_entries,
         sheet_choice,
         first_workbook,
@@ -251,5 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bar_ranked,
         workbook_ingest,
         archive_ingest,
+        cell_ingest,
+        image_ingest,
     )
 }
