@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ MISSING_TEXTS = (
 
 # Digits may be grouped by single underscores, which Spark's cast refuses; it would also take "1.0d", "1.0f" and
 # hexadecimal forms. A text with any of the letters below is therefore matched against the full form.
-_DOUBTFUL = "dDfFxX_"
+_DOUBTFUL = "[dDfFxX_]"
 _DIGITS = "[0-9](?:_?[0-9])*"
 NUMBER_FORM = (
     rf"(?i)^[+-]?(?:(?:{_DIGITS}[.]?(?:{_DIGITS})?|[.]{_DIGITS})(?:e[+-]?{_DIGITS})?|inf(?:inity)?|nan)$"
@@ -35,8 +33,7 @@ def number_of(text: Column) -> Column:
     """
     core = strip(F.replace(text, F.lit(">"), F.lit("")))
     matched = F.replace(F.regexp_extract(core, NUMBER_FORM, 0), F.lit("_"), F.lit(""))
-    doubtful = reduce(Column.__or__, [core.contains(letter) for letter in _DOUBTFUL])
-    return F.when(doubtful, matched).otherwise(core).try_cast("double")
+    return F.when(core.rlike(_DOUBTFUL), matched).otherwise(core).try_cast("double")
 
 
 def round2(value: Column) -> Column:

@@ -15,6 +15,7 @@ from platelake.operators.bounded import bounded_values, small_lookup
 
 KEYS = ("cell_line", "batch", "compound")
 METRICS = ("ic50", "max_inhib")
+# Beyond what a spreadsheet can hold (16,384 columns for two columns per compound).
 MAX_COMPOUND_COLUMNS = 10_000
 
 

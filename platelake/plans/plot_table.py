@@ -22,25 +22,27 @@ def _order(first: DataFrame) -> list[str]:
     return order
 
 
-def _from_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+def _first_path(named: DataFrame, source: str) -> str:
+    path = sections.first_workbook(named).first()["path"]
+    if path is None:
+        raise ValueError(f"no workbooks in {source}")
+    return path
+
+
+def _from_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None, list[str]]:
     found = listing.list_workbooks(spark, folder)
-    first = sections.first_workbook(found.select("cell_line", "path")).first()
-    if first["path"] is None:
-        raise ValueError(f"no workbooks in {folder}")
+    first = _first_path(found.select("cell_line", "path"), folder)
     # Loaded by its own path, so that only this one file is read.
-    book = spark.read.format("binaryFile").load(literal_path(first["path"]))
-    return found, _order(book.select("path", "content"))
+    book = spark.read.format("binaryFile").load(literal_path(first))
+    return found, None, _order(book.select("path", "content"))
 
 
-def _from_archive(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
-    zips = spark.read.format("binaryFile").load(path)
-    members = archives.workbook_members(archives.list_members(zips))
-    named = members.select("cell_line", F.concat_ws("/", "archive", "member").alias("path"))
-    first = sections.first_workbook(named).first()
-    if first["path"] is None:
-        raise ValueError(f"no workbooks in {path}")
-    only = members.filter(F.concat_ws("/", "archive", "member") == first["path"])
-    return archives.read_archive_workbooks(zips), _order(archives.with_paths(archives.open_members(only)))
+def _from_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    members, failed = archives.archive_workbooks(spark.read.format("binaryFile").load(path))
+    at = archives.member_path()
+    first = _first_path(members.select("cell_line", at.alias("path")), path)
+    order = _order(archives.read_archive_workbooks(members.filter(at == first)))
+    return archives.read_archive_workbooks(members), failed, order
 
 
 def plot_table(
@@ -51,21 +53,28 @@ def plot_table(
     colors: str | None = None,
     pictures: DataFrame | None = None,
 ) -> list[str]:
-    """Write ``out/report`` (text) and ``out/grid`` (Parquet); return the compounds in plot order.
+    """Write ``report`` (text), ``grid``, ``images`` and ``rejected_files`` below ``out``; return the plot order.
 
     ``source`` is a folder, or a path ending in ``.zip``. ``names`` and ``colors`` are paths of JSON option files.
     ``pictures`` (``path, member, picture``) gives the drawn form of each image; without it the image's own
     bytes are embedded.
     """
-    found, order = _from_archive(spark, source) if source.endswith(".zip") else _from_folder(spark, source)
-    images = workbooks.read_images(found, assets.PLACEHOLDER_BYTES, first=len(order))
-    named = images.filter(F.col("error").isNull()).withColumn("image_no", image_number(F.col("member")))
-    ranked = assets.rank_assets(named, len(order))
+    read = _from_archive if source.endswith(".zip") else _from_folder
+    found, failed, order = read(spark, source)
+    # Workbooks are opened once; all that follows starts from the images they gave.
+    raw = workbooks.read_images(found, assets.PLACEHOLDER_BYTES, first=len(order))
+    writers.write_table(raw, f"{out}/images")
+    images = spark.read.schema(raw.schema).parquet(f"{out}/images")
+    rejected = images.filter(F.col("error").isNotNull()).select("path", "error")
+    rejected = rejected if failed is None else rejected.unionByName(failed)
+    rejected.write.mode("overwrite").json(f"{out}/rejected_files")
+
+    good = images.filter(F.col("error").isNull()).withColumn("image_no", image_number(F.col("member")))
+    ranked = assets.rank_assets(good, len(order))
     if pictures is not None:
-        ranked = ranked.drop("content").join(pictures.withColumnRenamed("picture", "content"), ["path", "member"])
+        drawn = pictures.withColumnRenamed("picture", "content")
+        ranked = ranked.drop("content").join(drawn, ["path", "member"], "left")
     kept = assets.usable(ranked, "content").withColumn("payload", payload_text(F.col("content")))
-
-    # The images are read from workbooks once; both outputs start from this table.
     writers.write_table(assets.cell_images(kept), f"{out}/cell_images")
     cells = spark.read.parquet(f"{out}/cell_images")
     display, shades = tables.read_options(spark, names), tables.read_options(spark, colors)

@@ -14,16 +14,18 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from platelake.functions.identifiers import cell_line_of, file_name_of, is_workbook_name
+from platelake.session import pin
 
 FLUSH_ROWS = 10_000
 FLUSH_BYTES = 16 << 20
 CHUNK_BYTES = 64 << 20
+MAX_TASKS = 100_000
 
 SKIPPED_FOLDER = "__MACOSX"  # fixed value
 MEMBER_FIELDS = [
@@ -157,8 +159,12 @@ def workbook_members(members: DataFrame) -> DataFrame:
 def open_members(members: DataFrame) -> DataFrame:
     """Add ``content`` (and ``error``) to ``archive, member, chunk, …`` rows.
 
-    Rows are spread by archive and chunk; only names travel. A task opens each archive it has members of once.
+    Rows are spread by archive and chunk; only names travel. The number of tasks follows the number of chunks, which
+    is what takes time here: sized by the rows alone, the shuffle would put all these short names into a few tasks. A task
+    opens each archive it has members of once. ``members`` is gone through twice, so pass it pinned.
     """
+    chunks = members.select("archive", "chunk").distinct().count()
+    tasks = max(1, min(chunks, MAX_TASKS))
     keep = [c for c in members.columns if c not in ("chunk", "error")]
     schema = T.StructType([members.schema[c] for c in keep] + [T.StructField("content", T.BinaryType()), ERROR_FIELD])
     arrow = to_arrow_schema(schema)
@@ -188,18 +194,24 @@ def open_members(members: DataFrame) -> DataFrame:
         rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(len(keep)))))
         yield from _batches(contents(rows), arrow)
 
-    spread = members.repartition("archive", "chunk").sortWithinPartitions("archive", "chunk")
+    spread = members.repartition(tasks, "archive", "chunk").sortWithinPartitions("archive", "chunk")
     return spread.select(*keep).mapInArrow(run, schema)
 
 
-def read_archive_workbooks(files: DataFrame) -> DataFrame:
-    """``path`` of zip files to their workbooks: ``path, file_name, cell_line, n_bytes, content, error``.
+def archive_workbooks(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``path`` of zip files to their workbook members (for ``open_members``) and to ``path, error`` of unreadable ones."""
+    found = pin(list_members(files))
+    failed = found.filter(F.col("error").isNotNull()).select(F.col("archive").alias("path"), "error")
+    return workbook_members(found), failed
 
-    ``path`` is the archive's path with the member's name after it.
-    """
-    return with_paths(open_members(workbook_members(list_members(files))))
+
+def member_path() -> Column:
+    """The archive's path with the member's name after it."""
+    return F.concat_ws("/", "archive", "member")
 
 
-def with_paths(opened: DataFrame) -> DataFrame:
-    path = F.concat_ws("/", "archive", "member").alias("path")
-    return opened.select(path, "file_name", "cell_line", "n_bytes", "content", "error")
+def read_archive_workbooks(members: DataFrame) -> DataFrame:
+    """Workbook members to ``path, file_name, cell_line, n_bytes, content, error``."""
+    return open_members(members).select(
+        member_path().alias("path"), "file_name", "cell_line", "n_bytes", "content", "error"
+    )
