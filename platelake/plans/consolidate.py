@@ -32,7 +32,7 @@ def ingest(spark: SparkSession, base: str, out: str) -> DataFrame:
     Returns the rows as written. Workbooks that cannot be read are the rows with ``error`` set.
     """
     raw = workbooks.read_summaries(listing.list_batches(spark, base))
-    raw.write.mode("overwrite").partitionBy("batch").parquet(f"{out}/raw")
+    writers.write_compact(raw, f"{out}/raw")
     return spark.read.schema(raw.schema).parquet(f"{out}/raw")
 
 

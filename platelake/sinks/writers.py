@@ -1,4 +1,4 @@
-"""Writers. Every job writes one file per task; nothing is gathered first."""
+"""Writers. Tasks write side by side; nothing is gathered first."""
 
 from __future__ import annotations
 
@@ -12,9 +12,18 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_compact(df: DataFrame, path: str) -> None:
+    """Rows that come in small pieces from many tasks, brought to files of the advisory partition size."""
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
 def write_readings(readings: DataFrame, path: str) -> None:
-    """Long readings as Parquet, one folder per batch, so that a run over some batches reads only those."""
-    readings.write.mode("overwrite").partitionBy("batch").parquet(path)
+    """Long readings as Parquet, one folder per batch, so that a run over some batches reads only those.
+
+    Rebalanced by batch: otherwise each task would add a file to each batch it has met. A batch with a large share of
+    the rows is split over tasks at run time.
+    """
+    readings.hint("rebalance", "batch").write.mode("overwrite").partitionBy("batch").parquet(path)
 
 
 def write_wide(consolidated: DataFrame, path: str, fmt: str = "parquet") -> None:
