@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.functions.numbers import round2
+from platelake.operators.ranking import spread_sort
 
 # Metadata columns and the gene markers that may be asked for.
 INFO_COLUMNS = (
@@ -67,8 +68,8 @@ def join_metadata(
 
 
 def in_report_order(consolidated: DataFrame, key: str = "cell_line", batch: str = "batch") -> DataFrame:
-    return consolidated.orderBy(
-        F.asc_nulls_last(batch), F.asc_nulls_last(key), F.asc_nulls_last("assay_cell_line")
+    return spread_sort(
+        consolidated, F.asc_nulls_last(batch), F.asc_nulls_last(key), F.asc_nulls_last("assay_cell_line")
     )
 
 

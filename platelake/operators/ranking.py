@@ -11,6 +11,14 @@ from platelake.session import pin
 POSITION_BITS = 33
 
 
+def spread_sort(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` sorted, with an arrival number as last key: rows that tie can lie in several partitions.
+
+    Without it all copies of one key would go to a single task, however many there are.
+    """
+    return df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order, "_tie").drop("_tie")
+
+
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """1-based position of each row in the order given, ties in a fixed but arbitrary order.
 
@@ -18,7 +26,7 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     partition is then enough to learn how many rows lie before each partition. The sorted rows are pinned first, as
     both passes must see the same partitions, also after an executor is lost.
     """
-    placed = pin(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = pin(spread_sort(df, *order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned("_at", POSITION_BITS)
     position = F.col("_at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))

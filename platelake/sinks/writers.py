@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platelake.operators import grid
+from platelake.operators.ranking import spread_sort
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -39,7 +40,7 @@ def write_wide(consolidated: DataFrame, path: str, fmt: str = "parquet") -> None
 
 def write_sheet(lines: DataFrame, path: str) -> None:
     """The consolidated sheet with its two header rows as CSV text parts; the parts in name order are the sheet."""
-    ordered = lines.orderBy("section", *[F.asc_nulls_last(c) for c in ("batch", "cell_line", "assay_cell_line")])
+    ordered = spread_sort(lines, "section", *[F.asc_nulls_last(c) for c in ("batch", "cell_line", "assay_cell_line")])
     ordered.select("line").write.mode("overwrite").text(path)
 
 

@@ -205,6 +205,19 @@ def test_rank_over_many_partitions_and_a_hot_value(spark):
     assert [(v, g, r) for g, v, r in found] == [(v, g, i) for i, (v, g) in enumerate(expected, 1)]
 
 
+def test_copies_of_one_key_are_ranked_by_several_tasks(spark):
+    df = spark.range(20_000).selectExpr("'g' as gene", "if(id % 10 = 0, 1.0D, 2.0D) as value").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = ranking.global_rank(df, F.asc("value"), F.asc("gene")).withColumn("task", F.spark_partition_id())
+        summary = found.groupBy("value").agg(F.min("rank"), F.max("rank"), F.count_distinct("rank"), F.count_distinct("task"))
+        low, high = rows(summary, "value")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert low[:4] == (1.0, 1, 2000, 2000) and high[:4] == (2.0, 2001, 20_000, 18_000)
+    assert high[4] > 3
+
+
 def test_plot_order_takes_one_workbook(spark):
     df = spark.range(60).selectExpr("cast(id as int) as plot_no", "'c' as compound")
     with pytest.raises(ValueError):
