@@ -125,12 +125,17 @@ def _quoted(name: str) -> Column:
 
 
 def wide_readings(first: DataFrame, compounds: list[str]) -> DataFrame:
-    """One row per (cell line, batch) with any value: all IC50 columns, then all inhibition columns."""
+    """One row per (cell line, batch) with any value: all IC50 columns, then all inhibition columns.
+
+    Partitioned by the row keys beforehand, which serves both aggregates of a pivot: one shuffle, in which a row key
+    brings at most one reading per compound.
+    """
     if not compounds:
         raise ValueError("no compound has an IC50 value")
     ic50_names, inhib_names = wide_names(compounds)
     pivoted = (
         first.filter(has_value("ic50") | has_value("max_inhib"))
+        .repartition("cell_line", "batch")
         .groupBy("cell_line", "batch")
         .pivot("compound", compounds)
         .agg(F.first("ic50").alias("IC50"), F.first("max_inhib").alias("INHIB"))

@@ -56,6 +56,16 @@ def test_wide_drops_as_a_pivot_does(spark):
     assert rows(wide, "cell_line") == [("L1", "b1 cells", 1.0, 3.0, 2.0, None), ("L2", "b1 cells", None, None, None, None)]
 
 
+def test_pivot_takes_one_shuffle(spark):
+    first = spark.createDataFrame(
+        [("L", "b", "c", 1.0, None, 2.0, None)],
+        "cell_line string, batch string, compound string, ic50 double, ic50_text string, max_inhib double, max_inhib_text string",
+    )
+    wide = readings.wide_readings(first, ["c", "d"])
+    assert plan_of(wide).count("Exchange") == 1
+    assert rows(wide) == [("L", "b", 1.0, None, 2.0, None)]
+
+
 def test_compounds_that_differ_in_case_or_hold_dots(spark):
     df = raw(spark, ("L", "a.b", "1", "2", 1), ("L", "A.b", "3", "4", 2), ("L", "x`y", "5", "6", 3))
     first = readings.first_readings(df)

@@ -89,12 +89,12 @@ def cells_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = _mapped(spark, sf_dir)
-    first = pin(readings.first_readings(mapped))
+    cleaned = _clean(spark, sf_dir)
+    first = pin(readings.first_readings(readings.map_compounds(cleaned, adapters.compound_map(spark, sf_dir))))
     wide = readings.wide_readings(first, readings.compound_columns(first))
     panel = marker_panel(spark, sf_dir)
     joined = metadata.join_metadata(wide, panel, info=("cell_line", *adapters.INFO))
-    return summary.run_summary(mapped, first, joined)
+    return summary.run_summary(cleaned, first, joined)
 
 
 def header_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
