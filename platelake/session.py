@@ -27,20 +27,20 @@ def recommended_conf() -> dict[str, str]:
     }
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share. Only on a local master, where it is unset, the library makes one."""
+    if spark.conf.get(CHECKPOINT_KEY, None) is None:
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="platelake-checkpoint-")
-    spark.sparkContext.setCheckpointDir(shared)
+        spark.conf.set(CHECKPOINT_KEY, tempfile.mkdtemp(prefix="platelake-checkpoint-"))
+    return spark.conf.get(CHECKPOINT_KEY)
 
 
 def pin(df: DataFrame) -> DataFrame:
     """``df`` as written to the shared checkpoint folder, so that later passes all see the same rows and ids."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 
