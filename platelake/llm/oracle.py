@@ -56,8 +56,8 @@ with words as (
          max(case when feature = 'symbols' then high + 3 * (high - low) + 30 end) as symbols_limit,
          max(case when feature = 'marks' then high + 3 * (high - low) + 50 end) as marks_limit,
          max(case when feature = 'capitals' then high + 3 * (high - low) + 200 end) as capitals_limit,
-         max(case when feature = 'dup_lines' then high + 3 * (high - low) + 150 end) as dup_lines_limit,
-         max(case when feature = 'repeats' then high + 3 * (high - low) + 50 end) as repeats_limit
+         max(case when feature = 'dup_lines' then high + 3 * (high - low) + 500 end) as dup_lines_limit,
+         max(case when feature = 'repeats' then high + 3 * (high - low) + 200 end) as repeats_limit
   from chosen group by lang, source
 )
 select r.doc_id, r.lang, r.source, n_words, word_chars, n_symbols, n_marks, n_capitals, n_lines, n_dup_lines,

@@ -29,7 +29,7 @@ MIN_ROWS = 100
 SPREAD = 3
 
 #: Features in thousandths -> allowance above the quartiles.
-ALLOWANCE = {"symbols": 30, "marks": 50, "capitals": 200, "dup_lines": 150, "repeats": 50}
+ALLOWANCE = {"symbols": 30, "marks": 50, "capitals": 200, "dup_lines": 500, "repeats": 200}
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_marks", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words")
 
