@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from platelake.llm import quality_rules
+from platelake.llm import language_id, quality_rules
 from platelake.llm.shared import stored, table
 
 
@@ -13,7 +13,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality_rules", good_quality)]
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is certain."""
+    return language_id.keep_known(docs)
+
+
+STAGES = [("quality_rules", good_quality), ("language_id", known_language)]
 
 #: Models and hashed signatures have no SQL counterpart; the stages are tested against brute force.
 ORACLE_SQL = None
