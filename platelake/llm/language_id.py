@@ -74,24 +74,6 @@ def subwords(data: np.ndarray, found: spans.Spans) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def _lettered(texts: spans.Texts) -> tuple[spans.Spans, np.ndarray]:
-    """Units that have a letter or a byte of unclear class, in small letters; which texts certainly have a letter."""
-    texts.data = spans.LOWER[texts.data]
-    found = spans.units(texts)
-    kind = spans.UNIT_CLASS[texts.data[: texts.size]]
-    ends = np.stack([found.start, found.start + found.length], 1)
-    unclear = np.concatenate([[0], np.cumsum((kind == 1) | (kind == 4))])
-    keep = unclear[ends[:, 1]] > unclear[ends[:, 0]]
-    first = np.concatenate([[0], np.cumsum(keep)])[found.first]
-    sure = spans.per_text(kind == 1, texts.offsets) > 0
-    return spans.Spans(found.start[keep], found.length[keep], first), sure
-
-
-def _distinct(texts: spans.Texts, found: spans.Spans) -> tuple[spans.Spans, np.ndarray]:
-    _, first, inverse = np.unique(spans.hashes(texts.data, found), return_index=True, return_inverse=True)
-    return spans.Spans(found.start[first], found.length[first], np.array([0, len(first)])), inverse
-
-
 def _has_letter(part: pa.RecordBatch, column: str, sure: np.ndarray) -> np.ndarray:
     has = sure.copy()
     texts = part.column(column)
@@ -105,8 +87,8 @@ def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``lang, held, text`` rows to their bucket counts."""
     for part in spans.chunked(batches, "text"):
         texts = spans.texts_of(part.column("text"))
-        found, _ = _lettered(texts)
-        words, inverse = _distinct(texts, found)
+        found, _ = spans.lettered(texts)
+        words, inverse = spans.distinct(texts, found)
         bucket, owner = subwords(texts.data, words)
         counts = np.bincount(owner, minlength=len(words.start))
         begin = np.cumsum(counts) - counts
@@ -210,8 +192,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
         langs, table, bias, temperature, reject_below = held.value
         for part in spans.chunked(batches, carried):
             texts = spans.texts_of(part.column(carried))
-            found, sure = _lettered(texts)
-            words, inverse = _distinct(texts, found)
+            found, sure = spans.lettered(texts)
+            words, inverse = spans.distinct(texts, found)
             bucket, owner = subwords(texts.data, words)
             grams = np.bincount(owner, minlength=len(words.start))
             n = spans.per_text(grams[inverse], found.first)

@@ -193,3 +193,22 @@ def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def lettered(texts: Texts) -> tuple[Spans, np.ndarray]:
+    """Units that have a letter or a byte of unclear class, in small letters; which texts certainly have a letter."""
+    texts.data = LOWER[texts.data]
+    found = units(texts)
+    kind = UNIT_CLASS[texts.data[: texts.size]]
+    ends = np.stack([found.start, found.start + found.length], 1)
+    unclear = np.concatenate([[0], np.cumsum((kind == 1) | (kind == 4))])
+    keep = unclear[ends[:, 1]] > unclear[ends[:, 0]]
+    first = np.concatenate([[0], np.cumsum(keep)])[found.first]
+    sure = per_text(kind == 1, texts.offsets) > 0
+    return Spans(found.start[keep], found.length[keep], first), sure
+
+
+def distinct(texts: Texts, found: Spans) -> tuple[Spans, np.ndarray]:
+    """One span of each different content, and for every span which of them it is."""
+    _, first, inverse = np.unique(hashes(texts.data, found), return_index=True, return_inverse=True)
+    return Spans(found.start[first], found.length[first], np.array([0, len(first)])), inverse
