@@ -67,3 +67,22 @@ select r.doc_id, r.lang, r.source, n_words, word_chars, n_symbols, n_marks, n_ca
         and coalesce(repeats <= repeats_limit, true)) as kept
 from ratios r left join fences f on r.lang is not distinct from f.lang and r.source is not distinct from f.source
 """
+
+DECONTAMINATION = r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents where doc_id is not null
+), b as (
+  select item_id, text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from (select distinct item_id, text from benchmark) where item_id is not null
+), dg as (
+  select distinct doc_id, unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) as g
+  from d where len(w) >= 5
+), bg as (
+  select distinct item_id, text, unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) as g
+  from b where len(w) >= 5
+), sizes as (select item_id, text, count(*) as n_item from bg group by all)
+select doc_id, item_id, max(n_shared) as n_shared, max(n_item) as n_item, max(n_shared / n_item) as containment
+from (select doc_id, item_id, text, count(*) as n_shared from dg join bg using (g) group by all) join sizes using (item_id, text)
+where n_shared >= 0.8 * n_item group by doc_id, item_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from platelake.llm import language_id, oracle, quality_rules, toxicity
+from platelake.llm import dart_minhash, decontaminate, language_id, oracle, quality_rules, toxicity
 from platelake.llm.shared import table
 
 
@@ -14,6 +14,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -22,5 +30,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op9_toxicity, op10_language_id)}
-LLM_SQL: dict[str, str] = {"op1_quality_rules": oracle.QUALITY_RULES}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op6_dart_minhash, op9_toxicity, op10_language_id)}
+LLM_SQL: dict[str, str] = {"op1_quality_rules": oracle.QUALITY_RULES, "op3_decontamination": oracle.DECONTAMINATION}
