@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platelake.llm import dart_minhash, decontaminate, language_id, oracle, quality_rules, toxicity
+from platelake.llm import bit_packing, dart_minhash, decontaminate, language_id, oracle, packing, quality_rules, toxicity
 from platelake.llm.shared import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = 49_408
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
@@ -18,10 +22,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = bit_packing.written(table(spark, sf_dir, "documents"), TOKENIZER, VOCABULARY)
+    return bit_packing.read_documents(images)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,5 +43,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op6_dart_minhash, op9_toxicity, op10_language_id)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op5_best_fit_packing, op6_dart_minhash, op8_bit_packing, op9_toxicity, op10_language_id)}
 LLM_SQL: dict[str, str] = {"op1_quality_rules": oracle.QUALITY_RULES, "op3_decontamination": oracle.DECONTAMINATION}
