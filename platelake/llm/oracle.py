@@ -86,3 +86,36 @@ select doc_id, item_id, max(n_shared) as n_shared, max(n_item) as n_item, max(n_
 from (select doc_id, item_id, text, count(*) as n_shared from dg join bg using (g) group by all) join sizes using (item_id, text)
 where n_shared >= 0.8 * n_item group by doc_id, item_id
 """
+
+URL_FILTER = r"""
+with parts as (
+  select page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\?([^#]*)', 1) as query
+  from pages
+), cleaned as (
+  select *, list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' and string_split(p, '=')[1] not in
+    ('ref', 'fbclid', 'gclid', 'utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content'))) as kept
+  from parts
+), forms as (
+  select page_id, url, host, path, case when host = '' then '' else
+    concat(regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', ''), regexp_replace(path, '/+$', ''),
+           case when len(kept) > 0 then concat('?', array_to_string(kept, '&')) else '' end) end as canonical
+  from cleaned
+), listed as (
+  select distinct canonical as entry from forms where regexp_matches(url, '[?&]ref=') and canonical <> ''
+), ruled as (
+  select *, case
+    when (host = 'www.example.com' or host like '%.www.example.com') and path like '/en/%' then 'www.example.com/en/'
+    when (host = 'example.com' or host like '%.example.com') and path like '/en/%' then 'example.com/en/'
+    when (host = 'net' or host like '%.net') and path like '/es/%' then 'net/es/'
+    when (host = 'net' or host like '%.net') and path like '/fr/%' then 'net/fr/'
+    when (host = 'com' or host like '%.com') and path like '/%' then 'com/' end as rule
+  from forms
+)
+select page_id, host, path, rule, canonical,
+       case when rule in ('www.example.com/en/', 'com/') then 'allow' when rule is not null then 'block'
+            when entry is not null then 'block' else 'allow' end as verdict
+from ruled left join listed on canonical = entry
+"""

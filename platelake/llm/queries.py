@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from platelake.llm import bit_packing, dart_minhash, decontaminate, language_id, oracle, packing, quality_rules, toxicity
+from platelake.llm import bit_packing, dart_minhash, decontaminate, language_id, oracle, packing, quality_rules, toxicity, url_filter
 from platelake.llm.shared import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 VOCABULARY = 49_408
+RULES = (
+    (url_filter.ALLOW, "com/"),
+    (url_filter.BLOCK, "example.com/en/"),
+    (url_filter.ALLOW, "www.example.com/en/"),
+    (url_filter.BLOCK, "net/es/"),
+    (url_filter.BLOCK, "net/fr/"),
+)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +38,13 @@ def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical URLs that some page was reached at with a referrer."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    referred = pages.filter(F.col("url").rlike(r"[?&]ref="))
+    return url_filter.judged(pages, referred.select(url_filter.canonical(F.col("url")).alias("url")), RULES)
+
+
 def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     images = bit_packing.written(table(spark, sf_dir, "documents"), TOKENIZER, VOCABULARY)
     return bit_packing.read_documents(images)
@@ -43,5 +58,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op5_best_fit_packing, op6_dart_minhash, op8_bit_packing, op9_toxicity, op10_language_id)}
-LLM_SQL: dict[str, str] = {"op1_quality_rules": oracle.QUALITY_RULES, "op3_decontamination": oracle.DECONTAMINATION}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op5_best_fit_packing, op6_dart_minhash, op7_url_filter, op8_bit_packing, op9_toxicity, op10_language_id)}
+LLM_SQL: dict[str, str] = {
+    "op1_quality_rules": oracle.QUALITY_RULES,
+    "op3_decontamination": oracle.DECONTAMINATION,
+    "op7_url_filter": oracle.URL_FILTER,
+}
