@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.llm import bit_packing, dart_minhash, decontaminate, language_id, oracle, packing, quality_rules, toxicity, url_filter
+from platelake.llm import (
+    bit_packing,
+    cross_entropy,
+    dart_minhash,
+    decontaminate,
+    kneser_ney,
+    language_id,
+    oracle,
+    packing,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 from platelake.llm.shared import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -26,10 +38,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def _trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents labelled as good."""
+    return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+def op2_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy.scores(table(spark, sf_dir, "documents"), _trusted(spark, sf_dir))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.perplexities(table(spark, sf_dir, "documents"), _trusted(spark, sf_dir))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -58,7 +83,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op5_best_fit_packing, op6_dart_minhash, op7_url_filter, op8_bit_packing, op9_toxicity, op10_language_id)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_cross_entropy,
+        op3_decontamination,
+        op4_kneser_ney,
+        op5_best_fit_packing,
+        op6_dart_minhash,
+        op7_url_filter,
+        op8_bit_packing,
+        op9_toxicity,
+        op10_language_id,
+    )
+}
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": oracle.QUALITY_RULES,
     "op3_decontamination": oracle.DECONTAMINATION,

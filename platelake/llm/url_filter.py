@@ -2,7 +2,7 @@
 
 A rule names a host and the beginning of a path; of those that fit a URL the longest decides. Other URLs are blocked if
 their canonical form is listed. The filter has blocks of 256 bits: a URL sets eight bits of one block, so a look-up is one
-equality join on the block's number. It has about 16 bits for each listed URL and ``MAX_BLOCKS`` blocks at most, hence it
+equality join on the block's number. It has about 16 bits for each listed URL and a largest size, hence it
 is sent to every task whatever the length of the list. Only URLs that pass it are joined with the list itself, which
 removes false positives, so the answer is exact for a filter of any size.
 
@@ -20,12 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platelake.llm import bloom
 from platelake.llm.shared import col, stored
 
 ALLOW, BLOCK = "allow", "block"
-MAX_BLOCKS = 1 << 19
-URLS_PER_BLOCK = 16
-WORDS = 4
 
 #: Names of query parameters that do not change a page.
 TRACKING = ("ref", "fbclid", "gclid", "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content")
@@ -62,49 +60,16 @@ def decided(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def _block(url: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(blocks))
-
-
-def _masks(url: Column) -> list[Column]:
-    """Two bits in each of the four words of a block."""
-    h = F.xxhash64(url, F.lit("bits"))
-
-    def bit(place: int) -> Column:
-        at = F.shiftrightunsigned(h, 6 * place).bitwiseAND(F.lit(63)).cast("int")
-        return F.call_function("shiftleft", F.lit(1).cast("long"), at)
-
-    return [bit(2 * i).bitwiseOR(bit(2 * i + 1)) for i in range(WORDS)]
-
-
-def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
-    """``block, w0 .. w3`` of the filter over ``listed.url`` (canonical)."""
-    url = F.col("url")
-    rows = listed.select(_block(url, blocks).alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(_masks(url))])
-    return rows.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-
-
-def blocks_for(n_listed: int) -> int:
-    needed = max(1, -(-n_listed // URLS_PER_BLOCK))
-    return min(MAX_BLOCKS, 1 << (needed - 1).bit_length())
-
-
 def judged(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]], key: str = "page_id", url: str = "url") -> DataFrame:
     """``page_id, host, path, rule, verdict, canonical`` of every page. ``listed``: ``url``, canonical."""
     entries = stored(listed.filter("url is not null and url <> ''").select("url").distinct())
-    blocks = blocks_for(entries.count())
-    # At most MAX_BLOCKS rows of five numbers.
-    bloom = F.broadcast(stored(bloom_blocks(entries, blocks)))
     raw = col(url).cast("string")
     parsed = pages.select(col(key).alias("page_id"), host_of(raw).alias("host"), path_of(raw).alias("path"), canonical(raw).alias("canonical"))
     rule, verdict = decided(F.col("host"), F.col("path"), rules)
     ruled = parsed.select("*", rule.alias("rule"), verdict.alias("verdict"))
     open_url = F.when(F.col("verdict").isNull() & (F.col("canonical") != ""), F.col("canonical"))
-    probed = ruled.withColumn("block", _block(open_url, blocks)).join(bloom, "block", "left")
-    has_all = F.lit(True)
-    for i, mask in enumerate(_masks(F.col("canonical"))):
-        has_all = has_all & (F.col(f"w{i}").bitwiseAND(mask) == mask)
-    possible = F.coalesce(open_url.isNotNull() & has_all, F.lit(False))
+    probed = bloom.may_be_in(ruled, open_url, entries, "url", "possible")
+    possible = F.col("possible")
     out = ["page_id", "host", "path", "rule", "verdict", "canonical"]
     clear = probed.filter(~possible).select(*out).withColumn("verdict", F.coalesce("verdict", F.lit(ALLOW)))
     exact = entries.select(F.col("url").alias("entry"))
