@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platelake.llm import language_id, quality_rules
+from platelake.llm import dart_minhash, decontaminate, language_id, packing, quality_rules
 from platelake.llm.shared import stored, table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the adaptive quality rules."""
@@ -18,7 +21,28 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.keep_known(docs)
 
 
-STAGES = [("quality_rules", good_quality), ("language_id", known_language)]
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return dart_minhash.keep_first(docs)
+
+
+def unseen_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.keep_unseen(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token pieces in sequences."""
+    return packing.packed(docs, TOKENIZER)
+
+
+STAGES = [
+    ("quality_rules", good_quality),
+    ("language_id", known_language),
+    ("near_dedup", one_of_each),
+    ("decontamination", unseen_items),
+    ("packing", packed_sequences),
+]
 
 #: Models and hashed signatures have no SQL counterpart; the stages are tested against brute force.
 ORACLE_SQL = None
