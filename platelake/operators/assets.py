@@ -32,13 +32,12 @@ def usable(ranked: DataFrame, payload: str = "payload", min_bytes: int = UNUSABL
 def cell_images(pictures: DataFrame, payload: str = "payload") -> DataFrame:
     """``cell_line, path, images``: plot number -> payload, from the last workbook of each cell line.
 
-    The images of one workbook are at most the number of compounds. They are gathered where the ranking left them
-    (same keys, no shuffle), and each task sends on only its last workbook per cell line.
+    The last workbook is found by names alone; only its images are then gathered, at most one per compound.
     """
+    last = pictures.groupBy("cell_line").agg(F.max("path").alias("path"))
     entry = F.struct(F.col("plot_no").cast("int").alias("plot_no"), F.col(payload).alias("payload"))
-    per_workbook = pictures.groupBy("cell_line", "path").agg(F.collect_list(entry).alias("images"))
     return (
-        per_workbook.groupBy("cell_line")
-        .agg(F.max_by("images", "path").alias("images"), F.max("path").alias("path"))
-        .select("cell_line", "path", F.map_from_entries("images").alias("images"))
+        pictures.join(last, ["cell_line", "path"], "left_semi")
+        .groupBy("cell_line", "path")
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("images"))
     )

@@ -98,9 +98,14 @@ def ranked(bars: DataFrame) -> DataFrame:
     return global_rank(bars, F.asc_nulls_last("value"), F.asc_nulls_last("gene"))
 
 
+def one_per_gene(bars: DataFrame) -> DataFrame:
+    """One row for each gene: its greatest value, as bars of one gene are drawn over each other."""
+    return bars.groupBy("gene").agg(F.max("value").alias("value"))
+
+
 def bar_table(bars: DataFrame, axis: AxisBreak = TWO_PANEL_BREAK) -> DataFrame:
     """``gene, value`` to ``rank, gene, value, t, segment, left_len, right_len, diverging, gradient, gradient_rgb``."""
     # Ranked before the rest: only gene, value and t pass through the sort.
-    return colored(on_axis(ranked(normalised(bars.select("gene", "value"))), axis)).select(
+    return colored(on_axis(ranked(normalised(one_per_gene(bars))), axis)).select(
         "rank", "gene", "value", "t", "segment", "left_len", "right_len", "diverging", "gradient", "gradient_rgb"
     )

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from platelake.functions.markup import (
     DEFAULT_COLOR,
     EMPTY_CELL,
+    HEAD_END,
     PAGE_END,
     PAGE_START,
+    TABLE_END,
+    TABLE_START,
     caption,
     header_cell,
     image_cell,
     line_header,
 )
-from platelake.operators.bounded import small_lookup
 
 HEADER, BODY, FOOTER = 0, 1, 2
 
@@ -48,7 +50,7 @@ def _colored(images: DataFrame, colors: DataFrame | None) -> DataFrame:
     """``colors``: ``key, value`` option rows, or None."""
     if colors is None:
         return images.withColumn("color", F.lit(DEFAULT_COLOR))
-    lookup = small_lookup(colors.select(F.col("key").alias("cell_line"), F.col("value").alias("color")))
+    lookup = colors.select(F.col("key").alias("cell_line"), F.col("value").alias("color"))
     return images.join(lookup, "cell_line", "left").withColumn(
         "color", F.coalesce(F.col("color"), F.lit(DEFAULT_COLOR))
     )
@@ -60,7 +62,7 @@ def _order_table(images: DataFrame, compounds: list[str], names: DataFrame | Non
     order = spark.createDataFrame(list(enumerate(compounds, start=1)), "plot_no int, compound string")
     if names is None:
         return order.withColumn("display_name", F.lit(""))
-    lookup = small_lookup(names.select(F.col("key").alias("compound"), F.col("value").alias("display_name")))
+    lookup = names.select(F.col("key").alias("compound"), F.col("value").alias("display_name"))
     return order.join(lookup, "compound", "left").select(
         "plot_no", "compound", F.coalesce("display_name", F.lit("")).alias("display_name")
     )
@@ -84,7 +86,7 @@ def plot_grid(
         "path",
         _picture(F.col("images"), F.col("c.slots")).alias("payload"),
     )
-    order = F.broadcast(_order_table(images, compounds, names).select("plot_no", "display_name"))
+    order = _order_table(images, compounds, names).select("plot_no", "display_name")
     return cells.join(order, "plot_no").select(
         "cell_line", "plot_no", "compound", "display_name", "color", "path", "payload"
     )
@@ -99,9 +101,9 @@ def report_rows(
     header_cells = F.array_sort(F.collect_list(title))
     head = order.agg(
         F.concat(
-            F.lit(f'{PAGE_START}<table><tr><th class="cell-line-header">Cell Line</th>'),
+            F.lit(PAGE_START + TABLE_START),
             F.array_join(F.transform(header_cells, lambda c: c["th"]), ""),
-            F.lit("</tr>"),
+            F.lit(HEAD_END),
         ).alias("line")
     )
     pictures = F.transform(
@@ -118,7 +120,7 @@ def report_rows(
         ).alias("line"),
     )
     foot = images.agg(
-        F.concat(F.lit("</table>"), caption(F.lit(len(compounds)), F.count("*")), F.lit(PAGE_END)).alias("line")
+        F.concat(F.lit(TABLE_END), caption(F.lit(len(compounds)), F.count("*")), F.lit(PAGE_END)).alias("line")
     )
     no_line = F.lit(None).cast("string")
     return (

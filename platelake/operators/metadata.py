@@ -23,9 +23,11 @@ GENE_MARKERS = (
 DEFAULT_MARKERS = ("TACSTD2", "CEACAM5")
 
 
-def known_markers(requested: Sequence[str], allowed: Sequence[str] = GENE_MARKERS) -> tuple[list[str], list[str]]:
-    """Requested markers that may be used, and those to warn about."""
-    allowed_set = set(allowed)
+def known_markers(
+    requested: Sequence[str], allowed: Sequence[str] = GENE_MARKERS, present: Sequence[str] | None = None
+) -> tuple[list[str], list[str]]:
+    """Requested markers that may be used, and those to warn about, such as those the metadata lacks (``present``)."""
+    allowed_set = set(allowed) if present is None else set(allowed) & set(present)
     return [m for m in requested if m in allowed_set], [m for m in requested if m not in allowed_set]
 
 

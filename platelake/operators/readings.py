@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from platelake.functions.identifiers import cell_line_of, id_tail
 from platelake.functions.numbers import is_censored, missing_to_null, number_of, round2
-from platelake.operators.bounded import bounded_values, small_lookup
 
 KEYS = ("cell_line", "batch", "compound")
 METRICS = ("ic50", "max_inhib")
-# Beyond what a spreadsheet can hold (16,384 columns for two columns per compound).
-MAX_COMPOUND_COLUMNS = 10_000
+COUNTS = ("n_readings", "n_ic50_texts", "n_max_inhib_texts", "n_censored")
+# Compounds in one table; more of them go to further tables with the same rows.
+COLUMN_BLOCK = 2000
 
 
 def clean_readings(raw: DataFrame) -> DataFrame:
@@ -72,8 +72,11 @@ def latest_names(mapping: DataFrame) -> DataFrame:
 
 
 def map_compounds(readings: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Replace ids by names; an id outside the map stays, an id mapped to NULL becomes NULL."""
-    names = small_lookup(latest_names(mapping).withColumn("_hit", F.lit(True)))
+    """Replace ids by names; an id outside the map stays, an id mapped to NULL becomes NULL.
+
+    No join hint: Spark broadcasts the list when its size is below the threshold and otherwise splits hot ids.
+    """
+    names = latest_names(mapping).withColumn("_hit", F.lit(True))
     named = F.when(F.col("_hit"), F.col("compound_name")).otherwise(F.col("compound"))
     return (
         readings.join(names, F.col("compound") == F.col("ta_id"), "left")
@@ -82,39 +85,68 @@ def map_compounds(readings: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def first_readings(mapped: DataFrame) -> DataFrame:
-    """First value per key and metric, judged on the raw value and taken by ``ord``.
+def counted_readings(mapped: DataFrame) -> DataFrame:
+    """First value per key and metric with the counts of ``COUNTS``, also for readings without a compound.
 
-    ``<metric>_text`` holds the winner where it is a text; both columns are NULL when the key has no value of that
-    metric at all. Each task combines its rows per key before the shuffle, so a hot key sends one row per task.
+    Values are judged on the raw value and taken by ``ord``. ``<metric>_text`` holds the winner where it is a text; both
+    columns are NULL when the key has no value of that metric at all. Each task combines its rows per key before the
+    shuffle, so a hot key sends one row per task.
     """
     picks = []
     for metric in METRICS:
         order = F.when(F.col(f"{metric}_raw").isNotNull(), F.col("ord"))
         picks.append(F.min_by(F.struct(F.col(metric).alias("number"), F.col(f"{metric}_raw").alias("raw")), order).alias(f"_{metric}"))
-    found = mapped.filter(F.col("compound").isNotNull()).groupBy(*KEYS).agg(*picks)
+    counts = [F.count("*"), F.count_if(_is_text("ic50")), F.count_if(_is_text("max_inhib")), F.count_if("ic50_censored")]
+    found = mapped.groupBy(*KEYS).agg(*picks, *[c.alias(n) for c, n in zip(counts, COUNTS)])
     columns = []
     for metric in METRICS:
         number = F.col(f"_{metric}.number")
         columns += [number.alias(metric), F.when(number.isNull(), F.col(f"_{metric}.raw")).alias(f"{metric}_text")]
-    return found.select(*KEYS, *columns)
+    return found.select(*KEYS, *columns, *COUNTS)
+
+
+def first_readings(mapped: DataFrame) -> DataFrame:
+    """The first value per key and metric of readings that have a compound."""
+    found = counted_readings(mapped.filter(F.col("compound").isNotNull()))
+    return found.drop(*COUNTS)
 
 
 def has_value(metric: str) -> Column:
     return F.col(metric).isNotNull() | F.col(f"{metric}_text").isNotNull()
 
 
-def compound_columns(first: DataFrame, max_compounds: int = MAX_COMPOUND_COLUMNS) -> list[str]:
+def has_any_value() -> Column:
+    return has_value("ic50") | has_value("max_inhib")
+
+
+def measured_compounds(mapped: DataFrame) -> DataFrame:
+    """Compounds with at least one IC50 value, straight from the readings."""
+    # A filter on the parsed column would be pushed below the parsing and repeat it.
+    found = mapped.groupBy("compound").agg(F.bool_or(F.col("ic50_raw").isNotNull()).alias("measured"))
+    return found.filter(F.col("measured") & F.col("compound").isNotNull()).select("compound")
+
+
+def measured_lines(mapped: DataFrame) -> DataFrame:
+    """The (cell line, batch) pairs that have any value, straight from the readings."""
+    value = F.col("compound").isNotNull() & (F.col("ic50_raw").isNotNull() | F.col("max_inhib_raw").isNotNull())
+    found = mapped.groupBy("cell_line", "batch").agg(F.bool_or(value).alias("measured"))
+    return found.filter("measured").select("cell_line", "batch")
+
+
+def compound_columns(first: DataFrame) -> list[str]:
     """Compounds with at least one IC50 value, in code-point order: the columns of the wide table."""
-    return sorted(bounded_values(first.filter(has_value("ic50")), "compound", max_compounds))
+    names = first.filter(F.col("compound").isNotNull() & has_value("ic50")).select("compound").distinct()
+    return sorted(r["compound"] for r in names.collect())
 
 
 def wide_names(compounds: list[str]) -> tuple[list[str], list[str]]:
-    """IC50 and inhibition column names; compounds that differ only in case get their position added."""
+    """IC50 and inhibition column names; compounds that differ only in case get their position added, until it is free."""
     seen: set[str] = set()
     labels = []
     for position, compound in enumerate(compounds, start=1):
-        label = compound if compound.lower() not in seen else f"{compound}_{position}"
+        label = compound
+        while label.lower() in seen:
+            label = f"{label}_{position}"
         seen.add(label.lower())
         labels.append(label)
     return [f"{c}_IC50" for c in labels], [f"{c}_INHIB" for c in labels]
@@ -124,17 +156,17 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def wide_readings(first: DataFrame, compounds: list[str]) -> DataFrame:
-    """One row per (cell line, batch) with any value: all IC50 columns, then all inhibition columns.
+def wide_readings(first: DataFrame, compounds: list[str], names: tuple[list[str], list[str]] | None = None) -> DataFrame:
+    """One row per (cell line, batch) with any value: all IC50 columns, then all inhibition columns, numbers only.
 
     Partitioned by the row keys beforehand, which serves both aggregates of a pivot: one shuffle, in which a row key
     brings at most one reading per compound.
     """
     if not compounds:
         raise ValueError("no compound has an IC50 value")
-    ic50_names, inhib_names = wide_names(compounds)
+    ic50_names, inhib_names = names or wide_names(compounds)
     pivoted = (
-        first.filter(has_value("ic50") | has_value("max_inhib"))
+        first.filter(has_any_value())
         .repartition("cell_line", "batch")
         .groupBy("cell_line", "batch")
         .pivot("compound", compounds)
@@ -144,3 +176,21 @@ def wide_readings(first: DataFrame, compounds: list[str]) -> DataFrame:
     return pivoted.toDF("cell_line", "batch", *paired).select(
         "cell_line", "batch", *map(_quoted, ic50_names), *map(_quoted, inhib_names)
     )
+
+
+def wide_blocks(first: DataFrame, compounds: list[str], size: int | None = None) -> list[DataFrame]:
+    """The wide table in blocks of columns: every block has all rows, and names are unique over all blocks."""
+    size = size or COLUMN_BLOCK
+    ic50_names, inhib_names = wide_names(compounds)
+    parts = [slice(i, i + size) for i in range(0, len(compounds), size)]
+    return [wide_readings(first, compounds[p], (ic50_names[p], inhib_names[p])) for p in parts]
+
+
+def sheet_cells(first: DataFrame) -> DataFrame:
+    """``cell_line, batch, cells``: compound -> the texts of its two cells, a number or the text that stands for it.
+
+    A map, as a sheet line needs no table columns; it holds at most one entry per compound.
+    """
+    texts = [F.coalesce(F.col(m).cast("string"), F.col(f"{m}_text")).alias(m) for m in METRICS]
+    entry = F.struct("compound", F.struct(*texts).alias("texts"))
+    return first.filter(has_any_value()).groupBy("cell_line", "batch").agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platelake.functions.identifiers import id_last, is_control, is_section_marker
@@ -12,7 +12,6 @@ from platelake.functions.identifiers import id_last, is_control, is_section_mark
 # Fixed values.
 SECTION_SHEETS = ("Analyzed Data", "Data analysis for IC50")
 SECTION_COLUMN = 2
-LAST_ROW = 49
 
 
 def choose_sheet(sheets: DataFrame, candidates: Sequence[str] = SECTION_SHEETS) -> DataFrame:
@@ -27,9 +26,10 @@ def choose_sheet(sheets: DataFrame, candidates: Sequence[str] = SECTION_SHEETS)
     )
 
 
-def section_cells(cells: DataFrame, last_row: int = LAST_ROW) -> DataFrame:
-    """The part of a cell grid that a section scan looks at: one column, the first rows."""
-    return cells.filter((F.col("col") == SECTION_COLUMN) & F.col("row").between(1, last_row))
+def section_cells(cells: DataFrame, last_row: int | None = None) -> DataFrame:
+    """The column of a cell grid that a section scan looks at; ``last_row`` only where the caller wants a limit."""
+    column = cells.filter(F.col("col") == SECTION_COLUMN)
+    return column if last_row is None else column.filter(F.col("row") <= last_row)
 
 
 def _is_empty(value: Column, value_type: Column) -> Column:
@@ -41,53 +41,37 @@ def _is_empty(value: Column, value_type: Column) -> Column:
     )
 
 
-def section_entries(cells: DataFrame, last_row: int = LAST_ROW) -> DataFrame:
+def section_entries(cells: DataFrame) -> DataFrame:
     """``workbook, row, value, value_type`` of one column to ``workbook, plot_no, row, compound``.
 
     Entries are the texts below the first marker, up to the first empty row after an entry was taken. Markers, the
     control and texts without an id are passed over; numbers neither count nor stop. A row absent from ``cells`` is
-    an empty row.
+    an empty row, so the section ends where row numbers leave a gap.
 
-    A workbook gives at most ``last_row`` cells, so they travel as one short array per workbook: one shuffle,
-    no sort, no row-by-row state.
+    Windows over one workbook's column, all with the same partitions and order: one shuffle and one sort.
     """
     # An error cell reads as its text, such as #N/A.
     text = F.when(F.col("value_type").isin("s", "e"), F.col("value"))
     compound = id_last(text)
     marker = is_section_marker(text)
     kept = F.coalesce(~marker & (compound != "") & ~is_control(compound), F.lit(False))
-    filled = cells.filter(F.col("row").between(1, last_row) & ~_is_empty(F.col("value"), F.col("value_type"))).select(
+    filled = cells.filter(~_is_empty(F.col("value"), F.col("value_type"))).select(
         "workbook",
-        F.struct(
-            F.col("row").cast("int").alias("row"),
-            marker.alias("marker"),
-            kept.alias("kept"),
-            F.when(kept, compound).alias("compound"),
-        ).alias("cell"),
-    )
-    start = F.array_min(F.transform(F.filter("cells", lambda c: c["marker"]), lambda c: c["row"]))
-    taken = F.filter("cells", lambda c: c["kept"] & (c["row"] > F.col("start")))
-    first = F.array_min(F.transform("taken", lambda c: c["row"]))
-    rows = F.transform("cells", lambda c: c["row"])
-    stop = F.array_min(F.array_except(F.sequence(F.col("first"), F.lit(last_row)), rows))
-    return (
-        filled.groupBy("workbook")
-        .agg(F.collect_list("cell").alias("cells"))
-        .withColumn("start", start)
-        .filter(F.col("start").isNotNull())
-        .withColumn("taken", taken)
-        .withColumn("first", first)
-        .filter(F.col("first").isNotNull())
-        .withColumn("stop", F.coalesce(stop, F.lit(last_row + 1)))
-        .withColumn("taken", F.filter("taken", lambda c: c["row"] < F.col("stop")))
-        .select("workbook", F.posexplode(F.array_sort("taken")).alias("at", "cell"))
-        .select(
-            "workbook",
-            (F.col("at") + 1).alias("plot_no"),
-            F.col("cell.row").alias("row"),
-            F.col("cell.compound").alias("compound"),
-        )
+        F.col("row").cast("int").alias("row"),
+        marker.alias("marker"),
+        F.when(kept, compound).alias("compound"),
     )
+    book = Window.partitionBy("workbook").orderBy("row")
+    so_far = book.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = F.coalesce(F.max(F.when(F.col("marker"), F.col("row"))).over(so_far), F.lit(0)) > 0
+    inside = filled.select("*", begun.alias("begun"), F.lag("row").over(book).alias("before"))
+    inside = inside.filter(F.col("begun")).withColumn("taken", F.col("compound").isNotNull())
+    n_taken = F.sum(F.col("taken").cast("int")).over(so_far)
+    counted = inside.select("*", n_taken.alias("plot_no"), (F.col("row") - F.col("before") > 1).alias("gap"))
+    # A gap ends the section if an entry was taken above it.
+    ended = F.max((F.col("gap") & (F.col("plot_no") - F.col("taken").cast("int") > 0)).cast("int")).over(so_far)
+    rows = counted.select("*", F.coalesce(ended, F.lit(0)).alias("ended")).filter((F.col("ended") == 0) & F.col("taken"))
+    return rows.select("workbook", F.col("plot_no").cast("int").alias("plot_no"), "row", "compound")
 
 
 def first_workbook(workbooks: DataFrame) -> DataFrame:
@@ -96,8 +80,8 @@ def first_workbook(workbooks: DataFrame) -> DataFrame:
 
 
 def plot_order(entries: DataFrame) -> list[str]:
-    """Compounds of one workbook's section in plot order: at most ``LAST_ROW`` of them, as the scan stops there."""
-    rows = entries.select("plot_no", "compound").limit(LAST_ROW + 1).collect()
-    if len(rows) > LAST_ROW:
+    """Compounds of one workbook's section in plot order; a sheet has at most 1,048,576 rows."""
+    rows = entries.select("workbook", "plot_no", "compound").collect()
+    if len({r["workbook"] for r in rows}) > 1:
         raise ValueError("plot_order takes the section of a single workbook")
     return [r["compound"] for r in sorted(rows, key=lambda r: r["plot_no"])]

@@ -17,7 +17,7 @@ KEY, BATCH = "CellLine", "Batch"
 
 def read_compound_map(spark: SparkSession, path: str) -> DataFrame:
     """Compound list workbook as ``ta_id, compound_name, row_no``."""
-    book = spark.read.format("binaryFile").load(path)
+    book = spark.read.format("binaryFile").load(listing.literal_path(path))
     rows = workbooks.read_sheet(book, workbooks.COMPOUND_COLUMNS)
     problems = rows.filter(F.col("error").isNotNull()).select("error").first()
     if problems is not None:
@@ -32,7 +32,7 @@ def ingest(spark: SparkSession, base: str, out: str) -> DataFrame:
     Returns the rows as written. Workbooks that cannot be read are the rows with ``error`` set.
     """
     raw = workbooks.read_summaries(listing.list_batches(spark, base))
-    writers.write_compact(raw, f"{out}/raw")
+    writers.write_table(raw, f"{out}/raw")
     return spark.read.schema(raw.schema).parquet(f"{out}/raw")
 
 
@@ -48,13 +48,16 @@ def consolidate(
 ) -> tuple[DataFrame, list[str]]:
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
-    Tables: ``raw, readings, first_readings, rejected_files, rejected_values, consolidated, header_bands, sheet,
-    cells_per_batch, run_summary``.
+    Tables: ``raw, readings, first_readings, file_counts, rejected_files, rejected_values, consolidated, header_bands,
+    sheet, cells_per_batch, run_summary``. Above ``readings.COLUMN_BLOCK`` compounds the further ones are in
+    ``consolidated_2`` and so on, with the same rows; the sheet has them all.
     """
     raw = ingest(spark, base, out)
     raw.filter(F.col("error").isNotNull()).select("batch", "path", "error").write.mode("overwrite").json(
         f"{out}/rejected_files"
     )
+    files = listing.list_batches(spark, base).select("batch", "path")
+    writers.write_table(summary.file_counts(files, raw.filter(F.col("error").isNull()), "batch", "path"), f"{out}/file_counts")
     # Files in path order, then rows in sheet order.
     in_order = raw.filter(F.col("error").isNull()).withColumn("ord", F.struct("path", "row"))
     mapped = readings.map_compounds(readings.clean_readings(in_order), read_compound_map(spark, compound_list))
@@ -62,22 +65,30 @@ def consolidate(
     mapped = spark.read.schema(mapped.schema).parquet(f"{out}/readings")
     readings.rejected_values(mapped).drop("ord").write.mode("overwrite").parquet(f"{out}/rejected_values")
 
-    known, unknown = metadata.known_markers(markers)
-    panel = metadata.marker_panel(
-        tables.read_metadata(spark, metadata_path, metadata_format), metadata.INFO_COLUMNS, known
-    )
-    # Written once: it names the columns of the pivot and then fills them.
-    writers.write_table(readings.first_readings(mapped), f"{out}/first_readings")
-    first = spark.read.parquet(f"{out}/first_readings")
+    found = tables.read_metadata(spark, metadata_path, metadata_format)
+    known, unknown = metadata.known_markers(markers, present=found.columns)
+    panel = metadata.marker_panel(found, metadata.INFO_COLUMNS, known)
+    # Written once: it names the columns of the pivot, fills them, and holds the counts of the summary.
+    writers.write_table(readings.counted_readings(mapped), f"{out}/first_readings")
+    counted = spark.read.parquet(f"{out}/first_readings")
+    first = counted.filter(F.col("compound").isNotNull())
     compounds = readings.compound_columns(first)
-    joined = metadata.join_metadata(readings.wide_readings(first, compounds), panel, key=KEY, batch=BATCH)
-    writers.write_wide(metadata.in_report_order(joined, KEY, BATCH), f"{out}/consolidated", table_format)
-    done = spark.read.schema(joined.schema).format(table_format).option("header", True).load(f"{out}/consolidated")
+    blocks = []
+    for number, block in enumerate(readings.wide_blocks(first, compounds), start=1):
+        joined = metadata.join_metadata(block, panel, key=KEY, batch=BATCH)
+        path = f"{out}/consolidated" + (f"_{number}" if number > 1 else "")
+        writers.write_wide(metadata.in_report_order(joined, KEY, BATCH), path, table_format)
+        blocks.append(spark.read.schema(joined.schema).format(table_format).option("header", True).load(path))
+    if not blocks:
+        raise ValueError("no compound has an IC50 value")
+    done = blocks[0]
 
     info = [c for c in metadata.INFO_COLUMNS if c != KEY]
     columns = summary.header_columns(compounds, info, known, (KEY, BATCH))
     writers.write_table(summary.header_bands(spark, columns), f"{out}/header_bands")
-    writers.write_sheet(summary.sheet_lines(done, columns, KEY, BATCH), f"{out}/sheet")
-    writers.write_table(metadata.cells_per_batch(done, KEY, BATCH), f"{out}/cells_per_batch")
-    writers.write_table(summary.run_summary(mapped, first, done, KEY), f"{out}/run_summary")
+    cells = metadata.join_metadata(readings.sheet_cells(first), panel, key=KEY, batch=BATCH)
+    writers.write_sheet(summary.sheet_lines(cells, columns, compounds, KEY, BATCH), f"{out}/sheet")
+    lines = done.select(KEY, BATCH)
+    writers.write_table(metadata.cells_per_batch(lines, KEY, BATCH), f"{out}/cells_per_batch")
+    writers.write_table(summary.run_summary(counted, lines, len(columns), KEY), f"{out}/run_summary")
     return done, unknown

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.functions.identifiers import image_number
 from platelake.functions.markup import payload_text
 from platelake.operators import assets, grid, sections
-from platelake.sinks import writers
+from platelake.session import pin
+from platelake.sinks import summary, writers
 from platelake.sources import archives, listing, tables, workbooks
 from platelake.sources.listing import literal_path
 
 
 def _order(first: DataFrame) -> list[str]:
     """Compounds in plot order from the one workbook in ``first``."""
-    cells = workbooks.read_cells(first).withColumnRenamed("path", "workbook")
+    cells = pin(workbooks.read_cells(first).withColumnRenamed("path", "workbook"))
+    problem = cells.filter(F.col("error").isNotNull()).select("workbook", "error").first()
+    if problem is not None:
+        raise ValueError(f"{problem['workbook']}: {problem['error']}")
     order = sections.plot_order(sections.section_entries(cells))
     if not order:
         raise ValueError("the first workbook has no compound list")
@@ -29,20 +32,20 @@ def _first_path(named: DataFrame, source: str) -> str:
     return path
 
 
-def _from_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None, list[str]]:
+def _from_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame | None, list[str]]:
     found = listing.list_workbooks(spark, folder)
     first = _first_path(found.select("cell_line", "path"), folder)
     # Loaded by its own path, so that only this one file is read.
     book = spark.read.format("binaryFile").load(literal_path(first))
-    return found, None, _order(book.select("path", "content"))
+    return found, found.select("path"), None, _order(book.select("path", "content"))
 
 
-def _from_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None, list[str]]:
-    members, failed = archives.archive_workbooks(spark.read.format("binaryFile").load(path))
+def _from_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame | None, list[str]]:
+    members, failed = archives.archive_workbooks(spark.read.format("binaryFile").load(literal_path(path)))
     at = archives.member_path()
     first = _first_path(members.select("cell_line", at.alias("path")), path)
     order = _order(archives.read_archive_workbooks(members.filter(at == first)))
-    return archives.read_archive_workbooks(members), failed, order
+    return archives.read_archive_workbooks(members), members.select(at.alias("path")), failed, order
 
 
 def plot_table(
@@ -53,14 +56,14 @@ def plot_table(
     colors: str | None = None,
     pictures: DataFrame | None = None,
 ) -> list[str]:
-    """Write ``report`` (text), ``grid``, ``images`` and ``rejected_files`` below ``out``; return the plot order.
+    """Write ``report`` (text), ``grid``, ``images``, ``file_counts`` and ``rejected_files`` below ``out``; return the plot order.
 
     ``source`` is a folder, or a path ending in ``.zip``. ``names`` and ``colors`` are paths of JSON option files.
     ``pictures`` (``path, member, picture``) gives the drawn form of each image; without it the image's own
     bytes are embedded.
     """
     read = _from_archive if source.endswith(".zip") else _from_folder
-    found, failed, order = read(spark, source)
+    found, listed, failed, order = read(spark, source)
     # Workbooks are opened once; all that follows starts from the images they gave.
     raw = workbooks.read_images(found, assets.PLACEHOLDER_BYTES, first=len(order))
     writers.write_table(raw, f"{out}/images")
@@ -69,8 +72,10 @@ def plot_table(
     rejected = rejected if failed is None else rejected.unionByName(failed)
     rejected.write.mode("overwrite").json(f"{out}/rejected_files")
 
-    good = images.filter(F.col("error").isNull()).withColumn("image_no", image_number(F.col("member")))
-    ranked = assets.rank_assets(good, len(order))
+    writers.write_table(summary.file_counts(listed, images.filter(F.col("error").isNull()), "path"), f"{out}/file_counts")
+
+    # The reader has numbered the images, so their bytes move only when they are gathered.
+    ranked = images.filter(F.col("error").isNull() & (F.col("plot_no") <= len(order)))
     if pictures is not None:
         drawn = pictures.withColumnRenamed("picture", "content")
         ranked = ranked.drop("content").join(drawn, ["path", "member"], "left")

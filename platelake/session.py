@@ -42,13 +42,3 @@ def pin(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` over all cores when it comes from fewer files than there are cores; larger inputs stay as they are.
-
-    A small table is often one row group, which one task would read and then work on alone. Rows go by the hash of
-    ``keys``, which should be many-valued; unused columns can still be pruned from the scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.operators.readings import has_value, wide_names
+from platelake.operators.readings import COUNTS, METRICS, has_value, wide_names
 
 BANDS = ("Metadata", "Gene", "IC50", "Max%Inhib")  # fixed values
 BAND_SCHEMA = "ordinal int, column_name string, label string, band string, start_col int, end_col int"
@@ -48,52 +51,82 @@ def header_bands(spark: SparkSession, columns: Sequence[HeaderColumn]) -> DataFr
     return spark.createDataFrame(list(columns), BAND_SCHEMA)
 
 
+def csv_cell(text: Column) -> Column:
+    """A CSV cell, in quotes where it has to be; missing values are blank."""
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(text.rlike('[",\\r\\n]'), quoted).otherwise(text), F.lit(""))
+
+
+def _csv_line(values: Sequence[str]) -> str:
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(values)
+    return out.getvalue()
+
+
+def _cells_of(order: Column, metric: str) -> Column:
+    return F.transform(order, lambda c: csv_cell(F.try_element_at("cells", c)[metric]))
+
+
 def sheet_lines(
-    consolidated: DataFrame, columns: Sequence[HeaderColumn], key: str = "CellLine", batch: str = "Batch"
+    joined: DataFrame,
+    columns: Sequence[HeaderColumn],
+    compounds: Sequence[str],
+    key: str = "CellLine",
+    batch: str = "Batch",
 ) -> DataFrame:
-    """``section, batch, cell_line, assay_cell_line, line``: CSV lines with both header rows, then the data."""
-    names = [f"`{c.column_name.replace('`', '``')}`" for c in columns]
+    """``section, batch, cell_line, assay_cell_line, line``: CSV lines with both header rows, then the data.
+
+    ``joined`` has ``cells`` (see ``readings.sheet_cells``) beside the metadata: a cell shows its number, or the text that
+    was found in place of one. Lines are made from a list of compounds, so there is no limit to their number.
+    """
     bands = [c.band if c.ordinal == c.start_col else "" for c in columns]
-    heads = [(0, *bands), (1, *[c.label for c in columns])]
-    schema = "section int, " + ", ".join(f"c{c.ordinal} string" for c in columns)
-    header = consolidated.sparkSession.createDataFrame(heads, schema)
-    # An empty text and a missing value both leave the cell blank.
-    options = {"emptyValue": "", "nullValue": ""}
+    heads = [(0, _csv_line(bands)), (1, _csv_line([c.label for c in columns]))]
     none = F.lit(None).cast("string")
-    top = header.select(
-        "section",
-        none.alias("batch"),
-        none.alias("cell_line"),
-        none.alias("assay_cell_line"),
-        F.to_csv(F.struct(*header.columns[1:]), options).alias("line"),
-    )
-    body = consolidated.select(
+    header = joined.sparkSession.createDataFrame(heads, "section int, line string")
+    top = header.select("section", none.alias("batch"), none.alias("cell_line"), none.alias("assay_cell_line"), "line")
+    first = [c for c in columns if c.band not in BANDS[2:]]
+    # One literal, however long the list is.
+    order = F.from_json(F.lit(json.dumps(list(compounds))), "array<string>")
+    cells = [csv_cell(F.col("`" + c.column_name.replace("`", "``") + "`").cast("string")) for c in first]
+    cells += [F.array_join(_cells_of(order, m), ",") for m in METRICS]
+    body = joined.select(
         F.lit(2).alias("section"),
         F.col(batch).alias("batch"),
         F.col(key).alias("cell_line"),
         "assay_cell_line",
-        F.to_csv(F.struct(*[F.col(n).alias(f"c{i}") for i, n in enumerate(names)]), options).alias("line"),
+        F.concat_ws(",", *cells).alias("line"),
     )
     return top.unionByName(body)
 
 
-def run_summary(
-    readings: DataFrame, first: DataFrame, consolidated: DataFrame, key: str = "cell_line"
-) -> DataFrame:
-    """One row of counts: input batches, cell lines, readings and texts; output rows, matched rows, compounds."""
-    text = [F.col(f"{m}_raw").isNotNull() & F.col(m).isNull() for m in ("ic50", "max_inhib")]
-    # One pass over the readings: counted per cell line, then added up.
-    per_line = readings.groupBy("batch", "cell_line").agg(
-        F.count("*").alias("n_readings"),
-        F.count_if(text[0]).alias("n_ic50_texts"),
-        F.count_if(text[1]).alias("n_max_inhib_texts"),
-        F.count_if("ic50_censored").alias("n_censored"),
-    )
-    sums = [F.sum(c).alias(c) for c in per_line.columns if c.startswith("n_")]
-    counted = per_line.agg(*sums, F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
-    compounds = first.filter(has_value("ic50")).select("compound").distinct()
-    out = consolidated.agg(F.count("*").alias("n_rows"), F.count(key).alias("n_matched_rows"))
-    one = [counted, compounds.agg(F.count("*").alias("n_compounds")), out]
+def run_summary(counted: DataFrame, joined: DataFrame, n_columns: int, key: str = "cell_line") -> DataFrame:
+    """One row of counts: input batches, cell lines, readings and texts; output rows, matched rows, compounds.
+
+    ``counted`` holds the counts per cell line, batch and compound that were made with the first readings; ``joined`` is
+    one row per output row.
+    """
+    per_line = counted.groupBy("batch", "cell_line").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    sums = [F.sum(c).alias(c) for c in COUNTS]
+    counts = per_line.agg(*sums, F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
+    compounds = counted.filter(F.col("compound").isNotNull() & has_value("ic50")).select("compound").distinct()
+    out = joined.agg(F.count("*").alias("n_rows"), F.count(key).alias("n_matched_rows"))
+    one = [counts, compounds.agg(F.count("*").alias("n_compounds")), out]
     structs = [df.select(F.struct(*df.columns).alias("s")).scalar().alias(f"s{i}") for i, df in enumerate(one)]
-    row = readings.sparkSession.range(1).select(*structs)
-    return row.select(*[f"s{i}.*" for i in range(len(one))], F.lit(len(consolidated.columns) - 1).alias("n_columns"))
+    row = counted.sparkSession.range(1).select(*structs)
+    return row.select(*[f"s{i}.*" for i in range(len(one))], F.lit(n_columns).alias("n_columns"))
+
+
+def file_counts(files: DataFrame, rows: DataFrame, *keys: str) -> DataFrame:
+    """``keys…, n_files, n_rows``: how many rows each file gave, 0 where none, and how many files its group has.
+
+    The last of ``keys`` names a file within the others.
+    """
+    group = list(keys[:-1])
+    found = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    listed = files.select(*keys).distinct()
+    if group:
+        totals = listed.groupBy(*group).agg(F.count("*").alias("n_files"))
+        listed = listed.join(totals, group)
+    else:
+        listed = listed.withColumn("n_files", listed.agg(F.count("*")).scalar())
+    return listed.join(found, list(keys), "left").select(*keys, "n_files", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

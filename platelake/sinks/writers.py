@@ -13,11 +13,6 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_compact(df: DataFrame, path: str) -> None:
-    """Rows that come in small pieces from many tasks, brought to files of the advisory partition size."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
-
-
 def write_readings(readings: DataFrame, path: str) -> None:
     """Long readings as Parquet, one folder per batch, so that a run over some batches reads only those.
 
@@ -50,4 +45,5 @@ def write_report(rows: DataFrame, path: str) -> None:
 
 
 def write_bars(bars: DataFrame, path: str, fmt: str = "parquet") -> None:
-    write_wide(bars.orderBy("rank"), path, fmt)
+    """Bars as they come: ranking has put them in order."""
+    write_wide(bars, path, fmt)

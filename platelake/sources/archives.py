@@ -1,8 +1,8 @@
 """Members of zip archives as rows.
 
 Two ways in. ``explode_bytes`` / ``read_members`` open archives that already are a ``content`` column (a workbook is
-one). ``list_members`` / ``open_members`` take paths: the directory is read first, then its members are spread
-over tasks in chunks of bytes, so one archive that holds most of the data is still read by many tasks and may be larger
+one). ``list_members`` / ``open_members`` take paths: the directory is read once, then its members are spread
+over tasks in chunks of bytes and read from their places, so one archive that holds most of the data is still read by many tasks and may be larger
 than one row can hold.
 """
 
@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import io
 import re
+import struct
+import urllib.parse
 import zipfile
+import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -25,7 +28,6 @@ from platelake.session import pin
 FLUSH_ROWS = 10_000
 FLUSH_BYTES = 16 << 20
 CHUNK_BYTES = 64 << 20
-MAX_TASKS = 100_000
 
 SKIPPED_FOLDER = "__MACOSX"  # fixed value
 MEMBER_FIELDS = [
@@ -82,11 +84,12 @@ def read_members(
     pattern: str,
     keep: Sequence[str],
     min_bytes: int = -1,
-    choose: Callable[[list[zipfile.ZipInfo]], list[zipfile.ZipInfo]] | None = None,
+    choose: Callable[[list[zipfile.ZipInfo]], list[tuple[int, zipfile.ZipInfo]]] | None = None,
 ) -> DataFrame:
     """Members of the archives in ``content`` whose name matches and whose size is above ``min_bytes``.
 
-    The tests, and ``choose`` after them, use the archive's directory: members left out are never unpacked.
+    The tests, and ``choose`` after them, use the archive's directory: members left out are never unpacked. ``choose``
+    takes the infos that passed and gives pairs of a number and an info; the number becomes column ``plot_no``.
     """
     wanted = re.compile(pattern)
 
@@ -96,33 +99,45 @@ def read_members(
                 i for i in archive.infolist()
                 if not i.is_dir() and wanted.search(i.filename) and i.file_size > min_bytes
             ]
-            for info in infos if choose is None else choose(infos):
-                yield info.filename, info.file_size, archive.read(info)
+            if choose is None:
+                yield from ((i.filename, i.file_size, archive.read(i)) for i in infos)
+            else:
+                yield from ((i.filename, i.file_size, archive.read(i), n) for n, i in choose(infos))
 
-    return explode_bytes(df, keep, MEMBER_FIELDS, each)
+    numbered = [] if choose is None else [T.StructField("plot_no", T.IntegerType())]
+    return explode_bytes(df, keep, MEMBER_FIELDS + numbered, each)
 
 
 def _open(path: str):
-    """A seekable file for a path as Spark lists it."""
+    """A seekable file for a path as Spark lists it: local ones by their plain name, others by an encoded address."""
     from pyarrow import fs
 
-    uri = re.sub(r"^file:/+", "file:///", path)
-    uri = re.sub(r"^s3[an]:", "s3:", uri)
-    system, inner = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(inner)
+    local = re.match(r"(?:file:/*)?(/.*)", path.replace("file:///", "file:/", 1))
+    if local:
+        return fs.LocalFileSystem().open_input_file(local[1] if path.startswith("/") else "/" + local[1].lstrip("/"))
+    scheme, _, rest = path.partition("://")
+    scheme = re.sub("^s3[an]$", "s3", scheme)
+    system, inner = fs.FileSystem.from_uri(f"{scheme}://{urllib.parse.quote(rest)}")
+    return system.open_input_file(urllib.parse.unquote(inner))
+
+
+DIRECTORY_FIELDS = [
+    T.StructField("archive", T.StringType()),
+    T.StructField("member", T.StringType()),
+    T.StructField("n_bytes", T.LongType()),
+    T.StructField("chunk", T.LongType()),
+    T.StructField("at", T.LongType()),
+    T.StructField("packed", T.LongType()),
+    T.StructField("method", T.IntegerType()),
+]
+# Fixed values of the zip format: the size of a member's own header, and the methods that are read.
+MEMBER_HEADER = 30
+STORED, DEFLATED = 0, 8
 
 
 def list_members(files: DataFrame) -> DataFrame:
-    """``path`` of archives to ``archive, member, n_bytes, chunk, error`` from their directories alone."""
-    schema = T.StructType(
-        [
-            T.StructField("archive", T.StringType()),
-            T.StructField("member", T.StringType()),
-            T.StructField("n_bytes", T.LongType()),
-            T.StructField("chunk", T.LongType()),
-            ERROR_FIELD,
-        ]
-    )
+    """``path`` of archives to one row per member, from their directories alone, with the place of its bytes."""
+    schema = T.StructType([*DIRECTORY_FIELDS, ERROR_FIELD])
     arrow = to_arrow_schema(schema)
 
     def entries(paths: Iterable[str]) -> Iterator[tuple]:
@@ -132,10 +147,11 @@ def list_members(files: DataFrame) -> DataFrame:
                     before = 0
                     for info in archive.infolist():
                         if not info.is_dir():
-                            yield path, info.filename, info.file_size, before // CHUNK_BYTES, None
+                            place = (info.header_offset, info.compress_size, info.compress_type)
+                            yield (path, info.filename, info.file_size, before // CHUNK_BYTES, *place, None)
                             before += info.compress_size
             except Exception as problem:
-                yield path, None, None, None, f"{type(problem).__name__}: {problem}"
+                yield (path, *[None] * 6, f"{type(problem).__name__}: {problem}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,6 +160,22 @@ def list_members(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(run, schema)
 
 
+def _member_bytes(file, at: int, packed: int, method: int) -> bytes:
+    """The bytes of one member, read from its place without the archive's directory."""
+    file.seek(at)
+    head = file.read(MEMBER_HEADER)
+    if head[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("no member where the directory says")
+    name, extra = struct.unpack("<HH", head[26:30])
+    file.seek(at + MEMBER_HEADER + name + extra)
+    data = file.read(packed)
+    if method == STORED:
+        return data
+    if method == DEFLATED:
+        return zlib.decompress(data, -zlib.MAX_WBITS)
+    raise zipfile.BadZipFile(f"compression method {method}")
+
+
 def workbook_members(members: DataFrame) -> DataFrame:
     """Members that are workbooks, at any depth, with ``file_name`` and ``cell_line``."""
     name = file_name_of(F.col("member"))
@@ -157,45 +189,46 @@ def workbook_members(members: DataFrame) -> DataFrame:
 
 
 def open_members(members: DataFrame) -> DataFrame:
-    """Add ``content`` (and ``error``) to ``archive, member, chunk, …`` rows.
+    """Add ``content`` (and ``error``) to rows of ``list_members``.
 
-    Rows are spread by archive and chunk; only names travel. The number of tasks follows the number of chunks, which
-    is what takes time here: sized by the rows alone, the shuffle would put all these short names into a few tasks. A task
-    opens each archive it has members of once. ``members`` is gone through twice, so pass it pinned.
+    Rows are spread by archive and chunk; only names and places travel. There are as many tasks as chunks, which is what
+    takes time here: sized by the rows alone, the shuffle would put all these short names into a few tasks. A task
+    reads its members from their places. ``members`` is gone through twice, so pass it pinned.
     """
-    chunks = members.select("archive", "chunk").distinct().count()
-    tasks = max(1, min(chunks, MAX_TASKS))
-    keep = [c for c in members.columns if c not in ("chunk", "error")]
+    tasks = max(1, members.select("archive", "chunk").distinct().count())
+    places = ("chunk", "at", "packed", "method", "error")
+    keep = [c for c in members.columns if c not in places]
     schema = T.StructType([members.schema[c] for c in keep] + [T.StructField("content", T.BinaryType()), ERROR_FIELD])
     arrow = to_arrow_schema(schema)
-    at_archive, at_member = keep.index("archive"), keep.index("member")
+    at_archive = keep.index("archive")
+    n_keep = len(keep)
 
     def contents(rows: Iterable[tuple]) -> Iterator[tuple]:
-        path = file = archive = None
+        path = file = None
         try:
             for row in rows:
+                kept, place = row[:n_keep], row[n_keep:]
                 try:
-                    if row[at_archive] != path:
+                    if kept[at_archive] != path:
                         if file is not None:
                             file.close()
-                        path, file, archive = row[at_archive], None, None
+                        path, file = kept[at_archive], None
                         file = _open(path)
-                        archive = zipfile.ZipFile(file)
-                    if archive is None:
+                    if file is None:
                         raise OSError("archive cannot be opened")
-                    yield (*row, archive.read(row[at_member]), None)
+                    yield (*kept, _member_bytes(file, *place), None)
                 except Exception as problem:
-                    yield (*row, None, f"{type(problem).__name__}: {problem}")
+                    yield (*kept, None, f"{type(problem).__name__}: {problem}")
         finally:
             if file is not None:
                 file.close()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(len(keep)))))
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
         yield from _batches(contents(rows), arrow)
 
-    spread = members.repartition(tasks, "archive", "chunk").sortWithinPartitions("archive", "chunk")
-    return spread.select(*keep).mapInArrow(run, schema)
+    spread = members.repartition(tasks, "archive", "chunk").sortWithinPartitions("archive", "at")
+    return spread.select(*keep, "at", "packed", "method").mapInArrow(run, schema)
 
 
 def archive_workbooks(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,8 @@
 """Workbook files as rows: ``path, length, batch / folder, file_name, cell_line`` without reading their bytes.
 
-``binaryFile`` reads the content only when the ``content`` column is used, so a listing costs no file reads. The batch
-comes from ``path``, which keeps blanks as they are.
+A listing is a scan of a folder and a function over its ``path`` column. ``binaryFile`` reads the content only when the
+``content`` column is used, so a listing costs no file reads. Names are taken from ``path``, which keeps blanks as they are.
+Spark's readers pass over files whose name starts with ``_`` or ``.``.
 """
 
 from __future__ import annotations
@@ -29,17 +30,18 @@ def _files(spark: SparkSession, pattern: str, name: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", name).load(pattern)
 
 
+def batch_files(files: DataFrame) -> DataFrame:
+    """Rows with a ``path`` to those that are workbooks of a batch folder, with ``batch, file_name, cell_line``."""
+    named = files.withColumns({"batch": folder_of(F.col("path")), "file_name": file_name_of(F.col("path"))})
+    name = F.col("file_name")
+    wanted = is_batch_folder(F.col("batch")) & name.endswith(".xlsx") & ~name.startswith("~")
+    return named.filter(wanted).withColumn("cell_line", cell_line_of(name))
+
+
 def list_batches(spark: SparkSession, base: str) -> DataFrame:
     """Workbooks directly in the batch folders of ``base``: ``path, length, content, batch, file_name, cell_line``."""
-    files = _files(spark, f"{base.rstrip('/')}/*cells/", "*.xlsx")
-    name = F.col("file_name")
-    return (
-        files.select(
-            "path", "length", "content", folder_of(F.col("path")).alias("batch"), file_name_of(F.col("path")).alias("file_name")
-        )
-        .filter(is_batch_folder(F.col("batch")) & ~name.startswith("~"))
-        .withColumn("cell_line", cell_line_of(name))
-    )
+    files = _files(spark, f"{literal_path(base.rstrip('/'))}/*cells/", "*.xlsx")
+    return batch_files(files.select("path", "length", "content"))
 
 
 def batch_catalog(workbooks: DataFrame) -> DataFrame:
@@ -47,23 +49,31 @@ def batch_catalog(workbooks: DataFrame) -> DataFrame:
     return workbooks.groupBy("batch").agg(F.count("*").alias("n_files")).orderBy("batch")
 
 
+def workbook_files(files: DataFrame, base: str) -> DataFrame:
+    """Rows with a ``path`` to the workbooks in ``base`` or a direct subfolder, with ``file_name, cell_line``.
+
+    ``base`` is written as in ``path``. Subfolders starting ``__`` or ``.`` are left out.
+    """
+    root = base.rstrip("/") + "/"
+    below = F.col("path").substr(F.lit(len(root) + 1), F.length("path"))
+    folder = F.when(F.instr(below, "/") > 0, F.substring_index(below, "/", 1)).otherwise("")
+    depth = F.length(below) - F.length(F.replace(below, F.lit("/"), F.lit("")))
+    inside = F.col("path").startswith(root) & (depth <= 1) & ~folder.startswith("__") & ~folder.startswith(".")
+    named = files.filter(inside).withColumn("file_name", file_name_of(F.col("path")))
+    return named.filter(is_workbook_name(F.col("file_name"))).withColumn("cell_line", cell_line_of(F.col("file_name"), fallback=True))
+
+
+def resolved(spark: SparkSession, folder: str) -> str:
+    """``folder`` as Spark writes it in ``path``: absolute, with its scheme."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString()
+
+
 def list_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Workbooks in ``folder`` and its direct subfolders: ``path, length, content, file_name, cell_line``.
 
     One glob covers both depths: it matches the files of the folder, and its subfolders, whose files are listed.
-    Subfolders starting ``__`` or ``.`` are left out.
     """
-    base = folder.rstrip("/")
-    files = _files(spark, f"{base}/*", "*_paste.xlsx")
-    inner = folder_of(F.col("path"))
-    # A file directly in the folder has the folder itself as parent, whatever that is called.
-    plain = re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", base)
-    parent = F.regexp_replace(F.col("path"), "/[^/]*$", "")
-    direct = parent.endswith(plain)
-    hidden = (inner.startswith("__") | inner.startswith(".")) & ~direct
-    return (
-        files.filter(~hidden)
-        .select("path", "length", "content", file_name_of(F.col("path")).alias("file_name"))
-        .filter(is_workbook_name(F.col("file_name")))
-        .withColumn("cell_line", cell_line_of(F.col("file_name"), fallback=True))
-    )
+    files = _files(spark, f"{literal_path(folder.rstrip('/'))}/*", "*_paste.xlsx")
+    return workbook_files(files.select("path", "length", "content"), resolved(spark, folder))

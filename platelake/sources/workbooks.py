@@ -16,7 +16,7 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from platelake.operators.sections import LAST_ROW, SECTION_COLUMN, SECTION_SHEETS
+from platelake.operators.sections import SECTION_COLUMN, SECTION_SHEETS
 from platelake.sources.archives import explode_bytes, read_members
 
 # The assay sheet, its header row and its columns; the compound list's columns; where images are kept.
@@ -29,7 +29,7 @@ SUMMARY_COLUMNS = {
 }
 COMPOUND_COLUMNS = {"ta_id": "TA_ID", "compound_name": "Compound"}
 BAR_COLUMNS = {"gene": "TAA", "value": "IAA/Receptor"}
-IMAGE_PATTERN = r"^xl/media/[^/]+\.emf$"
+IMAGE_FOLDER, IMAGE_START, IMAGE_END = "xl/media/", "image", ".emf"
 
 ERROR_CELL = "e"
 PIECE_BYTES = 1 << 16
@@ -222,7 +222,7 @@ def read_cells(
     workbooks: DataFrame,
     sheets: Sequence[str] = SECTION_SHEETS,
     columns: Sequence[int] | None = (SECTION_COLUMN,),
-    last_row: int | None = LAST_ROW,
+    last_row: int | None = None,
     keep: Sequence[str] = ("path",),
 ) -> DataFrame:
     """Filled cells of the first of ``sheets`` that a workbook has: ``keep…, sheet, row, col, value, value_type, error``.
@@ -252,20 +252,24 @@ def read_summaries(workbooks: DataFrame, keep: Sequence[str] = ("path", "batch",
     return read_sheet(workbooks, SUMMARY_COLUMNS, SUMMARY_SHEET, SUMMARY_HEADER_ROW, keep)
 
 
+def _image_place(member: str) -> tuple[int, str]:
+    """What images are numbered by: the digits between the fixed parts of the name (0 without them), then the name."""
+    inner = member.removeprefix(IMAGE_FOLDER).removeprefix(IMAGE_START).removesuffix(IMAGE_END)
+    return (int(inner) if inner.isascii() and inner.isdigit() else 0), member
+
+
 def read_images(
     workbooks: DataFrame, min_bytes: int, first: int | None = None, keep: Sequence[str] = ("path", "cell_line")
 ) -> DataFrame:
-    """Embedded plot images above ``min_bytes``: ``keep…, member, n_bytes, content, error``.
+    """Embedded plot images above ``min_bytes``: ``keep…, member, n_bytes, content, plot_no, error``.
 
-    With ``first`` only that many images with the lowest numbers are unpacked per workbook; the workbook's directory
-    tells which.
+    ``plot_no`` counts the images of a workbook by their numbers, so nothing needs to be ranked later; with ``first`` only that
+    many are unpacked. The workbook's directory tells which.
     """
 
-    def lowest(infos: list[zipfile.ZipInfo]) -> list[zipfile.ZipInfo]:
-        def place(info):
-            number = re.search(r"image(\d+)\.emf", info.filename)
-            return int(number[1]) if number else 0, info.filename
-
-        return sorted(infos, key=place)[:first]
+    def numbered(infos: list[zipfile.ZipInfo]) -> list[tuple[int, zipfile.ZipInfo]]:
+        places = sorted((_image_place(i.filename), n) for n, i in enumerate(infos))
+        return [(plot_no, infos[n]) for plot_no, (_, n) in enumerate(places[:first], start=1)]
 
-    return read_members(workbooks, IMAGE_PATTERN, keep, min_bytes, choose=None if first is None else lowest)
+    pattern = f"^{re.escape(IMAGE_FOLDER)}[^/]+{re.escape(IMAGE_END)}$"
+    return read_members(workbooks, pattern, keep, min_bytes, choose=numbered)

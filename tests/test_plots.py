@@ -1,9 +1,11 @@
 import random
+import re
 
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from platelake.functions import markup
 from platelake.operators import assets, bars, grid, ranking, sections
 
 CELL = "workbook string, row int, value string, value_type string"
@@ -34,41 +36,38 @@ def test_section_edges(spark):
     for filled in (("  ", "s"), ("7", "n"), ("True", "b"), ("A_", "s"), ("control stauro", "s")):
         found = entries(spark, (1, "XLFit Chart", "s"), (2, "A_x", "s"), (3, *filled), (4, "A_y", "s"))
         assert found == [(1, 2, "x"), (2, 4, "y")]
-    # Rows from 50 on are never looked at.
-    late = entries(spark, (48, "XLFit Chart", "s"), (49, "A_x", "s"), (50, "A_y", "s"))
-    assert late == [(1, 49, "x")]
-
-
-def scan(cells):
-    """The section rule as a plain loop over rows 1-49."""
-    found, inside = [], False
-    for row in range(1, 50):
-        value, kind = cells.get(row, (None, None))
-        filled = value is not None and value != "" and not (kind == "n" and float(value) == 0)
-        if filled and kind == "s":
-            if "XLFit" in value and "Chart" in value:
-                inside = True
-            elif inside:
-                name = value.strip().split("_")[-1]
-                if name and "stauro" not in name.lower():
-                    found.append((len(found) + 1, row, name))
-        elif inside and not filled and found:
-            break
-    return found
-
-
-def test_section_like_a_loop(spark):
+    # However far down it lies.
+    late = entries(spark, (48, "XLFit Chart", "s"), (49, "A_x", "s"), (50, "A_y", "s"), (70_000, "A_z", "s"))
+    assert late == [(1, 49, "x"), (2, 50, "y")]
+    far = entries(spark, (90_000, "XLFit Chart", "s"), (90_001, "A_x", "s"))
+    assert far == [(1, 90_001, "x")]
+
+
+# Kinds of cells, each with a letter: marker, entry, blank, and what neither counts nor ends the section.
+KINDS = {
+    "M": [("XLFit Chart", "s"), ("my Chart of XLFit", "s")],
+    "E": [("A_x", "s"), ("A_y", "s"), (" B_z ", "s")],
+    ".": [(None, None), ("0", "n"), ("", "s"), ("False", "b")],
+    "o": [("A_Stauro", "s"), ("3", "n"), (" ", "s"), ("True", "b")],
+}
+
+
+def test_section_as_a_pattern(spark):
+    """The section is what follows the first marker up to the first blank after an entry; the entries in it count."""
     draw = random.Random(3)
-    choices = [(None, None), ("XLFit Chart", "s"), ("A_x", "s"), ("A_y", "s"), ("A_Stauro", "s"), ("0", "n"), ("3", "n"), (" ", "s")]
-    books = {
-        f"w{i}": {r: draw.choices(choices, [2, 1, 5, 5, 1, 1, 1, 1])[0] for r in range(1, draw.randrange(2, 60))}
-        for i in range(150)
-    }
-    df = spark.createDataFrame([(w, r, *c) for w, cells in books.items() for r, c in cells.items()], CELL)
+    books, expected = {}, {}
+    for i in range(150):
+        letters = "".join(draw.choices("MEo.", [1, 10, 4, 2])[0] for _ in range(draw.randrange(1, 120)))
+        books[f"w{i}"] = [draw.choice(KINDS[k]) for k in letters]
+        section = re.search(r"M((?:[^E]*)(?:[^.]*))", letters)
+        if section and "E" in section[1]:
+            at = [section.start(1) + m.start() for m in re.finditer("E", section[1])]
+            expected[f"w{i}"] = [(n, p + 1, books[f"w{i}"][p][0].strip()[-1]) for n, p in enumerate(at, 1)]
+    df = spark.createDataFrame([(w, r, *c) for w, cells in books.items() for r, c in enumerate(cells, 1)], CELL)
     found = {}
     for w, *entry in sections.section_entries(df).orderBy("workbook", "plot_no").collect():
         found.setdefault(w, []).append(tuple(entry))
-    assert found == {w: scan(c) for w, c in books.items() if scan(c)}
+    assert found == expected and len(expected) > 50
 
 
 def test_sheet_choice(spark):
@@ -97,12 +96,23 @@ def test_images_by_number(spark):
     assert rows(assets.rank_assets(df, 9).select("image_no", "plot_no")) == [(10, 2), (2, 1)]
 
 
+def shuffled_columns(df):
+    """What each Exchange of the plan is given."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+
+
 def test_image_limit_applies_before_the_shuffle(spark):
     df = spark.createDataFrame([asset("a", "L", 1)], ASSET)
-    plan = plan_of(assets.cell_images(assets.usable(assets.rank_assets(df, 7))))
-    assert plan.count("WindowGroupLimit") == 2
-    # One shuffle for ranking and gathering together, one for the last workbook per cell line.
-    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan_of(assets.rank_assets(df, 7)).count("WindowGroupLimit") == 2
+
+
+def test_payloads_move_only_when_they_are_gathered(spark):
+    numbered = spark.createDataFrame([("a", "L", 1, "p" * 1001)], "path string, cell_line string, plot_no int, payload string")
+    given = shuffled_columns(assets.cell_images(assets.usable(numbered)))
+    with_payload = [g for g in given if "payload" in g or "images" in g or "collect" in g]
+    assert given and len(with_payload) <= 1
 
 
 def test_lost_picture_does_not_move_the_others(spark):
@@ -140,19 +150,28 @@ def test_grid_and_report(spark):
         ("B", 1, "c1", "Drug <1>", "#FFFFFF", "P1"), ("B", 2, "c2", "", "#FFFFFF", None),
     ]
     lines = [r["line"] for r in grid.in_report_order(grid.report_rows(cells, ["c1", "c2"], names, shades)).collect()]
+    assert lines[0].startswith("<!DOCTYPE html>") and "<h1>" in lines[0] and "img{width:240px" in lines[0]
     assert lines[0].endswith(
-        '<th><span class="compound-id">c1</span><span class="compound-name">Drug &lt;1&gt;</span></th>'
-        '<th><span class="compound-id">c2</span></th></tr>'
+        '<th scope="col">Cell line</th><th scope="col">c1<small>Drug &lt;1&gt;</small></th><th scope="col">c2</th></tr></thead><tbody>'
     )
+    data = "data:application/octet-stream;base64,"
     assert lines[1] == (
-        '<tr><td class="cell-line" style="background-color: #90EE90;">A</td>'
-        '<td><img src="data:image/png;base64,P0" alt="c1_A"></td><td><img src="data:image/png;base64,P2" alt="c2_A"></td></tr>'
+        '<tr><th scope="row" style="background:#90EE90">A</th>'
+        f'<td><img src="{data}P0" alt="Plot of c1 in A"></td><td><img src="{data}P2" alt="Plot of c2 in A"></td></tr>'
     )
-    assert lines[2].endswith('alt="c1_B"></td><td>-</td></tr>')
-    assert lines[3] == '</table><p class="caption">2 test compounds × 2 cell lines (% Inhibition plots only)</p></body></html>'
+    assert lines[2].endswith('alt="Plot of c1 in B"></td><td></td></tr>')
+    assert lines[3] == "</tbody></table><p>Compounds: 2; cell lines: 2. Plots show percent inhibition.</p></body></html>"
     assert len(lines) == 4
 
 
+def test_media_types(spark):
+    heads = {b"\x89PNG\r\n\x1a\n....": "image/png", b"\xff\xd8\xff\xe0..": "image/jpeg", b"GIF89a": "image/gif",
+             b"<svg xmlns": "image/svg+xml", b"\x01\x00\x00\x00l\x00\x00\x00": "image/emf", b"other": "application/octet-stream"}
+    df = spark.createDataFrame([(bytearray(h), k) for h, k in heads.items()], "head binary, kind string")
+    found = df.select(markup.media_type(markup.payload_text(F.col("head"))), "kind").collect()
+    assert all(got == kind for got, kind in found)
+
+
 def test_compound_listed_twice_shows_its_last_picture(spark):
     cells = images(spark, A={1: "P1", 2: "P2", 3: "P3"}, B={1: "Q1"})
     found = grid.plot_grid(cells, ["x", "y", "x"])
@@ -219,9 +238,15 @@ def test_copies_of_one_key_are_ranked_by_several_tasks(spark):
 
 
 def test_plot_order_takes_one_workbook(spark):
-    df = spark.range(60).selectExpr("cast(id as int) as plot_no", "'c' as compound")
+    df = spark.range(60).selectExpr("'w' as workbook", "cast(60 - id as int) as plot_no", "concat('c', id) as compound")
+    assert sections.plot_order(df) == [f"c{i}" for i in range(59, -1, -1)]
     with pytest.raises(ValueError):
-        sections.plot_order(df)
+        sections.plot_order(df.union(df.withColumn("workbook", F.lit("v"))))
+
+
+def test_one_bar_for_each_gene(spark):
+    df = spark.createDataFrame([("g", 3.0), ("g", 7.0), ("h", None), ("h", 1.0), ("i", None)], "gene string, value double")
+    assert rows(bars.bar_table(df).select("rank", "gene", "value"), "rank") == [(1, "h", 1.0), (2, "g", 7.0), (3, "i", None)]
 
 
 def test_one_workbook_with_most_images(spark):

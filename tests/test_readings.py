@@ -1,8 +1,7 @@
-import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from platelake.operators import bounded, metadata, readings
+from platelake.operators import metadata, readings
 from platelake.sinks import summary
 
 RAW = "batch string, file_name string, compound_raw string, ic50_raw string, max_inhib_raw string, ord long"
@@ -87,11 +86,10 @@ def test_compound_map(spark):
     assert [r[0] for r in rows(first.select("compound"))] == ["T3", "new", "t1"]
 
 
-def test_long_map_joins_the_same_without_broadcast(spark, monkeypatch):
+def test_long_map_joins_the_same_without_broadcast(spark):
     df = raw(spark, *[("L", f"T{i}", str(i), "1", i) for i in range(50)])
     mapping = spark.range(40).selectExpr("concat('T', id) as ta_id", "concat('N', id) as compound_name", "id as row_no")
     expected = rows(readings.map_compounds(df, mapping))
-    monkeypatch.setattr(readings, "small_lookup", lambda names: bounded.small_lookup(names, max_rows=5))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         beyond = readings.map_compounds(df, mapping)
@@ -101,10 +99,49 @@ def test_long_map_joins_the_same_without_broadcast(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_too_many_compounds_is_an_error_not_a_cut(spark):
-    df = raw(spark, *[("L", f"c{i}", "1", "1", i) for i in range(6)])
-    with pytest.raises(bounded.TooManyRows):
-        readings.compound_columns(readings.first_readings(df), max_compounds=5)
+def test_ten_thousand_compounds_are_all_written(spark):
+    n = 10_001
+    first = spark.range(n).selectExpr(
+        "'L' as cell_line", "'b' as batch", "concat('c', lpad(id, 5, '0')) as compound", "cast(id as double) as ic50",
+        "cast(null as string) as ic50_text", "cast(null as double) as max_inhib", "if(id = 7, 'n.d.', null) as max_inhib_text",
+    )
+    compounds = readings.compound_columns(first)
+    assert len(compounds) == n
+    blocks = readings.wide_blocks(first, compounds, size=4000)
+    assert [len(b.columns) - 2 for b in blocks] == [8000, 8000, 4002]
+    names = [c for b in blocks for c in b.columns[2:]]
+    assert len(set(map(str.lower, names))) == 2 * n
+    columns = summary.header_columns(compounds, [], [], ("cell_line", "batch"))
+    cells = readings.sheet_cells(first).withColumn("assay_cell_line", F.col("cell_line"))
+    lines = [r["line"] for r in summary.sheet_lines(cells, columns, compounds, "cell_line", "batch").orderBy("section").collect()]
+    body = lines[2].split(",")
+    assert body[2 : 2 + n] == [f"{float(i)}" for i in range(n)] and body[2 + n + 7] == "n.d." and len(body) == 2 + 2 * n
+
+
+def test_names_are_free_whatever_they_end_in():
+    assert readings.wide_names(["A", "A_3", "a"])[0] == ["A_IC50", "A_3_IC50", "a_3_3_IC50"]
+
+
+def test_texts_stay_in_the_sheet(spark):
+    df = raw(spark, ("L", "c", "n.d.", 'a "b", c', 1), ("L", "d", "4", None, 2))
+    first = readings.first_readings(df)
+    columns = summary.header_columns(["c", "d"], [], [], ("cell_line", "batch"))
+    cells = readings.sheet_cells(first).withColumn("assay_cell_line", F.col("cell_line"))
+    lines = [r["line"] for r in summary.sheet_lines(cells, columns, ["c", "d"], "cell_line", "batch").orderBy("section").collect()]
+    assert lines == [",,IC50,,Max%Inhib,", "cell_line,batch,c,d,c,d", 'L,b1 cells,n.d.,4.0,"a ""b"", c",']
+
+
+def test_compounds_and_lines_straight_from_readings(spark):
+    df = raw(spark, ("L1", "c", "1", None, 1), ("L1", "d", None, "2", 2), ("L2", "d", None, None, 3), ("L3", "e", "n.d.", None, 4))
+    assert [r[0] for r in rows(readings.measured_compounds(df))] == readings.compound_columns(readings.first_readings(df)) == ["c", "e"]
+    assert [r[0] for r in rows(readings.measured_lines(df))] == ["L1", "L3"]
+
+
+def test_file_counts(spark):
+    files = spark.createDataFrame([("b", "f1"), ("b", "f2"), ("c", "f1")], "batch string, path string")
+    found = spark.createDataFrame([("b", "f1"), ("b", "f1")], "batch string, path string")
+    assert rows(summary.file_counts(files, found, "batch", "path")) == [("b", "f1", 2, 2), ("b", "f2", 2, 0), ("c", "f1", 1, 0)]
+    assert rows(summary.file_counts(files.select("path").distinct(), found, "path")) == [("f1", 2, 2), ("f2", 2, 0)]
 
 
 def test_hot_key_is_combined_before_the_shuffle(spark):
@@ -133,6 +170,7 @@ def test_metadata_join(spark):
 def test_markers():
     known, unknown = metadata.known_markers(["TACSTD2", "NOPE", "NADA", "EGFR"])
     assert (known, unknown) == (["TACSTD2", "EGFR"], ["NOPE", "NADA"])
+    assert metadata.known_markers(["TACSTD2", "EGFR"], present=["CellLine", "EGFR"]) == (["EGFR"], ["TACSTD2"])
     assert len(metadata.GENE_MARKERS) == 31
 
 
@@ -152,10 +190,10 @@ def test_header_bands(spark):
 def test_run_summary(spark):
     df = raw(spark, ("L1", "c", "> 1", "n.d.", 1), ("L2", "c", "x", "2", 2), ("L1", "d", None, "3", 3))
     first = readings.first_readings(df)
-    wide = readings.wide_readings(first, ["c"])
+    lines = first.filter(readings.has_any_value()).select("cell_line", "batch").distinct()
     panel = spark.createDataFrame([("l1", "M", 1.0)], PANEL)
-    joined = metadata.join_metadata(wide, panel, info=("cell_line", "model_id"))
-    assert summary.run_summary(df, first, joined).first().asDict() == {
+    joined = metadata.join_metadata(lines, panel, info=("cell_line", "model_id"))
+    assert summary.run_summary(readings.counted_readings(df), joined, 6).first().asDict() == {
         "n_readings": 3, "n_ic50_texts": 1, "n_max_inhib_texts": 1, "n_censored": 1, "n_batches": 1, "n_cell_lines": 2,
         "n_compounds": 1, "n_rows": 2, "n_matched_rows": 1, "n_columns": 6,
     }

@@ -7,7 +7,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from platelake.plans.bar_chart import bar_chart
+from platelake.plans.bar_chart import bar_chart, bar_values
 from platelake.plans.consolidate import consolidate
 from platelake.plans.plot_table import plot_table
 from platelake.sources import archives, listing, tables, workbooks
@@ -60,6 +60,17 @@ def test_batches(spark, tmp_path):
     assert rows(listing.batch_catalog(found), "batch") == [("1st_10 cells", 1), ("b_cells", 1)]
 
 
+def test_listing_takes_folders_as_they_are_named(spark, tmp_path, monkeypatch):
+    base = f"{tmp_path}/b[2] 50% {{x}}"
+    for name in ("1 cells/d_L1_paste.xlsx", "d_L2_paste.xlsx", "screens/d_L3_paste.xlsx", "__screens/d_L4_paste.xlsx"):
+        put(f"{base}/{name}", b"x")
+    assert [r[0] for r in rows(listing.list_batches(spark, base).select("cell_line"))] == ["L1"]
+    assert [r[0] for r in rows(listing.list_workbooks(spark, base).select("cell_line"))] == ["L1", "L2", "L3"]
+    put(f"{tmp_path}/screens/__screens/d_L5_paste.xlsx", b"x")
+    put(f"{tmp_path}/screens/d_L6_paste.xlsx", b"x")
+    assert [r[0] for r in rows(listing.list_workbooks(spark, f"{tmp_path}/screens").select("cell_line"))] == ["L6"]
+
+
 def test_workbook_listing(spark, tmp_path):
     base = f"{tmp_path}/__in"
     for name in (
@@ -113,7 +124,8 @@ def test_section_cells_of_the_first_known_sheet(spark):
     both = workbook_bytes({"Data analysis for IC50": sheet([["old"]], 1, "B"), "Analyzed Data": sheet([["new", "c"]] * 60, 1, "B")})
     found = workbooks.read_cells(books(spark, both, workbook_bytes({"x": ""})))
     assert found.select("path", "sheet", "col", "value").distinct().collect() == [("w0", "Analyzed Data", 2, "new")]
-    assert found.count() == 49
+    assert found.count() == 60
+    assert workbooks.read_cells(books(spark, both), last_row=7).count() == 7
 
 
 def test_columns_by_position(spark):
@@ -128,7 +140,7 @@ def test_images(spark):
     every = workbooks.read_images(book, 3000, keep=("path",))
     assert [r[0] for r in rows(every.select("member"))] == ["xl/media/image10.emf", "xl/media/image2.emf", "xl/media/image3.emf"]
     some = workbooks.read_images(book, 3000, first=2, keep=("path",))
-    assert rows(some.select("member", "n_bytes")) == [("xl/media/image2.emf", 3500), ("xl/media/image3.emf", 5000)]
+    assert rows(some.select("member", "n_bytes", "plot_no")) == [("xl/media/image2.emf", 3500, 1), ("xl/media/image3.emf", 5000, 2)]
 
 
 def zipped(members):
@@ -142,10 +154,10 @@ def zipped(members):
 def test_archive_members_in_chunks(spark, tmp_path, monkeypatch):
     names = {f"a/b{i % 3}/d_L{i:02d}_paste.xlsx": os.urandom(100 + i) for i in range(40)}
     skipped = {"__MACOSX/a/d_X_paste.xlsx": b"x", "a/~d_X_paste.xlsx": b"x", "a/d_X_Summary_paste.xlsx": b"x", "a/note.txt": b"x"}
-    put(f"{tmp_path}/all.zip", zipped({**names, **skipped}))
-    put(f"{tmp_path}/bad.zip", b"no archive")
+    put(f"{tmp_path}/my data/a%20b [1].zip", zipped({**names, **skipped}))
+    put(f"{tmp_path}/my data/bad.zip", b"no archive")
     monkeypatch.setattr(archives, "CHUNK_BYTES", 1000)
-    files = spark.read.format("binaryFile").load(f"{tmp_path}/*.zip")
+    files = spark.read.format("binaryFile").load(f"{tmp_path}/my data/*.zip")
     members, failed = archives.archive_workbooks(files)
     assert members.select("chunk").distinct().count() > 4
     assert [r["path"].endswith("bad.zip") and len(r["error"]) > 0 for r in failed.collect()] == [True]
@@ -159,6 +171,22 @@ def test_options(spark, tmp_path):
     put(f"{tmp_path}/names.json", json.dumps({"TA145": "ADC-001", "TA 146": "ADC-002"}, indent=4).encode())
     assert rows(tables.read_options(spark, f"{tmp_path}/names.json")) == [("TA 146", "ADC-002"), ("TA145", "ADC-001")]
     assert tables.read_options(spark, None).count() == 0
+    assert tables.read_options(spark, f"{tmp_path}/absent.json").count() == 0
+    put(f"{tmp_path}/twice.json", b'{"A": "1", "B": "2", "A": "3"}')
+    assert rows(tables.read_options(spark, f"{tmp_path}/twice.json")) == [("A", "3"), ("B", "2")]
+    put(f"{tmp_path}/broken.json", b'{"A": "1", ')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        tables.read_options(spark, f"{tmp_path}/broken.json").collect()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_metadata_without_values(spark, tmp_path, fmt):
+    names = [*META[:7], "TACSTD2", "EGFR"]
+    df = spark.createDataFrame([tuple("NA" if i == 2 else f"v{i}" for i in range(7)) + ("NaN", "2.5")], ", ".join(f"{n} string" for n in names))
+    df.write.format(fmt).option("header", True).save(f"{tmp_path}/m")
+    found = tables.read_metadata(spark, f"{tmp_path}/m", fmt)
+    assert found.columns == names and found.first().asDict()["OncotreeLineage"] is None
+    assert found.select("TACSTD2", "EGFR").first() == (None, 2.5)
 
 
 META = ["ModelID", "CellLine", "OncotreeLineage", "OncotreePrimaryDisease", "OncotreeSubtype", "OncotreeCode", "in_BioMetas", "TACSTD2", "CEACAM5"]
@@ -174,8 +202,8 @@ def test_consolidate_folders(spark, tmp_path, fmt):
     put(f"{base}/list.xlsx", workbook_bytes({"S": sheet([["TA_ID", "Compound"], ["TA1", "old"], ["TA1", "Drug"]])}))
     meta = spark.createDataFrame([("ACH-1", "BxPC3", "Pancreas", "d", "s", "c", "Yes", 9.567, None)], ", ".join(f"{c} {'double' if i > 6 else 'string'}" for i, c in enumerate(META)))
     meta.write.format(fmt).option("header", True).save(f"{tmp_path}/meta")
-    done, unknown = consolidate(spark, base, f"{base}/list.xlsx", f"{tmp_path}/meta", out, ["TACSTD2", "NOPE", "CEACAM5"], metadata_format=fmt, table_format=fmt)
-    assert unknown == ["NOPE"]
+    done, unknown = consolidate(spark, base, f"{base}/list.xlsx", f"{tmp_path}/meta", out, ["TACSTD2", "NOPE", "CEACAM5", "MET"], metadata_format=fmt, table_format=fmt)
+    assert unknown == ["NOPE", "MET"]
     assert done.columns == [
         "CellLine", "Batch", "ModelID", *META[2:], "Drug_IC50", "Staurosporine_IC50", "TA2_IC50",
         "Drug_INHIB", "Staurosporine_INHIB", "TA2_INHIB", "assay_cell_line",
@@ -189,12 +217,14 @@ def test_consolidate_folders(spark, tmp_path, fmt):
     assert rows(spark.read.parquet(f"{out}/rejected_values").select("compound", "value")) == [("TA2", "n.d.")]
     assert "bad" in spark.read.json(f"{out}/rejected_files").first()["path"]
     assert spark.read.parquet(f"{out}/run_summary").first()["n_compounds"] == 3
+    counted = spark.read.parquet(f"{out}/file_counts").select("batch", "n_files", "n_rows")
+    assert rows(counted) == [("1st_10 cells", 2, 2), ("1st_10 cells", 2, 2), ("2nd cells", 2, 0), ("2nd cells", 2, 2)]
     parts = sorted(p for p in os.listdir(f"{out}/sheet") if p.endswith(".txt"))
     assert "".join(open(f"{out}/sheet/{p}").read() for p in parts).splitlines() == [
         ",,Metadata,,,,,,Gene,,IC50,,,Max%Inhib,,",
         "CellLine,Batch,ModelID,OncotreeLineage,OncotreePrimaryDisease,OncotreeSubtype,OncotreeCode,in_BioMetas,"
         "TACSTD2,CEACAM5,Drug,Staurosporine,TA2,Drug,Staurosporine,TA2",
-        "BxPC3,1st_10 cells,ACH-1,Pancreas,d,s,c,Yes,9.57,,0.47,300.0,,7.0,1.0,8.0",
+        "BxPC3,1st_10 cells,ACH-1,Pancreas,d,s,c,Yes,9.57,,0.47,300.0,n.d.,7.0,1.0,8.0",
         ",2nd cells,,,,,,,,,5.0,,,,,",
     ]
     bands = spark.read.parquet(f"{out}/header_bands")
@@ -221,7 +251,7 @@ def check_plot_table(spark, source, tmp_path):
     ]
     parts = sorted(p for p in os.listdir(f"{tmp_path}/out/report") if p.endswith(".txt"))
     text = "".join(open(f"{tmp_path}/out/report/{p}").read() for p in parts)
-    assert text.startswith("<!DOCTYPE html>") and text.rstrip().endswith("</html>") and text.count("<tr>") == 3 and "2 test compounds × 2 cell lines" in text
+    assert text.startswith("<!DOCTYPE html>") and text.rstrip().endswith("</html>") and text.count("<tr>") == 3 and "Compounds: 2; cell lines: 2" in text
 
 
 def test_plot_table_of_a_folder(spark, tmp_path):
@@ -233,8 +263,21 @@ def test_plot_table_of_a_folder(spark, tmp_path):
 
 def test_plot_table_of_an_archive(spark, tmp_path):
     members = {"a/b/d_L1_paste.xlsx": picture_book(100, 4000, 4000, 4000), "d_L2_paste.xlsx": picture_book(4000), "__MACOSX/d_L0_paste.xlsx": b"x"}
-    put(f"{tmp_path}/in.zip", zipped(members))
-    check_plot_table(spark, f"{tmp_path}/in.zip", tmp_path)
+    put(f"{tmp_path}/my screens/in.zip", zipped(members))
+    check_plot_table(spark, f"{tmp_path}/my screens/in.zip", tmp_path)
+    counted = spark.read.parquet(f"{tmp_path}/out/file_counts").select("n_files", "n_rows")
+    assert rows(counted) == [(2, 1), (2, 2)]
+
+
+def test_plot_table_names_the_error_of_the_first_workbook(spark, tmp_path):
+    put(f"{tmp_path}/in/d_L1_paste.xlsx", b"junk")
+    with pytest.raises(ValueError, match="d_L1_paste.xlsx: BadZipFile"):
+        plot_table(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+
+
+def test_bar_values_without_a_number(spark):
+    df = spark.createDataFrame([("a", "nan"), ("b", "1.0d"), ("c", " 2.5 "), ("d", "")], "gene string, value string")
+    assert rows(bar_values(df)) == [("a", None), ("b", None), ("c", 2.5), ("d", None)]
 
 
 def test_plot_table_reports_unreadable_workbooks_and_takes_drawn_pictures(spark, tmp_path):

@@ -11,8 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platelake.session import spread
-
 ASSAY_RAW = """
 select concat(l_returnflag, l_linestatus, ' cells') as batch,
        concat('20260122_S', cast(l_suppkey as string), '_7TA_144H_paste.xlsx') as file_name,
@@ -28,34 +26,92 @@ from {lineitem} join {part} on l_partkey = p_partkey
 """
 
 COMPOUND_MAP = """
-select p_brand as ta_id, concat('CMP-', substr(p_brand, 7)) as compound_name, cast(substr(p_brand, 7) as int) as row_no
-from {part} where cast(substr(p_brand, 7) as int) <= 12 group by p_brand
+select case when cast(substr(p_brand, 7) as int) <= 12 then p_brand else concat('other ', p_brand) end as ta_id,
+       concat('CMP-', substr(p_brand, 7)) as compound_name, cast(substr(p_brand, 7) as int) as row_no
+from {part} group by p_brand
 union all select 'Brand#1', 'CMP-1-new', 100
 union all select 'Brand#2', null, 101
 """
 
 CELL_META = """
 select concat('ACH-', lpad(cast(s_suppkey as string), 6, '0')) as model_id,
-       concat('s', cast(s_suppkey as string)) as cell_line, r_name as lineage, n_name as disease,
+       concat(case when s_suppkey % 10 = 3 then 'x' else 's' end, cast(s_suppkey as string)) as cell_line, r_name as lineage, n_name as disease,
        s_acctbal / 7 as gene_a, case when s_nationkey = 0 then null else s_acctbal / 3 end as gene_b
 from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey
-where s_suppkey % 10 <> 3
 union all
 select concat('DUP-', cast(s_suppkey as string)), concat('S', cast(s_suppkey as string)), 'dup', 'dup', 0.125, 2.675
 from {supplier} where s_suppkey % 25 = 0
 """
 
+# A hundred events make a sheet, so a row's number needs no window. Clicks are cells of all kinds.
 GRID = """
-select user_id as workbook,
-       case user_id % 3 when 0 then 'Analyzed Data' when 1 then 'Data analysis for IC50' else 'Other' end as sheet,
-       row_number() over (partition by user_id order by event_id) as row_no,
-       case event_type when 'signup' then 'XLFit Chart'
+select cast(floor(event_id / 100) as bigint) as workbook,
+       case cast(floor(event_id / 100) as bigint) % 3 when 0 then 'Analyzed Data' when 1 then 'Data analysis for IC50' else 'Other' end as sheet,
+       event_id % 100 + 1 as row_no,
+       case event_type when 'signup' then case when user_id % 3 = 0 then 'XLFit Chart' else concat('U', cast(user_id as string), '_new') end
                        when 'purchase' then concat('U', cast(user_id as string), '_Staurosporine')
-                       when 'error' then null
-                       else concat('U', cast(user_id as string), '_', event_type) end as col_b
+                       when 'error' then case when user_id % 4 = 0 then null else concat('U', cast(user_id as string), '_err') end
+                       when 'click' then case user_id % 8 when 0 then '7' when 1 then '0.0' when 2 then 'True' when 3 then 'False'
+                                                          when 4 then '#N/A' when 5 then '' when 6 then ' ' else 'plain' end
+                       else concat('U', cast(user_id as string), '_', event_type) end as col_b,
+       case when event_type = 'click' then case user_id % 8 when 0 then 'n' when 1 then 'n' when 2 then 'b' when 3 then 'b'
+                                                            when 4 then 'e' else 's' end
+            when event_type = 'error' and user_id % 4 = 0 then null else 's' end as value_type
+from {events}
+"""
+
+# Folders and files of several kinds each.
+BATCH_PATHS = """
+select concat('file:/in [1]/', case event_id % 4 when 0 then '1st cells' when 1 then 'b% cells' when 2 then 'notes' else 'cells 2' end,
+              case when event_type = 'error' then '/deep/' else '/' end, case when event_type = 'view' then '~' else '' end,
+              '20260122_U', cast(user_id as string), '_', cast(event_id as string), case when event_type = 'click' then '.csv' else '.xlsx' end) as path
+from {events}
+"""
+BOOK_BASE = "file:/in/__plots"
+BOOK_PATHS = """
+select concat(case when event_type = 'error' then 'file:/in/' else 'file:/in/__plots/' end,
+              case event_id % 6 when 0 then '' when 1 then 'sub [1]/' when 2 then '__MACOSX/' when 3 then '.hidden/' when 4 then 'a/b/' else '_ok/' end,
+              case event_type when 'view' then '~' else '' end, case when user_id % 5 = 0 then 'bare' else concat('20260122_U', cast(user_id as string)) end,
+              case user_id % 7 when 0 then '_Summary' else '' end, case event_type when 'click' then '.xlsx' else '_paste.xlsx' end) as path, event_id
+from {events}
+"""
+
+# Every supplier has a file in two batches; a file without a small quantity has no row.
+FILE_LIST = """
+select 'A cells' as batch, concat('20260122_S', cast(s_suppkey as string), '_7TA_144H_paste.xlsx') as file_name from {supplier}
+union all
+select 'N cells' as batch, concat('20260122_S', cast(s_suppkey as string), '_7TA_144H_paste.xlsx') as file_name from {supplier}
+"""
+FILE_ROWS = """
+select concat(l_returnflag, ' cells') as batch, concat('20260122_S', cast(l_suppkey as string), '_7TA_144H_paste.xlsx') as file_name
+from {lineitem} where l_returnflag <> 'R' and l_quantity < 2
+"""
+
+# Options with a key listed twice in one object.
+OPTION_TEXT = """
+select concat('{{"', event_type, '": "', cast(event_id as string), '", "all": "', event_type, '", "', event_type, '": "',
+              cast(event_id + 1 as string), '"}}') as options, event_id
 from {events}
 """
 
+# Metadata and bar values as texts, with the texts that stand for no value.
+META_TEXT = """
+select cast(s_suppkey as string) as ModelID, s_name as CellLine,
+       case s_nationkey % 5 when 0 then 'NA' when 1 then 'n/a' else n_name end as OncotreeLineage,
+       case when s_nationkey = 3 then 'NaN' when s_nationkey = 4 then 'x' else cast(s_acctbal as string) end as TACSTD2, s_acctbal as MET
+from {supplier} join {nation} on s_nationkey = n_nationkey
+"""
+BAR_TEXT = """
+select s_name as gene, case s_nationkey when 1 then 'nan' when 2 then '' when 3 then '1.0d' when 4 then concat('>', cast(s_acctbal as string))
+                                        else cast(s_acctbal as string) end as value
+from {supplier}
+"""
+BATCH_FILES = """
+select concat(l_returnflag, l_linestatus, case when l_returnflag = 'N' and l_linestatus = 'F' then ' notes' else ' cells' end) as batch,
+       concat('20260122_S', cast(l_suppkey as string), '_7TA_144H_paste.xlsx') as file_name
+from {lineitem}
+"""
+
 SHEETS = """
 select user_id as workbook,
        case (user_id + event_id) % 5 when 0 then 'Analyzed Data' when 1 then 'Data analysis for IC50'
@@ -96,14 +152,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     names = set(re.findall(r"\{(\w+)\}", text))
     found = {n: table(spark, sf_dir, n) for n in names}
-    if "lineitem" in found:
-        found["lineitem"] = spread(found["lineitem"], "l_orderkey", "l_partkey")
     return spark.sql(text, **found)
 
 
 def plain(text: str) -> str:
     """The view's SQL over tables registered by name."""
-    return re.sub(r"\{(\w+)\}", r"\1", text).strip()
+    named = re.sub(r"\{(\w+)\}", r"\1", text).strip()
+    return named.replace("{{", "{").replace("}}", "}")
 
 
 def assay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +182,7 @@ def section_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row_no").alias("row"),
         F.lit(2).alias("col"),
         F.col("col_b").alias("value"),
-        F.when(F.col("col_b").isNotNull(), F.lit("s")).alias("value_type"),
+        "value_type",
     )
 
 

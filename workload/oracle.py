@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from platelake.functions import colors
 from workload import adapters
 from workload.adapters import plain
 
@@ -101,26 +100,32 @@ TO_CONSOLIDATED = (*TO_FIRST, WIDE, META, PANEL, CONSOLIDATED)
 GRID = ("grid", plain(adapters.GRID))
 # Row by row as flags: seen a marker before, entries so far, stopped.
 SECTIONS = (
+    # Empty cells leave the grid; a row that is not there counts as empty.
+    ("filled", """
+    select workbook, sheet, row_no, col_b, value_type in ('s', 'e') as is_text from grid
+    where col_b is not null and not (value_type = 's' and col_b = '') and not (value_type = 'b' and col_b = 'False')
+      and not (value_type = 'n' and try_cast(col_b as double) = 0)"""),
     ("g0", """
     select workbook, row_no, col_b,
-           case when col_b like '%XLFit%' and col_b like '%Chart%' then 1 else 0 end as is_marker
-    from grid where row_no < 50 and sheet in ('Analyzed Data', 'Data analysis for IC50')"""),
+           case when is_text and col_b like '%XLFit%' and col_b like '%Chart%' then 1 else 0 end as is_marker,
+           is_text, row_no - lag(row_no) over (partition by workbook order by row_no) > 1 as gap
+    from filled where sheet in ('Analyzed Data', 'Data analysis for IC50')"""),
     ("g1", """
     select *, coalesce(max(is_marker) over (partition by workbook order by row_no
               rows between unbounded preceding and 1 preceding), 0) as in_section from g0"""),
     ("g2", """
-    select *, case when in_section = 1 and is_marker = 0 and col_b is not null and trim(col_b) <> ''
+    select *, case when in_section = 1 and is_marker = 0 and is_text and trim(col_b) <> ''
                     and lower(col_b) not like '%stauro%' then 1 else 0 end as kept from g1"""),
     ("g3", """
     select *, coalesce(sum(kept) over (partition by workbook order by row_no
               rows between unbounded preceding and 1 preceding), 0) as kept_before from g2"""),
     ("g4", """
-    select *, max(case when in_section = 1 and col_b is null and kept_before > 0 then 1 else 0 end)
+    select *, max(case when in_section = 1 and gap and kept_before > 0 then 1 else 0 end)
               over (partition by workbook order by row_no
               rows between unbounded preceding and current row) as stopped from g3"""),
     ("entries", """
     select workbook, cast(row_number() over (partition by workbook order by row_no) as integer) as plot_no,
-           cast(row_no as integer) as row, split_part(col_b, '_', -1) as compound
+           cast(row_no as integer) as row, split_part(trim(col_b), '_', -1) as compound
     from g4 where kept = 1 and stopped = 0"""),
 )
 
@@ -141,7 +146,7 @@ PLOT_ORDER = (
 PICTURES = (
     ("pictures", """
     select path, cell_line, plot_no, to_base64(encode(html)) as payload
-    from big_assets where plot_no <= (select count(*) from plot_order) and image_no % 11 <> 5"""),
+    from big_assets where plot_no <= (select count(*) from plot_order)"""),
     ("last_books", "select cell_line, max(path) as path from pictures group by cell_line"),
     # A compound listed twice shows its last picture in both columns.
     ("shown", """
@@ -150,10 +155,10 @@ PICTURES = (
     group by p.cell_line, p.path, o.compound"""),
     ("display_names", """
     select distinct event_type as compound, concat('A&', upper(event_type)) as display_name
-    from events where event_type <> 'view'"""),
+    from events"""),
     ("dense", """
     select b.cell_line, o.plot_no, o.compound, coalesce(n.display_name, '') as display_name,
-           case when b.cell_line like 't%' then '#90EE90' else '#FFFFFF' end as color, b.path, s.payload
+           case when b.cell_line like 't%' then '#90EE90' else '#ADD8E6' end as color, b.path, s.payload
     from last_books b cross join plot_order o
     left join shown s on s.cell_line = b.cell_line and s.compound = o.compound
     left join display_names n on n.compound = o.compound"""),
@@ -179,7 +184,7 @@ AXIS = (
 )
 
 
-def _stops(name: str, stops: list[tuple]) -> tuple[str, str]:
+def _stops(name: str, stops: tuple) -> tuple[str, str]:
     pairs = enumerate(zip(stops, stops[1:]))
     rows = ", ".join(
         "(" + ", ".join(f"{x!r}::double" for x in (*low, *high)) + f", {i})" for i, (low, high) in pairs
@@ -198,8 +203,65 @@ def _hex(channels: list[str]) -> str:
     return "concat('#', " + ", ".join(f"right({d}, 2)" for d in digits) + ")"
 
 
-LAB_STOPS = [(t, *colors._rgb_to_lab(rgb)) for t, *rgb in colors.gradient_stops()]
-M = colors.XYZ_TO_RGB
+# Written out, so that a wrong constant of the library shows: place and channels (0-255) of the gradient, its
+# Lab values, the diverging map's channels at each thirty-second, and the D65 constants.
+GRADIENT_STOPS = (
+    (0.0, 59.0, 76.0, 192.0),
+    (0.15254237288135594, 123.0, 159.0, 249.0),
+    (0.3220338983050847, 201.0, 215.0, 240.0),
+    (0.4915254237288136, 247.0, 212.0, 207.0),
+    (0.6610169491525424, 240.0, 138.0, 108.0),
+    (1.0, 180.0, 4.0, 38.0),
+)
+LAB_STOPS = (
+    (0.0, 37.66798403654112, 32.096063873925885, -62.82964402765607),
+    (0.15254237288135594, 66.40070946897752, 12.06432728391993, -48.73019591183041),
+    (0.3220338983050847, 85.65949100458761, 0.31378781666335787, -13.826382357984235),
+    (0.4915254237288136, 87.66358394436182, 11.409691219603669, 6.9914078124841295),
+    (0.6610169491525424, 67.86532827038889, 35.94630369143509, 32.9025194624238),
+    (1.0, 37.72253473464891, 61.90534819937191, 34.025139135241346),
+)
+DIVERGING_STOPS = (
+    (0.0, 58.600453499999944, 76.17308133000003, 192.189204015),
+    (0.03125, 67.8887706811657, 90.0389382902623, 204.37430580428145),
+    (0.0625, 77.48491583292558, 103.66608172993632, 215.46498043231065),
+    (0.09375, 87.41278110982852, 116.98264310446696, 225.3508114217244),
+    (0.125, 97.66542613500658, 129.90119619999462, 233.93473244691583),
+    (0.15625, 108.21075802926357, 142.32699879185066, 241.1339030117132),
+    (0.1875, 118.99620274019048, 154.1625731545106, 246.88041780766923),
+    (0.21875, 129.95277656984806, 165.31057346918416, 251.12183666328906),
+    (0.25, 140.9986743543805, 175.67577718170728, 253.82152608256254),
+    (0.28125, 152.04241297938748, 185.16659110414133, 254.958806958857),
+    (0.3125, 162.98556114727407, 193.69626609884145, 254.52890624455608),
+    (0.34375, 173.72509454617133, 201.18392049657322, 252.54271317135704),
+    (0.375, 184.15542209924547, 207.55542497874492, 249.0263429954447),
+    (0.40625, 194.17013021364352, 212.74417629489844, 244.02051306257056),
+    (0.4375, 203.6634889944906, 216.6917728587674, 237.57973703930222),
+    (0.46875, 212.5317592185919, 219.34859660398436, 229.7713430908508),
+    (0.5, 220.67433305881252, 220.67429968114854, 220.6743200221168),
+    (0.53125, 228.9277292339788, 216.4727019539855, 209.32045026435762),
+    (0.5625, 235.63919192863003, 210.97620862084287, 197.4933612579165),
+    (0.59375, 240.82188620562755, 204.22912609927326, 185.30956351910783),
+    (0.625, 244.4866902466779, 196.28322519528515, 172.88239230628858),
+    (0.65625, 246.64556154310543, 187.19638621454882, 160.32097349688922),
+    (0.6875, 247.31383774994933, 177.030835890958, 147.72931491515467),
+    (0.71875, 246.51184521127715, 165.85076313810245, 135.20553201282758),
+    (0.75, 244.2660351950275, 153.71892695235925, 122.8412170641792),
+    (0.78125, 240.6097815658734, 140.69151656066637, 110.72096263433815),
+    (0.8125, 235.58392297470192, 126.80975274006, 98.92205373941465),
+    (0.84375, 229.2371019574288, 112.08487732834041, 87.51434999039954),
+    (0.875, 221.62593429231165, 96.46823080258366, 76.56039097445868),
+    (0.90625, 212.81502997627427, 79.78251412094333, 66.11577825465896),
+    (0.9375, 202.87687964639957, 61.52787981287465, 56.22992065195679),
+    (0.96875, 191.8916157250455, 40.098868052989765, 46.94728352696733),
+    (1.0, 179.94665529, 3.966820800000032, 38.309367060000014),
+)
+M = (
+    (3.240454836021409, -1.5371388501025753, -0.498531546868481),
+    (-0.9692663898756538, 1.8760109288424913, 0.041556082346673524),
+    (0.05564341960421366, -0.20402585426769815, 1.0572251624579287),
+)
+WHITE = (0.95047, 1.0, 1.08883)
 
 
 def _channel(row: list[float]) -> str:
@@ -212,8 +274,8 @@ def _cube(f: str, white: float) -> str:
 
 
 COLORED = (
-    _stops("diverging_stops", colors.diverging_stops()),
-    _stops("gradient_stops", colors.gradient_stops()),
+    _stops("diverging_stops", DIVERGING_STOPS),
+    _stops("gradient_stops", GRADIENT_STOPS),
     _stops("lab_stops", LAB_STOPS),
     ("levels", "select *, least(floor(t * 256), 255) / 255 as place from placed"),
     ("diverging_fill", f"""
@@ -227,8 +289,8 @@ COLORED = (
     from levels join lab_stops s on (t > s.t0 or s.n = 0) and t <= s.t1"""),
     ("f_fill", "select gene, (l + 16) / 116 as fy, (l + 16) / 116 + a / 500 as fx, (l + 16) / 116 - b / 200 as fz from lab_fill"),
     ("xyz_fill", f"""
-    select gene, {_cube('fx', colors.WHITE[0])} as x, {_cube('fy', colors.WHITE[1])} as y,
-           {_cube('fz', colors.WHITE[2])} as z from f_fill"""),
+    select gene, {_cube('fx', WHITE[0])} as x, {_cube('fy', WHITE[1])} as y,
+           {_cube('fz', WHITE[2])} as z from f_fill"""),
     ("gradient_fill", f"select gene, {_hex([_channel(r) for r in M])} as gradient from xyz_fill"),
 )
 FILLS = "join diverging_fill using (gene) join gradient_fill using (gene) join rgb_fill using (gene)"
@@ -243,15 +305,34 @@ union all select 5, concat(compound, '_INHIB'), compound, 'Max%Inhib', row_numbe
   from measured
 """
 
-TH = """concat('<th><span class="compound-id">', compound, '</span>',
-        case when display_name <> '' then concat('<span class="compound-name">', replace(display_name, '&', '&amp;'), '</span>')
-             else '' end, '</th>')"""
-TD = """case when payload is null then '<td>-</td>'
-        else concat('<td><img src="data:image/png;base64,', payload, '" alt="', compound, '_', cell_line, '"></td>') end"""
+TH = """concat('<th scope="col">', compound,
+        case when display_name <> '' then concat('<small>', replace(display_name, '&', '&amp;'), '</small>') else '' end, '</th>')"""
+TD = """case when payload is null then '<td></td>'
+        else concat('<td><img src="data:application/octet-stream;base64,', payload, '" alt="Plot of ', compound, ' in ', cell_line,
+                    '"></td>') end"""
+PAGE = (
+    '<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>Dose-response plots</title><style>'
+    "body{font-family:sans-serif;margin:2em}table{border-collapse:collapse}"
+    "th,td{border:1px solid #bbb;padding:4px;text-align:center;vertical-align:top}"
+    "img{width:240px;height:auto}small{display:block;font-weight:normal}</style></head>"
+    "<body><h1>Dose-response plots</h1><h2>Inhibition by cell line and compound</h2>"
+    '<table><thead><tr><th scope="col">Cell line</th>'
+)
 
 _SHEET = ["cell_line", "batch", "model_id", "lineage", "disease", "gene_a", "gene_b"]
 _SHEET += [f"{c}_IC50" for c in COMPOUNDS] + [f"{c}_INHIB" for c in COMPOUNDS]
 SHEET_CELLS = ", ".join(f"coalesce(cast(\"{c}\" as varchar), '')" for c in _SHEET)
+# The same columns, a text standing where a number is missing.
+SHEET_WIDE = (
+    "wide",
+    "select cell_line, batch, "
+    + ", ".join(
+        f"max(case when compound = '{c}' then coalesce(cast({m} as varchar), {m}_first_raw) end) as \"{c}_{label}\""
+        for m, label in (("ic50", "IC50"), ("max_inhib", "INHIB"))
+        for c in COMPOUNDS
+    )
+    + " from firsts where ic50_first_raw is not null or max_inhib_first_raw is not null group by cell_line, batch",
+)
 LABEL_LINE = ",".join(_SHEET[:7] + COMPOUNDS + COMPOUNDS)
 BAND_LINE = ",".join(
     ["", "", "Metadata", "", "", "Gene", ""] + ["IC50"] + [""] * (len(COMPOUNDS) - 1) + ["Max%Inhib"] + [""] * (len(COMPOUNDS) - 1)
@@ -260,11 +341,28 @@ BAND_LINE = ",".join(
 CLEAN_COLUMNS = "batch, cell_line, compound, ic50, max_inhib, ic50_raw, max_inhib_raw, ic50_censored"
 
 ORACLE_SQL: dict[str, str] = {
-    "batch_catalog": with_(
-        RAW,
-        select="select batch, count(distinct file_name) as n_files, count(*) as n_rows from assay_raw "
-        "where batch like '%cells' group by batch",
-    ),
+    "batch_catalog": """
+        select concat(l_returnflag, l_linestatus, ' cells') as batch, count(distinct l_suppkey) as n_files, count(*) as n_rows
+        from lineitem where not (l_returnflag = 'N' and l_linestatus = 'F') group by batch""",
+    "batch_listing": """
+        select path, kind as batch, name as file_name, split_part(name, '_', 2) as cell_line
+        from (select concat('file:/in [1]/', case event_id % 4 when 0 then '1st cells' else 'b% cells' end, '/20260122_U', user_id, '_', event_id, '.xlsx') as path,
+                     case event_id % 4 when 0 then '1st cells' else 'b% cells' end as kind,
+                     concat('20260122_U', user_id, '_', event_id, '.xlsx') as name
+              from events where event_id % 4 < 2 and event_type not in ('error', 'view', 'click'))""",
+    "workbook_listing": """
+        select concat('file:/in/__plots/', case event_id % 6 when 0 then '' when 1 then 'sub [1]/' else '_ok/' end, name) as path, event_id, name as file_name,
+               split_part(name, '_', 2) as cell_line
+        from (select *, concat(case when user_id % 5 = 0 then 'bare' else concat('20260122_U', user_id) end, '_paste.xlsx') as name from events)
+        where event_id % 6 in (0, 1, 5) and event_type not in ('error', 'view', 'click') and user_id % 7 <> 0""",
+    "file_counts": """
+        with files as (
+          select batch, concat('20260122_S', s_suppkey, '_7TA_144H_paste.xlsx') as file_name, s_suppkey
+          from supplier, (values ('A cells'), ('N cells')) v(batch)
+        )
+        select batch, file_name, count(*) over (partition by batch) as n_files,
+               (select count(*) from lineitem where l_suppkey = s_suppkey and concat(l_returnflag, ' cells') = batch and l_quantity < 2) as n_rows
+        from files""",
     "clean_readings": with_(RAW, CLEAN, select=f"select {CLEAN_COLUMNS} from clean"),
     "rejected_values": with_(
         RAW,
@@ -287,7 +385,11 @@ ORACLE_SQL: dict[str, str] = {
         from firsts""",
     ),
     "wide_readings": with_(*TO_FIRST, WIDE, select="select * from wide"),
-    "metadata_source": plain(adapters.CELL_META),
+    "metadata_source": """
+        select cast(s_suppkey as varchar) as ModelID, s_name as CellLine,
+               case when s_nationkey % 5 > 1 then n_name end as OncotreeLineage,
+               case when s_nationkey not in (3, 4) then s_acctbal end as TACSTD2, s_acctbal as MET
+        from supplier join nation on s_nationkey = n_nationkey""",
     "marker_panel": with_(META, PANEL, select="select * from panel"),
     "consolidated": with_(*TO_CONSOLIDATED, select="select * from consolidated"),
     "cells_per_batch": with_(
@@ -333,36 +435,42 @@ ORACLE_SQL: dict[str, str] = {
         from assets order by cell_line, path limit 1""",
     ),
     "plot_assets": with_(
+        GRID,
+        *SECTIONS,
+        *PLOT_ORDER,
         ASSETS,
         BIG_ASSETS,
         select="""
         select path, cell_line, image_no, plot_no, n_bytes, concat('image', cast(image_no as varchar), '.png') as picture,
                to_base64(encode(html)) as payload
-        from big_assets where plot_no <= 7""",
+        from big_assets where plot_no <= (select count(*) from plot_order)""",
     ),
     "plot_grid": with_(*TO_DENSE, select="select * from dense"),
     "plot_report": with_(
         *TO_DENSE,
         select=f"""
         select cast(0 as integer) as section, cast(null as varchar) as cell_line,
-               concat('<!DOCTYPE html><html><head><meta charset="utf-8"><title>IC50 plots</title></head><body>',
-                      '<table><tr><th class="cell-line-header">Cell Line</th>',
-                      coalesce(string_agg({TH}, '' order by plot_no), ''), '</tr>') as line
+               concat('{PAGE}', coalesce(string_agg({TH}, '' order by plot_no), ''), '</tr></thead><tbody>') as line
         from (select o.plot_no, o.compound, coalesce(n.display_name, '') as display_name
               from plot_order o left join display_names n using (compound))
         union all
         select 1, cell_line,
-               concat('<tr><td class="cell-line" style="background-color: ', any_value(color), ';">', cell_line, '</td>',
+               concat('<tr><th scope="row" style="background:', any_value(color), '">', cell_line, '</th>',
                       string_agg({TD}, '' order by plot_no), '</tr>')
         from dense group by cell_line
         union all
-        select 2, null, concat('</table><p class="caption">', (select count(*) from plot_order), ' test compounds × ',
-               count(*), ' cell lines (% Inhibition plots only)</p></body></html>')
+        select 2, null, concat('</tbody></table><p>Compounds: ', (select count(*) from plot_order), '; cell lines: ',
+               count(*), '. Plots show percent inhibition.</p></body></html>')
         from last_books""",
     ),
     "json_options": """
         select event_id, key, json_extract_string(props, concat('$."', key, '"')) as value
         from (select event_id, props, unnest(json_keys(props)) as key from events)""",
+    "option_lookup": """
+        select event_id, event_type as key, cast(event_id + 1 as varchar) as value from events
+        union all select event_id, 'all', event_type from events""",
+    "bar_values": """
+        select s_name as gene, case when s_nationkey not in (1, 2, 3) then s_acctbal end as value from supplier""",
     "bar_axis": with_(BARS, PLACED, AXIS, select="select * from axis"),
     "bar_colors": with_(
         BARS, PLACED, *COLORED, select=f"select gene, value, t, diverging, gradient, gradient_rgb from placed {FILLS}"
@@ -398,7 +506,11 @@ ORACLE_SQL: dict[str, str] = {
         select page_id as image_no, octet_length(encode(html)) as n_bytes, html, cast(null as varchar) as error
         from pages where octet_length(encode(html)) > 3000""",
     "sheet_lines": with_(
-        *TO_CONSOLIDATED,
+        *TO_FIRST,
+        SHEET_WIDE,
+        META,
+        PANEL,
+        CONSOLIDATED,
         select=f"""
         select cast(0 as integer) as section, cast(null as varchar) as batch, cast(null as varchar) as cell_line,
                cast(null as varchar) as assay_cell_line,

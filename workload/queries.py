@@ -6,28 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from platelake.functions.identifiers import image_number, is_batch_folder, picture_name
 from platelake.functions.markup import payload_text
 from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
 from platelake.operators import grid, metadata, readings, sections
-from platelake.session import pin, spread
+from platelake.plans.bar_chart import bar_values as values_of
+from platelake.session import pin
 from platelake.sinks import summary
-from platelake.sources import archives, tables, workbooks
+from platelake.sources import archives, listing, tables, workbooks
 from workload import adapters, fixtures
 
-PLOTS_PER_WORKBOOK = 7
 BAR_AXIS = bar_ops.AxisBreak(0.0, 2000.0, 6000.0, 8000.0)
 OUTPUT_KEYS = ("cell_line", "batch")
 
 
 def batch_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = adapters.assay_raw(spark, sf_dir).filter(is_batch_folder(F.col("batch")))
+    raw = adapters.view(spark, sf_dir, adapters.BATCH_FILES).filter(is_batch_folder(F.col("batch")))
     files = raw.groupBy("batch", "file_name").agg(F.count("*").alias("n_rows"))
     return files.groupBy("batch").agg(F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows")).orderBy("batch")
 
 
+def batch_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing.batch_files(adapters.view(spark, sf_dir, adapters.BATCH_PATHS))
+
+
+def workbook_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing.workbook_files(adapters.view(spark, sf_dir, adapters.BOOK_PATHS), adapters.BOOK_BASE)
+
+
+def file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, found = (adapters.view(spark, sf_dir, text) for text in (adapters.FILE_LIST, adapters.FILE_ROWS))
+    return summary.file_counts(files, found, "batch", "file_name")
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.clean_readings(adapters.assay_raw(spark, sf_dir))
 
@@ -67,7 +81,11 @@ def wide_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.cell_meta(spark, sf_dir)
+    """Metadata with missing-value texts and without one of the markers that the schema names."""
+    text, number = T.StringType(), T.DoubleType()
+    named = (("ModelID", text), ("CellLine", text), ("OncotreeLineage", text), ("TACSTD2", number), ("MET", number), ("EGFR", number))
+    schema = T.StructType([T.StructField(n, t) for n, t in named])
+    return tables.plain_metadata(adapters.view(spark, sf_dir, adapters.META_TEXT), schema)
 
 
 def marker_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,34 +102,38 @@ def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.in_report_order(_consolidated(spark, sf_dir))
 
 
+def _matched(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.join_metadata(lines, marker_panel(spark, sf_dir), info=("cell_line", *adapters.INFO))
+
+
 def cells_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metadata.cells_per_batch(_consolidated(spark, sf_dir))
+    return metadata.cells_per_batch(_matched(readings.measured_lines(_mapped(spark, sf_dir)), spark, sf_dir))
+
+
+def _header(compounds: list[str]) -> list[summary.HeaderColumn]:
+    markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
+    return summary.header_columns(compounds, adapters.INFO, markers, OUTPUT_KEYS)
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = _clean(spark, sf_dir)
-    first = pin(readings.first_readings(readings.map_compounds(cleaned, adapters.compound_map(spark, sf_dir))))
-    wide = readings.wide_readings(first, readings.compound_columns(first))
-    panel = marker_panel(spark, sf_dir)
-    joined = metadata.join_metadata(wide, panel, info=("cell_line", *adapters.INFO))
-    return summary.run_summary(cleaned, first, joined)
+    """Raw rows are read and parsed once: the counts come with the first readings."""
+    counted = pin(readings.counted_readings(_mapped(spark, sf_dir)))
+    first = counted.filter(F.col("compound").isNotNull())
+    lines = first.filter(readings.has_any_value()).select("cell_line", "batch").distinct()
+    columns = _header(readings.compound_columns(first))
+    return summary.run_summary(counted, _matched(lines, spark, sf_dir), len(columns))
 
 
 def header_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
-    compounds = readings.compound_columns(first_readings(spark, sf_dir))
-    return summary.header_bands(spark, summary.header_columns(compounds, adapters.INFO, markers, OUTPUT_KEYS))
+    compounds = sorted(r["compound"] for r in readings.measured_compounds(_mapped(spark, sf_dir)).collect())
+    return summary.header_bands(spark, _header(compounds))
 
 
 def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
     first = pin(first_readings(spark, sf_dir))
     compounds = readings.compound_columns(first)
-    joined = metadata.join_metadata(
-        readings.wide_readings(first, compounds), marker_panel(spark, sf_dir), info=("cell_line", *adapters.INFO)
-    )
-    columns = summary.header_columns(compounds, adapters.INFO, markers, OUTPUT_KEYS)
-    return summary.sheet_lines(joined, columns, "cell_line", "batch")
+    joined = _matched(readings.sheet_cells(first), spark, sf_dir)
+    return summary.sheet_lines(joined, _header(compounds), compounds, "cell_line", "batch")
 
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +154,7 @@ def first_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plot_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plots.rank_assets(adapters.assets(spark, sf_dir), PLOTS_PER_WORKBOOK).select(
+    return plots.rank_assets(adapters.assets(spark, sf_dir), len(_plot_order(spark, sf_dir))).select(
         "path",
         "cell_line",
         "image_no",
@@ -153,25 +175,22 @@ def _plot_order(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def _pictures(spark: SparkSession, sf_dir: str, n_plots: int) -> DataFrame:
-    """Ranked images with their picture; every eleventh has none."""
-    content = F.when(F.col("image_no") % 11 != 5, F.col("content"))
-    found = adapters.assets(spark, sf_dir).withColumn("content", content)
-    kept = plots.usable(plots.rank_assets(found, n_plots), payload="content")
+    """Ranked images with their picture. Ranked by names; the pictures are fetched afterwards."""
+    found = adapters.assets(spark, sf_dir)
+    ranked = plots.rank_assets(found.drop("content"), n_plots)
+    pictures = ranked.join(found.select("path", "image_no", "content"), ["path", "image_no"])
+    kept = plots.usable(pictures, payload="content")
     return plots.cell_images(kept.withColumn("payload", payload_text(F.col("content"))))
 
 
 def _display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapters.table(spark, sf_dir, "events")
-    return (
-        events.filter(F.col("event_type") != "view")
-        .select(F.col("event_type").alias("key"), F.concat(F.lit("A&"), F.upper("event_type")).alias("value"))
-        .distinct()
-    )
+    return events.select(F.col("event_type").alias("key"), F.concat(F.lit("A&"), F.upper("event_type")).alias("value")).distinct()
 
 
 def _cell_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = adapters.assets(spark, sf_dir).select(F.col("cell_line").alias("key")).distinct()
-    return lines.filter(F.col("key").startswith("t")).withColumn("value", F.lit("#90EE90"))
+    return lines.withColumn("value", F.when(F.col("key").startswith("t"), F.lit("#90EE90")).otherwise(F.lit("#ADD8E6")))
 
 
 def plot_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +212,15 @@ def json_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.options_of(adapters.table(spark, sf_dir, "events"), "props", "event_id")
 
 
+def option_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects with a key listed twice: the last one counts."""
+    return tables.options_of(adapters.view(spark, sf_dir, adapters.OPTION_TEXT), "options", "event_id")
+
+
+def bar_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return values_of(adapters.view(spark, sf_dir, adapters.BAR_TEXT))
+
+
 def bar_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bar_ops.on_axis(bar_ops.normalised(adapters.bars(spark, sf_dir)), BAR_AXIS)
 
@@ -207,7 +235,7 @@ def bar_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as Summary sheets of workbooks, read back into the plain table's columns."""
-    items = spread(adapters.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    items = adapters.table(spark, sf_dir, "lineitem")
     types = {f.name: f.dataType for f in items.schema}
     cells = {
         c: fixtures.text_cell(F.col(c)) if t.typeName() == "string" else fixtures.number_cell(F.col(c))
@@ -236,11 +264,11 @@ def archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cell_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as sheet cells, text and numbers, read back cell by cell."""
-    events = spread(adapters.table(spark, sf_dir, "events"), "event_id")
+    events = adapters.table(spark, sf_dir, "events")
     kind, number = F.col("event_type"), F.col("event_id") / 4
     cells = {"kind": fixtures.text_cell(kind), "number": fixtures.number_cell(number), "props": fixtures.text_cell(F.col("props"))}
     books = fixtures.to_workbooks(events, cells, sections.SECTION_SHEETS[1], 1)
-    found = workbooks.read_cells(books, columns=(1, 2), last_row=None).filter(F.col("row") > 1)
+    found = workbooks.read_cells(books, columns=(1, 2)).filter(F.col("row") > 1)
     return found.select("sheet", "col", "value", "value_type", "error")
 
 
@@ -259,6 +287,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         batch_catalog,
+        batch_listing,
+        workbook_listing,
+        file_counts,
         clean_readings,
         rejected_values,
         compound_names,
@@ -279,6 +310,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         plot_grid,
         plot_report,
         json_options,
+        option_lookup,
+        bar_values,
         bar_axis,
         bar_colors,
         bar_ranked,
