@@ -51,3 +51,9 @@ def may_be_in(rows: DataFrame, key: Column, keys: DataFrame, name: str, into: st
     for i, mask in enumerate(masks(key)):
         all_set = all_set & (F.col(fields[f"w{i}"]).bitwiseAND(mask) == mask)
     return probed.withColumn(into, F.coalesce(all_set, F.lit(False))).drop(*fields.values())
+
+
+def matching(rows: DataFrame, key: Column, wanted: DataFrame, name: str) -> DataFrame:
+    """``rows`` joined with ``wanted`` (written, distinct in ``name``) on ``key``; only likely rows are shuffled."""
+    likely = unused(rows, "likely")
+    return may_be_in(rows, key, wanted, name, likely).filter(F.col(likely)).drop(likely).join(wanted, key == F.col(name))

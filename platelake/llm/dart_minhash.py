@@ -9,13 +9,14 @@ signatures agree in a coordinate with a probability equal to the weighted Jaccar
 where a coordinate stays empty the time is doubled.
 
 Bands of ``ROWS`` coordinates join texts with an equal band. Equal texts are first reduced to one, so a group of copies
-never meets itself. In every bucket the texts meet one head, the first in a hashed order of all texts; each text keeps the head
-whose signature agrees most, and the pair is verified with the exact weighted Jaccard similarity. Buckets that still hold
-several classes get ``HEADS`` more rounds with other orders. What is then left is compared across the classes of a bucket, by
-signatures within the join and exactly after it, so no link between different texts is lost; rows stay in proportion to the texts.
+never meets itself. In every bucket the texts meet its ``HEADS`` heads, those that share the most buckets with others: of a group of near
+copies that is their origin, which is like all of them when they are not like each other. Each text is verified with the head whose signature
+agrees most, by the exact weighted Jaccard similarity; then with its other heads that are still in another class. What is then left
+in a bucket of several classes is compared across the classes, by signatures within the join and exactly after it, so no
+link between different texts is lost; rows stay in proportion to the texts.
 
 Edge cases: a NULL text is alone in its class; texts without a word are equal if their bytes are; equal rows come back as
-often as they are; an empty table gives an empty result; further columns are not used.
+often as they are; a row without an id takes the class of its text's copies, or none; an empty table gives an empty result; further columns are not used.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from platelake.llm import spans
+from platelake.llm import bloom, spans
 from platelake.llm.shared import col, stored, unused
 
 SHINGLE = 5
@@ -36,8 +37,7 @@ BANDS, ROWS = 24, 4
 COORDINATES = BANDS * ROWS
 #: Signatures of a similar pair agree in fewer coordinates than this with a probability below 1e-5.
 MIN_AGREE = 58
-#: Rounds with one head for each bucket before classes are compared throughout.
-HEADS = 3
+HEADS = 2
 
 _G1, _G2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -166,7 +166,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def classes(links: DataFrame) -> DataFrame:
-    """``node, least``: the connected components of ``a, b`` links, named by their least node.
+    """``node, least``: the connected components of ``a, b`` links, named by their least node, which is not listed.
 
     Large-star and small-star steps in turn; each step's links are written once, and what runs is a constant number of
     rows per link.
@@ -183,15 +183,30 @@ def classes(links: DataFrame) -> DataFrame:
             moved = joined.select(F.col("v").alias("x"), F.col("m").alias("y")).union(least.select(F.col("u").alias("x"), F.col("m").alias("y")))
         return moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    edges = stored(links.distinct())
-    seen = None
+    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     while True:
-        edges = stored(step(step(edges, True), False))
-        # A forest of stars stays as it is: no least node has a lesser one.
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        # Stars: every node that is not a least one has one link, and no node is both.
+        sides = edges.groupBy("b").agg(F.count("*").alias("n")).join(edges.select(F.col("a").alias("least")).distinct(), F.col("b") == F.col("least"), "left")
+        if sides.filter("n > 1 or least is not null").isEmpty():
             return edges.select(F.col("b").alias("node"), F.col("a").alias("least"))
-        seen = state
+        edges = stored(step(step(edges, True), False))
+
+
+def class_of(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """``a, b`` with the class of each, ``ca`` and ``cb``."""
+    a = found.select(F.col("node").alias("a"), F.col("least").alias("class_a"))
+    b = found.select(F.col("node").alias("b"), F.col("least").alias("class_b"))
+    joined = pairs.join(a, "a", "left").join(b, "b", "left")
+    return joined.select("a", "b", F.coalesce("class_a", "a").alias("ca"), F.coalesce("class_b", "b").alias("cb"))
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after further links: components of the classes that these join."""
+    joined = class_of(links, found).filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    moved = classes(joined)
+    to = moved.select(F.col("node").alias("old"), F.col("least").alias("new"))
+    renamed = found.join(to, F.col("least") == F.col("old"), "left").select("node", F.coalesce("new", "least").alias("least"))
+    return stored(renamed.union(moved))
 
 
 def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -211,11 +226,20 @@ def _plausible(sa: str = "sa", sb: str = "sb", wa: str = "wa", wb: str = "wb") -
     return sizes & (_agreement(sa, sb) >= MIN_AGREE)
 
 
-def _with_heads(members: DataFrame, turn: int) -> DataFrame:
-    """``a, b``: each member of a bucket and the bucket's head, the first in the order of this turn."""
-    placed = members.select("key", "rep", F.xxhash64("rep", F.lit(turn)).alias("place"))
-    heads = placed.groupBy("key").agg(F.min(F.struct("place", "rep")).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    pairs = placed.join(heads.select("key", F.col("head.rep").alias("head")), "key").filter("rep <> head")
+def shared_buckets(signed: DataFrame) -> DataFrame:
+    """``rep, band, key, n`` of the buckets with several texts."""
+    rows = signed.select("rep", F.posexplode("bands").alias("band", "key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    return rows.join(sizes, "key").select("rep", "band", "key", "n")
+
+
+def with_heads(members: DataFrame) -> DataFrame:
+    """``a, b``: each text of a bucket and the bucket's heads, the texts that meet the most others."""
+    degree = members.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("degree"))
+    order = Window.partitionBy("key").orderBy(F.desc("degree"), F.xxhash64("rep"))
+    ranked = members.join(degree, "rep").select("key", "rep", "degree", F.row_number().over(order).alias("place"))
+    heads = ranked.filter(F.col("place") <= HEADS).select("key", F.col("rep").alias("head"))
+    pairs = members.select("key", "rep").join(heads, "key").filter("rep <> head")
     return pairs.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
 
 
@@ -224,47 +248,54 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a").agg(F.max(F.struct("agree", F.col("b"))).alias("m")).select("a", F.col("m.b").alias("b"))
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``rep, text`` to the units of weight of each text, in 32 bits."""
+    for part in spans.chunked(batches, "text"):
+        grams, offsets = shingles(spans.texts_of(part.column("text")))
+        cells = (occurrences(grams, offsets) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+        yield pa.RecordBatch.from_arrays([part.column("rep"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(cells))], ["rep", "units"])
+
+
+def across(members: DataFrame, found: DataFrame, signed: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``a, b``: texts of different classes in one bucket that are similar by their units of weight.
+
+    Only similar pairs leave the join, each from the first bucket that both are in. Of the two sides' conditions the cheap ones
+    come first.
+    """
+    named = members.join(found, F.col("rep") == F.col("node"), "left").select("key", "band", "rep", F.coalesce("least", "rep").alias("class"))
+    several = named.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("key")
+    open_members = stored(named.join(several, "key").select("key", "band", "rep", "class"))
+    units = texts_of(open_members.select("rep").distinct()).mapInArrow(_units, "rep long, units array<int>")
+    about = stored(units.join(signed.select("rep", "weight", "signature", "bands"), "rep"))
+    side = open_members.join(about, "rep").select("key", "band", "rep", "class", "weight", "signature", "bands", "units")
+    x = side.toDF("key", "at", "a", "ca", "wa", "sa", "ba", "ua")
+    y = side.toDF("key_b", "at_b", "b", "cb", "wb", "sb", "bb", "ub")
+    first = F.array_position(F.zip_with("ba", "bb", lambda p, q: p == q), True) == F.col("at") + 1
+    # One more than counted, as two units may look alike in 32 bits; what leaves is verified.
+    both = F.size(F.array_intersect("ua", "ub")) + 1
+    similar = both * (1 + SIMILAR) >= SIMILAR * (F.col("wa") + F.col("wb"))
+    return x.join(y, (F.col("key") == F.col("key_b")) & (F.col("ca") < F.col("cb")) & first & _plausible() & similar).select("a", "b")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+
+
 def near_classes(signed: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``node, least`` for the near-duplicates among different texts.
 
     ``signed`` holds ``rep, weight, signature, bands``; ``texts_of`` gives ``rep, text`` for a table of reps.
     """
-    buckets = signed.select("rep", F.explode("bands").alias("key"))
-    tried = stored(agreeing(_with_heads(buckets, 0), signed))
-    involved = tried.select(F.col("a").alias("rep")).union(tried.select(F.col("b").alias("rep"))).distinct()
-    links = stored(verified(_best(tried), texts_of(involved)))
-    found = stored(classes(links))
-
-    def mixed() -> DataFrame:
-        """Members of the buckets that hold several classes."""
-        named = buckets.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("least", "rep").alias("class"))
-        several = named.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("key")
-        return stored(named.join(several, "key"))
-
-    def other_class(pairs: DataFrame) -> DataFrame:
-        a = found.select(F.col("node").alias("a"), F.col("least").alias("class_a"))
-        b = found.select(F.col("node").alias("b"), F.col("least").alias("class_b"))
-        joined = pairs.join(a, "a", "left").join(b, "b", "left")
-        return joined.filter(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
-
-    for turn in range(1, HEADS + 1):
-        open_buckets = mixed()
-        pairs = other_class(_with_heads(open_buckets, turn)) if turn > 1 else other_class(tried.select("a", "b"))
-        new = stored(agreeing(pairs, signed))
-        if new.isEmpty():
-            continue
-        more = new.select(F.col("a").alias("rep")).union(new.select(F.col("b").alias("rep"))).distinct()
-        links = stored(links.union(verified(_best(new), texts_of(more))))
-        found = stored(classes(links))
-    side = mixed().join(signed.select("rep", "weight", "signature"), "rep")
-    x = side.select("key", F.col("rep").alias("a"), F.col("class").alias("ca"), F.col("weight").alias("wa"), F.col("signature").alias("sa"))
-    y = side.select("key", F.col("rep").alias("b"), F.col("class").alias("cb"), F.col("weight").alias("wb"), F.col("signature").alias("sb"))
-    rest = stored(x.join(y, (x["key"] == y["key"]) & (F.col("ca") < F.col("cb")) & _plausible()).select("a", "b").distinct())
+    members = stored(shared_buckets(signed))
+    tried = stored(agreeing(with_heads(members), signed))
+    texts = texts_of(_nodes(tried))
+    found = stored(classes(stored(verified(_best(tried), texts))))
+    others = stored(class_of(tried.select("a", "b"), found).filter("ca <> cb").select("a", "b"))
+    found = merged(found, stored(verified(others, texts)))
+    rest = stored(across(members, found, signed, texts_of))
     if rest.isEmpty():
         return found
-    more = rest.select(F.col("a").alias("rep")).union(rest.select(F.col("b").alias("rep"))).distinct()
-    last = stored(verified(rest, texts_of(more)))
-    return found if last.isEmpty() else stored(classes(links.union(last)))
+    return merged(found, stored(verified(rest, texts_of(_nodes(rest)))))
 
 
 def duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -278,8 +309,10 @@ def duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     signed = stored(signed.dropDuplicates(["rep"]).select("rep", "digest", "weight", "signature", "bands"))
 
     def texts_of(reps: DataFrame) -> DataFrame:
-        wanted = reps.join(signed.select("rep", F.col("digest").alias("of_rep")), "rep")
-        found = rows.join(wanted, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("of_rep"))).select("rep", "text")
+        wanted = stored(reps.join(signed.select("rep", F.col("digest").alias("of_rep")), "rep"))
+        # Only texts that a Bloom filter lets through are shuffled.
+        likely = bloom.may_be_in(rows, F.col("doc_id"), wanted, "rep", "likely").filter("likely")
+        found = likely.join(wanted, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("of_rep"))).select("rep", "text")
         return stored(found.dropDuplicates(["rep"]))
 
     found = near_classes(signed, texts_of)
@@ -288,7 +321,8 @@ def duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class: that with the least id (of equal rows one)."""
-    least = stored(duplicate_classes(docs, key, text)).filter("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(least.withColumnRenamed("kept_id", unused(docs, "kept_id")), col(key) == col(unused(docs, "kept_id")))
-    return kept.select(*map(col, docs.columns)).dropDuplicates([key])
+    """One document of each class: that with the least id (of equal rows one). Rows without an id all stay."""
+    name = unused(docs, "kept_id")
+    least = stored(duplicate_classes(docs, key, text).filter("doc_id = class_id").select(F.col("doc_id").alias(name)).distinct())
+    kept = docs.join(least, col(key) == col(name)).select(*map(col, docs.columns)).dropDuplicates([key])
+    return kept.union(docs.filter(col(key).isNull()))

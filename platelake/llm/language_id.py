@@ -128,7 +128,7 @@ def train(langs: list[str], labels: np.ndarray, held: np.ndarray, ids: list[np.n
             back = p @ layer.T
             # One step each: the gradient of an averaged row is divided by its share's norm, or long texts would hardly move it.
             for i, g in zip(part, back):
-                np.add.at(embedding, ids[i], -rate / len(part) * np.outer(shares[i] / max(np.linalg.norm(shares[i]), 1e-9), g))
+                embedding[ids[i]] -= rate / len(part) * np.outer(shares[i] / max(np.linalg.norm(shares[i]), 1e-9), g)
             layer -= rate / len(part) * hidden.T @ p
             bias -= rate / len(part) * 0.1 * p.sum(0)
             step += 1
@@ -185,13 +185,14 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
     """``docs`` with the likeliest language, its probability and whether it is too uncertain."""
     # A tuple, as workers need not know the class.
     held = docs.sparkSession.sparkContext.broadcast((model.langs, model.table, model.bias, model.temperature, model.reject_below))
-    carried = unused(docs, "whole_text")
-    kept = docs.columns
+    # Functions over Arrow batches take no names with dots; the text goes in once.
+    kept = [f"c{i}" for i in range(len(docs.columns))]
+    source = docs.select(*[col(c).alias("whole_text" if c == text else n) for c, n in zip(docs.columns, kept)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table, bias, temperature, reject_below = held.value
-        for part in spans.chunked(batches, carried):
-            texts = spans.texts_of(part.column(carried))
+        for part in spans.chunked(batches, "whole_text"):
+            texts = spans.texts_of(part.column("whole_text"))
             found, sure = spans.lettered(texts)
             words, inverse = spans.distinct(texts, found)
             bucket, owner = subwords(texts.data, words)
@@ -202,17 +203,17 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
                 of_word = np.bincount(owner, weights=table[bucket, j], minlength=len(words.start))
                 total = np.concatenate([[0.0], np.cumsum(of_word[inverse])])[found.first]
                 scores[:, j] = np.diff(total) / np.maximum(n, 1) + bias[j]
-            has = _has_letter(part, carried, sure) & bool(langs)
+            has = _has_letter(part, "whole_text", sure) & bool(langs)
             p = softmax(scores / temperature)
             best = p.argmax(1) if langs else np.zeros(len(texts), int)
             score = np.where(has, p.max(1) if langs else 0.0, 0.0)
             chosen = [langs[b] if h else UNKNOWN for b, h in zip(best, has)]
             rejected = ~has | (score < reject_below)
-            columns = [part.column(c) for c in part.schema.names if c != carried]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(chosen, pa.string()), pa.array(score), pa.array(rejected)], [*kept, *names])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(chosen, pa.string()), pa.array(score), pa.array(rejected)], [*kept, *names])
 
-    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.BooleanType())]
-    return docs.select(*map(col, kept), col(text).cast("string").alias(carried)).mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+    fields = [T.StructField(n, f.dataType) for n, f in zip(kept, docs.schema.fields)]
+    added = [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.BooleanType()))]
+    return source.mapInArrow(run, T.StructType([*fields, *added])).toDF(*docs.columns, *names)
 
 
 def languages(docs: DataFrame) -> DataFrame:

@@ -114,8 +114,8 @@ def bigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
 def with_ids(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """``doc_id, text`` of the documents in ``ids``; only those that a Bloom filter lets through are shuffled."""
     wanted = stored(ids.select(F.col(name).alias("wanted_id")).filter("wanted_id is not null").distinct())
-    likely = bloom.may_be_in(docs.select("doc_id", F.col("text").cast("string").alias("text")), F.col("doc_id"), wanted, "wanted_id", "likely")
-    return likely.filter("likely").join(wanted, F.col("doc_id") == F.col("wanted_id")).select("doc_id", "text")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return bloom.matching(texts, F.col("doc_id"), wanted, "wanted_id").select("doc_id", "text")
 
 
 #: Losses of token pairs: previous tokens, present tokens, counts by model -> one array for each model.

@@ -90,21 +90,21 @@ def measure_texts(texts: spans.Texts) -> dict[str, np.ndarray]:
 def measured(docs: DataFrame, into: str, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the struct ``into`` of the counts of each whole text."""
     kept = list(docs.columns if keep is None else keep)
-    fields = [docs.schema[c] for c in kept]
     counts = T.StructType([T.StructField(m, T.LongType()) for m in METRICS])
-    # The text goes in once, under a name of its own.
-    carried = unused(docs, "whole_text")
+    # Functions over Arrow batches take no names with dots; the text goes in once.
+    names = [f"c{i}" for i in range(len(kept))]
+    others = [col(c).alias(n) for c, n in zip(kept, names) if c != text]
+    rows = docs.select(*others, col(text).alias("whole_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in spans.chunked(batches, carried):
-            found = measure_texts(spans.texts_of(part.column(carried)))
+        for part in spans.chunked(batches, "whole_text"):
+            found = measure_texts(spans.texts_of(part.column("whole_text")))
             arrays = [pa.array(found[m].astype(np.int64)) for m in METRICS]
-            columns = [part.column(carried if c == text else c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.StructArray.from_arrays(arrays, METRICS)], [*kept, into])
+            columns = [part.column("whole_text" if c == text else n) for c, n in zip(kept, names)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.StructArray.from_arrays(arrays, METRICS)], [*names, "counts"])
 
-    needed = [col(c) for c in kept if c != text]
-    source = docs.select(*needed, col(text).cast("string").alias(carried))
-    return source.mapInArrow(run, T.StructType([*fields, T.StructField(into, counts)]))
+    fields = [T.StructField(n, docs.schema[c].dataType) for c, n in zip(kept, names)]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("counts", counts)])).toDF(*kept, into)
 
 
 def base_failed(m: Column) -> Column:

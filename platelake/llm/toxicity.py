@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.llm import spans
+from platelake.llm import bloom, spans
 from platelake.llm.language_id import fold
 from platelake.llm.shared import stored
 
@@ -289,9 +289,10 @@ def score(docs: DataFrame, model: ToxicityModel, extra: tuple[str, ...] = ()) ->
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document's score; labels are learned outside the held-out fold."""
-    marks = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 3) != 1))
+    marks = stored(known.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     rows = docs.filter(fold(F.col("doc_id"), 3) != 1).select("doc_id", F.col("text").cast("string").alias("text"))
-    labelled = stored(rows.join(marks, F.col("doc_id") == F.col("labelled_id")).select("doc_id", "text", "toxic"))
+    labelled = stored(bloom.matching(rows, F.col("doc_id"), marks, "labelled_id").select("doc_id", "text", "toxic"))
     model = fit(labelled)
     held = (fold(F.col("doc_id"), 3) == 1).alias("held_out")
     scored = score(docs.select("doc_id", held, "text"), model, ("held_out",))
