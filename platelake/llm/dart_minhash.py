@@ -12,7 +12,7 @@ Bands of ``ROWS`` coordinates join texts with an equal band. Equal texts are fir
 never meets itself. In every bucket the texts meet its ``HEADS`` heads, those that share the most buckets with others: of a group of near
 copies that is their origin, which is like all of them when they are not like each other. Each text is verified with the head whose signature
 agrees most, by the exact weighted Jaccard similarity; then with its other heads that are still in another class. What is then left
-in a bucket of several classes is compared across the classes, by signatures within the join and exactly after it, so no
+in a bucket of several classes is compared across the classes within a join that only similar pairs leave, so no
 link between different texts is lost; rows stay in proportion to the texts.
 
 Edge cases: a NULL text is alone in its class; texts without a word are equal if their bytes are; equal rows come back as
@@ -213,17 +213,10 @@ def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs whose signatures leave a similarity of ``SIMILAR`` possible, with the number of coordinates that agree."""
     a = signed.select(F.col("rep").alias("a"), F.col("signature").alias("sa"), F.col("weight").alias("wa"))
     b = signed.select(F.col("rep").alias("b"), F.col("signature").alias("sb"), F.col("weight").alias("wb"))
-    return pairs.join(a, "a").join(b, "b").filter(_plausible()).select("a", "b", _agreement().alias("agree"))
-
-
-def _agreement(a: str = "sa", b: str = "sb") -> Column:
-    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda total, x: total + x)
-
-
-def _plausible(sa: str = "sa", sb: str = "sb", wa: str = "wa", wb: str = "wb") -> Column:
-    sizes = F.least(F.col(wa), F.col(wb)) >= SIMILAR * F.greatest(F.col(wa), F.col(wb))
-    return sizes & (_agreement(sa, sb) >= MIN_AGREE)
+    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x)
+    sizes = F.least("wa", "wb") >= SIMILAR * F.greatest("wa", "wb")
+    joined = pairs.join(a, "a").join(b, "b").filter(sizes).select("a", "b", same.alias("agree"))
+    return joined.filter(F.col("agree") >= MIN_AGREE)
 
 
 def shared_buckets(signed: DataFrame) -> DataFrame:
@@ -266,15 +259,17 @@ def across(members: DataFrame, found: DataFrame, signed: DataFrame, texts_of: Ca
     several = named.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("key")
     open_members = stored(named.join(several, "key").select("key", "band", "rep", "class"))
     units = texts_of(open_members.select("rep").distinct()).mapInArrow(_units, "rep long, units array<int>")
-    about = stored(units.join(signed.select("rep", "weight", "signature", "bands"), "rep"))
-    side = open_members.join(about, "rep").select("key", "band", "rep", "class", "weight", "signature", "bands", "units")
-    x = side.toDF("key", "at", "a", "ca", "wa", "sa", "ba", "ua")
-    y = side.toDF("key_b", "at_b", "b", "cb", "wb", "sb", "bb", "ub")
-    first = F.array_position(F.zip_with("ba", "bb", lambda p, q: p == q), True) == F.col("at") + 1
+    about = stored(units.join(signed.select("rep", "weight", "bands"), "rep"))
+    earlier = F.slice("bands", 1, F.col("band")).alias("earlier")
+    side = open_members.join(about, "rep").select("key", "rep", "class", "weight", earlier, "units")
+    x, y = side.toDF("key", "a", "ca", "wa", "ea", "ua"), side.toDF("key_b", "b", "cb", "wb", "eb", "ub")
+    # No two bands have keys in common, so the pair is new if none of the earlier keys is shared.
+    first = ~F.arrays_overlap("ea", "eb")
+    sizes = F.least("wa", "wb") >= SIMILAR * F.greatest("wa", "wb")
     # One more than counted, as two units may look alike in 32 bits; what leaves is verified.
     both = F.size(F.array_intersect("ua", "ub")) + 1
     similar = both * (1 + SIMILAR) >= SIMILAR * (F.col("wa") + F.col("wb"))
-    return x.join(y, (F.col("key") == F.col("key_b")) & (F.col("ca") < F.col("cb")) & first & _plausible() & similar).select("a", "b")
+    return x.join(y, (F.col("key") == F.col("key_b")) & (F.col("ca") < F.col("cb")) & sizes & first & similar).select("a", "b")
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
