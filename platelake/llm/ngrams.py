@@ -27,7 +27,7 @@ VOCABULARY = 16_384
 UNKNOWN, EDGE = 0, VOCABULARY + 1
 WIDTH = VOCABULARY + 2
 HEAD = 1 << 19
-SHARD_ROWS, SHARDS = 1_000_000, 1024
+SHARD_ROWS, TASK_TOKENS = 1_000_000, 50_000_000
 UNIT = 1 << 20
 FLUSH = 1_500_000
 
@@ -147,11 +147,10 @@ def scored(docs: DataFrame, words: np.ndarray, counts: DataFrame, columns: Seque
     head_counts = [top.column(c).to_numpy().astype(np.float64) for c in columns]
     sent = spark.sparkContext.broadcast((words, head_keys, head_counts))
     rest = tail.count() if top.num_rows == HEAD else 0
-    # A quarter of the shuffle's partitions, as each document has a partial loss from every shard. Only beyond SHARDS is
-    # the model repeated under salts.
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    shards = min(SHARDS, max(tasks, -(-rest // SHARD_ROWS)))
-    salts = -(-tasks // shards)
+    # Shards follow the model, which the vocabulary bounds; beyond that a larger corpus repeats them under salts.
+    tokens = max(totals(counts, c)[0] for c in columns)
+    shards = max(1, -(-rest // SHARD_ROWS))
+    salts = max(1, -(-tokens // (shards * TASK_TOKENS)))
     add = [pa.field(f"loss{m}", pa.list_(pa.int64())) for m in range(models)]
     asked = "shard int, salt int, row array<long>, size array<long>, keys binary, doc_id array<long>, lang array<string>, n_tokens array<long>"
     asked += "".join(f", loss{m} array<long>" for m in range(models))
