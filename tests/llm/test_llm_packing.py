@@ -8,7 +8,7 @@ from cases import documents, edge_docs, no_docs
 from tokenizers import Tokenizer
 
 from platelake.llm import bit_packing as bits
-from platelake.llm import packing, queries
+from platelake.llm import packing, queries, spans
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -116,6 +116,7 @@ def test_image_random_access(monkeypatch):
 
 def test_written_and_read_like_the_tokenizer(spark, monkeypatch):
     monkeypatch.setattr(bits, "IMAGE_IDS", 20_000)
+    monkeypatch.setattr(spans.chunked, "__defaults__", (1 << 16,))
     docs = documents(spark)
     rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
     ids = plain_ids([r["text"] for r in rows])
