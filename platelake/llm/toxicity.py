@@ -214,15 +214,15 @@ def label_model(cast: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.nda
         prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
         chance = np.stack([(kinds * p[None, :, None]).sum(1) + 0.1 for p in (1 - posterior, posterior)])
         chance /= chance.sum(1, keepdims=True)
-        log = np.log(chance[1] / chance[0]) * weight
-        odds = np.log(prior / (1 - prior)) + np.einsum("vrj,vj->r", kinds, log)
-        posterior = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-        if step == ROUNDS // 2:
+        if step in (0, ROUNDS // 2):  # first by the given labels: later, copies of a voter would have bent the classes
             expected = [c[2] - c[0] for c in chance]
             rest = ballots - (1 - posterior)[:, None] * expected[0] - posterior[:, None] * expected[1]
             spread = np.sqrt((rest**2).mean(0)) + 1e-9
             left = (rest.T @ rest) / len(rest) / np.outer(spread, spread)
             weight = 1 / (1 + (np.maximum(np.abs(left) - 0.1, 0).sum(1) - np.maximum(np.abs(np.diag(left)) - 0.1, 0)))
+        log = np.log(chance[1] / chance[0]) * weight
+        odds = np.log(prior / (1 - prior)) + np.einsum("vrj,vj->r", kinds, log)
+        posterior = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
     spoke = np.maximum((ballots != 0).sum(0), 1)
     right = ((ballots == 1) * posterior[:, None] + (ballots == -1) * (1 - posterior)[:, None]).sum(0)
     return posterior, right / spoke, left
