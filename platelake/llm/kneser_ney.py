@@ -14,6 +14,8 @@ and scored each; without held documents nothing is rejected; an empty table give
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,39 +38,44 @@ def discounts(of_counts: np.ndarray) -> np.ndarray:
     return np.clip(found, 0.0, [0.0, 1.0, 2.0, 3.0])
 
 
-def model_tables(counts: DataFrame, known: int) -> tuple[np.ndarray, ...]:
-    """Discounts, totals and interpolation weights by previous token, continuation probabilities, chance of an unknown one."""
-    pairs = counts.filter("key >= 0").select(F.floor(F.col("key") / ngrams.WIDTH).alias("v"), (F.col("key") % ngrams.WIDTH).alias("w"), "n")
+def model_tables(counts: DataFrame, known: int | None = None) -> tuple[DataFrame, np.ndarray, float]:
+    """By token total, interpolation weight and continuation probability; discounts, chance of an unknown token. ``known`` tokens can follow
+    (all that were met, if not given)."""
+    pairs = ngrams.known_pairs(counts).filter("n > 0")
     few = {r["n"]: r["count"] for r in pairs.filter("n <= 4").groupBy("n").count().collect()}
     cut = discounts(np.array([few.get(k, 0) for k in (1, 2, 3, 4)]))
-    kinds = [F.sum((F.col("n") == 1).cast("long")).alias("one"), F.sum((F.col("n") == 2).cast("long")).alias("two"), F.sum((F.col("n") > 2).cast("long")).alias("more")]
-    total, one, two, more = ngrams.by_token(pairs.groupBy("v").agg(F.sum("n").alias("n"), *kinds), "v", ("n", "one", "two", "more"))
-    (contexts,) = ngrams.by_token(pairs.groupBy("w").agg(F.count("*").alias("n")), "w", ("n",))
-    back = (cut[1] * one + cut[2] * two + cut[3] * more) / np.maximum(total, 1)
-    level = np.minimum(contexts, 3).astype(int)
-    low_cut = discounts(np.array([(contexts == k).sum() for k in (1, 2, 3, 4)]))
-    everything = contexts.sum()
-    if everything:
-        low = np.maximum(contexts - low_cut[level], 0) / everything + low_cut[level].sum() / everything / known
+    kinds = [F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long")), F.sum((F.col("n") > 2).cast("long"))]
+    back = sum((float(c) * k for c, k in zip(cut[1:], kinds)), F.lit(0.0)) / F.sum("n")
+    after = pairs.groupBy(F.col("v").alias("token")).agg(F.sum("n").alias("total"), back.alias("back"))
+    # A token that only follows unknown ones is known all the same.
+    met = counts.filter(F.col("w").isNotNull() & (F.col("w") != ngrams.UNKNOWN)).groupBy(F.col("w").alias("token"))
+    times = met.agg(F.sum((F.col("v") != ngrams.UNKNOWN).cast("long")).alias("contexts"), F.sum("n").alias("weight"))
+    tokens = stored(after.join(times, "token", "full").fillna(0))
+    of_contexts = [F.sum((F.col("contexts") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    r = tokens.agg(F.count("*").alias("met"), F.sum("contexts").alias("every"), F.sum((F.col("contexts") > 2).cast("long")).alias("more"), *of_contexts).first()
+    known, every = known or max(r["met"], 1), r["every"] or 0
+    if every:
+        low_cut = discounts(np.array([r[f"n{k}"] for k in (1, 2, 3, 4)]))
+        spare = float(low_cut[1] * r["n1"] + low_cut[2] * r["n2"] + low_cut[3] * r["more"])
+        less = F.element_at(F.array(*[F.lit(float(x)) for x in low_cut]), F.least(F.col("contexts"), F.lit(3)).cast("int") + 1)
+        low = F.greatest(F.col("contexts") - less, F.lit(0.0)) / every + spare / every / known
     else:
-        low = np.full(ngrams.WIDTH, 1 / known)
-    tokens, unknown = ngrams.totals(counts)
-    return cut, total, back, low, np.array((unknown + 1) / (tokens + 2))
+        low = F.lit(1 / known)
+    n, unknown = ngrams.totals(counts)
+    return tokens.select("token", "weight", "total", "back", low.alias("low")), cut, (unknown + 1) / (n + 2)
 
 
-def pair_losses(tables: tuple[np.ndarray, ...]) -> ngrams.Losses:
-    cut, total, back, low, unknown = tables
-    unknown_id = ngrams.UNKNOWN
+def pair_losses(tables: tuple[DataFrame, np.ndarray, float]) -> ngrams.Model:
+    tokens, cut, unknown = tables
 
-    def losses(before: np.ndarray, now: np.ndarray, counts: list[np.ndarray]) -> list[np.ndarray]:
-        n = counts[0]
-        of = total[before]
+    def losses(before: dict, now: dict, known_before: np.ndarray, known_now: np.ndarray, counts: Sequence[np.ndarray]) -> list[np.ndarray]:
+        n, of, low = counts[0], before["total"], now["low"]
         with np.errstate(divide="ignore", invalid="ignore"):
-            high = np.maximum(n - cut[np.minimum(n, 3).astype(int)], 0) / of + back[before] * low[now]
-        p = np.where((of > 0) & (before != unknown_id), high, low[now])
-        return [-np.log(np.where(now == unknown_id, unknown, (1 - unknown) * p))]
+            high = np.maximum(n - cut[np.minimum(n, 3).astype(int)], 0) / of + before["back"] * low
+        p = np.where((of > 0) & known_before, high, low)
+        return [-np.log(np.where(known_now, (1 - unknown) * p, unknown))]
 
-    return losses
+    return ngrams.Model(tokens, ("total", "back", "low"), losses, (0,))
 
 
 def limits(sketch: DataFrame, quantile: float = QUANTILE, min_held: int = MIN_HELD) -> DataFrame:
@@ -90,9 +97,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame, name: str = "doc_id") -> D
     ids = trusted.select(F.col(name).alias("trusted_id")).filter("trusted_id is not null").distinct()
     held = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_PART)) == 0
     learned = stored(ngrams.with_ids(docs, ids.filter(~held), "trusted_id"))
-    words = ngrams.vocabulary(learned)
+    words = None if ngrams.VOCABULARY is None else ngrams.vocabulary(learned)
     counts = stored(ngrams.bigram_counts(learned, words))
-    found = ngrams.scored(texts, words, counts, ("n",), pair_losses(model_tables(counts, len(words) + 1)))
+    found = ngrams.scored(texts, words, counts, ("n",), pair_losses(model_tables(counts)))
     marked = found.join(ids.select(F.col("trusted_id"), held.alias("held")), F.col("doc_id") == F.col("trusted_id"), "left")
     log = F.col("loss0") / (ngrams.UNIT * F.col("n_tokens"))
     rows = stored(marked.select("doc_id", "lang", "n_tokens", log.alias("log"), F.col("held").isNotNull().alias("trusted"), F.coalesce("held", F.lit(False)).alias("held")))

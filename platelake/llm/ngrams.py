@@ -1,114 +1,176 @@
-"""Bigram counts of a corpus over a bounded vocabulary, and losses of documents by joining their bigrams with the counts.
+"""Bigram counts of a corpus over all its words, and losses of documents by joining their bigrams with the counts.
 
-Tokens are the units of a text in small letters. The vocabulary is the ``VOCABULARY`` most frequent; all others are unknown. A bigram is
-a number below 2^32; those with an unknown token are not counted. Counts are ordinary aggregates over the whole corpus, so the number of different
-bigrams is bounded by the vocabulary and not by the data.
+Tokens are the units of a text in small letters, known by a 64-bit hash; a bigram's key is made of the hashes of its two tokens. Every token
+and every bigram is counted by ordinary aggregates, so the tables grow with the data and none of them is held by the driver or by a task.
+A limit on the vocabulary (``VOCABULARY``) is only for models that ask for one; tokens beyond it are unknown.
 
-Scoring never holds a whole model. The ``HEAD`` most frequent bigrams are sent to every task and settled there. All others go, as
-packed arrays of one chunk of documents each, to the shard of the model that has their counts; shards are repeated under as many
-salts as it takes to occupy the cluster, and return one partial loss for each document.
+Scoring starts from the loss that a bigram without an entry has, and adds what its entry says. The ``WORD_HEAD`` most
+frequent tokens and the ``HEAD`` most frequent bigrams are sent to every task and settled there. All other bigrams go, as packed arrays of
+one chunk of documents each, to the shard that has their entries. Bigrams with a token beyond the head get an entry by joins with the tables of
+tokens and bigrams. Shards are sized by the entries beyond the head, and repeated under as many salts as the counted tokens
+need. What is known of a chunk without the shards is a group of its own.
 Losses are whole multiples of 2^-20, so that sums do not depend on the order in which they arrive.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.llm import bloom, spans
 from platelake.llm.shared import stored
 
-VOCABULARY = 16_384
-UNKNOWN, EDGE = 0, VOCABULARY + 1
-WIDTH = VOCABULARY + 2
-HEAD = 1 << 19
-SHARD_ROWS, TASK_TOKENS = 1_000_000, 50_000_000
+VOCABULARY: int | None = None
+UNKNOWN, EDGE = 0, 1
+HEAD, WORD_HEAD = 1 << 19, 1 << 19
+SHARD_ROWS, TASK_TOKENS = 1_000_000, 8_000_000
 UNIT = 1 << 20
 FLUSH = 1_500_000
 
-#: Keys of totals among the counts.
+#: Keys of totals among the counts; those of bigrams are not negative.
 ALL_TOKENS, UNKNOWN_TOKENS = -1, -2
+_POSITIVE = (1 << 63) - 1
 
+Counted = tuple[np.ndarray, ...]
 
-def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums by key over several sorted lists."""
-    keys = np.concatenate([k for k, _ in held])
-    own, inverse = np.unique(keys, return_inverse=True)
-    return own, np.bincount(inverse, weights=np.concatenate([n for _, n in held]), minlength=len(own)).astype(np.int64)
 
+@dataclass
+class Words:
+    """The words of a model: ``rows`` has them all, ``listed`` their sorted hashes if their number is limited."""
 
-def _summed(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """``key, n`` rows of a task, combined before they leave it."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    rows: DataFrame
+    listed: np.ndarray | None
+
+    def __len__(self) -> int:
+        return self.rows.count() if self.listed is None else len(self.listed)
+
+
+def pair_key(before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    v, w = before.view(np.uint64), now.view(np.uint64)
+    return ((v ^ (w << np.uint64(1) | w >> np.uint64(63))) & np.uint64(_POSITIVE)).view(np.int64)
+
+
+def merged(held: list[Counted], names: Sequence[str]) -> Counted:
+    """Sums of the columns ``n..`` by the first, over several lists; other columns follow from the key."""
+    keys, *others = (np.concatenate(c) for c in zip(*held))
+    own, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    summed = [np.bincount(inverse, weights=c, minlength=len(own)).astype(np.int64) if name.startswith("n") else c[index] for name, c in zip(names[1:], others)]
+    return own, *summed
+
+
+def _summed(found: Iterator[Counted], names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task, combined before they leave it."""
+    held: list[Counted] = []
     size = 0
-    for keys, n in found:
-        held.append((keys, n))
-        size += len(keys)
+    for part in found:
+        held.append(part)
+        size += len(part[0])
         if size > FLUSH:
-            held = [merged(held)]
+            held = [merged(held, names)]
             size = len(held[0][0])
             if size > FLUSH // 2:
-                yield pa.RecordBatch.from_pydict({"key": held[0][0].view(np.int64), "n": held[0][1]})
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names)
                 held, size = [], 0
     if held:
-        keys, n = merged(held)
-        yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": n})
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(held, names)], names)
 
 
 def _units(texts: spans.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     texts.data = spans.LOWER[texts.data]
     found = spans.units(texts)
     own, inverse = np.unique(spans.hashes(texts.data, found), return_inverse=True)
-    return own, inverse, found.first
+    return own.view(np.int64), inverse, found.first
 
 
-def vocabulary(texts: DataFrame) -> np.ndarray:
-    """The most frequent words of column ``text``, by hash, sorted."""
+def vocabulary(texts: DataFrame) -> Words:
+    """The words of column ``text``; only the most frequent if ``VOCABULARY`` limits them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def counts() -> Iterator[Counted]:
             for part in spans.chunked(batches, "text"):
                 own, inverse, _ = _units(spans.texts_of(part.column("text")))
                 yield own, np.bincount(inverse, minlength=len(own))
 
-        return _summed(counts())
+        return _summed(counts(), ("key", "n"))
 
     rows = texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    if VOCABULARY is None:
+        return Words(rows, None)
     top = rows.orderBy(F.desc("n"), "key").limit(VOCABULARY).select("key").toArrow()
-    return np.sort(top.column("key").to_numpy().view(np.uint64))
+    return Words(rows, np.sort(top.column("key").to_numpy()))
 
 
-def token_pairs(texts: spans.Texts, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Previous and present token at every place, the end of the text included, and the offsets of the texts."""
+def token_pairs(texts: spans.Texts, listed: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of the texts, the places of the previous and present one among them everywhere, the end of a text included, and
+    the offsets of the texts."""
     own, inverse, first = _units(texts)
-    if len(words):
-        at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-        ids = np.where(words[at] == own, at + 1, UNKNOWN)[inverse]
-    else:
-        ids = np.zeros(len(inverse), np.int64)
-    return np.insert(ids, first[:-1], EDGE), np.insert(ids, first[1:], EDGE), first + np.arange(len(first))
+    tokens = np.concatenate([[EDGE], own if listed is None else np.where(np.isin(own, listed), own, UNKNOWN)])
+    places = inverse + 1
+    return tokens, np.insert(places, first[:-1], 0), np.insert(places, first[1:], 0), first + np.arange(len(first))
 
 
-def bigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """``key, n``: counts of the bigrams of known tokens, and the totals, over column ``text``."""
-    held = texts.sparkSession.sparkContext.broadcast(words)
+def bigram_rows(texts: DataFrame, words: Words | None = None, chosen: Callable[[np.ndarray], np.ndarray] | None = None, marked: str | None = None) -> DataFrame:
+    """``v, w, n``: counts of the bigrams of column ``text``, combined by task, those of the totals with a NULL ``w``; only of bigrams with
+    a ``chosen`` token, or all. ``n_marked`` counts them over the rows where the boolean ``marked`` is true."""
+    listed = None if words is None else words.listed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def counts() -> Iterator[Counted]:
             for part in spans.chunked(batches, "text"):
-                before, now, _ = token_pairs(spans.texts_of(part.column("text")), held.value)
-                known = (before != UNKNOWN) & (now != UNKNOWN)
-                keys, n = np.unique(before[known] * WIDTH + now[known], return_counts=True)
-                totals = np.array([len(now), int((now == UNKNOWN).sum())])
-                yield np.concatenate([[UNKNOWN_TOKENS, ALL_TOKENS], keys]), np.concatenate([totals[::-1], n])
+                tokens, before, now, offsets = token_pairs(spans.texts_of(part.column("text")), listed)
+                codes = before * len(tokens) + now
+                if chosen is not None:
+                    wanted = chosen(tokens)
+                    codes = codes[wanted[before] | wanted[now]]
+                pairs, n = np.unique(codes, return_counts=True)
+                v, w = tokens[pairs // len(tokens)], tokens[pairs % len(tokens)]
+                unknown = tokens[now] == UNKNOWN
+                n = np.concatenate([[len(now), int(unknown.sum())], n])
+                n_marked = np.zeros(len(n), np.int64)
+                if marked is not None:
+                    there = np.repeat(part.column(marked).to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
+                    at, times = np.unique(codes[there], return_counts=True)
+                    n_marked[np.searchsorted(pairs, at) + 2] = times
+                    n_marked[:2] = there.sum(), (unknown & there).sum()
+                none = np.zeros(2, np.int64)
+                keys = np.concatenate([[ALL_TOKENS, UNKNOWN_TOKENS], pair_key(v, w)])
+                yield keys, np.concatenate([none, v]), np.concatenate([none, w]), n_marked, n
+
+        for rows in _summed(counts(), ("key", "v", "w", "n_marked", "n")):
+            total = rows.column("key").to_numpy() < 0
+            v = np.where(total, rows.column("key").to_numpy(), rows.column("v").to_numpy())
+            w = pa.array(rows.column("w").to_numpy(), mask=total)
+            yield pa.RecordBatch.from_arrays([pa.array(v), w, rows.column("n_marked"), rows.column("n")], ["v", "w", "n_marked", "n"])
+
+    found = texts.select("text", *([marked] if marked else [])).mapInArrow(run, "v long, w long, n_marked long, n long")
+    return found if marked else found.drop("n_marked")
+
 
-        return _summed(counts())
+def _key() -> Column:
+    """As ``pair_key``, over columns ``v`` and ``w``."""
+    turned = F.shiftleft("w", 1).bitwiseOR(F.shiftrightunsigned("w", 63))
+    return F.when(F.col("w").isNull(), F.col("v")).otherwise(F.col("v").bitwiseXOR(turned).bitwiseAND(F.lit(_POSITIVE))).alias("key")
 
-    return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """``key, v, w`` and the sums of the counts of ``rows``."""
+    names = [c for c in rows.columns if c not in ("v", "w")]
+    return rows.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in names]).select(_key(), "v", "w", *names)
+
+
+def bigram_counts(texts: DataFrame, words: Words | None = None) -> DataFrame:
+    """``key, v, w, n``: counts of all bigrams, and the totals, over column ``text``."""
+    return grouped(bigram_rows(texts, words))
+
+
+def known_pairs(counts: DataFrame) -> DataFrame:
+    """The bigrams of two known tokens."""
+    return counts.filter(F.col("w").isNotNull() & (F.col("v") != UNKNOWN) & (F.col("w") != UNKNOWN))
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
@@ -118,8 +180,26 @@ def with_ids(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return bloom.matching(texts, F.col("doc_id"), wanted, "wanted_id").select("doc_id", "text")
 
 
-#: Losses of token pairs: previous tokens, present tokens, counts by model -> one array for each model.
-Losses = Callable[[np.ndarray, np.ndarray, Sequence[np.ndarray]], list[np.ndarray]]
+def with_mark(docs: DataFrame, ids: DataFrame, name: str, mark: str) -> DataFrame:
+    """``text`` and the boolean ``mark`` of every document: whether it is in ``ids``; only likely ones are shuffled."""
+    wanted = stored(ids.select(F.col(name).alias("wanted_id")).filter("wanted_id is not null").distinct())
+    texts = bloom.may_be_in(docs.select("doc_id", F.col("text").cast("string").alias("text")), F.col("doc_id"), wanted, "wanted_id", mark)
+    likely = texts.filter(F.col(mark)).drop(mark).join(wanted, F.col("doc_id") == F.col("wanted_id"), "left")
+    return texts.filter(~F.col(mark)).select("text", mark).union(likely.select("text", F.col("wanted_id").isNotNull().alias(mark)))
+
+
+#: Numbers of the previous and of the present tokens, which of either are known, counts by model -> losses in nats by each model.
+Losses = Callable[[dict[str, np.ndarray], dict[str, np.ndarray], np.ndarray, np.ndarray, Sequence[np.ndarray]], list[np.ndarray]]
+
+
+@dataclass
+class Model:
+    """``tokens``: one row ``token, weight`` and numbers ``names`` of each known token; ``plain``: the counts of a bigram without an entry."""
+
+    tokens: DataFrame
+    names: Sequence[str]
+    losses: Losses
+    plain: Sequence[int]
 
 
 def _look_up(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,108 +209,145 @@ def _look_up(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, held[at] == keys
 
 
-def scored(docs: DataFrame, words: np.ndarray, counts: DataFrame, columns: Sequence[str], losses: Losses) -> DataFrame:
+def _exact(losses: list[np.ndarray]) -> list[np.ndarray]:
+    return [np.rint(loss * UNIT).astype(np.int64) for loss in losses]
+
+
+def _numbers(tokens: np.ndarray, held: np.ndarray, numbers: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The numbers of tokens, zero where they are not held, and which are."""
+    at, has = _look_up(tokens, held)
+    return {c: np.where(has, x[at], 0.0) if len(x) else np.zeros(len(tokens)) for c, x in numbers.items()}, has
+
+
+def _marked_entries(rows: DataFrame, names: Sequence[str], columns: Sequence[str], losses: Losses) -> DataFrame:
+    """``key, rank`` and whole losses of bigrams ``v, w``, whose counts and numbers of tokens (``v_..``, ``w_..``) are joined to them."""
+    out = [f"loss{m}" for m in range(len(columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            def column(c: str) -> np.ndarray:
+                return part.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+
+            found = _exact(losses(*({c: column(f"{t}_{c}") for c in names} for t in "vw"), *(column(f"{t}_known") > 0 for t in "vw"), [column(c) for c in columns]))
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("rank"), *map(pa.array, found)], ["key", "rank", *out])
+
+    return rows.mapInArrow(run, "key long, rank long" + "".join(f", {c} long" for c in out))
+
+
+def scored(docs: DataFrame, words: Words | None, counts: DataFrame, columns: Sequence[str], model: Model) -> DataFrame:
     """``doc_id, lang, n_tokens`` and the loss by each model, in 2^-20 nats, of every row of ``doc_id, lang, text``.
 
-    ``counts``: ``key`` and a count for each model; ``losses`` takes counts in the order of ``columns``.
+    ``counts``: ``key, v, w`` and a count for each model, in the order of ``columns``; the last ranks the bigrams.
     """
     spark = docs.sparkSession
-    models = len(columns)
-    total = sum((F.col(c) for c in columns), F.lit(0))
-    ranked = counts.filter("key >= 0").withColumn("total", total)
-    top = ranked.orderBy(F.desc("total"), "key").limit(HEAD).toArrow()
+    listed = None if words is None else words.listed
+    names = [f"loss{m}" for m in range(len(columns))]
+    losses, plain, numbers = model.losses, [float(x) for x in model.plain], list(model.names)
+    beyond = model.tokens.count() > WORD_HEAD
+    held = (model.tokens.orderBy(F.desc("weight"), "token").limit(WORD_HEAD) if beyond else model.tokens).toArrow().sort_by("token")
+    of_words = spark.sparkContext.broadcast((held.column("token").to_numpy(), {c: held.column(c).to_numpy().astype(np.float64) for c in numbers}))
+
+    def extra(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            (v, has_v), (w, has_w) = (_numbers(part.column(t).to_numpy(), *of_words.value) for t in "vw")
+            n = [part.column(c).to_numpy().astype(np.float64) for c in columns]
+            differs = has_v & has_w & np.any([c != x for c, x in zip(n, plain)], axis=0)
+            v, w = ({c: x[differs] for c, x in t.items()} for t in (v, w))
+            n, sure = [c[differs] for c in n], np.ones(int(differs.sum()), bool)
+            with_counts, without = _exact(losses(v, w, sure, sure, n)), _exact(losses(v, w, sure, sure, [np.full(len(sure), x) for x in plain]))
+            kept = [part.column(c).filter(pa.array(differs)) for c in ("key", columns[-1])]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(a - b) for a, b in zip(with_counts, without))], ["key", "rank", *names])
+
+    pairs = counts.filter(F.col("w").isNotNull()).select("key", "v", "w", *columns)
+    entries = pairs.mapInArrow(extra, "key long, rank long" + "".join(f", {c} long" for c in names))
+    if beyond:
+        rare = bigram_rows(docs, words, lambda tokens: ~_look_up(tokens, of_words.value[0])[1])
+        rare = grouped(rare.filter("w is not null")).withColumnRenamed("n", "rank")
+        rare = rare.join(pairs.drop("key"), ["v", "w"], "left")
+        for t in "vw":
+            own = model.tokens.select(F.col("token").alias(t), F.lit(1).alias(f"{t}_known"), *[F.col(c).alias(f"{t}_{c}") for c in numbers])
+            rare = rare.join(own, t, "left")
+        entries = entries.union(stored(_marked_entries(rare.fillna(0), numbers, columns, losses)))
+    top = entries.orderBy(F.desc("rank"), "key").limit(HEAD).toArrow()
     # What comes after the last of the head in the same order.
-    last, last_key = (top.column(c)[-1].as_py() if top.num_rows else 0 for c in ("total", "key"))
-    tail = ranked.filter((F.col("total") < last) | (F.col("total") == last) & (F.col("key") > last_key))
+    last, last_key = (top.column(c)[-1].as_py() if top.num_rows else 0 for c in ("rank", "key"))
+    tail = entries.filter((F.col("rank") < last) | (F.col("rank") == last) & (F.col("key") > last_key))
     top = top.sort_by("key")
-    head_keys = top.column("key").to_numpy()
-    head_counts = [top.column(c).to_numpy().astype(np.float64) for c in columns]
-    sent = spark.sparkContext.broadcast((words, head_keys, head_counts))
+    sent = spark.sparkContext.broadcast((listed, top.column("key").to_numpy(), [top.column(c).to_numpy() for c in names]))
+    # Shards follow the entries beyond the head, salts the tokens that were counted.
     rest = tail.count() if top.num_rows == HEAD else 0
-    # Shards follow the model, which the vocabulary bounds; beyond that a larger corpus repeats them under salts.
-    tokens = max(totals(counts, c)[0] for c in columns)
     shards = max(1, -(-rest // SHARD_ROWS))
-    salts = max(1, -(-tokens // (shards * TASK_TOKENS)))
-    add = [pa.field(f"loss{m}", pa.list_(pa.int64())) for m in range(models)]
-    asked = "shard int, salt int, row array<long>, size array<long>, keys binary, doc_id array<long>, lang array<string>, n_tokens array<long>"
-    asked += "".join(f", loss{m} array<long>" for m in range(models))
+    salts = max(1, -(-max(totals(counts, c)[0] for c in columns) // (shards * TASK_TOKENS)))
+    kinds = {"doc_id": pa.int64(), "lang": pa.string(), "n_tokens": pa.int64()} | {c: pa.int64() for c in names}
+    asked = "shard int, salt long, row array<long>, size array<long>, keys binary, doc_id array<long>, lang array<string>, n_tokens array<long>"
+    asked += "".join(f", {c} array<long>" for c in names)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, known_keys, known_counts = sent.value
+        known_words, known_keys, known_losses = sent.value
         part_id, rows, chunk = TaskContext.get().partitionId(), 0, 0
+        fields = ["shard", "salt", "row", "size", "keys", *kinds]
         for part in spans.chunked(batches, "text"):
-            before, now, offsets = token_pairs(spans.texts_of(part.column("text")), known_words)
-            known = (before != UNKNOWN) & (now != UNKNOWN)
-            keys = before * WIDTH + now
+            tokens, before, now, offsets = token_pairs(spans.texts_of(part.column("text")), known_words)
+            keys = pair_key(tokens[before], tokens[now])
+            numbers_of, has = _numbers(tokens, *of_words.value)
+            v, w = ({c: x[at] for c, x in numbers_of.items()} for at in (before, now))
+            start = _exact(losses(v, w, has[before], has[now], [np.full(len(keys), x) for x in plain]))
+            both = has[before] & has[now]
             at, settled = _look_up(keys, known_keys)
-            settled &= known
-            n = [np.where(settled, c[at], 0.0) if len(c) else np.zeros(len(keys)) for c in known_counts]
-            here = np.flatnonzero(settled | ~known)
-            found = losses(before[here], now[here], [c[here] for c in n])
-            own = []
-            for loss in found:
-                exact = np.zeros(len(keys), np.int64)
-                exact[here] = np.rint(loss * UNIT).astype(np.int64)
-                own.append(spans.per_text(exact, offsets))
-            open_at = np.flatnonzero(known & ~settled)
-            owner = np.searchsorted(offsets, open_at, "right") - 1
-            shard = _shard(keys[open_at], shards)
+            if beyond:  # such a bigram has its whole loss in its entry
+                start = [np.where(both, x, 0) for x in start]
+            else:
+                settled &= both
+            own = [spans.per_text(x + (np.where(settled, c[at], 0) if len(c) else 0), offsets) for x, c in zip(start, known_losses)]
             ids = (np.int64(part_id) << 36) + rows + np.arange(part.num_rows)
-            for s in range(shards):
-                mine = shard == s
-                size = np.bincount(owner[mine], minlength=part.num_rows)
-                named = [ids, size] if s == 0 else [ids[size > 0], size[size > 0]]
-                if s and not len(named[0]):
-                    continue
-                lists = [pa.array([v], pa.list_(pa.int64())) for v in named]
-                info = [part.column("doc_id"), part.column("lang"), np.diff(offsets), *own] if s == 0 else [None] * (3 + models)
-                kinds = [pa.int64(), pa.string(), *[pa.int64()] * (1 + models)]
-                lists_of_info = [_one_list(v, t) for v, t in zip(info, kinds)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([(part_id + chunk) % salts], pa.int32()), *lists,
-                     pa.array([keys[open_at][mine].astype("<u4").tobytes()], pa.binary()), *lists_of_info],
-                    ["shard", "salt", "row", "size", "keys", "doc_id", "lang", "n_tokens", *[f.name for f in add]],
-                )
+            info = [part.column("doc_id"), part.column("lang"), np.diff(offsets), *own]
+            # No shard takes part in this group of one chunk.
+            cells = [pa.array([-1], pa.int32()), pa.array([part_id << 32 | chunk], pa.int64()), _one_list(ids, pa.int64()), _one_list(None, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*cells, *(_one_list(v, t) for v, t in zip(info, kinds.values()))], fields)
+            open_at = np.flatnonzero(~settled if beyond else both & ~settled) if rest else np.zeros(0, np.int64)
+            shard = _shard(keys[open_at], shards)
+            order = np.argsort(shard, kind="stable")  # documents stay in order within a shard
+            found, begin = np.unique(shard[order], return_index=True)
+            for s, mine in zip(found, np.split(open_at[order], begin[1:])):
+                size = np.bincount(np.searchsorted(offsets, mine, "right") - 1, minlength=part.num_rows)
+                cells = [pa.array([s], pa.int32()), pa.array([(part_id + chunk) % salts], pa.int64())]
+                cells += [_one_list(v[size > 0], pa.int64()) for v in (ids, size)] + [pa.array([keys[mine].astype("<i8").tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*cells, *(_one_list(None, t) for t in kinds.values())], fields)
             rows, chunk = rows + part.num_rows, chunk + 1
 
-    answer_fields = ["row", "doc_id", "lang", "n_tokens", *[f.name for f in add]]
-    answer_schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), ("n_tokens", pa.int64()), *[(f.name, pa.int64()) for f in add]])
+    answer_schema = pa.schema([("row", pa.int64()), *kinds.items()])
 
-    def answer(requests: pa.Table, model: pa.Table) -> pa.Table:
-        order = np.argsort(model.column("key").to_numpy(), kind="stable")
-        held = model.column("key").to_numpy()[order]
-        has = [model.column(c).to_numpy()[order].astype(np.float64) for c in columns]
+    def answer(requests: pa.Table, shard: pa.Table) -> pa.Table:
+        order = np.argsort(shard.column("key").to_numpy(), kind="stable")
+        own = shard.column("key").to_numpy()[order]
+        has = [shard.column(c).to_numpy()[order] for c in names]
         tables = []
         for i in range(requests.num_rows):
-            keys = np.frombuffer(requests.column("keys")[i].as_py(), "<u4").astype(np.int64)
-            size = requests.column("size")[i].values.to_numpy()
-            at, hit = _look_up(keys, held)
-            n = [np.where(hit, c[at], 0.0) if len(c) else np.zeros(len(keys)) for c in has]
-            found = losses(keys // WIDTH, keys % WIDTH, n)
-            offsets = np.concatenate([[0], np.cumsum(size)])
-            sums = [spans.per_text(np.rint(loss * UNIT).astype(np.int64), offsets) for loss in found]
-            cells = [requests.column("row")[i].values]
-            for name in ("doc_id", "lang", "n_tokens"):
-                value = requests.column(name)[i]
-                cells.append(value.values if value.is_valid else pa.nulls(len(size), answer_schema.field(name).type))
-            for m, part in enumerate(sums):
-                own = requests.column(f"loss{m}")[i]
-                cells.append(pa.array(part + own.values.to_numpy() if own.is_valid else part))
-            tables.append(pa.table(cells, schema=answer_schema))
+            row = requests.column("row")[i].values
+            if not requests.column("keys")[i].is_valid:
+                cells = [requests.column(c)[i].values for c in kinds]
+            else:
+                at, hit = _look_up(np.frombuffer(requests.column("keys")[i].as_py(), "<i8"), own)
+                offsets = np.concatenate([[0], np.cumsum(requests.column("size")[i].values.to_numpy())])
+                cells = [pa.nulls(len(row), t) for t in list(kinds.values())[:3]] + [pa.array(spans.per_text(np.where(hit, c[at], 0) if len(c) else np.zeros(len(at), np.int64), offsets)) for c in has]
+            tables.append(pa.table([row, *cells], schema=answer_schema))
         return pa.concat_tables(tables) if tables else answer_schema.empty_table()
 
     asks = docs.select("doc_id", "lang", "text").mapInArrow(ask, asked)
-    salted = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    shard_of = F.pmod(F.col("key") * 2654435761, F.lit(1 << 20)) % shards
-    model = tail.select(shard_of.cast("int").alias("shard"), salted.alias("salt"), "key", *columns)
-    spark_schema = ", ".join(f"{f} {'string' if f == 'lang' else 'long'}" for f in answer_fields)
-    answers = asks.groupBy("shard", "salt").cogroup(model.groupBy("shard", "salt")).applyInArrow(answer, spark_schema)
-    whole = answers.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("lang").alias("lang"), F.max("n_tokens").alias("n_tokens"), *[F.sum(f.name).alias(f.name) for f in add])
-    return whole.drop("row")
+    salted = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    shards_of = tail.select(shard_of(F.col("key"), shards).alias("shard"), salted.alias("salt"), "key", *names)
+    spark_schema = ", ".join(f"{f} {'string' if f == 'lang' else 'long'}" for f in answer_schema.names)
+    answers = asks.groupBy("shard", "salt").cogroup(shards_of.groupBy("shard", "salt")).applyInArrow(answer, spark_schema)
+    found = answers.groupBy("row").agg(*[F.max(c).alias(c) for c in ("doc_id", "lang", "n_tokens")], *[F.sum(c).alias(c) for c in names])
+    return found.drop("row")
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (keys * 2654435761 % (1 << 20)) % shards
+    return (keys >> 20) % shards
+
+
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.shiftright(key, 20), F.lit(shards)).cast("int")
 
 
 def _one_list(values: object, kind: pa.DataType) -> pa.Array:
@@ -244,14 +361,3 @@ def totals(counts: DataFrame, column: str = "n") -> tuple[int, int]:
     """Tokens and unknown tokens."""
     found = {r["key"]: r[column] or 0 for r in counts.filter("key < 0").select("key", column).collect()}
     return found.get(ALL_TOKENS, 0), found.get(UNKNOWN_TOKENS, 0)
-
-
-def by_token(rows: DataFrame, token: str, values: Sequence[str]) -> list[np.ndarray]:
-    """Arrays over the vocabulary of aggregates grouped by token; at most one row for each token of the vocabulary."""
-    found = rows.toArrow()
-    out = []
-    for v in values:
-        array = np.zeros(WIDTH)
-        array[found.column(token).to_numpy()] = found.column(v).to_numpy()
-        out.append(array)
-    return out

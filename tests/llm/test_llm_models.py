@@ -158,3 +158,32 @@ def test_edge_rows(spark, operator):
     assert len(found) == docs.count() if operator is cross_entropy.scores else found.doc_id.notna().sum() == docs.count() - 1
     assert operator(no_docs(spark), ids).count() == 0
     assert operator(docs, ids.limit(0)).count() == docs.count()
+
+
+def test_rare_words_are_counted_and_told_apart(spark, monkeypatch):
+    """More different words than any list held: all are counted, and one rare word more or less changes a document's loss."""
+    monkeypatch.setattr(ngrams, "HEAD", 1000)
+    monkeypatch.setattr(ngrams, "SHARD_ROWS", 10_000)
+    name = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(40_000)]
+    rows = [(i, "en", " ".join(name[100 * i : 100 * i + 100])) for i in range(400)]
+    rows += [(400, "en", f"{name[39_999]} {name[0]}"), (401, "en", f"{name[39_998]} {name[39_999]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    counts = ngrams.bigram_counts(docs, ngrams.vocabulary(docs))
+    assert ngrams.totals(counts) == (40_000 + 400 + 4 + 2, 0)
+    assert counts.filter("key >= 0").count() == 400 * 101 + 4
+    target = spark.createDataFrame([(399,)], "doc_id long")
+    found = {r["doc_id"]: r["score"] for r in cross_entropy.scores(docs, target).collect()}
+    assert found[399] < found[401] < found[400] < found[0]
+
+
+def test_words_beyond_the_head(spark, monkeypatch):
+    """Losses are the same where a token's numbers are sent to tasks and where they are joined."""
+    def found():
+        ids = spark.createDataFrame([(1,), (3,)], "doc_id long")
+        return [sorted(map(tuple, operator(corpus(spark), ids).drop("lang", "max_perplexity", "kept").collect())) for operator in (cross_entropy.scores, kneser_ney.perplexities)]
+
+    expected = found()
+    monkeypatch.setattr(ngrams, "WORD_HEAD", 3)
+    monkeypatch.setattr(ngrams, "HEAD", 2)
+    monkeypatch.setattr(ngrams, "SHARD_ROWS", 5)
+    assert found() == expected
