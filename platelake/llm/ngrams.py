@@ -7,7 +7,7 @@ A limit on the vocabulary (``VOCABULARY``) is only for models that ask for one;
 Scoring starts from the loss that a bigram without an entry has, and adds what its entry says. The ``WORD_HEAD`` most
 frequent tokens and the ``HEAD`` most frequent bigrams are sent to every task and settled there. All other bigrams go, as packed arrays of
 one chunk of documents each, to the shard that has their entries. Bigrams with a token beyond the head get an entry by joins with the tables of
-tokens and bigrams. Shards are sized by the entries beyond the head, and repeated under as many salts as the counted tokens
+tokens and bigrams. Shards are sized by the entries beyond the head, and repeated under as many salts as the bytes of the scored documents
 need. What is known of a chunk without the shards is a group of its own.
 Losses are whole multiples of 2^-20, so that sums do not depend on the order in which they arrive.
 """
@@ -29,7 +29,7 @@ from platelake.llm.shared import stored
 VOCABULARY: int | None = None
 UNKNOWN, EDGE = 0, 1
 HEAD, WORD_HEAD = 1 << 19, 1 << 19
-SHARD_ROWS, TASK_TOKENS = 1_000_000, 8_000_000
+SHARD_ROWS, TASK_BYTES = 1_000_000, 48_000_000
 UNIT = 1 << 20
 FLUSH = 1_500_000
 
@@ -274,10 +274,11 @@ def scored(docs: DataFrame, words: Words | None, counts: DataFrame, columns: Seq
     tail = entries.filter((F.col("rank") < last) | (F.col("rank") == last) & (F.col("key") > last_key))
     top = top.sort_by("key")
     sent = spark.sparkContext.broadcast((listed, top.column("key").to_numpy(), [top.column(c).to_numpy() for c in names]))
-    # Shards follow the entries beyond the head, salts the tokens that were counted.
+    # Shards follow the entries beyond the head, salts the documents that are scored.
     rest = tail.count() if top.num_rows == HEAD else 0
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-rest // SHARD_ROWS))
-    salts = max(1, -(-max(totals(counts, c)[0] for c in columns) // (shards * TASK_TOKENS)))
+    salts = max(1, -(-size // (shards * TASK_BYTES)))
     kinds = {"doc_id": pa.int64(), "lang": pa.string(), "n_tokens": pa.int64()} | {c: pa.int64() for c in names}
     asked = "shard int, salt long, row array<long>, size array<long>, keys binary, doc_id array<long>, lang array<string>, n_tokens array<long>"
     asked += "".join(f", {c} array<long>" for c in names)

@@ -176,6 +176,24 @@ def test_rare_words_are_counted_and_told_apart(spark, monkeypatch):
     assert found[399] < found[401] < found[400] < found[0]
 
 
+def test_groups_follow_the_scored_documents(spark, monkeypatch):
+    """Few trusted texts, many documents: the places beyond the head are dealt over salts, and no shard takes the documents' own data."""
+    monkeypatch.setattr(ngrams, "HEAD", 3)
+    monkeypatch.setattr(ngrams, "TASK_BYTES", 1000, raising=False)
+    docs = spark.range(600).selectExpr("id as doc_id", "'en' as lang", "concat('word', char(97 + id % 20), ' and then ', char(97 + id % 7)) as text").repartition(6)
+    groups = []
+    real = ngrams.F.sequence
+
+    def sequence(first, last, *step):
+        groups.append(spark.range(1).select(last).first()[0] + 1)
+        return real(first, last, *step)
+
+    monkeypatch.setattr(ngrams.F, "sequence", sequence)
+    found = kneser_ney.perplexities(docs, spark.createDataFrame([(1,), (2,)], "doc_id long"))
+    assert found.count() == 600
+    assert max(groups) >= 9
+
+
 def test_words_beyond_the_head(spark, monkeypatch):
     """Losses are the same where a token's numbers are sent to tasks and where they are joined."""
     def found():
