@@ -6,8 +6,9 @@ of two classes estimates by expectation maximisation how accurate each voter is,
 unexplained how far voters repeat each other; repeated votes count less. A linear classifier is then trained on the
 posterior labels and scores every whole text.
 
-Counts of terms cover all labelled rows. Lexicon (``VOTERS`` terms out of ``CANDIDATES``) and fitting rows (``FIT_ROWS``,
-chosen by hash) are bounded. Language, source and id are no inputs.
+Counts of terms cover all labelled rows, and every term of the toxic rows is compared with the clean ones. All terms that pass are kept:
+the most telling of each family of beginnings is counted by the patterns, the ``VOTERS`` most telling of these vote by themselves, and
+the others reach the classifier as ``HASHED`` features. Fitting rows (``FIT_ROWS``, chosen by hash) are bounded. Language, source and id are no inputs.
 
 Edge cases: NULL and empty texts have no votes and get the score of such texts; a document with several labels counts
 as toxic if one says so; rows without a label are only scored; without any label every score is 0; equal rows are scored
@@ -29,7 +30,7 @@ from platelake.llm.language_id import fold
 from platelake.llm.shared import stored
 
 PREFIXES = (3, 4, 5, 6, 7)
-VOTERS, CANDIDATES, FIT_ROWS = 64, 20_000, 20_000
+VOTERS, HASHED, FIT_ROWS = 64, 64, 20_000
 MIN_TOXIC, MIN_RATIO = 5, 20.0
 DENSE, SPARSE = 0.005, 0.001
 OFTEN_COUNT, OFTEN_SHARE = 2, 0.004
@@ -41,10 +42,19 @@ OFTEN = np.uint64(1 << 62)
 
 
 @dataclass
-class ToxicityModel:
-    """Packed terms, the weights of the linear classifier, and what the label model found."""
+class Lexicon:
+    """Packed terms, sorted; the feature that each adds to; which stand for their family."""
 
     terms: np.ndarray
+    column: np.ndarray
+    counted: np.ndarray
+
+
+@dataclass
+class ToxicityModel:
+    """The lexicon, the weights of the linear classifier, and what the label model found."""
+
+    lexicon: Lexicon
     weights: np.ndarray
     accuracy: np.ndarray = field(default_factory=lambda: np.zeros(0))
     correlation: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
@@ -76,7 +86,7 @@ def is_often(count: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     return (count >= OFTEN_COUNT) & (count >= OFTEN_SHARE * n_words)
 
 
-def _documents_with(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each term how many texts of the partition hold it; the counts of several chunks are merged on the way."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -90,10 +100,6 @@ def _documents_with(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None
         found, _ = spans.lettered(texts)
         words, inverse = spans.distinct(texts, found)
         term, owner = packed_terms(texts.data, words)
-        if wanted is not None:
-            plain = np.unique(wanted & ~OFTEN)
-            keep = np.isin(term, plain)
-            term, owner = term[keep], owner[keep]
         own, code = np.unique(term, return_inverse=True)
         # The terms of each word, then those of the words of each text; a text counts once for a term.
         order = np.argsort(owner, kind="stable")
@@ -109,7 +115,8 @@ def _documents_with(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None
         text, term = np.divmod(hits, max(len(own), 1))
         often = is_often(total, found.counts()[text])
         held.append((own, np.bincount(term, minlength=len(own)).astype(np.int64)))
-        held.append((own | OFTEN, np.bincount(term[often], minlength=len(own)).astype(np.int64)))
+        n_often = np.bincount(term[often], minlength=len(own)).astype(np.int64)
+        held.append((own[n_often > 0] | OFTEN, n_often[n_often > 0]))
         if sum(len(k) for k, _ in held) > 2_000_000:
             keys, counts = merged()
             yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "n": counts})
@@ -119,88 +126,122 @@ def _documents_with(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None
         yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "n": counts})
 
 
-def lexicon(labelled: DataFrame) -> np.ndarray:
-    """Terms that tell toxic texts: far more frequent there by all labelled rows, the most telling of each family of
-    beginnings."""
+def lexicon(labelled: DataFrame) -> Lexicon:
+    """Terms that tell toxic texts: far more frequent there by all labelled rows."""
     totals = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     schema = "term long, n long"
-    toxic = labelled.filter("toxic = 1").select("text").mapInArrow(lambda b: _documents_with(b, None), schema)
-    top = toxic.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "term").limit(CANDIDATES).toArrow()
-    terms = top.column("term").to_numpy().view(np.uint64)
-    order = np.argsort(terms)
-    terms, with_term = terms[order], top.column("n").to_numpy()[order].astype(float)
-    if not len(terms) or not n0:
-        return np.zeros(0, np.uint64)
-    spread = labelled.sparkSession.sparkContext.broadcast(terms)
-    clean = labelled.filter("toxic = 0").select("text").mapInArrow(lambda b: _documents_with(b, spread.value), schema)
-    rows = clean.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") > 0).toArrow()
-    rows = rows.filter(pa.array(np.isin(rows.column("term").to_numpy().view(np.uint64), terms)))
-    without = np.zeros(len(terms))
-    without[np.searchsorted(terms, rows.column("term").to_numpy().view(np.uint64))] = rows.column("n").to_numpy()
-    ratio = ((with_term + 0.5) / (n1 + 1)) / ((without + 0.5) / (n0 + 1))
-    both = with_term + without
+    toxic = labelled.filter("toxic = 1").select("text").mapInArrow(_documents_with, schema)
+    compared = stored(toxic.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TOXIC))
+    number = compared.count()
+    if not number or not n0:
+        return Lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))
+    clean = labelled.filter("toxic = 0").select("text").mapInArrow(_documents_with, schema)
+    # Only what may be in the table is shuffled.
+    likely = bloom.may_be_in(clean, F.col("term"), compared, "term", "likely").filter("likely")
+    found = compared.withColumnRenamed("n", "toxic").join(likely.groupBy("term").agg(F.sum("n").alias("clean")), "term", "left").fillna(0, ["clean"])
     share = n1 / (n1 + n0)
-    gain = 2 * (with_term * np.log(with_term / (both * share)) + np.where(without > 0, without * np.log(np.maximum(without, 1) / (both * (1 - share))), 0))
-    good = (ratio >= MIN_RATIO) & (gain >= 2 * np.log(len(terms)) + 4)
-    chosen: list[int] = []
-    texts: list[bytes] = []
-    ranked = sorted(np.flatnonzero(good), key=lambda i: (-gain[i], int(terms[i]) >> 56 & 0x0F, int(terms[i])))
+    t, c = F.col("toxic"), F.col("clean")
+    ratio = ((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1))
+    gain = 2 * (t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
+    good = found.select("term", ratio.alias("ratio"), gain.alias("gain")).filter((F.col("ratio") >= MIN_RATIO) & (F.col("gain") >= 2 * np.log(number) + 4))
+    passed = good.select("term", "gain").toArrow()
+    return arranged(passed.column("term").to_numpy().view(np.uint64), passed.column("gain").to_numpy())
+
+
+def arranged(terms: np.ndarray, gain: np.ndarray) -> Lexicon:
+    """All terms that passed; the most telling of each family of beginnings stands for it."""
+    ranked = sorted(range(len(terms)), key=lambda i: (-gain[i], int(terms[i]) >> 56 & 0x0F, int(terms[i])))
+    with np.errstate(over="ignore"):
+        column = VOTERS + (spans.mix(terms) % np.uint64(HASHED)).astype(np.int64)
+    counted = np.zeros(len(terms), bool)
+    bodies: set[bytes] = set()
+    beginnings: set[bytes] = set()
     for i in ranked:
         body, _ = term_text(int(terms[i]))
-        if len(chosen) < VOTERS and not any(body.startswith(t) or t.startswith(body) for t in texts):
-            chosen.append(int(terms[i]))
-            texts.append(body)
-    return np.sort(np.array(chosen, np.uint64))
+        own = {body[:n] for n in range(1, len(body) + 1)}
+        if body in beginnings or own & bodies:
+            continue
+        if len(bodies) < VOTERS:
+            column[i] = len(bodies)
+        counted[i] = True
+        bodies.add(body)
+        beginnings |= own
+    order = np.argsort(terms)
+    return Lexicon(terms[order], column[order], counted[order])
 
 
-def term_counts(texts: spans.Texts, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each text has each term, and its words."""
+def hits(texts: spans.Texts, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, term (its place in the sorted ``terms``) and how often it is there, wherever a term votes; the words of each text."""
     found, _ = spans.lettered(texts)
     words, inverse = spans.distinct(texts, found)
+    n_words = found.counts()
     term, owner = packed_terms(texts.data, words)
-    counts = np.zeros((len(texts), len(terms)), np.int64)
-    if len(terms):
-        at = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
-        hit = terms[at] == term
-        # A word holds few terms: take its occurrences once for each.
-        for rank in range(len(PREFIXES)):
-            own, first = np.unique(owner[hit], return_index=True)
-            if not len(own):
-                break
-            voter = np.full(len(words.start), -1)
-            voter[own] = at[hit][first]
-            here = np.flatnonzero(voter[inverse] >= 0)
-            np.add.at(counts, (np.searchsorted(found.first, here, "right") - 1, voter[inverse[here]]), 1)
-            rest = np.flatnonzero(hit)[first]
-            hit[rest] = False
-    return counts, found.counts()
+    at, hit = _places(terms & ~OFTEN, term)
+    order = np.argsort(owner[hit], kind="stable")
+    plain = at[hit][order]
+    per_word = np.bincount(owner[hit], minlength=len(words.start))
+    begin = np.cumsum(per_word) - per_word
+    wide, size = max(len(words.start), 1), max(len(terms), 1)
+    here = per_word[inverse] > 0
+    pair, seen = np.unique(found.owner()[here] * wide + inverse[here], return_counts=True)
+    text, word = np.divmod(pair, wide)
+    times = per_word[word]
+    places = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begin[word], times)
+    pair, of_pair = np.unique(np.repeat(text, times) * size + plain[places], return_inverse=True)
+    count = np.bincount(of_pair, weights=np.repeat(seen, times), minlength=len(pair)).astype(np.int64)
+    text, plain = np.divmod(pair, size)
+    own = np.unique(terms & ~OFTEN)
+    often = is_often(count, n_words[text])
+    out = []
+    for mark, keep in ((np.uint64(0), np.ones(len(text), bool)), (OFTEN, often)):
+        wanted = (own[plain] if len(own) else np.zeros(0, np.uint64)) | mark
+        place, has = _look_up(terms, wanted)
+        out.append((text[has & keep], place[has & keep], count[has & keep]))
+    return *(np.concatenate(c) for c in zip(*out)), n_words
+
+
+def _look_up(held: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(held):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+    return at, held[at] == wanted
+
+
+def _places(terms: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places among the different ``terms``."""
+    return _look_up(np.unique(terms), wanted)
 
 
 def look(texts: spans.Texts, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each voter counts in each text, and the words of each text."""
-    counts, n_words = term_counts(texts, np.unique(terms & ~OFTEN))
-    return evidence(counts, n_words, terms), n_words
+    """What each term counts in each text, and the words of each text."""
+    text, term, count, n_words = hits(texts, terms)
+    seen = np.zeros((len(texts), len(terms)), np.int64)
+    seen[text, term] = count
+    return seen, n_words
 
 
-def evidence(counts: np.ndarray, n_words: np.ndarray, terms: np.ndarray) -> np.ndarray:
-    """For each voter what it counts in each text; ``counts`` are of the plain terms."""
-    plain = np.unique(terms & ~OFTEN)
-    own = counts[:, np.searchsorted(plain, terms & ~OFTEN)]
-    frequent = (terms & OFTEN) > 0
-    return np.where(~frequent[None, :] | is_often(own, n_words[:, None]), own, 0)
+def evidence(texts: spans.Texts, found: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the counts by feature, then of all families and of different ones; the words of each text."""
+    text, term, count, n_words = hits(texts, found.terms)
+    seen = np.zeros((len(texts), VOTERS + HASHED + 2), np.int64)
+    np.add.at(seen, (text, found.column[term]), count)
+    counted = found.counted[term]
+    np.add.at(seen, (text[counted], VOTERS + HASHED), count[counted])
+    np.add.at(seen, (text[counted], VOTERS + HASHED + 1), 1)
+    return seen, n_words
 
 
 def votes(seen: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    """1 toxic, -1 clean, 0 no vote: each term, then the patterns."""
-    total, kinds = seen.sum(1), (seen > 0).sum(1)
+    """1 toxic, -1 clean, 0 no vote: each voting term, then the patterns over all families."""
+    total, kinds = seen[:, -2], seen[:, -1]
     density = total / np.maximum(n_words, 1)
     patterns = [
         np.where(density >= DENSE, 1, np.where(density < SPARSE, -1, 0)),
         np.where(kinds >= 2, 1, np.where(kinds == 0, -1, 0)),
         np.where(total >= 3, 1, np.where(total <= 1, -1, 0)),
     ]
-    return np.column_stack([(seen > 0).astype(int), *patterns])
+    return np.column_stack([(seen[:, :VOTERS] > 0).astype(int), *patterns])
 
 
 def label_model(cast: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,9 +270,9 @@ def label_model(cast: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def features(seen: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    total, kinds = seen.sum(1), (seen > 0).sum(1)
+    total, kinds = seen[:, -2], seen[:, -1]
     density = 1000 * total / np.maximum(n_words, 1)
-    return np.column_stack([np.log1p(seen), np.log1p(total), kinds, np.log1p(density), np.ones(len(seen))])
+    return np.column_stack([np.log1p(seen[:, :-2]), np.log1p(total), kinds, np.log1p(density), np.ones(len(seen))])
 
 
 def linear_fit(x: np.ndarray, target: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -249,37 +290,38 @@ def linear_fit(x: np.ndarray, target: np.ndarray, ridge: float = 1.0) -> np.ndar
 
 def fit(labelled: DataFrame) -> ToxicityModel:
     """A model from rows ``doc_id, text, toxic``."""
-    terms = lexicon(labelled)
+    words = lexicon(labelled)
+    parts = (words.terms, words.column, words.counted)  # workers need not know the class
     n = labelled.count()
     if not n:
-        return ToxicityModel(terms, np.zeros(0))
+        return ToxicityModel(words, np.zeros(0))
     span = 1 << 40
     chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < F.lit(min(span, span * FIT_ROWS // n)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunked(batches, "text"):
-            seen, n_words = look(spans.texts_of(part.column("text")), terms)
+            seen, n_words = evidence(spans.texts_of(part.column("text")), Lexicon(*parts))
             yield pa.RecordBatch.from_pydict({"toxic": part.column("toxic"), "n_words": n_words, "seen": pa.array([c.astype("<i4").tobytes() for c in seen], pa.binary())})
 
     # The limit holds where one id has very many rows.
     found = chosen.select("text", "toxic").mapInArrow(rows, "toxic int, n_words long, seen binary").orderBy("seen", "n_words", "toxic").limit(2 * FIT_ROWS).toArrow()
-    seen = np.frombuffer(b"".join(found.column("seen").to_pylist()), "<i4").reshape(found.num_rows, len(terms)).astype(np.int64)
+    seen = np.frombuffer(b"".join(found.column("seen").to_pylist()), "<i4").reshape(found.num_rows, VOTERS + HASHED + 2).astype(np.int64)
     n_words, given = found.column("n_words").to_numpy(), found.column("toxic").to_numpy()
     if not found.num_rows:
-        return ToxicityModel(terms, np.zeros(0))
+        return ToxicityModel(words, np.zeros(0))
     posterior, accuracy, left = label_model(votes(seen, n_words), given)
-    return ToxicityModel(terms, linear_fit(features(seen, n_words), posterior), accuracy, left)
+    return ToxicityModel(words, linear_fit(features(seen, n_words), posterior), accuracy, left)
 
 
 def score(docs: DataFrame, model: ToxicityModel, extra: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, further columns, and the probability that the text is toxic."""
-    held = docs.sparkSession.sparkContext.broadcast((model.terms, model.weights))
+    held = docs.sparkSession.sparkContext.broadcast((model.lexicon.terms, model.lexicon.column, model.lexicon.counted, model.weights))
     kept = ["doc_id", *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, weights = held.value
+        *parts, weights = held.value
         for part in spans.chunked(batches, "text"):
-            seen, n_words = look(spans.texts_of(part.column("text")), terms)
+            seen, n_words = evidence(spans.texts_of(part.column("text")), Lexicon(*parts))
             p = 1 / (1 + np.exp(-np.clip(features(seen, n_words) @ weights, -50, 50))) if len(weights) else np.zeros(part.num_rows)
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(p)], [*kept, "score"])
 

@@ -58,3 +58,19 @@ def test_edge_rows(spark):
     assert found.count() == docs.count() and found.filter("score is null or score < 0 or score > 1").count() == 0
     assert toxicity.toxicity(no_docs(spark), labels).count() == 0
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_toxic_words_beyond_any_list_count(spark, monkeypatch):
+    """Rare toxic words behind many common ones, and more families than voters: a text with any of them scores above every clean one."""
+    monkeypatch.setattr(toxicity, "CANDIDATES", 200, raising=False)
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    common = ["c" + "".join(rng.choice(letters, 6)) for _ in range(300)]
+    bad = [f"{a}{b}zz" for a in "qwxyz" for b in letters[:20]]
+    say = lambda n, *more: " ".join([*rng.choice(common, n), *more])
+    rows = [(i, say(40, *(bad[(i + 17 * k) % 100] for k in range(6))), 1) for i in range(100)] + [(i, say(40), 0) for i in range(100, 2000)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    asked = [(i, say(40, *(bad[(i + 13 * k) % 100] for k in range(6)))) for i in range(100)] + [(i, say(40)) for i in range(100, 200)]
+    found = toxicity.score(spark.createDataFrame(asked, "doc_id long, text string"), model).toPandas().set_index("doc_id").score
+    assert found[found.index < 100].min() > found[found.index >= 100].max()
+    assert found[found.index < 100].min() > toxicity.TOXIC_FROM
