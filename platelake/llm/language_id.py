@@ -2,8 +2,8 @@
 
 The subwords of a word are its byte n-grams with both ends marked; each falls into one of ``BUCKETS`` rows of an embedding
 table. A text is the average of its subwords' rows, a linear layer and a softmax give the languages. Both layers are trained
-in numpy by stochastic gradient descent on a bounded sample (``SAMPLE`` documents in all, at most ``PER_LANG`` of a
-language, ``MAX_LANGS`` languages), chosen by a hash over all training rows. On a part of the sample that training does not see, a
+in numpy by stochastic gradient descent on a bounded sample of every language (``SAMPLE`` documents in all, at most ``PER_LANG`` of a
+language, at least one): exactly those with the least hashes of id and text among all training rows. On a part of the sample that training does not see, a
 temperature makes the probabilities honest, and the limit below which a text is rejected is their low quantile.
 Everything is linear up to the softmax, so a text is scored as the sum over its words, each distinct word of a
 batch being looked up once; whole texts are read whatever their length.
@@ -20,17 +20,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from platelake.llm import spans
-from platelake.llm.shared import col, unused
+from platelake.llm.shared import col, stored, unused
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 DIMENSIONS = 16
-SAMPLE, PER_LANG, MAX_LANGS = 2000, 500, 256
+SAMPLE, PER_LANG = 2000, 500
 EPOCHS, BATCH, RATE = 30, 16, 4.0
 REJECT_QUANTILE, REJECT_MOST = 0.001, 0.4
 UNKNOWN = "und"
@@ -39,10 +39,11 @@ SEED = 7
 
 @dataclass
 class LanguageModel:
-    """``table`` holds embedding times linear layer: one row of language scores for each bucket."""
+    """``table`` times ``layer`` has one row of language scores for each bucket; for few languages ``table`` is that by itself."""
 
     langs: list[str]
     table: np.ndarray
+    layer: np.ndarray
     bias: np.ndarray
     temperature: float
     reject_below: float
@@ -132,10 +133,12 @@ def train(langs: list[str], labels: np.ndarray, held: np.ndarray, ids: list[np.n
             layer -= rate / len(part) * hidden.T @ p
             bias -= rate / len(part) * 0.1 * p.sum(0)
             step += 1
-    table = (embedding @ layer).astype(np.float32)
-    model = LanguageModel(langs, table, bias, 1.0, 0.0)
+    table = embedding
+    if k <= DIMENSIONS:
+        table, layer = (embedding @ layer).astype(np.float32), np.eye(k, dtype=np.float32)
+    model = LanguageModel(langs, table, layer, bias, 1.0, 0.0)
     check = np.flatnonzero(held) if held.any() else rows
-    scores = np.stack([shares[i] @ table[ids[i]] + bias for i in check]) if len(check) else np.zeros((0, k))
+    scores = np.stack([shares[i] @ table[ids[i]] @ layer + bias for i in check]) if len(check) else np.zeros((0, k))
     if len(check):
         def loss(t: float) -> float:
             return float(-np.log(np.maximum(softmax(scores / t)[np.arange(len(check)), labels[check]], 1e-12)).mean())
@@ -155,19 +158,20 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
     """A model from the rows with a text and a language."""
-    spark = rows.sparkSession
     labelled = rows.select(col(key).alias("key"), col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not top:
-        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    langs = sorted(r["lang"] for r in top)
-    each = max(1, min(PER_LANG, SAMPLE // len(langs)))
-    span = 1 << 40
-    cuts = F.create_map(*[F.lit(x) for r in top for x in (r["lang"], min(span, span * each // r["count"]))])
-    place = F.pmod(F.xxhash64("key"), F.lit(span))
-    sample = labelled.filter(place < F.element_at(cuts, F.col("lang"))).dropDuplicates()
-    held = (F.pmod(F.xxhash64("key", F.lit("held")), F.lit(5)) == 0).alias("held")
+    n_langs = labelled.select("lang").distinct().count()
+    if not n_langs:
+        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+    each = max(1, min(PER_LANG, SAMPLE // n_langs))
+    # Id and text together, so that rows without an id, or of one id, are chosen among like others.
+    hashed = labelled.withColumn("place", F.xxhash64("key", "text")).withColumn("tie", F.xxhash64("text", F.lit("tie")))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("place", "tie"))
+    least = hashed.select("lang", "place", "tie").distinct().withColumn("nth", order).filter(F.col("nth") <= each).drop("nth")
+    chosen = F.broadcast(stored(least))  # at most ``each`` rows of a language
+    sample = hashed.join(chosen, ["lang", "place", "tie"]).select("lang", "place", "tie", "text").distinct()
+    # Equal texts are on one side.
+    held = (F.pmod(F.xxhash64("tie", F.lit("held")), F.lit(5)) == 0).alias("held")
     found = sample.select("lang", held, "text").mapInArrow(bags, "lang string, held boolean, ids binary, weights binary").toArrow()
     found = found.sort_by([("lang", "ascending"), ("ids", "ascending"), ("weights", "ascending")])
     names = found.column("lang").to_pylist()
@@ -184,13 +188,13 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """``docs`` with the likeliest language, its probability and whether it is too uncertain."""
     # A tuple, as workers need not know the class.
-    held = docs.sparkSession.sparkContext.broadcast((model.langs, model.table, model.bias, model.temperature, model.reject_below))
+    held = docs.sparkSession.sparkContext.broadcast((model.langs, model.table, model.layer, model.bias, model.temperature, model.reject_below))
     # Functions over Arrow batches take no names with dots; the text goes in once.
     kept = [f"c{i}" for i in range(len(docs.columns))]
     source = docs.select(*[col(c).alias("whole_text" if c == text else n) for c, n in zip(docs.columns, kept)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, table, bias, temperature, reject_below = held.value
+        langs, table, layer, bias, temperature, reject_below = held.value
         for part in spans.chunked(batches, "whole_text"):
             texts = spans.texts_of(part.column("whole_text"))
             found, sure = spans.lettered(texts)
@@ -198,11 +202,12 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
             bucket, owner = subwords(texts.data, words)
             grams = np.bincount(owner, minlength=len(words.start))
             n = spans.per_text(grams[inverse], found.first)
-            scores = np.zeros((len(texts), len(langs)))
-            for j in range(len(langs)):
+            sums = np.zeros((len(texts), table.shape[1]))
+            for j in range(table.shape[1]):
                 of_word = np.bincount(owner, weights=table[bucket, j], minlength=len(words.start))
                 total = np.concatenate([[0.0], np.cumsum(of_word[inverse])])[found.first]
-                scores[:, j] = np.diff(total) / np.maximum(n, 1) + bias[j]
+                sums[:, j] = np.diff(total) / np.maximum(n, 1)
+            scores = sums @ layer + bias
             has = _has_letter(part, "whole_text", sure) & bool(langs)
             p = softmax(scores / temperature)
             best = p.argmax(1) if langs else np.zeros(len(texts), int)

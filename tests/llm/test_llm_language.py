@@ -41,3 +41,33 @@ def test_one_language_and_softmax():
     assert np.allclose(language_id.softmax(np.array([[1.0, 1.0], [800.0, 0.0]])), [[0.5, 0.5], [1.0, 0.0]])
     one = language_id.train(["en"], np.zeros(3, int), np.zeros(3, bool), [np.array([1, 2])] * 3, [np.ones(2, "f4")] * 3)
     assert one.langs == ["en"] and one.reject_below <= 0.5
+
+
+def test_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    """Rows without an id, or all of one id, neither flood the sample nor fall on one side of the split."""
+    taken = {}
+
+    def train(langs, labels, held, ids, weights):
+        taken.update(langs=langs, labels=labels, held=held)
+        return real(langs, labels, held, ids, weights)
+
+    real = language_id.train
+    monkeypatch.setattr(language_id, "train", train)
+    monkeypatch.setattr(language_id, "EPOCHS", 1)
+    monkeypatch.setattr(language_id, "SAMPLE", 200)
+    docs = spark.range(6000).selectExpr(
+        "case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end as doc_id",
+        "concat('text number ', conv(id, 10, 26), ' of ', cast(id as string)) as text",
+        "case when id % 2 = 0 then 'aa' else 'bb' end as lang",
+    )
+    language_id.fit(docs)
+    assert taken["langs"] == ["aa", "bb"] and np.bincount(taken["labels"]).tolist() == [100, 100]
+    assert 0.1 < taken["held"].mean() < 0.3
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "EPOCHS", 2)
+    docs = spark.range(900).selectExpr("id as doc_id", "concat('word', cast(id % 300 as string)) as text", "concat('l', cast(id % 300 as string)) as lang")
+    model = language_id.fit(docs)
+    assert len(model.langs) == 300
+    assert language_id.predict(docs, model).count() == 900
