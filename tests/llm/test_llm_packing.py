@@ -137,3 +137,16 @@ def test_bit_packing_edge_rows(spark):
     ends = [r["start"] + r["n_tokens"] for r in found]
     assert [r["start"] for r in found] == [0, *ends[:-1]]
     assert bits.read_documents(bits.written(no_docs(spark), PATH, queries.VOCABULARY)).count() == 0
+
+
+def test_binding_capacities_over_a_whole_table(spark):
+    """Documents and attention limit sequences of a run, and no sequence exceeds either."""
+    docs = documents(spark)
+    tight = packing.Capacity(4096, 8, 1024 * 1024)
+    found = packing.packed(docs, queries.TOKENIZER, tight).toPandas()
+    assert set(found.doc_id) == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    each = found.assign(square=found.length ** 2).groupby("sequence_id").agg(tokens=("length", "sum"), documents=("length", "size"), attention=("square", "sum"))
+    assert (each.tokens <= 4096).all() and (each.documents <= 8).all() and (each.attention <= 1024 * 1024).all()
+    assert (each.documents == 8).any() and (each.attention > 1000 * 1000).any()
+    loose = packing.packed(docs, queries.TOKENIZER).toPandas()
+    assert each.shape[0] > loose.sequence_id.nunique()
