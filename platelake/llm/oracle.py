@@ -119,3 +119,77 @@ select page_id, host, path, rule, canonical,
             when entry is not null then 'block' else 'allow' end as verdict
 from ruled left join listed on canonical = entry
 """
+
+MIXING = r"""
+with recursive rows as (
+  select row_number() over () as r, doc_id, source, coalesce(text, '') as t,
+         cast(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) as bigint) as size,
+         length(regexp_replace(coalesce(text, ''), '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) + 1.0 as letters,
+         length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) + 1.0 as visible
+  from documents
+), keyed as (
+  select *, cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || t), 1, 13) as bigint) as draw,
+         -ln((draw + 0.5::double) / 4503599627370496::double) / pow(letters::double / visible::double, 4) as key
+  from rows
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size, 3 * source_size as cap,
+         [5, 2, 1][cast((row_number() over (order by encode(source) nulls last) - 1) % 3 + 1 as int)] as weight
+  from keyed group by source
+), whole as (select cast(sum(source_size) as bigint) as total, sum(weight) as weights from sources
+), shares as (
+  select total as rest, weights as open_weight, 0 as round from whole
+  union all
+  select total - (select coalesce(sum(cap), 0) from sources where cap < weight * rest / open_weight)::bigint,
+         weights - (select coalesce(sum(weight), 0) from sources where cap < weight * rest / open_weight), round + 1
+  from shares, whole where round < 100 and total > 0
+), aims as (
+  select source, source_size, case when total = 0 then 0.0 when cap < weight * rest / open_weight then cap::double else weight * rest / open_weight end as target,
+         case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as epochs, target - epochs * source_size as budget
+  from sources, whole, (select rest, open_weight from shares order by round desc limit 1)
+), summed as (
+  select r, doc_id, k.source, size, source_size, target, epochs, budget, key,
+         cast(sum(size) over (partition by k.source order by key, doc_id, r rows unbounded preceding) as bigint) as upto
+  from keyed k join aims a on k.source is not distinct from a.source
+), gaps as (
+  select source, any_value(budget) - coalesce(max(upto) filter (where upto <= budget), 0) as missing from summed group by source
+), closers as (
+  select s.source, arg_min(r, row(abs(size - missing), key, doc_id)) as closing
+  from summed s join gaps g on s.source is not distinct from g.source
+  where not upto <= budget and abs(size - missing) < missing group by s.source
+)
+select doc_id, s.source, size, source_size, target,
+       cast(case when size = 0 then 0 else epochs + (upto <= budget or coalesce(closing = r, false))::int end as bigint) as times, size * times as taken
+from summed s left join closers c on s.source is not distinct from c.source
+"""
+
+FILTER_AUDIT = r"""
+with texts as (
+  select row_number() over () as r, doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents
+), marks as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id
+), judged as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+          regexp_matches(t, '[#$%&*|]'), coalesce(texts.doc_id > min(texts.doc_id) over (partition by t), false)] as fails
+  from texts left join marks on texts.doc_id = marks.doc_id
+), counted as (select part, fails, count(*) as n, sum(good) as n_good, sum(toxic) as n_toxic from judged group by all
+), letters as (select unnest(range(1, 6)) as i, unnest(['A', 'B', 'C', 'D', 'E']) as l
+), orders as (
+  select concat(a.l, b.l, c.l, d.l, e.l) as filter_order, [a.i, b.i, c.i, d.i, e.i] as seq
+  from letters a, letters b, letters c, letters d, letters e where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps as (
+  select part, filter_order, step::int as step, seq[step] as f, n, n_good, n_toxic, fails[seq[step]] as here,
+         list_bool_or(list_transform(list_slice(seq, 1, step - 1), lambda i: fails[i])) is true as earlier,
+         len(list_filter(fails, lambda x: x)) as n_fails
+  from counted, orders, range(1, 6) s(step)
+), summed as (
+  select part, filter_order, step, f,
+         sum(case when not here and not earlier then n else 0 end)::bigint as kept, sum(case when here and not earlier then n else 0 end)::bigint as removed,
+         sum(case when here and earlier then n else 0 end)::bigint as redundant, sum(case when here and n_fails = 1 then n else 0 end)::bigint as unique_fails,
+         sum(case when here and not earlier then n_good else 0 end)::bigint as good_lost, sum(case when here and not earlier then n_toxic else 0 end)::bigint as toxic_lost
+  from steps group by part, filter_order, step, f
+)
+select * exclude (f), (sum(removed) over (partition by part, f))::bigint as shapley from summed
+"""

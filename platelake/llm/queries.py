@@ -13,8 +13,11 @@ from platelake.llm import (
     cross_entropy,
     dart_minhash,
     decontaminate,
+    filter_audit,
+    importance,
     kneser_ney,
     language_id,
+    mixing,
     oracle,
     packing,
     quality_rules,
@@ -83,6 +86,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,10 +111,15 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bit_packing,
         op9_toxicity,
         op10_language_id,
+        op11_mixing,
+        op12_importance,
+        op13_filter_audit,
     )
 }
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": oracle.QUALITY_RULES,
     "op3_decontamination": oracle.DECONTAMINATION,
     "op7_url_filter": oracle.URL_FILTER,
+    "op11_mixing": oracle.MIXING,
+    "op13_filter_audit": oracle.FILTER_AUDIT,
 }

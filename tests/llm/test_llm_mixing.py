@@ -1,0 +1,79 @@
+import re
+from collections import Counter
+
+from cases import SF_DIR, SCHEMA, documents, edge_docs, no_docs, same_as_sql
+
+from platelake.llm import mixing, oracle, queries
+
+
+def test_query_like_sql(spark):
+    same_as_sql(spark, queries.op11_mixing, oracle.MIXING, SF_DIR)
+
+
+def plain_targets(sizes):
+    """Sharing by hand: fill the sources that are above their cap, share the rest again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    full, rest = {}, sum(sizes.values())
+    while True:
+        open_ = [s for s in order if s not in full]
+        share = {s: weight[s] * rest / sum(weight[o] for o in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * sizes[s]]
+        if not over:
+            return full | share
+        full |= {s: 3.0 * sizes[s] for s in over}
+        rest -= sum(3 * sizes[s] for s in over)
+
+
+def test_targets_are_reshared(spark):
+    sizes = {"a": 10, "b": 1000, "c": 1, None: 500, "z": 0, "é": 40, "Z": 7}
+    found = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    expected = plain_targets(sizes)
+    assert {r["source"]: r["target"] for r in found} == {s: float(t) for s, t in expected.items()}
+    assert abs(sum(r["target"] for r in found) - sum(sizes.values())) < 1e-6
+
+
+def test_epochs_come_before_the_sample(spark):
+    found = mixing.mixed(documents(spark)).collect()
+    by_source = {}
+    for r in found:
+        assert r["taken"] == r["size"] * r["times"] and r["times"] <= 3
+        by_source.setdefault(r["source"], []).append(r)
+    for rows in by_source.values():
+        epochs = int(rows[0]["target"] // rows[0]["source_size"])
+        assert {r["times"] for r in rows if r["size"]} <= {epochs, epochs + 1}
+        assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) < 0.01 * rows[0]["target"] + 10
+    assert sorted(map(tuple, found)) == sorted(map(tuple, mixing.mixed(documents(spark).repartition(5)).collect()))
+
+
+def test_better_texts_are_repeated_more_often(spark):
+    # Alike in size and number; those of marks have a smaller weight, so fewer of them are sampled.
+    rows = [(i, ("good words here " if i % 2 else "?! 12 .. -- %% 3 ") * 5, "en", "s", 1, "", 1) for i in range(2000)]
+    rows += [(5000 + i, "more words " * 30, "en", "t", 1, "", 1) for i in range(400)]
+    found = mixing.mixed(spark.createDataFrame(rows, SCHEMA), weights=(1, 1)).filter("source = 's'").collect()
+    top = max(r["times"] for r in found)
+    taken = Counter(r["doc_id"] % 2 for r in found if r["times"] == top)
+    assert taken[1] > 1.3 * taken[0] > 0
+
+
+def test_edge_rows(spark):
+    docs = edge_docs(spark)
+    found = mixing.mixed(docs).collect()
+    assert len(found) == docs.count()
+    sizes = Counter()
+    for d in docs.collect():
+        sizes[d["source"]] += len(re.findall(r"[^\x20\x09-\x0D]+", d["text"] or ""))
+    assert all(r["source_size"] == sizes[r["source"]] and 0 <= r["taken"] <= 3 * r["size"] for r in found)
+    assert all(r["taken"] == 0 for r in found if r["doc_id"] in (2, 3, 4))
+    assert mixing.mixed(no_docs(spark)).count() == 0
+    blank = docs.filter("doc_id in (2, 3, 4)")
+    assert {(r["target"], r["taken"]) for r in mixing.mixed(blank).collect()} == {(0.0, 0)}
+
+
+def test_one_source_in_many_tasks(spark):
+    # A hot source and rows that are equal in everything: running sums go on over tasks.
+    docs = spark.range(0, 3000).selectExpr("id % 3 as doc_id", "'same text here' as text", "cast(null as string) as source", "'x' as size", "'y' as target")
+    other = spark.range(5000, 5100).selectExpr("id as doc_id", "'a few other words' as text", "'b' as source", "'x' as size", "'y' as target")
+    found = mixing.mixed(docs.union(other), weights=(5, 1)).toPandas()
+    total = 9000 + 400
+    assert found[found.source == "b"].taken.sum() == 1200 and abs(found[found.source.isna()].taken.sum() - (total - 1200)) <= 1
