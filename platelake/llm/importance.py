@@ -207,7 +207,8 @@ def resampled(docs: DataFrame, target: DataFrame, share: int = SHARE, min_words:
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     h = F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(F.lit(-1000.0) * F.log(-F.log((h + F.lit(0.5)) / F.lit(4294967296.0))))
-    found = scores(docs, gain, key, text).withColumn("score", F.col("weight") + noise)
+    # Written before it is sorted, as a sort reads its rows twice.
+    found = stored(scores(docs, gain, key, text).withColumn("score", F.col("weight") + noise))
     may = F.col("n_words") >= min_words
     placed = numbered(found, may.desc(), F.desc("score"), F.asc_nulls_last("doc_id"), name="place")
     drawn = placed.filter(may).count() * share // 100
