@@ -2,15 +2,15 @@
 
 The filters, by letter: A too few words, B too few different words, C too many capitals, D marks of markup, E a text that a smaller id
 has too (in the whole table, removed or not). The words of all documents form a sparse document-term matrix: a task encodes the
-words of a chunk of texts by a dictionary of its own, the chunks' dictionaries give the global one with a dense
-number for each word, and its numbers replace the chunk's own. The matrix is kept as shards in compressed sparse rows (``indptr``,
+words of a chunk of texts by a dictionary of its own; the chunks' dictionaries meet in parts by the words' hashes, each of which numbers its
+different words; with the sizes of the parts before it these are dense numbers of all words, which replace the chunk's own. The matrix is kept as shards in compressed sparse rows (``indptr``,
 ``indices``, ``counts``); row sums decide A, the numbers of nonzero entries B. The other flags are counted in the same pass and attached.
 
 With the failures of every document known, an order and a step decide what is kept, removed or redundant, so documents are counted by part,
 failures and labels once, and these few counts are spread over the orders.
 
-How it scales: chunks and shards are bounded in bytes; what is shuffled by word is each chunk's dictionary, not the occurrences; a
-group of equal texts is counted per task before it meets its least id.
+How it scales: chunks, shards and parts of the dictionary are bounded; what is shuffled by word is each chunk's dictionary, in blocks, not the
+occurrences; a group of equal texts is counted per task before it meets its least id.
 
 Edge cases: a NULL text is empty; a NULL language is the part ``''``; a NULL id never fails E and is no smaller id; repeated rows are
 documents of their own, and as their ids are equal neither makes the other fail E; a document with several labels has each that
@@ -19,7 +19,7 @@ one of them has; without documents the result is empty; further columns are not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
 
 import numpy as np
@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platelake.llm import spans
-from platelake.llm.ordering import PLACE_BITS, numbered
+from platelake.llm.ordering import PLACE_BITS
 from platelake.llm.shared import col, stored
 
 LETTERS = "ABCDE"
 MIN_WORDS, MIN_DIFFERENT, MAX_CAPITALS = 200, 50, 3  # words; hundredths; hundredths
 MARKS = "#$%&*|"
+#: Words, over all chunks, that one part of the dictionary is made from.
+SLOT_WORDS = 1 << 20
 
 CAPITAL = np.zeros(256, bool)
 CAPITAL[0x41:0x5B] = True
@@ -62,38 +64,99 @@ def _rows_of(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return indptr, cells % width, counts
 
 
+def _bytes(texts: spans.Texts, found: spans.Spans) -> tuple[bytes, bytes]:
+    """The spans' bytes one after the other, and their lengths as little-endian 32-bit numbers."""
+    ends = np.cumsum(found.length)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total) + np.repeat(found.start - (ends - found.length), found.length)
+    return texts.data[at].tobytes(), found.length.astype("<i4").tobytes()
+
+
 def _sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, part, digest, text`` to one row a chunk: its documents, their word counts in the chunk's own codes, its words."""
+    """``doc_id, part, digest, text`` to one row a chunk: its documents, their word counts in the chunk's own codes, its words
+    by hash, which is the order of the codes."""
     shard = TaskContext.get().partitionId() << PLACE_BITS
     for chunk in spans.chunked(batches, "text"):
         texts = spans.texts_of(chunk.column("text"))
         found = spans.words(texts)
         own, codes = spans.distinct(texts, found)
-        raw = texts.data.tobytes()
-        words = pa.array([raw[s : s + n] for s, n in zip(own.start.tolist(), own.length.tolist())], pa.binary())
         data = texts.data[: texts.size]
         flags = [spans.per_text(kind[data], texts.offsets) for kind in (CAPITAL, POINT, MARK)]
         about = [chunk.column("doc_id"), chunk.column("part"), chunk.column("digest"), pa.array(flags[0]), pa.array(flags[1]), pa.array(flags[2] > 0)]
-        indptr, indices, counts = (a.astype("<i4").tobytes() for a in _rows_of(codes, found.first))
-        columns = [pa.array([shard]), *_lists(about, chunk.num_rows), pa.array([indptr]), pa.array([indices]), pa.array([counts]), *_lists([words], len(words))]
-        yield pa.RecordBatch.from_arrays(columns, ["shard", *ABOUT, "indptr", "codes", "counts", "words"])
+        sparse = [a.astype("<i4").tobytes() for a in _rows_of(codes, found.first)]
+        blobs = [pa.array([b], pa.binary()) for b in (*sparse, *_bytes(texts, own))]
+        columns = [pa.array([shard]), *_lists(about, chunk.num_rows), *blobs, pa.array([len(own.start)])]
+        yield pa.RecordBatch.from_arrays(columns, ["shard", *ABOUT, "indptr", "codes", "counts", "words", "lengths", "n_words"])
         shard += 1
 
 
+def _slicer(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``shard, words, lengths`` to a row for each part of the dictionary (the first ``bits`` of a word's hash) that the shard has words of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, words, lengths in zip(*(batch.column(c).to_pylist() for c in ("shard", "words", "lengths"))):
+                length = np.frombuffer(lengths, "<i4").astype(np.int64)
+                ends = np.cumsum(length)
+                data = np.frombuffer(words + bytes(8), np.uint8)
+                h = spans.hashes(data, spans.Spans(ends - length, length, np.array([0, len(length)])))
+                slot = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+                begin = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, np.int64)
+                to = np.append(begin[1:], len(slot))
+                at = np.append(0, ends)
+                parts = [words[at[i] : at[j]] for i, j in zip(begin, to)]
+                sizes = [lengths[4 * i : 4 * j] for i, j in zip(begin, to)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot[begin]), pa.array([shard] * len(begin), pa.int64()), pa.array(parts, pa.binary()), pa.array(sizes, pa.binary())],
+                    ["slot", "shard", "words", "lengths"],
+                )
+
+    return run
+
+
+def _words(words: list[bytes], lengths: list[bytes]) -> pa.Array:
+    offsets = np.append(0, np.cumsum(np.frombuffer(b"".join(lengths), "<i4").astype(np.int64)))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(words))])
+
+
+NUMBERED = "slot long, shard long, numbers binary, words binary, lengths binary, n long"
+
+
+def _numbered(table: pa.Table) -> pa.Table:
+    """One part of the dictionary: its different words (a row without a shard), and for each shard the numbers of its words among them."""
+    table = table.sort_by("shard")
+    slot, lengths = table.column("slot")[0].as_py(), table.column("lengths").to_pylist()
+    found = _words(table.column("words").to_pylist(), lengths).dictionary_encode()
+    number = found.indices.to_numpy().astype("<i4").tobytes()
+    ends = np.cumsum([len(n) for n in lengths])
+    own = found.dictionary
+    size = np.diff(np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1])
+    spoken = b"".join(own.to_pylist())
+    rows = [(slot, s, number[e - len(n) : e], None, None, None) for s, n, e in zip(table.column("shard").to_pylist(), lengths, ends)]
+    rows.append((slot, None, None, spoken, size.astype("<i4").tobytes(), len(own)))
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["slot", "shard", "numbers", "words", "lengths", "n"])
+
+
 def _recoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replaces a shard's codes by the global numbers of its words; they rise within each row."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
-            terms = row.column("terms")[0].values  # NULL for a shard without a word
-            number = np.zeros(0 if terms is None else len(terms), np.int64)
-            if terms is not None:
-                number[terms.field("at").to_numpy()] = terms.field("term").to_numpy()
+            pieces = sorted(row.column("pieces")[0].as_py() or [], key=lambda p: p["slot"])
+            number = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(p["numbers"], "<i4") + np.int64(p["before"]) for p in pieces]])
             indptr, codes, counts = (np.frombuffer(row.column(c)[0].as_py(), "<i4") for c in ("indptr", "codes", "counts"))
             indices = number[codes]
             order = np.lexsort((indices, np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))))
-            stored_as = [row.column("indptr"), pa.array([indices[order].astype("<i8").tobytes()]), pa.array([counts[order].tobytes()])]
-            yield pa.RecordBatch.from_arrays([*(row.column(c) for c in ("shard", *ABOUT)), *stored_as], ["shard", *ABOUT, "indptr", "indices", "counts"])
+            blobs = [pa.array([a[order].tobytes()], pa.binary()) for a in (indices.astype("<i8"), counts)]
+            yield pa.RecordBatch.from_arrays([*(row.column(c) for c in ("shard", *ABOUT, "indptr")), *blobs], ["shard", *ABOUT, "indptr", "indices", "counts"])
+
+
+def _spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for words, lengths, before in zip(*(batch.column(c).to_pylist() for c in ("words", "lengths", "before"))):
+            found = _words([words], [lengths])
+            yield pa.RecordBatch.from_arrays([found.cast(pa.binary()), pa.array(np.arange(len(found)) + before)], ["word", "term"])
 
 
 def matrix(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -103,13 +166,19 @@ def matrix(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str =
     """
     body = F.coalesce(col(text).cast("string"), F.lit("")).alias("text")
     rows = docs.select(col(key).cast("long").alias("doc_id"), F.coalesce(col(part).cast("string"), F.lit("")).alias("part"), body)
-    schema = f"shard long, {ABOUT_SCHEMA}, indptr binary, codes binary, counts binary, words array<binary>"
+    schema = f"shard long, {ABOUT_SCHEMA}, indptr binary, codes binary, counts binary, words binary, lengths binary, n_words long"
     shards = stored(rows.select("doc_id", "part", F.unhex(F.md5("text")).alias("digest"), "text").mapInArrow(_sharded, schema))
-    words = shards.select("shard", F.posexplode("words").alias("at", "word"))
-    dictionary = numbered(words.select("word").distinct(), name="term", first=0)
-    terms = words.join(dictionary, "word").groupBy("shard").agg(F.collect_list(F.struct("at", "term")).alias("terms"))
-    joined = shards.drop("words").join(terms, "shard", "left")
+    # The dictionary in parts by hash, so that each fits a task whatever the corpus.
+    total = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    sliced = shards.select("shard", "words", "lengths").mapInArrow(_slicer((total // SLOT_WORDS).bit_length()), "slot long, shard long, words binary, lengths binary")
+    pieces = stored(sliced.groupBy("slot").applyInArrow(_numbered, NUMBERED))
+    earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part of the dictionary
+    begins = stored(pieces.filter("shard is null").select("slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+    placed = pieces.join(begins, "slot")
+    numbers = placed.filter("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("slot", "before", "numbers")).alias("pieces"))
+    joined = shards.drop("words", "lengths", "n_words").join(numbers, "shard", "left")
     schema = f"shard long, {ABOUT_SCHEMA}, indptr binary, indices binary, counts binary"
+    dictionary = placed.filter("shard is null").select("words", "lengths", "before").mapInArrow(_spoken, "word binary, term long")
     return stored(joined.mapInArrow(_recoded, schema)), dictionary
 
 

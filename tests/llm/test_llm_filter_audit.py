@@ -62,7 +62,8 @@ def test_edge_rows_by_brute_force(spark):
 
 
 def test_matrix_holds_every_word(spark, monkeypatch):
-    shards, dictionary = filter_audit.matrix(documents(spark))
+    monkeypatch.setattr(filter_audit, "SLOT_WORDS", 3000)
+    shards, dictionary = filter_audit.matrix(documents(spark).repartition(5))
     words = {r["term"]: bytes(r["word"]).decode() for r in dictionary.collect()}
     assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
     texts = {r["doc_id"]: r["text"] for r in documents(spark).collect()}
