@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from platelake.functions.numbers import missing_to_null
 from platelake.operators import metadata, readings
 from platelake.sinks import summary, writers
-from platelake.sources import listing, tables, workbooks
+from platelake.sources import listing, tables, walk, workbooks
 
 KEY, BATCH = "CellLine", "Batch"
 
@@ -26,14 +26,17 @@ def read_compound_map(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("ta_id", name, F.col("row").alias("row_no"))
 
 
-def ingest(spark: SparkSession, base: str, out: str) -> DataFrame:
-    """Parse every workbook once into ``out/raw``; later steps read columns of that table, not workbooks.
+def ingest(spark: SparkSession, base: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """List the workbooks once into ``out/files`` and parse every one into ``out/raw``; later steps read these tables.
 
-    Returns the rows as written. Workbooks that cannot be read are the rows with ``error`` set.
+    Returns the manifest and the rows as written. Workbooks and folders that cannot be read are rows with ``error`` set.
     """
-    raw = workbooks.read_summaries(listing.list_batches(spark, base))
-    writers.write_table(raw, f"{out}/raw")
-    return spark.read.schema(raw.schema).parquet(f"{out}/raw")
+    listed, failed = walk.batch_workbooks(spark, base)
+    writers.write_table(listed, f"{out}/files")
+    files = spark.read.schema(listed.schema).parquet(f"{out}/files")
+    raw = workbooks.read_summaries(walk.spread(files))
+    writers.write_table(raw.unionByName(failed, allowMissingColumns=True), f"{out}/raw")
+    return files, spark.read.schema(raw.schema).parquet(f"{out}/raw")
 
 
 def consolidate(
@@ -48,16 +51,15 @@ def consolidate(
 ) -> tuple[DataFrame, list[str]]:
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
-    Tables: ``raw, readings, first_readings, file_counts, rejected_files, rejected_values, consolidated, header_bands,
+    Tables: ``files, raw, readings, first_readings, file_counts, rejected_files, rejected_values, consolidated, header_bands,
     sheet, cells_per_batch, run_summary``. Above ``readings.COLUMN_BLOCK`` compounds the further ones are in
     ``consolidated_2`` and so on, with the same rows; the sheet has them all.
     """
-    raw = ingest(spark, base, out)
+    files, raw = ingest(spark, base, out)
     raw.filter(F.col("error").isNotNull()).select("batch", "path", "error").write.mode("overwrite").json(
         f"{out}/rejected_files"
     )
-    files = listing.list_batches(spark, base).select("batch", "path")
-    writers.write_table(summary.file_counts(files, raw.filter(F.col("error").isNull()), "batch", "path"), f"{out}/file_counts")
+    writers.write_table(summary.file_counts(files.select("batch", "path"), raw.filter(F.col("error").isNull()), "batch", "path"), f"{out}/file_counts")
     # Files in path order, then rows in sheet order.
     in_order = raw.filter(F.col("error").isNull()).withColumn("ord", F.struct("path", "row"))
     mapped = readings.map_compounds(readings.clean_readings(in_order), read_compound_map(spark, compound_list))

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from platelake.functions.markup import payload_text
 from platelake.operators import assets, grid, sections
-from platelake.session import pin
+from platelake.session import staged
 from platelake.sinks import summary, writers
-from platelake.sources import archives, listing, tables, workbooks
-from platelake.sources.listing import literal_path
+from platelake.sources import archives, listing, tables, walk, workbooks
 
 
 def _order(first: DataFrame) -> list[str]:
     """Compounds in plot order from the one workbook in ``first``."""
-    cells = pin(workbooks.read_cells(first).withColumnRenamed("path", "workbook"))
+    cells = staged(workbooks.read_cells(first).withColumnRenamed("path", "workbook"))
     problem = cells.filter(F.col("error").isNotNull()).select("workbook", "error").first()
     if problem is not None:
         raise ValueError(f"{problem['workbook']}: {problem['error']}")
@@ -32,20 +31,19 @@ def _first_path(named: DataFrame, source: str) -> str:
     return path
 
 
-def _from_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame | None, list[str]]:
-    found = listing.list_workbooks(spark, folder)
-    first = _first_path(found.select("cell_line", "path"), folder)
-    # Loaded by its own path, so that only this one file is read.
-    book = spark.read.format("binaryFile").load(literal_path(first))
-    return found, found.select("path"), None, _order(book.select("path", "content"))
+def _from_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    listed, failed = walk.plot_workbooks(spark, folder)
+    first = _first_path(listed.select("cell_line", "path"), folder)
+    book = spark.createDataFrame([(first,)], "path string")  # only this one file is opened
+    return walk.spread(listed), listed.select("path"), failed, _order(book)
 
 
-def _from_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame | None, list[str]]:
-    members, failed = archives.archive_workbooks(spark.read.format("binaryFile").load(literal_path(path)))
+def _from_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    members, failed = archives.archive_workbooks(spark.createDataFrame([(listing.resolved(spark, path),)], "path string"))
     at = archives.member_path()
     first = _first_path(members.select("cell_line", at.alias("path")), path)
-    order = _order(archives.read_archive_workbooks(members.filter(at == first)))
-    return archives.read_archive_workbooks(members), members.select(at.alias("path")), failed, order
+    order = _order(archives.placed_workbooks(members.filter(at == first)))
+    return archives.placed_workbooks(members), members.select(at.alias("path")), failed, order
 
 
 def plot_table(
@@ -58,18 +56,17 @@ def plot_table(
 ) -> list[str]:
     """Write ``report`` (text), ``grid``, ``images``, ``file_counts`` and ``rejected_files`` below ``out``; return the plot order.
 
-    ``source`` is a folder, or a path ending in ``.zip``. ``names`` and ``colors`` are paths of JSON option files.
+    ``source`` is a folder, or an archive: a path ending in ``.zip`` that is no folder. ``names`` and ``colors`` are paths of JSON option files.
     ``pictures`` (``path, member, picture``) gives the drawn form of each image; without it the image's own
     bytes are embedded.
     """
-    read = _from_archive if source.endswith(".zip") else _from_folder
+    read = _from_archive if source.endswith(".zip") and not listing.is_folder(spark, source) else _from_folder
     found, listed, failed, order = read(spark, source)
     # Workbooks are opened once; all that follows starts from the images they gave.
     raw = workbooks.read_images(found, assets.PLACEHOLDER_BYTES, first=len(order))
     writers.write_table(raw, f"{out}/images")
     images = spark.read.schema(raw.schema).parquet(f"{out}/images")
-    rejected = images.filter(F.col("error").isNotNull()).select("path", "error")
-    rejected = rejected if failed is None else rejected.unionByName(failed)
+    rejected = images.filter(F.col("error").isNotNull()).select("path", "error").unionByName(failed)
     rejected.write.mode("overwrite").json(f"{out}/rejected_files")
 
     writers.write_table(summary.file_counts(listed, images.filter(F.col("error").isNull()), "path"), f"{out}/file_counts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,18 +28,34 @@ def recommended_conf() -> dict[str, str]:
     }
 
 
+def gone_at_exit(spark: SparkSession, path: str) -> None:
+    """``path`` goes when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share. Only on a local master, where it is unset, the library makes one."""
     if spark.conf.get(CHECKPOINT_KEY, None) is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
         spark.conf.set(CHECKPOINT_KEY, tempfile.mkdtemp(prefix="platelake-checkpoint-"))
+        gone_at_exit(spark, spark.conf.get(CHECKPOINT_KEY))
     return spark.conf.get(CHECKPOINT_KEY)
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """``df`` as written to the shared checkpoint folder, so that later passes all see the same rows and ids."""
+    """``df`` as written to the shared checkpoint folder, so that later passes all see the same rows in the same order."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: later passes read the columns and rows they need, in any order."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    gone_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

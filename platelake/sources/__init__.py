@@ -2,8 +2,8 @@
 
 from pyspark import cloudpickle
 
-from platelake.sources import archives, workbooks
+from platelake.sources import archives, files, walk, workbooks
 
 # Workers get the readers' code with each task, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(archives)
-cloudpickle.register_pickle_by_value(workbooks)
+for _module in (archives, files, walk, workbooks):
+    cloudpickle.register_pickle_by_value(_module)

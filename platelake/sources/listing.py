@@ -2,14 +2,14 @@
 
 A listing is a scan of a folder and a function over its ``path`` column. ``binaryFile`` reads the content only when the
 ``content`` column is used, so a listing costs no file reads. Names are taken from ``path``, which keeps blanks as they are.
-Spark's readers pass over files whose name starts with ``_`` or ``.``.
+Spark's readers pass over files whose name starts with ``_`` or ``.``; ``walk`` lists them too.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.functions.identifiers import (
@@ -49,6 +49,11 @@ def batch_catalog(workbooks: DataFrame) -> DataFrame:
     return workbooks.groupBy("batch").agg(F.count("*").alias("n_files")).orderBy("batch")
 
 
+def is_plain_folder(name: Column) -> Column:
+    """Folders that hold workbooks to be shown."""
+    return ~name.startswith("__") & ~name.startswith(".")
+
+
 def workbook_files(files: DataFrame, base: str) -> DataFrame:
     """Rows with a ``path`` to the workbooks in ``base`` or a direct subfolder, with ``file_name, cell_line``.
 
@@ -58,7 +63,7 @@ def workbook_files(files: DataFrame, base: str) -> DataFrame:
     below = F.col("path").substr(F.lit(len(root) + 1), F.length("path"))
     folder = F.when(F.instr(below, "/") > 0, F.substring_index(below, "/", 1)).otherwise("")
     depth = F.length(below) - F.length(F.replace(below, F.lit("/"), F.lit("")))
-    inside = F.col("path").startswith(root) & (depth <= 1) & ~folder.startswith("__") & ~folder.startswith(".")
+    inside = F.col("path").startswith(root) & (depth <= 1) & is_plain_folder(folder)
     named = files.filter(inside).withColumn("file_name", file_name_of(F.col("path")))
     return named.filter(is_workbook_name(F.col("file_name"))).withColumn("cell_line", cell_line_of(F.col("file_name"), fallback=True))
 
@@ -70,6 +75,12 @@ def resolved(spark: SparkSession, folder: str) -> str:
     return system.makeQualified(path).toString()
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(place) and system.getFileStatus(place).isDirectory()
+
+
 def list_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Workbooks in ``folder`` and its direct subfolders: ``path, length, content, file_name, cell_line``.
 

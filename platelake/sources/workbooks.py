@@ -1,7 +1,8 @@
 """Cells of spreadsheet files (values only) as rows.
 
 Sheet choice, header lookup, column choice and the row limit happen while a file is read, so only wanted cells leave the
-Python worker and no join or pivot is needed to put a table together again.
+Python worker and no join or pivot is needed to put a table together again. Workbooks are rows that hold their bytes as ``content``, or
+name a ``path`` or a place in an archive; of these only the directory and the parts asked for are read.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from platelake.operators.sections import SECTION_COLUMN, SECTION_SHEETS
-from platelake.sources.archives import explode_bytes, read_members
+from platelake.sources.archives import explode_files, read_members
 
 # The assay sheet, its header row and its columns; the compound list's columns; where images are kept.
 SUMMARY_SHEET = "Summary"
@@ -193,8 +194,8 @@ def read_sheet(
     fields = [T.StructField("row", T.IntegerType())] + [T.StructField(c, T.StringType()) for c in columns]
     headers = list(columns.values())
 
-    def each(content: bytes) -> Iterator[tuple]:
-        with zipfile.ZipFile(io.BytesIO(content)) as book:
+    def each(file: io.IOBase) -> Iterator[tuple]:
+        with zipfile.ZipFile(file) as book:
             parts = _sheet_parts(book)
             part = parts[0][1] if sheet is None else dict(reversed(parts)).get(sheet)
             if part is None:
@@ -215,7 +216,7 @@ def read_sheet(
             if places is None:
                 raise ValueError(f"no column {headers}")
 
-    return explode_bytes(workbooks, keep, fields, each)
+    return explode_files(workbooks, keep, fields, each)
 
 
 def read_cells(
@@ -232,8 +233,8 @@ def read_cells(
     wanted = None if columns is None else frozenset(columns)
     names = tuple(sheets)
 
-    def each(content: bytes) -> Iterator[tuple]:
-        with zipfile.ZipFile(io.BytesIO(content)) as book:
+    def each(file: io.IOBase) -> Iterator[tuple]:
+        with zipfile.ZipFile(file) as book:
             parts = dict(reversed(_sheet_parts(book)))
             name = next((n for n in names if n in parts), None)
             if name is None:
@@ -244,7 +245,7 @@ def read_cells(
                 for column, (text, kind) in values.items():
                     yield name, number, column, text, kind
 
-    return explode_bytes(workbooks, keep, CELL_FIELDS, each)
+    return explode_files(workbooks, keep, CELL_FIELDS, each)
 
 
 def read_summaries(workbooks: DataFrame, keep: Sequence[str] = ("path", "batch", "file_name")) -> DataFrame:

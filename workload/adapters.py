@@ -76,6 +76,15 @@ select concat(case when event_type = 'error' then 'file:/in/' else 'file:/in/__p
 from {events}
 """
 
+# Files to be written: in batch folders, other folders, hidden ones and deeper ones, with names of several kinds.
+FOLDER_FILES = """
+select concat(case s_nationkey % 7 when 0 then '1st cells/' when 1 then '_b [2] cells/' when 2 then 'notes 50%/' when 3 then ''
+                                   when 4 then '.hidden cells/' when 5 then 'a/deep cells/' else '__x cells/' end,
+              case s_suppkey % 4 when 0 then '_' when 1 then '.' when 2 then '~' else '' end, '20260122_S', cast(s_suppkey as string),
+              case s_suppkey % 3 when 0 then '.xlsx' when 1 then '_paste.xlsx' else '_paste.csv' end) as path, s_name as body
+from {supplier}
+"""
+
 # Every supplier has a file in two batches; a file without a small quantity has no row.
 FILE_LIST = """
 select 'A cells' as batch, concat('20260122_S', cast(s_suppkey as string), '_7TA_144H_paste.xlsx') as file_name from {supplier}

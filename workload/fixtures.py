@@ -1,13 +1,14 @@
 """Workbooks and archives made of table rows, so that the readers can be checked against the plain table.
 
-Each Arrow batch becomes small files held in a ``content`` column: no grouping, no shuffle, and no file larger than its
-row limit whatever the data.
+Each Arrow batch becomes small files held in a ``content`` column: no grouping, and no file larger than its row limit
+whatever the data. Rows are dealt out to all tasks first, as a table of one row group would make its files in a single one.
 """
 
 from __future__ import annotations
 
 import io
 import sys
+import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -16,6 +17,9 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platelake.session import gone_at_exit, shared_dir, staged
+from platelake.sources import files
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_FILE = 1000
@@ -56,8 +60,12 @@ def number_cell(number: Column) -> Column:
     return F.concat(F.lit("<c><v>"), number.cast("string"), F.lit("</v></c>"))
 
 
-def to_workbooks(df: DataFrame, cells: dict[str, Column], sheet: str, header_row: int) -> DataFrame:
-    """Rows to ``path, content`` workbooks: a sheet with a header and one row per input row, cells in order."""
+def dealt(df: DataFrame) -> DataFrame:
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def to_workbooks(df: DataFrame, cells: dict[str, Column], sheet: str, header_row: int, before: Sequence[str] = ("Notes",)) -> DataFrame:
+    """Rows to ``path, content`` workbooks: a sheet with a header and one row per input row, cells in order, after empty sheets."""
     header = "".join(f'<c t="inlineStr"><is><t>{n}</t></is></c>' for n in cells)
     head = f'<row r="{header_row}">{header}</row>'
     blank = F.lit("<c/>")
@@ -72,13 +80,13 @@ def to_workbooks(df: DataFrame, cells: dict[str, Column], sheet: str, header_row
                 xml = head + "".join(f'<row r="{header_row + i}">{r}' for i, r in enumerate(held, 1))
                 number += 1
                 path = f"{part:05d}/20260122_B{number}_paste.xlsx"
-                yield pa.RecordBatch.from_pydict({"path": [path], "content": [workbook_bytes({"Notes": "", sheet: xml})]})
+                yield pa.RecordBatch.from_pydict({"path": [path], "content": [workbook_bytes({**dict.fromkeys(before, ""), sheet: xml})]})
 
-    return df.select(body).mapInArrow(run, FILE_SCHEMA)
+    return dealt(df.select(body)).mapInArrow(run, FILE_SCHEMA)
 
 
-def to_archives(df: DataFrame, member: Column, content: Column, folders: Sequence[str]) -> DataFrame:
-    """Rows to ``path, content`` zip files with one member per row, spread over the given inner folders."""
+def to_archives(df: DataFrame, member: Column, content: Column, folders: Sequence[str], methods: Sequence[int] = (zipfile.ZIP_DEFLATED,)) -> DataFrame:
+    """Rows to ``path, content`` zip files with one member per row, spread over the given inner folders and ways of packing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -89,7 +97,23 @@ def to_archives(df: DataFrame, member: Column, content: Column, folders: Sequenc
                 out = io.BytesIO()
                 with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
                     for i, (name, data) in enumerate(zip(held["member"], held["content"])):
-                        archive.writestr(f"{folders[i % len(folders)]}{name}", data)
+                        archive.writestr(f"{folders[i % len(folders)]}{name}", data, methods[i % len(methods)])
                 yield pa.RecordBatch.from_pydict({"path": [f"{part:05d}/{number}.zip"], "content": [out.getvalue()]})
 
-    return df.select(member.alias("member"), content.alias("content")).mapInArrow(run, FILE_SCHEMA)
+    return dealt(df.select(member.alias("member"), content.alias("content"))).mapInArrow(run, FILE_SCHEMA)
+
+
+def to_files(contents: DataFrame) -> tuple[str, DataFrame]:
+    """Rows of ``path, content`` as real files below a new folder of the shared one: that folder, and the files' addresses."""
+    spark = contents.sparkSession
+    base = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    gone_at_exit(spark, base)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = [f"{base}/{p}" for p in batch.column("path").to_pylist()]
+            for path, content in zip(paths, batch.column("content")):
+                files.write_file(path, content.as_py())
+            yield pa.RecordBatch.from_pydict({"path": paths})
+
+    return base, staged(contents.select("path", "content").mapInArrow(run, "path string"))

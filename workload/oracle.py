@@ -505,6 +505,28 @@ ORACLE_SQL: dict[str, str] = {
     "image_ingest": """
         select page_id as image_no, octet_length(encode(html)) as n_bytes, html, cast(null as varchar) as error
         from pages where octet_length(encode(html)) > 3000""",
+    "archive_files": """
+        select concat('P', cast(page_id as varchar)) as cell_line,
+               concat('20260122_P', cast(page_id as varchar), '_7TA_144H_paste.xlsx') as file_name,
+               octet_length(encode(html)) as n_bytes, html, cast(null as varchar) as error
+        from pages where page_id % 5 <> 0 and page_id % 7 <> 0""",
+    "archive_chunks": """
+        select concat('20260122_P', cast(page_id as varchar), '_7TA_144H_paste.xlsx') as file_name, n as chunk_no,
+               substr(hex(encode(html)), 2000 * n + 1, 2000) as content, cast(null as varchar) as error
+        from (select *, unnest(range((octet_length(encode(html)) + 999) // 1000)) as n from pages where page_id % 5 <> 0 and page_id % 7 <> 0)""",
+    "folder_walk": """
+        with named as (
+          select s_nationkey % 7 as place, octet_length(encode(s_name)) as length, s_suppkey,
+                 concat(case s_suppkey % 4 when 0 then '_' when 1 then '.' when 2 then '~' else '' end, '20260122_S', s_suppkey,
+                        case s_suppkey % 3 when 0 then '.xlsx' when 1 then '_paste.xlsx' else '_paste.csv' end) as file_name
+          from supplier where s_suppkey % 4 <> 2 and s_suppkey % 3 <> 2
+        )
+        select case place when 0 then '1st cells' when 1 then '_b [2] cells' when 4 then '.hidden cells' else '__x cells' end as batch,
+               file_name, split_part(file_name, '_', 2) as cell_line, length, 'batch' as kind
+        from named where place in (0, 1, 4, 6)
+        union all
+        select null, file_name, split_part(file_name, '_', 2), length, 'plot' from named where place in (0, 1, 2, 3) and s_suppkey % 3 = 1""",
+    "first_sheet_files": "select s_name as gene, s_acctbal as value, cast(null as varchar) as error from supplier",
     "sheet_lines": with_(
         *TO_FIRST,
         SHEET_WIDE,
@@ -520,3 +542,5 @@ ORACLE_SQL: dict[str, str] = {
         select 2, batch, cell_line, assay_cell_line, concat_ws(',', {SHEET_CELLS}) from consolidated""",
     ),
 }
+# What is written and read back is what the query without files gives.
+ORACLE_SQL["bars_written"] = ORACLE_SQL["bar_ranked"]

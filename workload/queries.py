@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +15,9 @@ from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
 from platelake.operators import grid, metadata, readings, sections
 from platelake.plans.bar_chart import bar_values as values_of
-from platelake.session import pin
-from platelake.sinks import summary
-from platelake.sources import archives, listing, tables, workbooks
+from platelake.session import gone_at_exit, pin, shared_dir
+from platelake.sinks import summary, writers
+from platelake.sources import archives, listing, tables, walk, workbooks
 from workload import adapters, fixtures
 
 BAR_AXIS = bar_ops.AxisBreak(0.0, 2000.0, 6000.0, 8000.0)
@@ -249,13 +250,7 @@ def workbook_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as members of zip files, read back by the workbook name rule; every fifth lies where it must be skipped."""
     pages = adapters.table(spark, sf_dir, "pages")
-    member = F.concat(
-        F.when(F.col("page_id") % 5 == 0, F.lit("__MACOSX/")).otherwise(F.lit("a/b/")),
-        F.lit("20260122_P"),
-        F.col("page_id").cast("string"),
-        F.when(F.col("page_id") % 7 == 0, F.lit("_Summary_paste.xlsx")).otherwise(F.lit("_7TA_144H_paste.xlsx")),
-    )
-    zips = fixtures.to_archives(pages, member, F.encode("html", "UTF-8"), ("", "c/"))
+    zips = fixtures.to_archives(pages, _page_members(), F.encode("html", "UTF-8"), ("", "c/"))
     found = archives.workbook_members(archives.read_members(zips, r"_paste\.xlsx$", ["path"]))
     return found.select(
         "cell_line", "file_name", "n_bytes", F.decode("content", "UTF-8").alias("html"), "error"
@@ -283,6 +278,66 @@ def image_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _page_members() -> Column:
+    return F.concat(
+        F.when(F.col("page_id") % 5 == 0, F.lit("__MACOSX/")).otherwise(F.lit("a/b/")),
+        F.lit("20260122_P"),
+        F.col("page_id").cast("string"),
+        F.when(F.col("page_id") % 7 == 0, F.lit("_Summary_paste.xlsx")).otherwise(F.lit("_7TA_144H_paste.xlsx")),
+    )
+
+
+def _page_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directories of real zip files that hold the pages, packed in four ways."""
+    methods = (archives.STORED, archives.DEFLATED, archives.BZIP2, archives.LZMA)
+    pages = adapters.table(spark, sf_dir, "pages")
+    zips = fixtures.to_archives(pages, _page_members(), F.encode("html", "UTF-8"), ("", "c/", "c/d/"), methods)
+    _, paths = fixtures.to_files(zips)
+    members, _ = archives.archive_workbooks(paths)
+    return members
+
+
+def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages from zip files on disk, by their directories and places."""
+    found = archives.open_members(_page_archives(spark, sf_dir))
+    return found.select("cell_line", "file_name", "n_bytes", F.decode("content", "UTF-8").alias("html"), "error")
+
+
+def archive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same members in chunks of 1,000 bytes."""
+    found = archives.member_chunks(_page_archives(spark, sf_dir), 1000)
+    return found.select("file_name", "chunk_no", F.hex("content").alias("content"), "error")
+
+
+def folder_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real files in folders of several kinds, listed by tasks; names with ``_`` and ``.`` in front are files like others."""
+    named = adapters.view(spark, sf_dir, adapters.FOLDER_FILES).select("path", F.encode("body", "UTF-8").alias("content"))
+    base, paths = fixtures.to_files(named)
+    found, failed = walk.batch_workbooks(spark, base)
+    batches = found.select("batch", "file_name", "cell_line", "length", F.lit("batch").alias("kind"))
+    plots, _ = walk.plot_workbooks(spark, base)
+    plain = plots.select(F.lit(None).alias("batch"), "file_name", "cell_line", "length", F.lit("plot").alias("kind"))
+    return batches.union(plain)
+
+
+def first_sheet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as the first sheet of workbooks on disk, opened by path."""
+    suppliers = adapters.table(spark, sf_dir, "supplier")
+    cells = {"TAA": fixtures.text_cell(F.col("s_name")), "IAA/Receptor": fixtures.number_cell(F.col("s_acctbal"))}
+    _, paths = fixtures.to_files(fixtures.to_workbooks(suppliers, cells, "Any name", 1, before=()))
+    found = workbooks.read_sheet(paths, workbooks.BAR_COLUMNS)
+    return values_of(found).join(found.select("gene", "error"), "gene").select("gene", "value", "error")
+
+
+def bars_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bar table as written and read back."""
+    path = f"{shared_dir(spark)}/bars-{uuid.uuid4().hex}"
+    gone_at_exit(spark, path)
+    table = bar_ops.bar_table(adapters.bars(spark, sf_dir), BAR_AXIS)
+    writers.write_bars(table, path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -319,5 +374,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         archive_ingest,
         cell_ingest,
         image_ingest,
+        archive_files,
+        archive_chunks,
+        folder_walk,
+        first_sheet_files,
+        bars_written,
     )
 }
