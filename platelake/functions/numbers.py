@@ -14,8 +14,7 @@ MISSING_TEXTS = (
 )
 
 # Digits may be grouped by single underscores, which Spark's cast refuses; it would also take "1.0d", "1.0f" and
-# hexadecimal forms. A text with any of the letters below is therefore matched against the full form.
-_DOUBTFUL = "[dDfFxX_]"
+# hexadecimal forms. A text that the cast refuses or that may be one of these is matched against the full form.
 _DIGITS = "[0-9](?:_?[0-9])*"
 NUMBER_FORM = (
     rf"(?i)^[+-]?(?:(?:{_DIGITS}[.]?(?:{_DIGITS})?|[.]{_DIGITS})(?:e[+-]?{_DIGITS})?|inf(?:inity)?|nan)$"
@@ -26,14 +25,27 @@ def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*MISSING_TEXTS), text)
 
 
-def number_of(text: Column) -> Column:
-    """The number a text stands for, any ``>`` left out; NULL when it is not a number.
+def number_core(text: Column) -> Column:
+    """What of a text is to be a number: no ``>``, no spaces after it."""
+    return F.when(text.contains(">"), F.ltrim(F.replace(text, F.lit(">"), F.lit("")))).otherwise(text)
+
+
+def number_of_core(core: Column, cast: Column) -> Column:
+    """The number of a ``number_core``, given also its cast to double; NULL when it is not a number.
 
-    Nearly all readings are plain decimals, which Spark's cast reads just as Python's ``float`` does.
+    Nearly all readings are plain decimals, which Spark's cast reads just as Python's ``float`` does. Their first and last
+    characters show that nothing had to be stripped and that no type letter follows; all others are stripped and meet the pattern.
     """
-    core = strip(F.replace(text, F.lit(">"), F.lit("")))
-    matched = F.replace(F.regexp_extract(core, NUMBER_FORM, 0), F.lit("_"), F.lit(""))
-    return F.when(core.rlike(_DOUBTFUL), matched).otherwise(core).try_cast("double")
+    last = F.right(core, F.lit(1))
+    plain = cast.isNotNull() & (core >= "+") & (core < ":") & last.between(".", "9") & ~core.contains("x") & ~core.contains("X")
+    matched = F.replace(F.regexp_extract(strip(core), NUMBER_FORM, 0), F.lit("_"), F.lit(""))
+    return F.when(plain, cast).otherwise(matched.try_cast("double"))
+
+
+def number_of(text: Column) -> Column:
+    """The number a text stands for, any ``>`` left out; NULL when it is not a number."""
+    core = number_core(text)
+    return number_of_core(core, core.try_cast("double"))
 
 
 def round2(value: Column) -> Column:

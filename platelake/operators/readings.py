@@ -1,22 +1,27 @@
 """Raw assay rows to one reading per cell line, batch and compound, then to the wide table.
 
 Long form throughout: ``batch, cell_line, compound, ic50, max_inhib, ic50_raw, max_inhib_raw, ic50_censored, ord``.
-``ord`` is the reading order: anything that sorts, such as a number or a struct of path and row.
+``ord`` is the reading order, one long (see ``reading_order``): aggregates over plain numbers are hashed, those over structs
+or texts have to be sorted.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.functions.identifiers import cell_line_of, id_tail
-from platelake.functions.numbers import is_censored, missing_to_null, number_of, round2
+from platelake.functions.numbers import is_censored, missing_to_null, number_core, number_of_core, round2
+from platelake.operators.ranking import global_rank
+from platelake.session import staged
 
 KEYS = ("cell_line", "batch", "compound")
 METRICS = ("ic50", "max_inhib")
 COUNTS = ("n_readings", "n_ic50_texts", "n_max_inhib_texts", "n_censored")
-# Compounds in one table; more of them go to further tables with the same rows.
-COLUMN_BLOCK = 2000
+# Bits of a row's number in the reading order: a sheet has at most 2^20 rows.
+ROW_BITS = 21
 
 
 def clean_readings(raw: DataFrame) -> DataFrame:
@@ -33,7 +38,11 @@ def clean_readings(raw: DataFrame) -> DataFrame:
         "ord",
         *[missing_to_null(F.col(f"{m}_raw")).alias(f"{m}_raw") for m in METRICS],
     )
-    numbers = texts.select(*texts.columns, *[number_of(F.col(f"{m}_raw")).alias(f"{m}_number") for m in METRICS])
+    cores = texts.select(*texts.columns, *[number_core(F.col(f"{m}_raw")).alias(f"{m}_core") for m in METRICS])
+    casts = cores.select(*cores.columns, *[F.col(f"{m}_core").try_cast("double").alias(f"{m}_cast") for m in METRICS])
+    numbers = casts.select(
+        *texts.columns, *[number_of_core(F.col(f"{m}_core"), F.col(f"{m}_cast")).alias(f"{m}_number") for m in METRICS]
+    )
     present = numbers.select(
         *keys,
         *[F.when(~F.isnan(f"{m}_number"), F.col(f"{m}_raw")).alias(f"{m}_raw") for m in METRICS],
@@ -85,23 +94,32 @@ def map_compounds(readings: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
+def reading_order(file_no: Column, row: Column) -> Column:
+    """The order of files, then of rows in them, as one long: below the file's number the row's in ``ROW_BITS`` bits."""
+    packed = F.shiftleft(file_no.cast("long"), ROW_BITS).bitwiseOR(row.cast("long"))
+    return F.when((row >= 0) & (row < 1 << ROW_BITS), packed).otherwise(F.raise_error(F.lit("row number beyond the reading order")))
+
+
 def counted_readings(mapped: DataFrame) -> DataFrame:
     """First value per key and metric with the counts of ``COUNTS``, also for readings without a compound.
 
     Values are judged on the raw value and taken by ``ord``. ``<metric>_text`` holds the winner where it is a text; both
-    columns are NULL when the key has no value of that metric at all. Each task combines its rows per key before the
-    shuffle, so a hot key sends one row per task.
+    columns are NULL when the key has no value of that metric at all. First every key is aggregated for each of its few texts, in a
+    hash table that holds numbers only; what is left of the rows is then combined per key, again in each task before
+    the shuffle, so a hot key sends one row per task whatever its texts are.
     """
-    picks = []
-    for metric in METRICS:
-        order = F.when(F.col(f"{metric}_raw").isNotNull(), F.col("ord"))
-        picks.append(F.min_by(F.struct(F.col(metric).alias("number"), F.col(f"{metric}_raw").alias("raw")), order).alias(f"_{metric}"))
-    counts = [F.count("*"), F.count_if(_is_text("ic50")), F.count_if(_is_text("max_inhib")), F.count_if("ic50_censored")]
-    found = mapped.groupBy(*KEYS).agg(*picks, *[c.alias(n) for c, n in zip(counts, COUNTS)])
+    texts = [F.when(_is_text(m), F.col(f"{m}_raw")).alias(f"{m}_text") for m in METRICS]
+    orders = [F.when(F.col(f"{m}_raw").isNotNull(), F.col("ord")).alias(f"{m}_ord") for m in METRICS]
+    rows = mapped.select(*KEYS, *METRICS, *texts, *orders, "ic50_censored")
+    firsts = [c for m in METRICS for c in (F.min_by(m, f"{m}_ord").alias(m), F.min(f"{m}_ord").alias(f"{m}_at"))]
+    has_text = [F.count(f"{m}_text") for m in METRICS]
+    counts = [c.alias(n) for c, n in zip([F.count("*"), *has_text, F.count_if("ic50_censored")], COUNTS)]
+    by_text = rows.groupBy(*KEYS, *[f"{m}_text" for m in METRICS]).agg(*firsts, *counts)
+    picks = [F.min_by(F.struct(F.col(m).alias("number"), F.col(f"{m}_text").alias("text")), f"{m}_at").alias(f"_{m}") for m in METRICS]
+    found = by_text.groupBy(*KEYS).agg(*picks, *[F.sum(c).alias(c) for c in COUNTS])
     columns = []
     for metric in METRICS:
-        number = F.col(f"_{metric}.number")
-        columns += [number.alias(metric), F.when(number.isNull(), F.col(f"_{metric}.raw")).alias(f"{metric}_text")]
+        columns += [F.col(f"_{metric}.number").alias(metric), F.when(F.col(f"_{metric}.number").isNull(), F.col(f"_{metric}.text")).alias(f"{metric}_text")]
     return found.select(*KEYS, *columns, *COUNTS)
 
 
@@ -140,14 +158,18 @@ def compound_columns(first: DataFrame) -> list[str]:
 
 
 def wide_names(compounds: list[str]) -> tuple[list[str], list[str]]:
-    """IC50 and inhibition column names; compounds that differ only in case get their position added, until it is free."""
-    seen: set[str] = set()
+    """IC50 and inhibition column names: of compounds that differ only in case all but the first get their position added, until
+    the name is free."""
+    firsts: dict[str, int] = {}
+    for at, compound in enumerate(compounds):
+        firsts.setdefault(compound.lower(), at)
     labels = []
-    for position, compound in enumerate(compounds, start=1):
+    for at, compound in enumerate(compounds):
         label = compound
-        while label.lower() in seen:
-            label = f"{label}_{position}"
-        seen.add(label.lower())
+        if firsts[compound.lower()] != at:
+            label = f"{compound}_{at + 1}"
+            while label.lower() in firsts:
+                label = f"{label}_{at + 1}"
         labels.append(label)
     return [f"{c}_IC50" for c in labels], [f"{c}_INHIB" for c in labels]
 
@@ -178,19 +200,62 @@ def wide_readings(first: DataFrame, compounds: list[str], names: tuple[list[str]
     )
 
 
-def wide_blocks(first: DataFrame, compounds: list[str], size: int | None = None) -> list[DataFrame]:
-    """The wide table in blocks of columns: every block has all rows, and names are unique over all blocks."""
-    size = size or COLUMN_BLOCK
-    ic50_names, inhib_names = wide_names(compounds)
-    parts = [slice(i, i + size) for i in range(0, len(compounds), size)]
-    return [wide_readings(first, compounds[p], (ic50_names[p], inhib_names[p])) for p in parts]
+def compound_dictionary(first: DataFrame) -> DataFrame:
+    """``compound, ordinal``: compounds with an IC50 value, numbered from 1 in code-point order by a sort over ranges."""
+    names = first.filter(F.col("compound").isNotNull() & has_value("ic50")).select("compound").distinct()
+    return staged(global_rank(names, F.asc("compound"), name="ordinal"))
+
+
+def compound_labels(dictionary: DataFrame) -> DataFrame:
+    """``compound, ordinal, label`` by the rule of ``wide_names``: of compounds that differ only in case all but the first have
+    their position added, until the name is free. The names stay a table."""
+    firsts = dictionary.groupBy(F.lower("compound").alias("low")).agg(F.min("ordinal").alias("least"))
+    named = dictionary.join(firsts, F.lower("compound") == F.col("low"))
+    done = [named.filter("ordinal = least").select("compound", "ordinal", F.col("compound").alias("label"))]
+    further = F.concat_ws("_", "label", "ordinal")
+    left = staged(named.filter("ordinal > least").select("compound", "ordinal", F.col("compound").alias("label")).withColumn("label", further))
+    taken = firsts.select("low")
+    # No two of these can meet, as each name ends in its own position.
+    while not left.isEmpty():
+        done.append(left.join(taken, F.lower("label") == F.col("low"), "left_anti"))
+        left = staged(left.join(taken, F.lower("label") == F.col("low"), "left_semi").withColumn("label", further))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _filled(entries: Column, n: Column, field: str, kind: str) -> Column:
+    """Entries with rising ``ordinal`` to an array of ``n`` values, NULL where there is none; each entry is looked at once."""
+
+    def step(entry, at):
+        gap = entry["ordinal"] - F.coalesce(F.get(entries, at - 1)["ordinal"], F.lit(0)) - 1
+        return F.concat(F.array_repeat(F.lit(None).cast(kind), gap.cast("int")), F.array(entry[field]))
+
+    left = n - F.coalesce(F.get(entries, F.size(entries) - 1)["ordinal"], F.lit(0))
+    rest = F.array(F.array_repeat(F.lit(None).cast(kind), left.cast("int")))
+    return F.flatten(F.concat(F.transform(entries, step), rest))
 
 
-def sheet_cells(first: DataFrame) -> DataFrame:
-    """``cell_line, batch, cells``: compound -> the texts of its two cells, a number or the text that stands for it.
+def dense_readings(first: DataFrame, dictionary: DataFrame, texts: bool = False) -> DataFrame:
+    """``cell_line, batch, ic50, max_inhib`` for each pair with any value: two arrays with a place for each compound of the dictionary.
 
-    A map, as a sheet line needs no table columns; it holds at most one entry per compound.
+    One table whatever the number of compounds; no name is needed to plan it. With ``texts`` the arrays hold what a sheet
+    shows: a number, or the text that stands for it.
     """
-    texts = [F.coalesce(F.col(m).cast("string"), F.col(f"{m}_text")).alias(m) for m in METRICS]
-    entry = F.struct("compound", F.struct(*texts).alias("texts"))
-    return first.filter(has_any_value()).groupBy("cell_line", "batch").agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+    kind = "string" if texts else "double"
+    values = [(F.coalesce(F.col(m).cast("string"), F.col(f"{m}_text")) if texts else F.col(m)).alias(m) for m in METRICS]
+    known = dictionary.select(F.col("compound").alias("_compound"), "ordinal")
+    placed = first.filter(has_any_value()).join(known, F.col("compound") == F.col("_compound"), "left")
+    # An entry without a place is left out, but its line stays.
+    entry = F.when(F.col("ordinal").isNotNull(), F.struct("ordinal", *values))
+    lines = placed.groupBy("cell_line", "batch").agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    n = dictionary.agg(F.count("*")).scalar()
+    sized = lines.withColumn("_n", n)
+    return sized.select("cell_line", "batch", *[_filled(F.col("_entries"), F.col("_n"), m, kind).alias(m) for m in METRICS])
+
+
+def named_columns(dense: DataFrame, compounds: list[tuple[str, int]], names: tuple[list[str], list[str]] | None = None) -> DataFrame:
+    """``dense`` with a column for each of some compounds (name and ordinal) and metric in place of the arrays."""
+    found = names or wide_names([c for c, _ in compounds])
+    columns = [F.get(m, F.lit(at - 1)).alias(n) for m, part in zip(METRICS, found) for n, (_, at) in zip(part, compounds)]
+    at = [i for i, c in enumerate(dense.columns) if c in METRICS]
+    before, after = dense.columns[: at[0]], [c for c in dense.columns[at[0] :] if c not in METRICS]
+    return dense.select(*map(_quoted, before), *columns, *map(_quoted, after))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from platelake.functions.numbers import missing_to_null
 from platelake.operators import metadata, readings
+from platelake.operators.ranking import global_rank
 from platelake.sinks import summary, writers
 from platelake.sources import listing, tables, walk, workbooks
 
@@ -32,13 +33,22 @@ def ingest(spark: SparkSession, base: str, out: str) -> tuple[DataFrame, DataFra
     Returns the manifest and the rows as written. Workbooks and folders that cannot be read are rows with ``error`` set.
     """
     listed, failed = walk.batch_workbooks(spark, base)
-    writers.write_table(listed, f"{out}/files")
-    files = spark.read.schema(listed.schema).parquet(f"{out}/files")
-    raw = workbooks.read_summaries(walk.spread(files))
+    # Files are numbered in path order, so the reading order is a number from the start.
+    numbered = global_rank(listed, F.asc("path"), name="file_no")
+    writers.write_table(numbered, f"{out}/files")
+    files = spark.read.schema(numbered.schema).parquet(f"{out}/files")
+    raw = workbooks.read_summaries(walk.spread(files), keep=("path", "batch", "file_name", "file_no"))
     writers.write_table(raw.unionByName(failed, allowMissingColumns=True), f"{out}/raw")
     return files, spark.read.schema(raw.schema).parquet(f"{out}/raw")
 
 
+def _with_names(dense: DataFrame, labels: DataFrame) -> DataFrame:
+    """``dense`` with a column for each compound and metric."""
+    found = labels.orderBy("ordinal").collect()
+    names = [f"{r['label']}_IC50" for r in found], [f"{r['label']}_INHIB" for r in found]
+    return readings.named_columns(dense, [(r["compound"], r["ordinal"]) for r in found], names)
+
+
 def consolidate(
     spark: SparkSession,
     base: str,
@@ -48,12 +58,14 @@ def consolidate(
     markers: Sequence[str] = metadata.DEFAULT_MARKERS,
     metadata_format: str = "parquet",
     table_format: str = "parquet",
+    named: bool = True,
 ) -> tuple[DataFrame, list[str]]:
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
-    Tables: ``files, raw, readings, first_readings, file_counts, rejected_files, rejected_values, consolidated, header_bands,
-    sheet, cells_per_batch, run_summary``. Above ``readings.COLUMN_BLOCK`` compounds the further ones are in
-    ``consolidated_2`` and so on, with the same rows; the sheet has them all.
+    Tables: ``files, raw, readings, first_readings, file_counts, rejected_files, rejected_values, compounds, consolidated,
+    header_bands, sheet, cells_per_batch, run_summary``. ``consolidated`` has the arrays ``ic50`` and ``max_inhib`` with a place for each
+    of ``compounds``, whatever their number. What is returned shows them as named columns; for more compounds than a plan should have
+    columns, ``named=False`` returns the arrays. As CSV the table always has named columns.
     """
     files, raw = ingest(spark, base, out)
     raw.filter(F.col("error").isNotNull()).select("batch", "path", "error").write.mode("overwrite").json(
@@ -61,7 +73,7 @@ def consolidate(
     )
     writers.write_table(summary.file_counts(files.select("batch", "path"), raw.filter(F.col("error").isNull()), "batch", "path"), f"{out}/file_counts")
     # Files in path order, then rows in sheet order.
-    in_order = raw.filter(F.col("error").isNull()).withColumn("ord", F.struct("path", "row"))
+    in_order = raw.filter(F.col("error").isNull()).withColumn("ord", readings.reading_order(F.col("file_no"), F.col("row")))
     mapped = readings.map_compounds(readings.clean_readings(in_order), read_compound_map(spark, compound_list))
     writers.write_readings(mapped, f"{out}/readings")
     mapped = spark.read.schema(mapped.schema).parquet(f"{out}/readings")
@@ -74,23 +86,25 @@ def consolidate(
     writers.write_table(readings.counted_readings(mapped), f"{out}/first_readings")
     counted = spark.read.parquet(f"{out}/first_readings")
     first = counted.filter(F.col("compound").isNotNull())
-    compounds = readings.compound_columns(first)
-    blocks = []
-    for number, block in enumerate(readings.wide_blocks(first, compounds), start=1):
-        joined = metadata.join_metadata(block, panel, key=KEY, batch=BATCH)
-        path = f"{out}/consolidated" + (f"_{number}" if number > 1 else "")
-        writers.write_wide(metadata.in_report_order(joined, KEY, BATCH), path, table_format)
-        blocks.append(spark.read.schema(joined.schema).format(table_format).option("header", True).load(path))
-    if not blocks:
+    # The compounds' places; from here on they are a table, and so is everything that lists them.
+    dictionary = readings.compound_dictionary(first)
+    if dictionary.isEmpty():
         raise ValueError("no compound has an IC50 value")
-    done = blocks[0]
-
+    writers.write_table(readings.compound_labels(dictionary), f"{out}/compounds")
+    labels = spark.read.parquet(f"{out}/compounds")
     info = [c for c in metadata.INFO_COLUMNS if c != KEY]
-    columns = summary.header_columns(compounds, info, known, (KEY, BATCH))
-    writers.write_table(summary.header_bands(spark, columns), f"{out}/header_bands")
-    cells = metadata.join_metadata(readings.sheet_cells(first), panel, key=KEY, batch=BATCH)
-    writers.write_sheet(summary.sheet_lines(cells, columns, compounds, KEY, BATCH), f"{out}/sheet")
+    writers.write_table(summary.header_table(spark, labels, info, known, (KEY, BATCH)), f"{out}/header_bands")
+    header = spark.read.parquet(f"{out}/header_bands")
+
+    dense = metadata.join_metadata(readings.dense_readings(first, dictionary), panel, key=KEY, batch=BATCH)
+    if table_format != "parquet":  # such files hold no arrays
+        dense = _with_names(dense, labels)
+    writers.write_wide(metadata.in_report_order(dense, KEY, BATCH), f"{out}/consolidated", table_format)
+    done = spark.read.schema(dense.schema).format(table_format).option("header", True).load(f"{out}/consolidated")
+
+    cells = metadata.join_metadata(readings.dense_readings(first, dictionary, texts=True), panel, key=KEY, batch=BATCH)
+    writers.write_sheet(summary.sheet_lines(cells, header, [KEY, BATCH, *info, *known], KEY, BATCH), f"{out}/sheet")
     lines = done.select(KEY, BATCH)
     writers.write_table(metadata.cells_per_batch(lines, KEY, BATCH), f"{out}/cells_per_batch")
-    writers.write_table(summary.run_summary(counted, lines, len(columns), KEY), f"{out}/run_summary")
-    return done, unknown
+    writers.write_table(summary.run_summary(counted, lines, header, KEY), f"{out}/run_summary")
+    return (_with_names(done, labels) if named and table_format == "parquet" else done), unknown

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
-import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -51,44 +48,50 @@ def header_bands(spark: SparkSession, columns: Sequence[HeaderColumn]) -> DataFr
     return spark.createDataFrame(list(columns), BAND_SCHEMA)
 
 
+def header_table(spark: SparkSession, labels: DataFrame, info: Sequence[str], markers: Sequence[str], keys: Sequence[str] = ("CellLine", "Batch")) -> DataFrame:
+    """The same header from a table of compounds (see ``readings.compound_labels``), whatever their number."""
+    fixed = header_columns([], info, markers, keys)
+    counted = labels.withColumn("n", labels.agg(F.count("*")).scalar())
+    rows = header_bands(spark, fixed)
+    for place, (band, ending) in enumerate(zip(BANDS[2:], ("_IC50", "_INHIB"))):
+        start = F.lit(len(fixed) + 1) + place * F.col("n")
+        rows = rows.union(
+            counted.select(
+                (start + F.col("ordinal") - 1).cast("int"),
+                F.concat("label", F.lit(ending)),
+                "compound",
+                F.lit(band),
+                start.cast("int"),
+                (start + F.col("n") - 1).cast("int"),
+            )
+        )
+    return rows
+
+
 def csv_cell(text: Column) -> Column:
     """A CSV cell, in quotes where it has to be; missing values are blank."""
     quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
     return F.coalesce(F.when(text.rlike('[",\\r\\n]'), quoted).otherwise(text), F.lit(""))
 
 
-def _csv_line(values: Sequence[str]) -> str:
-    out = io.StringIO()
-    csv.writer(out, lineterminator="").writerow(values)
-    return out.getvalue()
-
+def _header_line(header: DataFrame, section: int, text: Column) -> DataFrame:
+    """One line of the sheet from all rows of the header."""
+    cells = F.sort_array(F.collect_list(F.struct("ordinal", csv_cell(text).alias("text"))))
+    return header.agg(F.array_join(F.transform(cells, lambda c: c["text"]), ",").alias("line")).select(F.lit(section).alias("section"), "line")
 
-def _cells_of(order: Column, metric: str) -> Column:
-    return F.transform(order, lambda c: csv_cell(F.try_element_at("cells", c)[metric]))
 
-
-def sheet_lines(
-    joined: DataFrame,
-    columns: Sequence[HeaderColumn],
-    compounds: Sequence[str],
-    key: str = "CellLine",
-    batch: str = "Batch",
-) -> DataFrame:
+def sheet_lines(joined: DataFrame, header: DataFrame, first: Sequence[str], key: str = "CellLine", batch: str = "Batch") -> DataFrame:
     """``section, batch, cell_line, assay_cell_line, line``: CSV lines with both header rows, then the data.
 
-    ``joined`` has ``cells`` (see ``readings.sheet_cells``) beside the metadata: a cell shows its number, or the text that
-    was found in place of one. Lines are made from a list of compounds, so there is no limit to their number.
+    ``joined`` has the texts of ``readings.dense_readings`` beside the metadata; ``header`` is the table of columns, ``first`` names
+    those before the compounds. Header and lines are made from tables, so there is no limit to the number of compounds.
     """
-    bands = [c.band if c.ordinal == c.start_col else "" for c in columns]
-    heads = [(0, _csv_line(bands)), (1, _csv_line([c.label for c in columns]))]
     none = F.lit(None).cast("string")
-    header = joined.sparkSession.createDataFrame(heads, "section int, line string")
-    top = header.select("section", none.alias("batch"), none.alias("cell_line"), none.alias("assay_cell_line"), "line")
-    first = [c for c in columns if c.band not in BANDS[2:]]
-    # One literal, however long the list is.
-    order = F.from_json(F.lit(json.dumps(list(compounds))), "array<string>")
-    cells = [csv_cell(F.col("`" + c.column_name.replace("`", "``") + "`").cast("string")) for c in first]
-    cells += [F.array_join(_cells_of(order, m), ",") for m in METRICS]
+    top = _header_line(header, 0, F.when(F.col("ordinal") == F.col("start_col"), F.col("band")).otherwise(F.lit("")))
+    top = top.union(_header_line(header, 1, F.col("label")))
+    top = top.select("section", none.alias("batch"), none.alias("cell_line"), none.alias("assay_cell_line"), "line")
+    cells = [csv_cell(F.col("`" + c.replace("`", "``") + "`").cast("string")) for c in first]
+    cells += [F.array_join(F.transform(F.col(m), csv_cell), ",") for m in METRICS]
     body = joined.select(
         F.lit(2).alias("section"),
         F.col(batch).alias("batch"),
@@ -99,12 +102,13 @@ def sheet_lines(
     return top.unionByName(body)
 
 
-def run_summary(counted: DataFrame, joined: DataFrame, n_columns: int, key: str = "cell_line") -> DataFrame:
+def run_summary(counted: DataFrame, joined: DataFrame, n_columns: int | DataFrame, key: str = "cell_line") -> DataFrame:
     """One row of counts: input batches, cell lines, readings and texts; output rows, matched rows, compounds.
 
     ``counted`` holds the counts per cell line, batch and compound that were made with the first readings; ``joined`` is
-    one row per output row.
+    one row per output row; ``n_columns`` the number of output columns, or the table of them.
     """
+    columns = F.lit(n_columns) if isinstance(n_columns, int) else n_columns.agg(F.count("*").cast("int")).scalar()
     per_line = counted.groupBy("batch", "cell_line").agg(*[F.sum(c).alias(c) for c in COUNTS])
     sums = [F.sum(c).alias(c) for c in COUNTS]
     counts = per_line.agg(*sums, F.count_distinct("batch").alias("n_batches"), F.count("*").alias("n_cell_lines"))
@@ -113,7 +117,7 @@ def run_summary(counted: DataFrame, joined: DataFrame, n_columns: int, key: str
     one = [counts, compounds.agg(F.count("*").alias("n_compounds")), out]
     structs = [df.select(F.struct(*df.columns).alias("s")).scalar().alias(f"s{i}") for i, df in enumerate(one)]
     row = counted.sparkSession.range(1).select(*structs)
-    return row.select(*[f"s{i}.*" for i in range(len(one))], F.lit(n_columns).alias("n_columns"))
+    return row.select(*[f"s{i}.*" for i in range(len(one))], columns.alias("n_columns"))
 
 
 def file_counts(files: DataFrame, rows: DataFrame, *keys: str) -> DataFrame:

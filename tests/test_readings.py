@@ -1,3 +1,4 @@
+import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
@@ -99,25 +100,51 @@ def test_long_map_joins_the_same_without_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def sheet_of(spark, first):
+    dictionary = readings.compound_dictionary(first)
+    header = summary.header_table(spark, readings.compound_labels(dictionary), [], [], ("cell_line", "batch"))
+    cells = readings.dense_readings(first, dictionary, texts=True).withColumn("assay_cell_line", F.col("cell_line"))
+    lines = summary.sheet_lines(cells, header, ("cell_line", "batch"), "cell_line", "batch")
+    return [r["line"] for r in lines.orderBy("section").collect()]
+
+
 def test_ten_thousand_compounds_are_all_written(spark):
     n = 10_001
     first = spark.range(n).selectExpr(
         "'L' as cell_line", "'b' as batch", "concat('c', lpad(id, 5, '0')) as compound", "cast(id as double) as ic50",
         "cast(null as string) as ic50_text", "cast(null as double) as max_inhib", "if(id = 7, 'n.d.', null) as max_inhib_text",
     )
-    compounds = readings.compound_columns(first)
-    assert len(compounds) == n
-    blocks = readings.wide_blocks(first, compounds, size=4000)
-    assert [len(b.columns) - 2 for b in blocks] == [8000, 8000, 4002]
-    names = [c for b in blocks for c in b.columns[2:]]
-    assert len(set(map(str.lower, names))) == 2 * n
-    columns = summary.header_columns(compounds, [], [], ("cell_line", "batch"))
-    cells = readings.sheet_cells(first).withColumn("assay_cell_line", F.col("cell_line"))
-    lines = [r["line"] for r in summary.sheet_lines(cells, columns, compounds, "cell_line", "batch").orderBy("section").collect()]
+    dense = readings.dense_readings(first, readings.compound_dictionary(first)).first()
+    assert dense["ic50"] == [float(i) for i in range(n)] and dense["max_inhib"] == [None] * n
+    lines = sheet_of(spark, first)
+    assert lines[1].split(",")[2 : 2 + n] == [f"c{i:05d}" for i in range(n)]
     body = lines[2].split(",")
     assert body[2 : 2 + n] == [f"{float(i)}" for i in range(n)] and body[2 + n + 7] == "n.d." and len(body) == 2 + 2 * n
 
 
+def test_dense_rows_leave_places_free(spark):
+    df = raw(spark, ("L1", "b", "1", "2", 1), ("L1", "d", "3", None, 2), ("L2", "only_inhib", None, "4", 3), ("L3", "c", None, None, 4), ("L4", "c", "9", "8", 5))
+    first = readings.first_readings(df)
+    dictionary = readings.compound_dictionary(first)
+    assert rows(dictionary, "ordinal") == [("b", 1), ("c", 2), ("d", 3)]
+    dense = readings.dense_readings(first, dictionary)
+    assert rows(dense.drop("batch"), "cell_line") == [("L1", [1.0, None, 3.0], [2.0, None, None]), ("L2", [None] * 3, [None] * 3), ("L4", [None, 9.0, None], [None, 8.0, None])]
+    named = readings.named_columns(dense.withColumn("last", F.lit(1)), [("d", 3), ("b", 1)])
+    assert named.columns == ["cell_line", "batch", "d_IC50", "b_IC50", "d_INHIB", "b_INHIB", "last"]
+    assert rows(named.drop("batch"), "cell_line")[0] == ("L1", 3.0, 1.0, None, 2.0, 1)
+    # The table is planned without the names, and all compounds of a pivot are the same numbers.
+    wide = readings.wide_readings(first, readings.compound_columns(first))
+    assert rows(readings.named_columns(dense, [("b", 1), ("c", 2), ("d", 3)])) == rows(wide)
+
+
+def test_labels_are_those_of_the_column_names(spark):
+    names = sorted(["A", "A_3", "a", "b", "B", "a_2", "é", "É", "x.y"])
+    dictionary = spark.createDataFrame([(c, i) for i, c in enumerate(names, 1)], "compound string, ordinal long")
+    found = readings.compound_labels(dictionary).orderBy("ordinal").collect()
+    assert [f"{r['label']}_IC50" for r in found] == readings.wide_names(names)[0]
+    assert len({r["label"].lower() for r in found}) == len(names)
+
+
 def test_names_are_free_whatever_they_end_in():
     assert readings.wide_names(["A", "A_3", "a"])[0] == ["A_IC50", "A_3_IC50", "a_3_3_IC50"]
 
@@ -125,10 +152,7 @@ def test_names_are_free_whatever_they_end_in():
 def test_texts_stay_in_the_sheet(spark):
     df = raw(spark, ("L", "c", "n.d.", 'a "b", c', 1), ("L", "d", "4", None, 2))
     first = readings.first_readings(df)
-    columns = summary.header_columns(["c", "d"], [], [], ("cell_line", "batch"))
-    cells = readings.sheet_cells(first).withColumn("assay_cell_line", F.col("cell_line"))
-    lines = [r["line"] for r in summary.sheet_lines(cells, columns, ["c", "d"], "cell_line", "batch").orderBy("section").collect()]
-    assert lines == [",,IC50,,Max%Inhib,", "cell_line,batch,c,d,c,d", 'L,b1 cells,n.d.,4.0,"a ""b"", c",']
+    assert sheet_of(spark, first) == [",,IC50,,Max%Inhib,", "cell_line,batch,c,d,c,d", 'L,b1 cells,n.d.,4.0,"a ""b"", c",']
 
 
 def test_compounds_and_lines_straight_from_readings(spark):
@@ -146,7 +170,27 @@ def test_file_counts(spark):
 
 def test_hot_key_is_combined_before_the_shuffle(spark):
     plan = plan_of(readings.first_readings(raw(spark, ("L", "c", "1", "1", 1))))
-    assert plan.count("partial_min_by") == 2 and plan.count("Exchange") == 1
+    # All rows meet in a hash table of numbers; only what is left of them, a row for each text of a key, is sorted.
+    assert plan.count("partial_min_by") == 4 and plan.count("Exchange") == 2
+    over_rows = plan[plan.rindex("Exchange") :]
+    assert "HashAggregate" in over_rows and "SortAggregate" not in over_rows
+
+
+def test_hot_key_of_different_texts(spark):
+    values = [("L", "hot", f"text {i}", None, 5000 - i) for i in range(4000)] + [("L", "c", "1", "x", 1), ("L", "c", "y", "2", 0)]
+    first = readings.counted_readings(raw(spark, *values).repartition(6))
+    assert rows(first) == [
+        ("L", "b1 cells", "c", None, "y", 2.0, None, 2, 1, 1, 0),
+        ("L", "b1 cells", "hot", None, "text 3999", None, None, 4000, 4000, 0, 0),
+    ]
+
+
+def test_reading_order(spark):
+    df = spark.createDataFrame([(2, 5), (1, 1 << 20), (2, 3)], "f long, r int")
+    found = df.orderBy(readings.reading_order(F.col("f"), F.col("r"))).collect()
+    assert [tuple(r) for r in found] == [(1, 1 << 20), (2, 3), (2, 5)]
+    with pytest.raises(Exception, match="beyond the reading order"):
+        df.select(readings.reading_order(F.col("f"), F.lit(1 << 21))).collect()
 
 
 PANEL = "cell_line string, model_id string, gene double"
@@ -183,6 +227,8 @@ def test_header_bands(spark):
         (6, "c1_IC50", "c1", "IC50", 6, 7), (7, "c2_IC50", "c2", "IC50", 6, 7),
         (8, "c1_INHIB", "c1", "Max%Inhib", 8, 9), (9, "c2_INHIB", "c2", "Max%Inhib", 8, 9),
     ]
+    labels = spark.createDataFrame([("c1", 1, "c1"), ("c2", 2, "c2")], "compound string, ordinal long, label string")
+    assert rows(summary.header_table(spark, labels, ["ModelID", "Code"], ["G1"])) == rows(bands)
     no_genes = summary.header_columns(["c1"], ["ModelID"], [])
     assert [c.band for c in no_genes] == ["", "", "Metadata", "IC50", "Max%Inhib"]
 

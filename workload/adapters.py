@@ -139,6 +139,8 @@ REQUESTED_MARKERS = ("gene_a", "gene_x", "gene_y", "gene_b")
 AVAILABLE_MARKERS = ("gene_a", "gene_b", "gene_c")
 
 ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+# Bits of a line's number and of a part's key in the reading order; the order's key has the 33 above them. A supplier is a file.
+LINE_BITS, PART_BITS = 3, 27
 
 
 # The columns used, declared so that opening a table needs no job to read a footer.
@@ -171,8 +173,12 @@ def plain(text: str) -> str:
 
 
 def assay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw readings with ``ord``, the reading order."""
-    return view(spark, sf_dir, ASSAY_RAW).withColumn("ord", F.struct(*ORDER)).drop(*ORDER)
+    """Raw readings with ``ord``, the reading order within a file (a supplier): order, line and part in one long."""
+    fits = (F.col("l_linenumber") < 1 << LINE_BITS) & (F.col("l_partkey") < 1 << PART_BITS)
+    line = F.shiftleft("l_orderkey", LINE_BITS).bitwiseOR(F.col("l_linenumber").cast("long"))
+    packed = F.shiftleft(line, PART_BITS).bitwiseOR(F.col("l_partkey"))
+    order = F.when(fits, packed).otherwise(F.raise_error(F.lit("key beyond the reading order")))
+    return view(spark, sf_dir, ASSAY_RAW).withColumn("ord", order).drop(*ORDER)
 
 
 def compound_map(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -526,6 +526,27 @@ ORACLE_SQL: dict[str, str] = {
         from named where place in (0, 1, 4, 6)
         union all
         select null, file_name, split_part(file_name, '_', 2), length, 'plot' from named where place in (0, 1, 2, 3) and s_suppkey % 3 = 1""",
+    "compound_places": with_(
+        *TO_FIRST,
+        (
+            "spelt",
+            """
+            select distinct unnest(case when compound like '%3' then [compound, lower(compound)] else [compound] end) as compound
+            from firsts where ic50_first_raw is not null""",
+        ),
+        select="""
+        select compound, ordinal, case when row_number() over (partition by lower(compound) order by ordinal) = 1 then compound
+                                       else concat(compound, '_', ordinal) end as label
+        from (select compound, row_number() over (order by encode(compound)) as ordinal from spelt)""",
+    ),
+    "dense_readings": with_(
+        *TO_FIRST,
+        ("places", "select compound, row_number() over (order by encode(compound)) as ordinal from (select distinct compound from firsts where ic50_first_raw is not null)"),
+        ("lines", "select distinct cell_line, batch from firsts where ic50_first_raw is not null or max_inhib_first_raw is not null"),
+        select="""
+        select cell_line, batch, cast(ordinal as integer) as ordinal, ic50, max_inhib
+        from lines cross join places left join firsts using (cell_line, batch, compound)""",
+    ),
     "first_sheet_files": "select s_name as gene, s_acctbal as value, cast(null as varchar) as error from supplier",
     "sheet_lines": with_(
         *TO_FIRST,

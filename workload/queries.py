@@ -14,8 +14,9 @@ from platelake.functions.markup import payload_text
 from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
 from platelake.operators import grid, metadata, readings, sections
+from platelake.operators.ranking import global_rank
 from platelake.plans.bar_chart import bar_values as values_of
-from platelake.session import gone_at_exit, pin, shared_dir
+from platelake.session import gone_at_exit, shared_dir, staged
 from platelake.sinks import summary, writers
 from platelake.sources import archives, listing, tables, walk, workbooks
 from workload import adapters, fixtures
@@ -72,9 +73,9 @@ def first_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wide(first: DataFrame) -> DataFrame:
-    """Pinned first: its compounds are needed before the pivot can be planned, and parsing twice costs more."""
-    pinned = pin(first)
-    return readings.wide_readings(pinned, readings.compound_columns(pinned))
+    """Written first: its compounds are needed before the pivot can be planned, and parsing twice costs more."""
+    known = staged(first)
+    return readings.wide_readings(known, readings.compound_columns(known))
 
 
 def wide_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,30 +112,48 @@ def cells_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.cells_per_batch(_matched(readings.measured_lines(_mapped(spark, sf_dir)), spark, sf_dir))
 
 
-def _header(compounds: list[str]) -> list[summary.HeaderColumn]:
+def _header(spark: SparkSession, dictionary: DataFrame) -> DataFrame:
     markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
-    return summary.header_columns(compounds, adapters.INFO, markers, OUTPUT_KEYS)
+    return summary.header_table(spark, readings.compound_labels(dictionary), adapters.INFO, markers, OUTPUT_KEYS)
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows are read and parsed once: the counts come with the first readings."""
-    counted = pin(readings.counted_readings(_mapped(spark, sf_dir)))
+    counted = staged(readings.counted_readings(_mapped(spark, sf_dir)))
     first = counted.filter(F.col("compound").isNotNull())
     lines = first.filter(readings.has_any_value()).select("cell_line", "batch").distinct()
-    columns = _header(readings.compound_columns(first))
-    return summary.run_summary(counted, _matched(lines, spark, sf_dir), len(columns))
+    header = _header(spark, readings.compound_dictionary(first))
+    return summary.run_summary(counted, _matched(lines, spark, sf_dir), header)
 
 
 def header_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    compounds = sorted(r["compound"] for r in readings.measured_compounds(_mapped(spark, sf_dir)).collect())
-    return summary.header_bands(spark, _header(compounds))
+    """The header from the compounds as a table."""
+    names = readings.measured_compounds(_mapped(spark, sf_dir))
+    return _header(spark, staged(global_rank(names, F.asc("compound"), name="ordinal")))
 
 
 def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = pin(first_readings(spark, sf_dir))
-    compounds = readings.compound_columns(first)
-    joined = _matched(readings.sheet_cells(first), spark, sf_dir)
-    return summary.sheet_lines(joined, _header(compounds), compounds, "cell_line", "batch")
+    first = staged(first_readings(spark, sf_dir))
+    dictionary = readings.compound_dictionary(first)
+    joined = _matched(readings.dense_readings(first, dictionary, texts=True), spark, sf_dir)
+    markers, _ = metadata.known_markers(adapters.REQUESTED_MARKERS, adapters.AVAILABLE_MARKERS)
+    before = [*OUTPUT_KEYS, *adapters.INFO, *markers]
+    return summary.sheet_lines(joined, _header(spark, dictionary), before, "cell_line", "batch")
+
+
+def compound_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compounds' places, and their labels where every third one differs from another in case only."""
+    first = first_readings(spark, sf_dir)
+    twice = F.when(F.col("compound").endswith("3"), F.array("compound", F.lower("compound"))).otherwise(F.array("compound"))
+    return readings.compound_labels(readings.compound_dictionary(first.withColumn("compound", F.explode(twice))))
+
+
+def dense_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of the arrays as a row."""
+    first = staged(first_readings(spark, sf_dir))
+    dense = readings.dense_readings(first, readings.compound_dictionary(first))
+    places = F.posexplode(F.arrays_zip("ic50", "max_inhib")).alias("at", "v")
+    return dense.select("cell_line", "batch", places).select("cell_line", "batch", (F.col("at") + 1).alias("ordinal"), "v.ic50", "v.max_inhib")
 
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,8 +222,8 @@ def plot_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plot_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = _plot_order(spark, sf_dir)
-    # Pinned, as the caption counts the lines that the body shows.
-    images = pin(_pictures(spark, sf_dir, len(order)))
+    # Written first, as the caption counts the lines that the body shows.
+    images = staged(_pictures(spark, sf_dir, len(order)))
     rows = grid.report_rows(images, order, _display_names(spark, sf_dir), _cell_colors(spark, sf_dir))
     return grid.in_report_order(rows)
 
@@ -379,5 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         folder_walk,
         first_sheet_files,
         bars_written,
+        compound_places,
+        dense_readings,
     )
 }
