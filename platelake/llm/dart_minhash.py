@@ -10,13 +10,17 @@ where a coordinate stays empty the time is doubled.
 
 Bands of ``ROWS`` coordinates join texts with an equal band. Equal texts are first reduced to one, so a group of copies
 never meets itself. In every bucket the texts meet its ``HEADS`` heads, those that share the most buckets with others: of a group of near
-copies that is their origin, which is like all of them when they are not like each other. Each text is verified with the head whose signature
-agrees most, by the exact weighted Jaccard similarity; then with its other heads that are still in another class. What is then left
-in a bucket of several classes is compared across the classes within a join that only similar pairs leave, so no
-link between different texts is lost; rows stay in proportion to the texts.
+copies that is their origin, which is like all of them when they are not like each other. Each text is verified with those heads whose signature
+leaves a similarity above the limit possible, by the exact weighted Jaccard similarity. What is then left in a bucket of several classes is compared
+across the classes within a join that only similar pairs leave, so no link between different texts is lost; rows stay in
+proportion to the texts.
 
-Edge cases: a NULL text is alone in its class; texts without a word are equal if their bytes are; equal rows come back as
-often as they are; a row without an id takes the class of its text's copies, or none; an empty table gives an empty result; further columns are not used.
+What is linked are different texts, numbered by their least id and digest, so neither repeated nor missing ids lose a document or a link.
+A class is named by its least id; if several classes have that same least id, all but the first are named by negative numbers, as
+are classes without any id.
+
+Edge cases: a NULL text is alone in its class, named by its id; texts without a word are equal if their bytes are; equal rows come
+back as often as they are; an empty table gives an empty result; further columns are not used.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platelake.llm import bloom, spans
+from platelake.llm.ordering import numbered
 from platelake.llm.shared import col, stored, unused
 
 SHINGLE = 5
@@ -186,8 +191,9 @@ def classes(links: DataFrame) -> DataFrame:
     edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     while True:
         # Stars: every node that is not a least one has one link, and no node is both.
-        sides = edges.groupBy("b").agg(F.count("*").alias("n")).join(edges.select(F.col("a").alias("least")).distinct(), F.col("b") == F.col("least"), "left")
-        if sides.filter("n > 1 or least is not null").isEmpty():
+        ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("is_b")).union(edges.select("a", F.lit(0)))
+        sides = ends.groupBy("node").agg(F.sum("is_b").alias("n"), F.min("is_b").alias("least"))
+        if sides.filter("n > 1 or n = 1 and least = 0").isEmpty():
             return edges.select(F.col("b").alias("node"), F.col("a").alias("least"))
         edges = stored(step(step(edges, True), False))
 
@@ -236,11 +242,6 @@ def with_heads(members: DataFrame) -> DataFrame:
     return pairs.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """One pair for each ``a``: that which agrees most."""
-    return pairs.groupBy("a").agg(F.max(F.struct("agree", F.col("b"))).alias("m")).select("a", F.col("m.b").alias("b"))
-
-
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``rep, text`` to the units of weight of each text, in 32 bits."""
     for part in spans.chunked(batches, "text"):
@@ -282,42 +283,63 @@ def near_classes(signed: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
     ``signed`` holds ``rep, weight, signature, bands``; ``texts_of`` gives ``rep, text`` for a table of reps.
     """
     members = stored(shared_buckets(signed))
-    tried = stored(agreeing(with_heads(members), signed))
-    texts = texts_of(_nodes(tried))
-    found = stored(classes(stored(verified(_best(tried), texts))))
-    others = stored(class_of(tried.select("a", "b"), found).filter("ca <> cb").select("a", "b"))
-    found = merged(found, stored(verified(others, texts)))
+    tried = stored(agreeing(with_heads(members), signed).select("a", "b"))
+    found = stored(classes(stored(verified(tried, texts_of(_nodes(tried))))))
     rest = stored(across(members, found, signed, texts_of))
     if rest.isEmpty():
         return found
     return merged(found, stored(verified(rest, texts_of(_nodes(rest)))))
 
 
-def duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, class_id``: documents of one class are linked by equal or similar texts; a class is named by its least id."""
+def _nodes_of(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows as ``doc_id, digest``, the different texts as ``rep, digest, lo`` (their number, by least id, and that id), and the
+    classes among these as ``node, least``."""
     # Equal texts share a 128-bit digest.
     rows = docs.select(col(key).cast("long").alias("doc_id"), col(text).cast("string").alias("text")).withColumn("digest", F.unhex(F.md5("text")))
     schema = "doc_id long, digest binary, weight long, signature array<smallint>, bands array<long>"
     marked = stored(rows.select("doc_id", "digest", "text").mapInArrow(_signed, schema))
-    groups = marked.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    signed = marked.filter("bands is not null").join(groups.select(F.col("digest").alias("of_rep"), "rep"), (F.col("digest") == F.col("of_rep")) & (F.col("doc_id") == F.col("rep")))
-    signed = stored(signed.dropDuplicates(["rep"]).select("rep", "digest", "weight", "signature", "bands"))
+    least = marked.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("lo"))
+    texts = stored(numbered(least, F.asc_nulls_last("lo"), F.asc("digest"), name="rep").select("rep", "digest", "lo"))
+    own = texts.select("rep", "lo", F.col("digest").alias("of_rep"))
+    signed = marked.filter("bands is not null").join(own, (F.col("digest") == F.col("of_rep")) & F.col("doc_id").eqNullSafe(F.col("lo")))
+    signed = stored(signed.dropDuplicates(["rep"]).select("rep", "digest", "lo", "weight", "signature", "bands"))
+    place = F.xxhash64("digest", "doc_id")
 
     def texts_of(reps: DataFrame) -> DataFrame:
-        wanted = stored(reps.join(signed.select("rep", F.col("digest").alias("of_rep")), "rep"))
-        # Only texts that a Bloom filter lets through are shuffled.
-        likely = bloom.may_be_in(rows, F.col("doc_id"), wanted, "rep", "likely").filter("likely")
-        found = likely.join(wanted, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("of_rep"))).select("rep", "text")
+        wanted = reps.join(signed.select("rep", F.col("digest").alias("of_rep"), "lo"), "rep")
+        wanted = stored(wanted.withColumn("place", F.xxhash64("of_rep", "lo")))
+        # Only texts that a Bloom filter lets through are shuffled: of copies those under the least id.
+        likely = bloom.may_be_in(rows, place, wanted, "place", "likely").filter("likely")
+        found = likely.join(wanted, (F.col("digest") == F.col("of_rep")) & F.col("doc_id").eqNullSafe(F.col("lo"))).select("rep", "text")
         return stored(found.dropDuplicates(["rep"]))
 
-    found = near_classes(signed, texts_of)
-    named = groups.join(found, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("least", "rep").alias("class_id"))
-    return marked.select("doc_id", "digest").join(named, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return marked.select("doc_id", "digest"), texts, near_classes(signed, texts_of)
+
+
+def duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, class_id``: documents of one class are linked by equal or similar texts."""
+    rows, texts, found = _nodes_of(docs, key, text)
+    heads = texts.join(found, F.col("rep") == F.col("node"), "left_anti")
+    # Of classes with one least id the first is named by it.
+    firsts = heads.filter("lo is not null").groupBy(F.col("lo").alias("id")).agg(F.min("rep").alias("first"))
+    names = heads.join(firsts, F.col("rep") == F.col("first"), "left").select(F.col("rep").alias("head"), F.coalesce("id", -F.col("rep")).alias("class_id"))
+    placed = texts.join(found, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("of_class"), F.coalesce("least", "rep").alias("class_node"))
+    named = placed.join(names, F.col("class_node") == F.col("head")).select("of_class", "class_id")
+    return rows.join(named, F.col("digest") == F.col("of_class"), "left").select("doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class: that with the least id (of equal rows one). Rows without an id all stay."""
-    name = unused(docs, "kept_id")
-    least = stored(duplicate_classes(docs, key, text).filter("doc_id = class_id").select(F.col("doc_id").alias(name)).distinct())
-    kept = docs.join(least, col(key) == col(name)).select(*map(col, docs.columns)).dropDuplicates([key])
-    return kept.union(docs.filter(col(key).isNull()))
+    """One document of each class: that with the least id, of several texts under it that with the least digest, of equal rows one.
+
+    Rows without a text are one for each id; those with neither id nor text all stay.
+    """
+    _, texts, found = _nodes_of(docs, key, text)
+    kept_id, kept_digest, digest = (unused(docs, c) for c in ("kept_id", "kept_digest", "text_digest"))
+    heads = texts.join(found, F.col("rep") == F.col("node"), "left_anti")
+    heads = stored(heads.select(F.col("lo").alias(kept_id), F.col("digest").alias(kept_digest)))
+    named = docs.withColumn(digest, F.unhex(F.md5(col(text).cast("string"))))
+    same = (col(digest) == col(kept_digest)) & col(key).cast("long").eqNullSafe(col(kept_id))
+    kept = named.join(heads, same).dropDuplicates([kept_id, kept_digest]).select(*map(col, docs.columns))
+    blank = docs.filter(col(text).isNull())
+    blank = blank.filter(col(key).isNotNull()).dropDuplicates([key]).union(blank.filter(col(key).isNull()))
+    return kept.union(blank)

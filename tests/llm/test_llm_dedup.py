@@ -109,3 +109,54 @@ def test_edge_rows(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.select("doc_id").collect()) == [(False, i) for i in (1, 2, 3, 4, 5, 7, 8)] + [(True, 0)]
     assert dart.duplicate_classes(no_docs(spark)).count() == dart.keep_first(no_docs(spark)).count() == 0
     assert len(LONG) > 100_000 and WORDS
+
+
+def grouped(found):
+    groups = defaultdict(list)
+    for r in found:
+        groups[r["class_id"]].append(r["doc_id"])
+    return sorted(sorted(g, key=repr) for g in groups.values())
+
+
+def unlike_texts(n):
+    return [" ".join(f"t{k}w{i}" for i in range(100)) for k in range(n)]
+
+
+def test_repeated_ids_lose_no_document_and_no_link(spark):
+    a, b, c = unlike_texts(3)
+    rows = [(1, a), (1, b), (1, c), (2, a + " more"), (3, b + " more"), (4, c + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert grouped(dart.duplicate_classes(docs).collect()) == [[1, 2], [1, 3], [1, 4]]
+    kept = {(r["doc_id"], r["text"]) for r in dart.keep_first(docs).collect()}
+    assert kept == {(1, a), (1, b), (1, c)}
+
+
+def test_near_copies_without_an_id_are_linked(spark):
+    a, b = unlike_texts(2)
+    rows = [(7, a), (None, a + " more"), (None, b), (None, b + " more"), (None, b), (None, None), (None, None), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dart.duplicate_classes(docs).collect()
+    assert [r["class_id"] for r in found if r["doc_id"] == 7] == [7]
+    ids = Counter(r["class_id"] for r in found if r["doc_id"] is None)
+    assert ids[7] == 1 and ids[None] == 2 and len(ids) == 3 and min(i for i in ids if i is not None) < 0
+    kept = [(r["doc_id"], r["text"]) for r in dart.keep_first(docs).collect()]
+    assert len(kept) == 5 and Counter(kept)[(None, None)] == 2 and (7, a) in kept and (8, None) in kept
+    assert sum(i is None and t is not None for i, t in kept) == 1
+
+
+def test_planted_copies_above_the_limit_are_all_found(spark):
+    """Exact recall over copies with few changed words, whose similarity is 0.8 or more."""
+    rnd = np.random.default_rng(11)
+    rows = []
+    for k, text in enumerate(unlike_texts(60)):
+        words = [f"{w}x{i}" for i, w in enumerate(text.split() * 3)]
+        rows.append((2 * k, " ".join(words)))
+        for at in rnd.choice(300, rnd.integers(1, 6), replace=False):
+            words[at] = f"changed{k}"
+        rows.append((2 * k + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_classes([t for _, t in rows])
+    found = {r["doc_id"]: r["class_id"] for r in dart.duplicate_classes(docs).collect()}
+    assert found == {i: c for (i, _), c in zip(rows, expected)}
+    linked = sum(expected[2 * k] == expected[2 * k + 1] for k in range(60))
+    assert linked >= 54
