@@ -112,7 +112,9 @@ def written(docs: DataFrame, path: str, vocabulary: int, key: str = "doc_id", te
     """The images of all documents, written to the shared folder and read back as a table of ``IMAGES``."""
     bits = bits_for(vocabulary)
     rows = docs.select(col(key).cast("long").alias("doc_id"), col(text).cast("string").alias("text"))
-    ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # The hash parts the rows of one id, so that many of them lie in several tasks.
+    in_order = ("doc_id", F.xxhash64("text"))
+    ranged = rows.repartitionByRange(*in_order).sortWithinPartitions(*in_order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, start = TaskContext.get().partitionId(), 0, 0

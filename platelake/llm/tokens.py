@@ -19,6 +19,8 @@ from platelake.llm import spans
 #: Units remembered by a task; beyond it it starts anew.
 REMEMBERED = 1_000_000
 END_ID = 1
+#: Units encoded at once, and how a vocabulary marks the last token of a word.
+BLOCK, WORD_END = 512, "</w>"
 
 
 class UnitEncoder:
@@ -28,6 +30,11 @@ class UnitEncoder:
         # Spark already runs a worker on each core.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        if not self.ends.any():
+            self.ends = None
         self._forget()
 
     def _forget(self) -> None:
@@ -36,14 +43,44 @@ class UnitEncoder:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units in turn, and how many each has.
+
+        Units are encoded many at a time with blanks between them: where the vocabulary marks the ends of words, the marks part
+        them again. A block in which marks and units are not equally many is encoded unit by unit.
+        """
+        blocks = [texts[i : i + BLOCK] for i in range(0, len(texts), BLOCK)] if self.ends is not None else []
+        found = self.tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False)
+        flat, counts = [], []
+        for block, joined in zip(blocks, found):
+            ids = np.array(joined.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == len(block) and ends[-1] == len(ids) - 1:
+                flat.append(ids)
+                counts.append(np.diff(ends, prepend=-1))
+            else:
+                self._singly(block, flat, counts)
+        if self.ends is None:
+            self._singly(texts, flat, counts)
+        return np.concatenate([np.zeros(0, np.uint32), *flat]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+    def _singly(self, texts: list[str], flat: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(counts[-1].sum())))
+
     def _learn(self, data: np.ndarray, words: spans.Spans, h: np.ndarray) -> None:
         raw = data.tobytes()
         texts = [raw[s : s + n].decode() for s, n in zip(words.start.tolist(), words.length.tolist())]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
+        # Those beyond ASCII, of which some are several words, in blocks of their own.
+        plain = np.fromiter(map(str.isascii, texts), bool, len(texts))
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        n_plain = int(plain.sum())
+        texts = [texts[i] for i in order.tolist()]
+        (some, few), (more, many) = self._encoded(texts[:n_plain]), self._encoded(texts[n_plain:])
+        flat, count = np.concatenate([some, more]), np.concatenate([few, many])
         at = np.cumsum(count) - count + len(self.ids)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(count.sum()))
-        keys = np.concatenate([self.keys, h])
+        keys = np.concatenate([self.keys, h[order]])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         self.at = np.concatenate([self.at, at])[order]

@@ -3,12 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import documents, edge_docs, no_docs
 from tokenizers import Tokenizer
 
 from platelake.llm import bit_packing as bits
-from platelake.llm import packing, queries, spans
+from platelake.llm import packing, queries, spans, tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -150,3 +151,25 @@ def test_binding_capacities_over_a_whole_table(spark):
     assert (each.documents == 8).any() and (each.attention > 1000 * 1000).any()
     loose = packing.packed(docs, queries.TOKENIZER).toPandas()
     assert each.shape[0] > loose.sequence_id.nunique()
+
+
+def test_rows_of_one_id_lie_in_several_tasks(spark):
+    docs = spark.range(4000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "concat('text number ', id) as text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        images = bits.written(docs, PATH, queries.VOCABULARY)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = {r["part"] for r in images.collect() if 7 in bits.Image(bytes(r["image"])).doc_ids}
+    assert len(parts) >= 2
+    found = bits.read_documents(images).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted(r["doc_id"] for r in found) and len(found) == 4000
+
+
+def test_units_in_blocks_like_units_alone(monkeypatch):
+    texts = ["it's a don't <|endoftext|> x|y 3.14 --- ***", "日本語 テキスト é è ñandú Ünïcode ÀÉ", "a" * 3000, "٣٤ ½ ² ﬁ İstanbul", "\u0301x \u200b y\u200dz 🙂👍🏽", "“quoted” – dash… £5 10€"]
+    expected = [i.tobytes() for i in plain_ids(texts * 3)]
+    for size in (1, 2, 7, 512):
+        monkeypatch.setattr(tokens, "BLOCK", size)
+        ids, offsets = tokens.UnitEncoder(PATH).encode_column(pa.array(texts * 3))
+        assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(offsets[:-1], offsets[1:])] == expected
