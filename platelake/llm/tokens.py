@@ -8,6 +8,7 @@ is an order of magnitude less work than encoding running text.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ REMEMBERED = 1_000_000
 END_ID = 1
 #: Units encoded at once, and how a vocabulary marks the last token of a word.
 BLOCK, WORD_END = 512, "</w>"
+#: Units of ASCII that hold nothing that a tokenizer may take for more than letters, digits or marks.
+PLAIN = re.compile("[!-&(-;=-{}~]+")
 
 
 class UnitEncoder:
@@ -43,13 +46,15 @@ class UnitEncoder:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all units in turn, and how many each has.
+    def _encoded(self, texts: list[str], n_plain: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units in turn, and how many each has. The first ``n_plain`` units certainly are words or marks.
 
-        Units are encoded many at a time with blanks between them: where the vocabulary marks the ends of words, the marks part
-        them again. A block in which marks and units are not equally many is encoded unit by unit.
+        Those are encoded many at a time with blanks between them: where the vocabulary marks the ends of words, the marks part
+        them again. As each has one end at least, a block with as many ends as units has one for each; any other block is
+        encoded unit by unit, as are the rest, which may be nothing, several words, or special tokens.
         """
-        blocks = [texts[i : i + BLOCK] for i in range(0, len(texts), BLOCK)] if self.ends is not None else []
+        n_plain = 0 if self.ends is None else n_plain
+        blocks = [texts[i : min(i + BLOCK, n_plain)] for i in range(0, n_plain, BLOCK)]
         found = self.tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False)
         flat, counts = [], []
         for block, joined in zip(blocks, found):
@@ -60,9 +65,8 @@ class UnitEncoder:
                 counts.append(np.diff(ends, prepend=-1))
             else:
                 self._singly(block, flat, counts)
-        if self.ends is None:
-            self._singly(texts, flat, counts)
-        return np.concatenate([np.zeros(0, np.uint32), *flat]), np.concatenate([np.zeros(0, np.int64), *counts])
+        self._singly(texts[n_plain:], flat, counts)
+        return np.concatenate(flat), np.concatenate(counts)
 
     def _singly(self, texts: list[str], flat: list[np.ndarray], counts: list[np.ndarray]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -72,13 +76,11 @@ class UnitEncoder:
     def _learn(self, data: np.ndarray, words: spans.Spans, h: np.ndarray) -> None:
         raw = data.tobytes()
         texts = [raw[s : s + n].decode() for s, n in zip(words.start.tolist(), words.length.tolist())]
-        # Those beyond ASCII, of which some are several words, in blocks of their own.
-        plain = np.fromiter(map(str.isascii, texts), bool, len(texts))
+        plain = np.fromiter((t.isalpha() or bool(PLAIN.fullmatch(t)) for t in texts), bool, len(texts))
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         n_plain = int(plain.sum())
         texts = [texts[i] for i in order.tolist()]
-        (some, few), (more, many) = self._encoded(texts[:n_plain]), self._encoded(texts[n_plain:])
-        flat, count = np.concatenate([some, more]), np.concatenate([few, many])
+        flat, count = self._encoded(texts, n_plain)
         at = np.cumsum(count) - count + len(self.ids)
         keys = np.concatenate([self.keys, h[order]])
         order = np.argsort(keys, kind="stable")
