@@ -35,6 +35,10 @@ EPOCHS, BATCH, RATE = 30, 16, 4.0
 REJECT_QUANTILE, REJECT_MOST = 0.001, 0.4
 UNKNOWN = "und"
 SEED = 7
+#: Bits of a hash that are counted before the least hashes are chosen.
+TOP_BITS = 16
+#: A task works on about so many bytes of text at once: a byte of text needs some hundred bytes while its words are scored.
+CHUNK_BYTES = 1 << 20
 
 
 @dataclass
@@ -86,7 +90,7 @@ def _has_letter(part: pa.RecordBatch, column: str, sure: np.ndarray) -> np.ndarr
 
 def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``lang, held, text`` rows to their bucket counts."""
-    for part in spans.chunked(batches, "text"):
+    for part in spans.chunked(batches, "text", CHUNK_BYTES):
         texts = spans.texts_of(part.column("text"))
         found, _ = spans.lettered(texts)
         words, inverse = spans.distinct(texts, found)
@@ -166,8 +170,14 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     each = max(1, min(PER_LANG, SAMPLE // n_langs))
     # Id and text together, so that rows without an id, or of one id, are chosen among like others.
     hashed = labelled.withColumn("place", F.xxhash64("key", "text")).withColumn("tie", F.xxhash64("text", F.lit("tie")))
+    different = hashed.select("lang", "place", "tie").distinct().withColumn("top", F.shiftright("place", 64 - TOP_BITS))
+    # What the least hashes of a language have in front decides which rows can be among them, so few rows of it meet.
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("top"))
+    tops = different.groupBy("lang", "top").agg(F.count("*").alias("n")).withColumn("upto", upto)
+    cuts = stored(tops.groupBy("lang").agg(F.coalesce(F.min(F.when(F.col("upto") >= each, F.col("top"))), F.max("top")).alias("cut")))
     order = F.row_number().over(Window.partitionBy("lang").orderBy("place", "tie"))
-    least = hashed.select("lang", "place", "tie").distinct().withColumn("nth", order).filter(F.col("nth") <= each).drop("nth")
+    near = different.join(cuts, "lang").filter(F.col("top") <= F.col("cut")).select("lang", "place", "tie")
+    least = near.withColumn("nth", order).filter(F.col("nth") <= each).drop("nth")
     chosen = F.broadcast(stored(least))  # at most ``each`` rows of a language
     sample = hashed.join(chosen, ["lang", "place", "tie"]).select("lang", "place", "tie", "text").distinct()
     # Equal texts are on one side.
@@ -195,7 +205,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table, layer, bias, temperature, reject_below = held.value
-        for part in spans.chunked(batches, "whole_text"):
+        pool = pa.default_memory_pool()
+        for part in spans.chunked(batches, "whole_text", CHUNK_BYTES):
             texts = spans.texts_of(part.column("whole_text"))
             found, sure = spans.lettered(texts)
             words, inverse = spans.distinct(texts, found)
@@ -215,6 +226,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
             chosen = [langs[b] if h else UNKNOWN for b, h in zip(best, has)]
             rejected = ~has | (score < reject_below)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(chosen, pa.string()), pa.array(score), pa.array(rejected)], [*kept, *names])
+            pool.release_unused()
 
     fields = [T.StructField(n, f.dataType) for n, f in zip(kept, docs.schema.fields)]
     added = [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.BooleanType()))]
@@ -223,7 +235,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
 
 def languages(docs: DataFrame) -> DataFrame:
     """Every document's language, learned from the documents outside the held-out fold."""
-    held = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")  # a row without an id is not held out
     model = fit(docs.filter(F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(True))))
     rows = predict(docs.select("doc_id", held, "text"), model)
     return rows.select("doc_id", "held_out", "lang_pred", "score", "rejected")

@@ -27,6 +27,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_ROWS = 100
 SPREAD = 3
+#: A task measures about so many bytes of text at once.
+CHUNK_BYTES = 1 << 20
 
 #: Features in thousandths -> allowance above the quartiles.
 ALLOWANCE = {"symbols": 30, "marks": 50, "capitals": 200, "dup_lines": 500, "repeats": 200}
@@ -97,7 +99,7 @@ def measured(docs: DataFrame, into: str, text: str = "text", keep: tuple[str, ..
     rows = docs.select(*others, col(text).alias("whole_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in spans.chunked(batches, "whole_text"):
+        for part in spans.chunked(batches, "whole_text", CHUNK_BYTES):
             found = measure_texts(spans.texts_of(part.column("whole_text")))
             arrays = [pa.array(found[m].astype(np.int64)) for m in METRICS]
             columns = [part.column("whole_text" if c == text else n) for c, n in zip(kept, names)]

@@ -336,6 +336,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.filter(fold(F.col("doc_id"), 3) != 1).select("doc_id", F.col("text").cast("string").alias("text"))
     labelled = stored(bloom.matching(rows, F.col("doc_id"), marks, "labelled_id").select("doc_id", "text", "toxic"))
     model = fit(labelled)
-    held = (fold(F.col("doc_id"), 3) == 1).alias("held_out")
+    held = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")  # a row without an id is not held out
     scored = score(docs.select("doc_id", held, "text"), model, ("held_out",))
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))

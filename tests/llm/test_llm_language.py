@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 from cases import documents, edge_docs, no_docs
 from pyspark.sql import functions as F
 
-from platelake.llm import language_id
+from platelake.llm import language_id, spans
 
 
 def test_held_out_accuracy(spark):
@@ -71,3 +72,57 @@ def test_every_language_is_learned(spark, monkeypatch):
     model = language_id.fit(docs)
     assert len(model.langs) == 300
     assert language_id.predict(docs, model).count() == 900
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    found = language_id.languages(edge_docs(spark)).collect()
+    assert [r["held_out"] for r in found if r["doc_id"] is None] == [False]
+    assert all(r["held_out"] is not None for r in found)
+
+
+def test_the_least_hashes_are_chosen_from_few_rows(spark, monkeypatch):
+    """The cut by the front of the hash keeps exactly the rows that a full sort would choose."""
+    kept = {}
+
+    def train(langs, labels, held, ids, weights):
+        kept["n"] = sorted(int(i.sum()) for i in ids)
+        return real(langs, labels, held, ids, weights)
+
+    real = language_id.train
+    monkeypatch.setattr(language_id, "train", train)
+    monkeypatch.setattr(language_id, "EPOCHS", 1)
+    monkeypatch.setattr(language_id, "SAMPLE", 60)
+    docs = documents(spark).unionByName(documents(spark))
+    found = []
+    for bits in (1, 8, 16):
+        monkeypatch.setattr(language_id, "TOP_BITS", bits)
+        language_id.fit(docs)
+        found.append(kept["n"])
+    assert found[0] == found[1] == found[2] and len(found[0]) == 60
+
+
+def test_scores_by_plain_python(spark):
+    """Whole texts scored gram by gram, without words, batches or hashing of words."""
+    docs = documents(spark).filter("doc_id % 25 = 0").union(edge_docs(spark).select("doc_id", "text", "lang", "source", "n_chars"))
+    model = language_id.fit(documents(spark))
+
+    def plain(text):
+        texts = spans.texts_of(pa.array([text]))
+        found, _ = spans.lettered(texts)
+        total, n = np.zeros(model.table.shape[1]), 0
+        for start, length in zip(found.start, found.length):
+            word = b" " + texts.data[start : start + length].tobytes() + b" "
+            for size in language_id.GRAMS:
+                for i in range(len(word) - size + 1):
+                    gram = int.from_bytes(word[i : i + size], "little") | size << 56
+                    bucket = int(spans.mix(np.array([gram], np.uint64))[0] >> np.uint64(17)) % language_id.BUCKETS
+                    total += model.table[bucket]
+                    n += 1
+        return language_id.softmax(((total / max(n, 1)) @ model.layer + model.bias)[None] / model.temperature)[0]
+
+    for r in language_id.predict(docs, model).filter("length(text) < 3000").collect():
+        if r["lang_pred"] == "und":
+            assert r["score"] == 0
+        else:
+            p = plain(r["text"])
+            assert r["lang_pred"] == model.langs[p.argmax()] and abs(p.max() - r["score"]) < 1e-4
