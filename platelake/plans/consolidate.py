@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from platelake.functions.numbers import missing_to_null
 from platelake.operators import metadata, readings
 from platelake.operators.ranking import global_rank
+from platelake.session import staged
 from platelake.sinks import summary, writers
 from platelake.sources import listing, tables, walk, workbooks
 
@@ -27,19 +28,42 @@ def read_compound_map(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("ta_id", name, F.col("row").alias("row_no"))
 
 
-def ingest(spark: SparkSession, base: str, out: str) -> tuple[DataFrame, DataFrame]:
-    """List the workbooks once into ``out/files`` and parse every one into ``out/raw``; later steps read these tables.
+RAW_KEEP = ("path", "batch", "file_name")
 
-    Returns the manifest and the rows as written. Workbooks and folders that cannot be read are rows with ``error`` set.
+
+def ingest(spark: SparkSession, base: str, out: str, again: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """List the workbooks into ``out/files`` and parse them into ``out/raw``, one folder a batch; later steps read these tables.
+
+    After an earlier run below ``out`` only workbooks that are new or have another length or time are opened, and only
+    their batches are written; ``again`` opens all. ``out/ingest_report`` has the counts, which come with the writing. Returns the
+    manifest with its numbers in path order, the rows of its workbooks (with ``error`` set where one cannot be read), and folders
+    that could not be listed.
     """
     listed, failed = walk.batch_workbooks(spark, base)
     # Files are numbered in path order, so the reading order is a number from the start.
-    numbered = global_rank(listed, F.asc("path"), name="file_no")
+    numbered = staged(global_rank(listed, F.asc("path"), name="file_no"))
+    known = None
+    if not again and listing.is_folder(spark, f"{out}/files") and listing.is_folder(spark, f"{out}/raw"):
+        known = spark.read.schema(numbered.schema).parquet(f"{out}/files")
+    opened = numbered if known is None else staged(numbered.join(known, list(walk.MANIFEST), "left_anti"))
+    found = workbooks.read_summaries(walk.spread(opened.select(*RAW_KEEP, "length")), keep=RAW_KEEP)
+    schema = found.schema
+    if known is not None:
+        # The batches that have a new workbook, with what is still right of them.
+        touched = opened.select("batch").distinct()
+        before = spark.read.schema(schema).parquet(f"{out}/raw")
+        same = numbered.join(opened, "path", "left_anti").select("path")
+        kept = before.join(touched, "batch", "left_semi").join(same, "path", "left_semi")
+        counts = writers.write_batches(staged(found.withColumn("is_new", F.lit(True)).unionByName(kept.withColumn("is_new", F.lit(False)))), f"{out}/raw")
+    else:
+        counts = writers.write_batches(found.withColumn("is_new", F.lit(True)), f"{out}/raw", whole=True)
+    report = numbered.agg(F.count("*").alias("n_listed")).withColumn("n_opened", opened.agg(F.count("*")).scalar())
+    writers.write_table(report.withColumns({n: F.lit(v).cast("long") for n, v in counts.items()}), f"{out}/ingest_report")
     writers.write_table(numbered, f"{out}/files")
     files = spark.read.schema(numbered.schema).parquet(f"{out}/files")
-    raw = workbooks.read_summaries(walk.spread(files), keep=("path", "batch", "file_name", "file_no"))
-    writers.write_table(raw.unionByName(failed, allowMissingColumns=True), f"{out}/raw")
-    return files, spark.read.schema(raw.schema).parquet(f"{out}/raw")
+    # Workbooks that are gone since are in no manifest.
+    raw = spark.read.schema(schema).parquet(f"{out}/raw").join(files.select("path", "file_no"), "path")
+    return files, raw, failed
 
 
 def _with_names(dense: DataFrame, labels: DataFrame) -> DataFrame:
@@ -59,18 +83,19 @@ def consolidate(
     metadata_format: str = "parquet",
     table_format: str = "parquet",
     named: bool = True,
+    again: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
-    Tables: ``files, raw, readings, first_readings, file_counts, rejected_files, rejected_values, compounds, consolidated,
+    Tables: ``files, raw, ingest_report, readings, first_readings, file_counts, rejected_files, rejected_values, compounds, consolidated,
     header_bands, sheet, cells_per_batch, run_summary``. ``consolidated`` has the arrays ``ic50`` and ``max_inhib`` with a place for each
     of ``compounds``, whatever their number. What is returned shows them as named columns; for more compounds than a plan should have
     columns, ``named=False`` returns the arrays. As CSV the table always has named columns.
+    A further run with the same ``out`` opens only workbooks that have changed (see ``ingest``), unless ``again`` is set.
     """
-    files, raw = ingest(spark, base, out)
-    raw.filter(F.col("error").isNotNull()).select("batch", "path", "error").write.mode("overwrite").json(
-        f"{out}/rejected_files"
-    )
+    files, raw, failed = ingest(spark, base, out, again)
+    rejected = raw.filter(F.col("error").isNotNull()).select("batch", "path", "error")
+    rejected.unionByName(failed, allowMissingColumns=True).write.mode("overwrite").json(f"{out}/rejected_files")
     writers.write_table(summary.file_counts(files.select("batch", "path"), raw.filter(F.col("error").isNull()), "batch", "path"), f"{out}/file_counts")
     # Files in path order, then rows in sheet order.
     in_order = raw.filter(F.col("error").isNull()).withColumn("ord", readings.reading_order(F.col("file_no"), F.col("row")))

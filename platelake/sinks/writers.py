@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from platelake.operators import grid
@@ -13,6 +13,22 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_batches(raw: DataFrame, path: str, whole: bool = False) -> dict[str, int]:
+    """Raw rows as Parquet, one folder a batch; only batches that have rows are written, all others stay unless ``whole``.
+
+    Returns the numbers of rows, of rows with an error, and of those that are new (``is_new``, which is not written): they are
+    observed while the rows are written, not read again.
+    """
+    seen = Observation()
+    new = F.col("is_new")
+    counts = {"n_rows": F.count("*"), "n_unreadable": F.count("error"), "n_new_rows": F.count_if(new)}
+    # Observed after the shuffle, as one without rows is left out of the plan with all that is below it.
+    observed = raw.hint("rebalance", "batch").observe(seen, *[c.alias(n) for n, c in counts.items()]).drop("is_new")
+    writer = observed.write.mode("overwrite").partitionBy("batch")
+    writer.option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path)
+    return seen.get
+
+
 def write_readings(readings: DataFrame, path: str) -> None:
     """Long readings as Parquet, one folder per batch, so that a run over some batches reads only those.
 

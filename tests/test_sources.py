@@ -306,3 +306,44 @@ def test_bar_chart(spark, tmp_path):
     assert rows(done.select("rank", "gene", "segment"), "rank") == [(1, "g2", "left"), (2, "g1", "right"), (3, "g3", None)]
     by_place = bar_chart(spark, f"{tmp_path}/in.xlsx", f"{tmp_path}/out2", by_position=True)
     assert rows(by_place.select("gene", "value"), "rank") == [("g2", 1.5), ("g1", 60.0), ("g3", None)]
+
+
+TABLES = ("files", "raw", "readings", "first_readings", "file_counts", "rejected_values", "compounds", "consolidated", "header_bands", "cells_per_batch", "run_summary")
+
+
+def test_a_second_run_opens_what_has_changed(spark, tmp_path):
+    """New, changed, removed and unreadable workbooks: all tables are those of a run from scratch."""
+    base, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    name = "20260122_{}_6TA_144H_paste.xlsx".format
+    put(f"{base}/list.xlsx", workbook_bytes({"S": sheet([["TA_ID", "Compound"], ["TA1", "Drug"]])}))
+    for i in range(6):
+        put(f"{base}/{i % 3} cells/{name(f'L{i}')}", summary_book((f"p_TA{i}", i + 0.5, i), ("p_TA1", None, i)))
+    put(f"{base}/2 cells/{name('bad')}", b"junk")
+    spark.createDataFrame([("ACH-1", "L1", "a", "b", "c", "d", "Yes", 9.567, None)], ", ".join(f"{c} {'double' if i > 6 else 'string'}" for i, c in enumerate(META))).write.parquet(f"{tmp_path}/meta")
+
+    def run(out, **more):
+        done, _ = consolidate(spark, base, f"{base}/list.xlsx", f"{tmp_path}/meta", out, **more)
+        return done, spark.read.parquet(f"{out}/ingest_report").first().asDict()
+
+    _, report = run(out)
+    assert report == {"n_listed": 7, "n_opened": 7, "n_rows": 13, "n_unreadable": 1, "n_new_rows": 13}
+    _, report = run(out)
+    assert report == {"n_listed": 7, "n_opened": 0, "n_rows": 0, "n_unreadable": 0, "n_new_rows": 0}
+    untouched = {p: os.stat(f"{out}/raw/batch=2 cells/{p}").st_mtime_ns for p in os.listdir(f"{out}/raw/batch=2 cells")}
+    put(f"{base}/0 cells/{name('A0')}", summary_book(("p_TA9", 1, 2)))
+    put(f"{base}/1 cells/{name('L1')}", summary_book(("p_TA7", "n.d.", 3), ("p_TA8", 4, 4)))
+    os.remove(f"{base}/1 cells/{name('L4')}")
+    put(f"{base}/3 cells/{name('L9')}", summary_book(("p_TA2", 8, 8)))
+    done, report = run(out, named=False)
+    assert report["n_listed"] == 8 and report["n_opened"] == 3 and report["n_new_rows"] == 4
+    assert untouched == {p: os.stat(f"{out}/raw/batch=2 cells/{p}").st_mtime_ns for p in os.listdir(f"{out}/raw/batch=2 cells")}
+    assert dict(done.dtypes)["ic50"] == "array<double>"
+    run(f"{tmp_path}/fresh")
+    for table in TABLES:
+        if table == "raw":  # rows of removed workbooks stay in batches that were not written, but are in no manifest
+            continue
+        again, fresh = (spark.read.parquet(f"{o}/{table}") for o in (out, f"{tmp_path}/fresh"))
+        assert rows(again.select(sorted(again.columns))) == rows(fresh.select(sorted(fresh.columns))), table
+    assert rows(spark.read.json(f"{out}/rejected_files")) == rows(spark.read.json(f"{tmp_path}/fresh/rejected_files"))
+    _, report = run(out, again=True)
+    assert report["n_opened"] == 8

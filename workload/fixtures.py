@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platelake.session import gone_at_exit, shared_dir, staged
@@ -103,11 +103,18 @@ def to_archives(df: DataFrame, member: Column, content: Column, folders: Sequenc
     return dealt(df.select(member.alias("member"), content.alias("content"))).mapInArrow(run, FILE_SCHEMA)
 
 
-def to_files(contents: DataFrame) -> tuple[str, DataFrame]:
-    """Rows of ``path, content`` as real files below a new folder of the shared one: that folder, and the files' addresses."""
-    spark = contents.sparkSession
-    base = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
-    gone_at_exit(spark, base)
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The address of a new folder that goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    gone_at_exit(spark, path)
+    return path
+
+
+def to_files(contents: DataFrame, base: str | None = None) -> tuple[str, DataFrame]:
+    """Rows of ``path, content`` as real files below ``base``, by default a new folder of the shared one: that folder, and the
+    files' addresses."""
+    if base is None:
+        base = shared_folder(contents.sparkSession, "files")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -547,6 +547,10 @@ ORACLE_SQL: dict[str, str] = {
         select cell_line, batch, cast(ordinal as integer) as ordinal, ic50, max_inhib
         from lines cross join places left join firsts using (cell_line, batch, compound)""",
     ),
+    "incremental_raw": """
+        select s_name as compound_raw, cast(s_nationkey as varchar) as max_inhib_raw, cast(s_suppkey as varchar) as ic50_raw,
+               cast(null as varchar) as error, (select count(*) from supplier where s_suppkey % 2 = 1) as n_new_rows
+        from supplier""",
     "first_sheet_files": "select s_name as gene, s_acctbal as value, cast(null as varchar) as error from supplier",
     "sheet_lines": with_(
         *TO_FIRST,

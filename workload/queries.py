@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +15,8 @@ from platelake.operators import bars as bar_ops
 from platelake.operators import grid, metadata, readings, sections
 from platelake.operators.ranking import global_rank
 from platelake.plans.bar_chart import bar_values as values_of
-from platelake.session import gone_at_exit, shared_dir, staged
+from platelake.plans.consolidate import ingest
+from platelake.session import staged
 from platelake.sinks import summary, writers
 from platelake.sources import archives, listing, tables, walk, workbooks
 from workload import adapters, fixtures
@@ -348,10 +348,26 @@ def first_sheet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values_of(found).join(found.select("gene", "error"), "gene").select("gene", "value", "error")
 
 
+def incremental_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as workbooks on disk in two steps: the second run opens only what the second step wrote."""
+    base, out = fixtures.shared_folder(spark, "screens"), fixtures.shared_folder(spark, "ingested")
+    columns = {**workbooks.SUMMARY_COLUMNS}
+    for step in (0, 1):
+        suppliers = adapters.table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 2 == step)
+        values = {"compound_raw": fixtures.text_cell(F.col("s_name")), "max_inhib_raw": fixtures.number_cell(F.col("s_nationkey")), "ic50_raw": fixtures.number_cell(F.col("s_suppkey"))}
+        cells = {columns[c]: v for c, v in values.items()}
+        books = fixtures.to_workbooks(suppliers, cells, workbooks.SUMMARY_SHEET, workbooks.SUMMARY_HEADER_ROW)
+        # Later batches for the later step; every batch has one folder.
+        folder = F.concat(F.lit(f"{step} "), F.substring_index("path", "/", 1), F.lit(" cells/"))
+        fixtures.to_files(books.select(F.concat(folder, F.substring_index("path", "/", -1)).alias("path"), "content"), base)
+        _, raw, _ = ingest(spark, base, out)
+    report = spark.read.parquet(f"{out}/ingest_report").first()
+    return raw.select("compound_raw", "max_inhib_raw", "ic50_raw", "error", F.lit(report["n_new_rows"]).alias("n_new_rows"))
+
+
 def bars_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bar table as written and read back."""
-    path = f"{shared_dir(spark)}/bars-{uuid.uuid4().hex}"
-    gone_at_exit(spark, path)
+    path = fixtures.shared_folder(spark, "bars")
     table = bar_ops.bar_table(adapters.bars(spark, sf_dir), BAR_AXIS)
     writers.write_bars(table, path)
     return spark.read.schema(table.schema).parquet(path)
@@ -398,6 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         folder_walk,
         first_sheet_files,
         bars_written,
+        incremental_raw,
         compound_places,
         dense_readings,
     )
