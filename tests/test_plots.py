@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -6,7 +7,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from platelake.functions import markup
-from platelake.operators import assets, bars, grid, ranking, sections
+from platelake.operators import assets, bars, grid, palettes, ranking, sections
 
 CELL = "workbook string, row int, value string, value_type string"
 
@@ -257,3 +258,30 @@ def test_one_workbook_with_most_images(spark):
     got = {r["cell_line"]: [r["images"][i][:5] for i in sorted(r["images"])] for r in found.collect()}
     assert got["H"] == [f"{n:05d}" for n in range(1, 6)]
     assert got == {"H": got["H"], **{f"L{i}": [f"{n:05d}" for n in range(i, 1000, 40)[:5]] for i in range(40)}}
+
+
+def test_palettes_of_any_length(spark):
+    """Stretches by a plain loop: many stops, one stop, values outside, on stops and missing ones, a hot palette."""
+    rnd = random.Random(8)
+    made = {"many": sorted(rnd.random() for _ in range(300)), "two": [0.25, 0.75], "one": [0.5], "even": [0.0, 0.5, 0.5, 1.0]}
+    stops = [(p, t, rnd.randrange(256) * 1.0, i % 256 * 1.0, 7.0) for p, ts in made.items() for i, t in enumerate(ts)]
+    values = [(p, t) for p in [*made, "none"] for t in [None, -1.0, 0.0, 0.25, 0.5, 0.6, 0.75, 1.0, 2.0]] + [("many", rnd.random()) for _ in range(3000)]
+    df = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "id int, palette string, t double")
+    table = spark.createDataFrame(stops, "palette string, t double, r double, g double, b double")
+    found = palettes.palette_colored(df, table)
+    plan = plan_of(found)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+    def plain(palette, t):
+        own = sorted(s[1:] for s in stops if s[0] == palette)
+        if t is None or not own:
+            return None
+        t = min(max(t, own[0][0]), own[-1][0])
+        for low, high in zip(own, own[1:]):
+            if t <= high[0] and (t > low[0] or (low is own[0] and t == low[0])):
+                share = (t - low[0]) / (high[0] - low[0]) if high[0] > low[0] else 0.0
+                return "#" + "".join(f"{math.floor(a + share * (b - a) + 0.5):02X}" for a, b in zip(low[1:], high[1:]))
+        return "#" + "".join(f"{math.floor(c + 0.5):02X}" for c in own[0][1:])
+
+    assert {r["id"]: r["color"] for r in found.collect()} == {i: plain(*v) for i, v in enumerate(values)}
+    assert found.count() == len(values)

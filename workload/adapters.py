@@ -134,6 +134,16 @@ select regexp_extract(url, '://([^/?#]+)', 1) as workbook, page_id as image_no,
 
 BARS = "select s_name as gene, s_acctbal as value from {supplier}"
 
+# A palette for each region, with a stop for each of its nations.
+PALETTE_STOPS = """
+select n_regionkey as palette, cast(n_nationkey as double) / 24 as t, cast(n_nationkey * 10 as double) as r, cast(255 - n_nationkey * 7 as double) as g,
+       cast((n_nationkey * 53) % 256 as double) as b
+from {nation}
+"""
+PALETTE_VALUES = """
+select s_name as gene, n_regionkey as palette, s_acctbal as value from {supplier} join {nation} on s_nationkey = n_nationkey
+"""
+
 INFO = ("model_id", "lineage", "disease")
 REQUESTED_MARKERS = ("gene_a", "gene_x", "gene_y", "gene_b")
 AVAILABLE_MARKERS = ("gene_a", "gene_b", "gene_c")

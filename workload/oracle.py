@@ -547,6 +547,25 @@ ORACLE_SQL: dict[str, str] = {
         select cell_line, batch, cast(ordinal as integer) as ordinal, ic50, max_inhib
         from lines cross join places left join firsts using (cell_line, batch, compound)""",
     ),
+    "palette_colors": f"""
+        with placed as (
+          select s_name as gene, n_regionkey as palette, s_acctbal as value,
+                 (s_acctbal - min(s_acctbal) over ()) / (max(s_acctbal) over () - min(s_acctbal) over ()) as t
+          from supplier join nation on s_nationkey = n_nationkey
+        ), stops as (
+          select n_regionkey as palette, n_nationkey::double / 24 as t0, n_nationkey * 10.0::double as a0, 255.0::double - n_nationkey * 7 as b0,
+                 ((n_nationkey * 53) % 256)::double as c0
+          from nation
+        ), s as (
+          select *, lead(t0) over w as t1, lead(a0) over w as a1, lead(b0) over w as b1, lead(c0) over w as c1, row_number() over w as n
+          from stops window w as (partition by palette order by t0)
+        ), held as (
+          select gene, palette, value, t, greatest(least(t, (select max(t0) from s where s.palette = placed.palette)),
+                                                   (select min(t0) from s where s.palette = placed.palette)) as place
+          from placed
+        )
+        select gene, palette, value, t, {_hex([_line('place', k) for k in 'abc'])} as color
+        from held join s using (palette) where (place > s.t0 or s.n = 1 and place = s.t0) and place <= s.t1""",
     "incremental_raw": """
         select s_name as compound_raw, cast(s_nationkey as varchar) as max_inhib_raw, cast(s_suppkey as varchar) as ic50_raw,
                cast(null as varchar) as error, (select count(*) from supplier where s_suppkey % 2 = 1) as n_new_rows

@@ -12,7 +12,7 @@ from platelake.functions.identifiers import image_number, is_batch_folder, pictu
 from platelake.functions.markup import payload_text
 from platelake.operators import assets as plots
 from platelake.operators import bars as bar_ops
-from platelake.operators import grid, metadata, readings, sections
+from platelake.operators import grid, metadata, palettes, readings, sections
 from platelake.operators.ranking import global_rank
 from platelake.plans.bar_chart import bar_values as values_of
 from platelake.plans.consolidate import ingest
@@ -249,6 +249,13 @@ def bar_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bar_ops.colored(bar_ops.normalised(adapters.bars(spark, sf_dir)))
 
 
+def palette_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars coloured by the palette of their region; the palettes are a table."""
+    values = bar_ops.normalised(adapters.view(spark, sf_dir, adapters.PALETTE_VALUES))
+    stops = adapters.view(spark, sf_dir, adapters.PALETTE_STOPS)
+    return palettes.palette_colored(values, stops).select("gene", "palette", "value", "t", "color")
+
+
 def bar_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bar_ops.bar_table(adapters.bars(spark, sf_dir), BAR_AXIS)
 
@@ -405,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bar_axis,
         bar_colors,
         bar_ranked,
+        palette_colors,
         workbook_ingest,
         archive_ingest,
         cell_ingest,
