@@ -11,7 +11,7 @@ from platelake.functions.numbers import missing_to_null
 from platelake.operators import metadata, readings
 from platelake.operators.ranking import global_rank
 from platelake.session import staged
-from platelake.sinks import summary, writers
+from platelake.sinks import pages, summary, writers
 from platelake.sources import listing, tables, walk, workbooks
 
 KEY, BATCH = "CellLine", "Batch"
@@ -88,7 +88,7 @@ def consolidate(
     """Write all results below ``out``; return the consolidated table and the markers that were left out.
 
     Tables: ``files, raw, ingest_report, readings, first_readings, file_counts, rejected_files, rejected_values, compounds, consolidated,
-    header_bands, sheet, cells_per_batch, run_summary``. ``consolidated`` has the arrays ``ic50`` and ``max_inhib`` with a place for each
+    header_bands, sheet, sheet_pages, sheet_index, cells_per_batch, run_summary``. ``consolidated`` has the arrays ``ic50`` and ``max_inhib`` with a place for each
     of ``compounds``, whatever their number. What is returned shows them as named columns; for more compounds than a plan should have
     columns, ``named=False`` returns the arrays. As CSV the table always has named columns.
     A further run with the same ``out`` opens only workbooks that have changed (see ``ingest``), unless ``again`` is set.
@@ -128,7 +128,13 @@ def consolidate(
     done = spark.read.schema(dense.schema).format(table_format).option("header", True).load(f"{out}/consolidated")
 
     cells = metadata.join_metadata(readings.dense_readings(first, dictionary, texts=True), panel, key=KEY, batch=BATCH)
-    writers.write_sheet(summary.sheet_lines(cells, header, [KEY, BATCH, *info, *known], KEY, BATCH), f"{out}/sheet")
+    sheet = summary.sheet_lines(cells, header, [KEY, BATCH, *info, *known], KEY, BATCH)
+    # Pages of the sheet's lines, with an index, for readers of a part of it; the sheet itself is written from them.
+    order = [F.asc_nulls_last(c) for c in ("section", "batch", "cell_line", "assay_cell_line")]
+    writers.write_table(pages.paged(sheet, *order), f"{out}/sheet_pages")
+    lines_of = spark.read.parquet(f"{out}/sheet_pages")
+    writers.write_table(pages.page_index(lines_of, ("section", "batch", "cell_line", "assay_cell_line")), f"{out}/sheet_index")
+    writers.write_sheet(lines_of.drop("row_no", "page_no"), f"{out}/sheet")
     lines = done.select(KEY, BATCH)
     writers.write_table(metadata.cells_per_batch(lines, KEY, BATCH), f"{out}/cells_per_batch")
     writers.write_table(summary.run_summary(counted, lines, header, KEY), f"{out}/run_summary")

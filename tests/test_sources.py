@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from platelake.plans.bar_chart import bar_chart, bar_values
 from platelake.plans.consolidate import consolidate
 from platelake.plans.plot_table import plot_table
+from platelake.sinks import pages
 from platelake.sources import archives, listing, tables, workbooks
 from workload.fixtures import workbook_bytes
 
@@ -227,6 +228,11 @@ def test_consolidate_folders(spark, tmp_path, fmt):
         "BxPC3,1st_10 cells,ACH-1,Pancreas,d,s,c,Yes,9.57,,0.47,300.0,n.d.,7.0,1.0,8.0",
         ",2nd cells,,,,,,,,,5.0,,,,,",
     ]
+    table, index = spark.read.parquet(f"{out}/sheet_pages"), spark.read.parquet(f"{out}/sheet_index")
+    assert rows(index.select("page_no", "first_row", "n_rows", "last_assay_cell_line")) == [(1, 1, 4, "zz")]
+    text = "".join(open(f"{out}/sheet/{p}").read() for p in parts)
+    assert "".join(r["line"] + "\n" for r in pages.page(table, 1).collect()) == text
+    assert index.first()["n_bytes"] == len(text.encode())
     bands = spark.read.parquet(f"{out}/header_bands")
     assert [r[0] for r in rows(bands.select("column_name"), "ordinal")] == done.columns[:-1]
 
@@ -347,3 +353,23 @@ def test_a_second_run_opens_what_has_changed(spark, tmp_path):
     assert rows(spark.read.json(f"{out}/rejected_files")) == rows(spark.read.json(f"{tmp_path}/fresh/rejected_files"))
     _, report = run(out, again=True)
     assert report["n_opened"] == 8
+
+
+def test_pages_and_their_index(spark):
+    df = spark.range(2503).selectExpr("concat('L', lpad(id, 4, '0')) as cell_line", "concat('line ', id, if(id % 5 = 0, ' é', '')) as line").repartition(7)
+    found = pages.paged(df, F.asc("cell_line"), page_rows=100).cache()
+    index = rows(pages.page_index(found, ["cell_line"]), "page_no")
+    assert len(index) == 26 and index[-1][1:3] == (2501, 3)
+    assert [(i[4], i[5]) for i in index[:2]] == [("L0000", "L0099"), ("L0100", "L0199")]
+    lines = [r["line"] for r in pages.page(found, 2).collect()]
+    assert lines == [f"line {i}" + (" é" if i % 5 == 0 else "") for i in range(100, 200)]
+    assert index[1][3] == sum(len(x.encode()) + 1 for x in lines)
+    assert pages.page_index(pages.paged(df.limit(0), F.asc("cell_line")), ["cell_line"]).count() == 0
+
+
+def test_equal_images_are_stored_once(spark):
+    df = spark.createDataFrame([(1, bytearray(b"a")), (2, bytearray(b"a")), (3, bytearray(b"b")), (4, None)], "image_no int, content binary")
+    refs, store = pages.stored_once(df)
+    assert refs.columns == ["image_no", "digest"] and refs.count() == 4
+    assert rows(store.select(F.col("content").cast("string"), "n_uses")) == [("a", 2), ("b", 1)]
+    assert rows(refs.join(store, "digest").select("image_no", F.col("content").cast("string"))) == [(1, "a"), (2, "a"), (3, "b")]

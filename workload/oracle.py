@@ -588,3 +588,17 @@ ORACLE_SQL: dict[str, str] = {
 }
 # What is written and read back is what the query without files gives.
 ORACLE_SQL["bars_written"] = ORACLE_SQL["bar_ranked"]
+
+ORACLE_SQL["sheet_pages"] = f"""
+with lines as ({ORACLE_SQL["sheet_lines"]}),
+numbered as (
+  select *, row_number() over (order by section, encode(batch) nulls last, encode(cell_line) nulls last, encode(assay_cell_line) nulls last, encode(line)) as row_no
+  from lines
+)
+select (row_no - 1) // 10 + 1 as page_no, min(row_no) as first_row, count(*) as n_rows, cast(sum(octet_length(encode(line)) + 1) as bigint) as n_bytes,
+       {", ".join(f"arg_min_null({k}, row_no) as first_{k}, arg_max_null({k}, row_no) as last_{k}" for k in ("section", "batch", "cell_line", "assay_cell_line"))}
+from numbered group by (row_no - 1) // 10 + 1"""
+ORACLE_SQL["image_store"] = """
+select sha256(concat(url, ' ', html)) as digest, min(2 * page_id) as first_image, 2 * count(*) as n_uses,
+       any_value(octet_length(encode(concat(url, ' ', html)))) as n_bytes
+from pages where url is not null and html is not null group by 1"""

@@ -17,7 +17,7 @@ from platelake.operators.ranking import global_rank
 from platelake.plans.bar_chart import bar_values as values_of
 from platelake.plans.consolidate import ingest
 from platelake.session import staged
-from platelake.sinks import summary, writers
+from platelake.sinks import pages, summary, writers
 from platelake.sources import archives, listing, tables, walk, workbooks
 from workload import adapters, fixtures
 
@@ -141,6 +141,22 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.sheet_lines(joined, _header(spark, dictionary), before, "cell_line", "batch")
 
 
+def sheet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of the sheet's pages of ten lines."""
+    order = [F.asc_nulls_last(c) for c in ("section", "batch", "cell_line", "assay_cell_line", "line")]
+    found = pages.paged(sheet_lines(spark, sf_dir), *order, page_rows=10)
+    return pages.page_index(found, ("section", "batch", "cell_line", "assay_cell_line"))
+
+
+def image_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as images, of which two ids share each picture."""
+    html = adapters.table(spark, sf_dir, "pages").select(F.col("page_id"), F.encode(F.concat(F.col("url"), F.lit(" "), "html"), "UTF-8").alias("content"))
+    twice = html.select((F.col("page_id") * 2).alias("image_no"), "content").union(html.select(F.col("page_id") * 2 + 1, "content"))
+    refs, store = pages.stored_once(twice)
+    least = refs.groupBy("digest").agg(F.min("image_no").alias("first_image"))
+    return store.join(least, "digest").select("digest", "first_image", "n_uses", F.octet_length("content").alias("n_bytes"))
+
+
 def compound_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compounds' places, and their labels where every third one differs from another in case only."""
     first = first_readings(spark, sf_dir)
@@ -423,6 +439,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         first_sheet_files,
         bars_written,
         incremental_raw,
+        sheet_pages,
+        image_store,
         compound_places,
         dense_readings,
     )
