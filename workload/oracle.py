@@ -361,7 +361,7 @@ ORACLE_SQL: dict[str, str] = {
           from supplier, (values ('A cells'), ('N cells')) v(batch)
         )
         select batch, file_name, count(*) over (partition by batch) as n_files,
-               (select count(*) from lineitem where l_suppkey = s_suppkey and concat(l_returnflag, ' cells') = batch and l_quantity < 2) as n_rows
+               (select count(*) from lineitem where l_suppkey = s_suppkey and concat(l_returnflag, ' cells') = batch and l_suppkey % 5 <> 2) as n_rows
         from files""",
     "clean_readings": with_(RAW, CLEAN, select=f"select {CLEAN_COLUMNS} from clean"),
     "rejected_values": with_(
