@@ -3,7 +3,8 @@
 Many voters look at a text: one for each term of a lexicon (a word of at most seven bytes, or a word beginning of three to
 seven, met at all or met often) that is mined from the labelled rows, some patterns over all of them, and the given label itself. A generative model
 of two classes estimates by expectation maximisation how accurate each voter is, and from what the classes leave
-unexplained how far voters repeat each other; repeated votes count less. A linear classifier is then trained on the
+unexplained how far voters repeat each other; repeated votes count less. (The lexicon is mined from the same labels and the posterior starts at
+them, so voters are not independent of the given label.) A linear classifier is then trained on the
 posterior labels and scores every whole text.
 
 Counts of terms cover all labelled rows, and every term of the toxic rows is compared with the clean ones. All terms that pass are kept:
@@ -303,8 +304,8 @@ def fit(labelled: DataFrame) -> ToxicityModel:
             seen, n_words = evidence(spans.texts_of(part.column("text")), Lexicon(*parts))
             yield pa.RecordBatch.from_pydict({"toxic": part.column("toxic"), "n_words": n_words, "seen": pa.array([c.astype("<i4").tobytes() for c in seen], pa.binary())})
 
-    # The limit holds where one id has very many rows.
-    found = chosen.select("text", "toxic").mapInArrow(rows, "toxic int, n_words long, seen binary").orderBy("seen", "n_words", "toxic").limit(2 * FIT_ROWS).toArrow()
+    # The limit holds where one id has very many rows; a hash of what was seen keeps rows of all kinds.
+    found = chosen.select("text", "toxic").mapInArrow(rows, "toxic int, n_words long, seen binary").orderBy(F.xxhash64("seen", "n_words"), "seen", "n_words", "toxic").limit(2 * FIT_ROWS).toArrow()
     seen = np.frombuffer(b"".join(found.column("seen").to_pylist()), "<i4").reshape(found.num_rows, VOTERS + HASHED + 2).astype(np.int64)
     n_words, given = found.column("n_words").to_numpy(), found.column("toxic").to_numpy()
     if not found.num_rows:

@@ -60,9 +60,8 @@ def test_edge_rows(spark):
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
 
 
-def test_toxic_words_beyond_any_list_count(spark, monkeypatch):
+def test_toxic_words_beyond_any_list_count(spark):
     """Rare toxic words behind many common ones, and more families than voters: a text with any of them scores above every clean one."""
-    monkeypatch.setattr(toxicity, "CANDIDATES", 200, raising=False)
     rng = np.random.default_rng(3)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
     common = ["c" + "".join(rng.choice(letters, 6)) for _ in range(300)]
@@ -74,3 +73,9 @@ def test_toxic_words_beyond_any_list_count(spark, monkeypatch):
     found = toxicity.score(spark.createDataFrame(asked, "doc_id long, text string"), model).toPandas().set_index("doc_id").score
     assert found[found.index < 100].min() > found[found.index >= 100].max()
     assert found[found.index < 100].min() > toxicity.TOXIC_FROM
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    labels = spark.createDataFrame([(1, 1), (6, 0)], "doc_id long, toxic int")
+    found = toxicity.toxicity(edge_docs(spark), labels).collect()
+    assert [r["held_out"] for r in found if r["doc_id"] is None] == [False] and all(r["held_out"] is not None for r in found)
