@@ -179,6 +179,7 @@ def test_rare_words_are_counted_and_told_apart(spark, monkeypatch):
 def test_groups_follow_the_scored_documents(spark, monkeypatch):
     """Few trusted texts, many documents: the places beyond the head are dealt over salts, and no shard takes the documents' own data."""
     monkeypatch.setattr(ngrams, "HEAD", 3)
+    monkeypatch.setattr(ngrams, "TASK_BYTES", 1000)
     docs = spark.range(600).selectExpr("id as doc_id", "'en' as lang", "concat('word', char(97 + id % 20), ' and then ', char(97 + id % 7)) as text").repartition(6)
     groups = []
     real = ngrams.F.sequence
