@@ -31,41 +31,50 @@ with words as (
   select *, case when word_chars > 0 then 1000 * n_symbols // word_chars else 0 end as symbols,
          case when word_chars > 0 then 1000 * n_marks // word_chars else 0 end as marks,
          case when word_chars > 0 then 1000 * n_capitals // word_chars else 0 end as capitals,
+         case when n_words > 0 then 1000 * word_chars // n_words else 0 end as exact_length,
          case when n_lines > 0 then 1000 * n_dup_lines // n_lines else 0 end as dup_lines,
          case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end as repeats
   from flagged
+), rounded as (
+  select *, exact_length - exact_length % (cast(1 as bigint) << greatest(length(bin(exact_length)) - 10, 0)) as word_length from ratios
 ), tall as (
-  unpivot (select lang, source, symbols, marks, capitals, dup_lines, repeats from ratios where not base_failed)
-  on symbols, marks, capitals, dup_lines, repeats into name feature value value
+  unpivot (select lang, source, symbols, marks, capitals, word_length, dup_lines, repeats from rounded where not base_failed)
+  on symbols, marks, capitals, word_length, dup_lines, repeats into name feature value value
 ), grouped as (
-  select lang, source, feature, count(*) as n, quantile_disc(value, 0.25) as low, quantile_disc(value, 0.75) as high
+  select lang, source, feature, count(*) as n, quantile_disc(value, 0.25) as low, quantile_disc(value, 0.75) as high,
+         quantile_disc(value, 0.995) as top
   from tall group by all
 ), langs as (
-  select lang, feature, count(*) as n, quantile_disc(value, 0.25) as low, quantile_disc(value, 0.75) as high
+  select lang, feature, count(*) as n, quantile_disc(value, 0.25) as low, quantile_disc(value, 0.75) as high,
+         quantile_disc(value, 0.995) as top
   from tall group by all
 ), everything as (
-  select feature, quantile_disc(value, 0.25) as low, quantile_disc(value, 0.75) as high from tall group by all
+  select feature, quantile_disc(value, 0.25) as low, quantile_disc(value, 0.75) as high, quantile_disc(value, 0.995) as top
+  from tall group by all having count(*) >= 200
 ), chosen as (
   select g.lang, g.source, g.feature,
-         case when g.n >= 100 then g.low when l.n >= 100 then l.low else e.low end as low,
-         case when g.n >= 100 then g.high when l.n >= 100 then l.high else e.high end as high
+         case when g.n >= 200 then g.low when l.n >= 200 then l.low else e.low end as low,
+         case when g.n >= 200 then g.high when l.n >= 200 then l.high else e.high end as high,
+         case when g.n >= 200 then g.top when l.n >= 200 then l.top else e.top end as top
   from grouped g join langs l on g.lang is not distinct from l.lang and g.feature = l.feature
-  join everything e on g.feature = e.feature
+  left join everything e on g.feature = e.feature
 ), fences as (
   select lang, source,
-         max(case when feature = 'symbols' then high + 3 * (high - low) + 30 end) as symbols_limit,
-         max(case when feature = 'marks' then high + 3 * (high - low) + 50 end) as marks_limit,
-         max(case when feature = 'capitals' then high + 3 * (high - low) + 200 end) as capitals_limit,
-         max(case when feature = 'dup_lines' then high + 3 * (high - low) + 500 end) as dup_lines_limit,
-         max(case when feature = 'repeats' then high + 3 * (high - low) + 200 end) as repeats_limit
+         max(case when feature = 'symbols' then high + 5 * greatest(high - low, 1) end) as symbols_limit,
+         max(case when feature = 'marks' then high + 5 * greatest(high - low, 1) end) as marks_limit,
+         max(case when feature = 'capitals' then high + 5 * greatest(high - low, 1) end) as capitals_limit,
+         max(case when feature = 'word_length' then high + 5 * greatest(high - low, 1) end) as word_length_limit,
+         max(case when feature = 'dup_lines' then top end) as dup_lines_limit,
+         max(case when feature = 'repeats' then top end) as repeats_limit
   from chosen group by lang, source
 )
 select r.doc_id, r.lang, r.source, n_words, word_chars, n_symbols, n_marks, n_capitals, n_lines, n_dup_lines,
        n_repeat_words, base_failed,
        (not base_failed and coalesce(symbols <= symbols_limit, true) and coalesce(marks <= marks_limit, true)
-        and coalesce(capitals <= capitals_limit, true) and coalesce(dup_lines <= dup_lines_limit, true)
+        and coalesce(capitals <= capitals_limit, true)
+        and coalesce(word_length <= word_length_limit, true) and coalesce(dup_lines <= dup_lines_limit, true)
         and coalesce(repeats <= repeats_limit, true)) as kept
-from ratios r left join fences f on r.lang is not distinct from f.lang and r.source is not distinct from f.source
+from rounded r left join fences f on r.lang is not distinct from f.lang and r.source is not distinct from f.source
 """
 
 DECONTAMINATION = r"""

@@ -1,10 +1,16 @@
 """Quality rules whose limits come from mergeable quantile sketches per language and source.
 
-A sketch counts documents by the value of a feature in thousandths: at most 1,001 counters for each feature and group,
-whatever the data. Counters of sources add up to those of their language, and these to those of the corpus; a quantile
-read from them is exact to one thousandth. The limit of a feature is its upper quartile plus ``SPREAD`` times the distance
-of the quartiles plus a fixed allowance, of the (language, source) group if that has ``MIN_ROWS`` documents, else of the
-language, else of the corpus.
+A sketch counts documents by the value of a feature, of which it keeps the ``BITS`` leading bits: values below 1,024 are exact,
+larger ones to one part in 512, and there are at most 512 counters more for each doubling, whatever the data. Counters
+of sources add up to those of their language, and these to those of the corpus. There are no fixed cutoffs:
+
+- features of ``FENCED`` (shares of characters, length of words): above the upper quartile by more than ``SPREAD`` times the distance of
+  the quartiles, for which a thousandth stands where they are equal;
+- features of ``TAIL`` (repeated lines and words, which most clean texts lack): above the quantile ``HIGH_PARTS``, so that at
+  most one document in 200 of a group fails by each.
+
+Limits are those of the (language, source) group if that has ``MIN_ROWS`` documents, else of the language, else of the corpus;
+a corpus of fewer tells nothing, so only the base rules hold there.
 
 Edge cases: a NULL text has no words and fails the base rules; NULL languages and sources are groups of their own; equal
 rows count each; an empty table gives an empty result; columns of the input are kept, new ones get unused names.
@@ -25,13 +31,17 @@ from platelake.llm.shared import col, stored, unused
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MIN_ROWS = 100
-SPREAD = 3
+MIN_ROWS = 200
+SPREAD = 5
+HIGH_PARTS = (199, 200)
+BITS = 10
 #: A task measures about so many bytes of text at once.
 CHUNK_BYTES = 1 << 20
 
-#: Features in thousandths -> allowance above the quartiles.
-ALLOWANCE = {"symbols": 30, "marks": 50, "capitals": 200, "dup_lines": 500, "repeats": 200}
+#: Features are quotients in thousandths.
+FENCED = ("symbols", "marks", "capitals", "word_length")
+TAIL = ("dup_lines", "repeats")
+FEATURES = FENCED + TAIL
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_marks", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words")
 
@@ -42,6 +52,7 @@ _RATIOS = {
     "symbols": ("n_symbols", "word_chars"),
     "marks": ("n_marks", "word_chars"),
     "capitals": ("n_capitals", "word_chars"),
+    "word_length": ("word_chars", "n_words"),
     "dup_lines": ("n_dup_lines", "n_lines"),
     "repeats": ("n_repeat_words", "n_words"),
 }
@@ -118,16 +129,22 @@ def feature(m: Column, name: str) -> Column:
     return F.when(m[whole] > 0, F.floor(1000 * m[part] / m[whole])).otherwise(F.lit(0)).cast("long")
 
 
+def bucket(value: Column) -> Column:
+    """The counter of a value that is not negative: its ``BITS`` leading bits, the others zero."""
+    step = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(value)) - BITS, F.lit(0))).cast("long")
+    return value - value % step
+
+
 def sketches(rows: DataFrame, metrics: str, lang: str = "lang", source: str = "source") -> DataFrame:
     """Counters of all features over the documents that pass the base rules: ``lang, source, feature, value, n``."""
     m = col(metrics)
-    values = F.array(*[F.struct(F.lit(f).alias("feature"), feature(m, f).alias("value")) for f in ALLOWANCE])
+    values = F.array(*[F.struct(F.lit(f).alias("feature"), bucket(feature(m, f)).alias("value")) for f in FEATURES])
     passed = rows.filter(~base_failed(m)).select(col(lang).alias("lang"), col(source).alias("source"), F.explode(values).alias("v"))
     return passed.groupBy("lang", "source", "v.feature", "v.value").agg(F.count("*").alias("n"))
 
 
-def _quartiles(counters: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles of each feature from merged counters; each group has at most 1,001 of them."""
+def _quantiles(counters: DataFrame, keys: list[str]) -> DataFrame:
+    """Quartiles and the high quantile of each feature from merged counters, whose number is bounded."""
     merged = counters.groupBy(*keys, "feature", "value").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "feature")
     running = merged.select(
@@ -137,40 +154,39 @@ def _quartiles(counters: DataFrame, keys: list[str]) -> DataFrame:
         F.sum("n").over(group.orderBy("value")).alias("upto"),
         F.sum("n").over(group).alias("rows"),
     )
+
+    def least(part: int, whole: int) -> Column:
+        return F.min(F.when(whole * F.col("upto") >= part * F.col("rows"), F.col("value")))
+
     return running.groupBy(*keys, "feature").agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("rows"), F.col("value"))).alias("low"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("value"))).alias("high"),
-        F.max("rows").alias("rows"),
+        F.struct(least(1, 4).alias("low"), least(3, 4).alias("high"), least(*HIGH_PARTS).alias("top")).alias("q"), F.max("rows").alias("rows")
     )
 
 
 def limits(counters: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row for each (language, source): the limit of every feature, from the smallest group that is large enough."""
-    own = _quartiles(counters, ["lang", "source"])
-    of_lang = _quartiles(counters, ["lang"]).select(F.col("lang").alias("l"), F.col("feature").alias("f"), F.struct("low", "high", "rows").alias("by_lang"))
-    of_all = _quartiles(counters, []).select(F.col("feature").alias("g"), F.struct("low", "high").alias("by_all"))
+    own = _quantiles(counters, ["lang", "source"])
+    of_lang = _quantiles(counters, ["lang"]).select(F.col("lang").alias("l"), F.col("feature").alias("f"), F.struct("q", "rows").alias("by_lang"))
+    of_all = _quantiles(counters, []).select(F.col("feature").alias("g"), F.when(F.col("rows") >= min_rows, F.col("q")).alias("by_all"))
     joined = own.join(of_lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("feature") == F.col("f"))).join(of_all, F.col("feature") == F.col("g"))
-    chosen = F.when(F.col("rows") >= min_rows, F.struct("low", "high")).when(F.col("by_lang.rows") >= min_rows, F.struct("by_lang.low", "by_lang.high")).otherwise(F.col("by_all"))
-    allowance = F.element_at(F.create_map(*[F.lit(x) for pair in ALLOWANCE.items() for x in pair]), F.col("feature"))
-    limit = joined.select("lang", "source", "feature", chosen.alias("q")).select(
-        "lang", "source", "feature", (F.col("q.high") + SPREAD * (F.col("q.high") - F.col("q.low")) + allowance).alias("limit")
-    )
-    return limit.groupBy("lang", "source").agg(
-        *[F.max(F.when(F.col("feature") == f, F.col("limit"))).alias(f"{f}_limit") for f in ALLOWANCE]
-    )
+    chosen = F.when(F.col("rows") >= min_rows, F.col("q")).when(F.col("by_lang.rows") >= min_rows, F.col("by_lang.q")).otherwise(F.col("by_all"))
+    low, high, top = (F.col("c")[x] for x in ("low", "high", "top"))
+    limit = F.when(F.col("feature").isin(*TAIL), top).otherwise(high + SPREAD * F.greatest(high - low, F.lit(1)))
+    found = joined.select("lang", "source", "feature", chosen.alias("c")).select("lang", "source", "feature", limit.alias("limit"))
+    return found.groupBy("lang", "source").agg(*[F.max(F.when(F.col("feature") == f, F.col("limit"))).alias(f"{f}_limit") for f in FEATURES])
 
 
 def judged(rows: DataFrame, metrics: str, found: DataFrame, verdict: str, lang: str = "lang", source: str = "source") -> DataFrame:
     """``rows`` with the boolean ``verdict``: the base rules hold and no feature is above its group's limit."""
-    names = {f: unused(rows, f"{f}_limit") for f in ALLOWANCE}
+    names = {f: unused(rows, f"{f}_limit") for f in FEATURES}
     group_lang, group_source = unused(rows, "group_lang"), unused(rows, "group_source")
     right = found.select(
-        F.col("lang").alias(group_lang), F.col("source").alias(group_source), *[F.col(f"{f}_limit").alias(names[f]) for f in ALLOWANCE]
+        F.col("lang").alias(group_lang), F.col("source").alias(group_source), *[F.col(f"{f}_limit").alias(names[f]) for f in FEATURES]
     )
     m = col(metrics)
     within = F.lit(True)
     for f, name in names.items():
-        within = within & F.coalesce(feature(m, f) <= F.col(name), F.lit(True))
+        within = within & F.coalesce(bucket(feature(m, f)) <= F.col(name), F.lit(True))
     joined = rows.join(right, col(lang).eqNullSafe(F.col(group_lang)) & col(source).eqNullSafe(F.col(group_source)), "left")
     return joined.withColumn(verdict, ~base_failed(m) & within).drop(group_lang, group_source, *names.values())
 
