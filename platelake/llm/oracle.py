@@ -84,12 +84,15 @@ with d as (
 ), b as (
   select item_id, text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from (select distinct item_id, text from benchmark) where item_id is not null
+), lengths as (
+  select distinct least(len(w), 5) as k from b where len(w) > 0
 ), dg as (
-  select distinct doc_id, unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) as g
-  from d where len(w) >= 5
+  select distinct doc_id, unnest(list_transform(range(len(w) - k + 1), lambda i: array_to_string(list_slice(w, i + 1, i + k), ' '))) as g
+  from d join lengths on len(w) >= k
 ), bg as (
-  select distinct item_id, text, unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) as g
-  from b where len(w) >= 5
+  select distinct item_id, text,
+         unnest(list_transform(range(len(w) - least(len(w), 5) + 1), lambda i: array_to_string(list_slice(w, i + 1, i + least(len(w), 5)), ' '))) as g
+  from b where len(w) > 0
 ), sizes as (select item_id, text, count(*) as n_item from bg group by all)
 select doc_id, item_id, max(n_shared) as n_shared, max(n_item) as n_item, max(n_shared / n_item) as containment
 from (select doc_id, item_id, text, count(*) as n_shared from dg join bg using (g) group by all) join sizes using (item_id, text)

@@ -8,18 +8,19 @@ from platelake.llm import decontaminate as leaks
 from platelake.llm import oracle, queries
 
 
-def grams(text):
+def grams(text, k=5):
     words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
 
 
 def brute(docs, items):
     found = {}
     for d, text in docs:
         for i, item in items:
-            own = grams(item)
-            if d is not None and own and len(own & grams(text)) >= 0.8 * len(own):
-                found[(d, i)] = (len(own & grams(text)), len(own))
+            k = min(5, len((item or "").split()))
+            own = grams(item, k) if k else set()
+            if d is not None and own and len(own & grams(text, k)) >= 0.8 * len(own):
+                found[(d, i)] = (len(own & grams(text, k)), len(own))
     return found
 
 
@@ -29,9 +30,36 @@ def test_query_like_sql(spark):
 
 def test_needed_matches():
     assert [leaks.needed_matches(n) for n in (1, 4, 5, 10, 16)] == [1, 4, 4, 8, 13]
-    need = leaks.needed_matches(1000)
-    missed = sum(math.comb(16, k) * 0.8**k * 0.2 ** (16 - k) for k in range(need))
-    assert 1 < need < 13 and missed <= leaks.MISS
+    assert [leaks.sketch_size(c) for c in (0, 4, 5, 8)] == [16, 16, 24, 48]
+    for size_class in (4, 5, 8, 20):
+        k = leaks.sketch_size(size_class)
+        need = leaks.needed_matches(k + 1, k)
+        missed = sum(math.comb(k, m) * 0.8**m * 0.2 ** (k - m) for m in range(need))
+        assert 1 < need < 0.8 * k and missed <= leaks.MISS
+
+
+def test_sketches_by_size_class(spark):
+    """Each class has its own sketch size and threshold; an item below the sketch size is taken whole."""
+    sizes = [1, 4, 15, 16, 17, 31, 33, 63, 300, 5000]
+    rows = [(n, " ".join(f"w{n}x{i}" for i in range(n + 4))) for n in sizes]
+    items = spark.createDataFrame(rows, "item long, text string").select("item", leaks.word_list(F.col("text")).alias("words"))
+    found = leaks.item_sketches(items).groupBy("item").agg(F.count("*").alias("k"), F.first("size_class").alias("c"), F.first("need").alias("need"), F.first("n").alias("n"))
+    for r in found.collect():
+        size = leaks.sketch_size(r["item"].bit_length() - 1)
+        assert (r["n"], r["c"], r["k"]) == (r["item"], r["item"].bit_length() - 1, min(r["item"], size))
+        assert r["need"] == leaks.needed_matches(r["item"], size)
+
+
+def test_short_items(spark):
+    """Items of one to four words are found as a run wherever it stands, and do not remove documents unless asked."""
+    items = [(1, "Tree"), (2, "two words"), (3, "a run of"), (4, "four words in order"), (5, " \t "), (6, "not there")]
+    docs = [(1, "tree"), (2, "the two  words"), (3, "here a run\nof three"), (4, "say FOUR words in order now and then"), (5, "words two"), (6, ""), (7, "four words out of order"), (8, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["n_shared"], r["n_item"]) for r in leaks.contained_items(table, benchmark).collect()}
+    assert found == brute(docs, items) == {(1, 1): (1, 1), (2, 2): (1, 1), (3, 3): (1, 1), (4, 4): (1, 1)}
+    assert leaks.keep_unseen(table, benchmark).count() == 8
+    assert {r["doc_id"] for r in leaks.keep_unseen(table, benchmark, least_words=4).collect()} == {1, 2, 3, 5, 6, 7, 8}
 
 
 def items_and_docs():
@@ -61,7 +89,7 @@ def test_no_python_and_no_shuffle_of_shingles(spark):
     items = spark.createDataFrame(items, "item_id long, text string").select("item_id", leaks.word_list(F.col("text")).alias("words"))
     sketches = leaks.item_sketches(items.withColumnRenamed("item_id", "item"))
     table = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", leaks.word_list(F.col("text")).alias("words"))
-    plan = plan_of(leaks.candidates(table, sketches))
+    plan = plan_of(leaks.candidates(table, sketches, [2]))
     assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan
 
 
