@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: one for each term of a lexicon (a word of at most seven bytes, or a word beginning of three to
-seven, met at all or met often) that is mined from the labelled rows, some patterns over all of them, and the given label itself. A generative model
+Many voters look at a text: one for each term of a lexicon (a whole word of any length, one of more than seven bytes by a hash, or a word
+beginning of three to seven bytes, met at all or met often) that is mined from the labelled rows, some patterns over all of them, and the given label itself. A generative model
 of two classes estimates by expectation maximisation how accurate each voter is, and from what the classes leave
 unexplained how far voters repeat each other; repeated votes count less. (The lexicon is mined from the same labels and the posterior starts at
 them, so voters are not independent of the given label.) A linear classifier is then trained on the
@@ -13,7 +13,8 @@ the others reach the classifier as ``HASHED`` features. Fitting rows (``FIT_ROWS
 
 Edge cases: NULL and empty texts have no votes and get the score of such texts; a document with several labels counts
 as toxic if one says so; rows without a label are only scored; without any label every score is 0; equal rows are scored
-each; an empty table gives an empty result.
+each; an empty table gives an empty result; further columns, whatever their names, are not used; very long texts are looked at whole,
+in a batch of their own.
 """
 
 from __future__ import annotations
@@ -31,15 +32,20 @@ from platelake.llm.language_id import fold
 from platelake.llm.shared import stored
 
 PREFIXES = (3, 4, 5, 6, 7)
+#: The longest word that a term holds byte by byte.
+LONGEST = 7
 VOTERS, HASHED, FIT_ROWS = 64, 64, 20_000
 MIN_TOXIC, MIN_RATIO = 5, 20.0
 DENSE, SPARSE = 0.005, 0.001
 OFTEN_COUNT, OFTEN_SHARE = 2, 0.004
 ROUNDS = 30
+EXPLAINED = 0.01
 TOXIC_FROM = 0.7
 
 #: In a packed term: it votes only where it is frequent.
 OFTEN = np.uint64(1 << 62)
+#: The upper byte of a whole word's hash.
+HASHED_WORD = 0x80 | (LONGEST + 1)
 
 
 @dataclass
@@ -62,46 +68,64 @@ class ToxicityModel:
 
 
 def packed_terms(data: np.ndarray, words: spans.Spans) -> tuple[np.ndarray, np.ndarray]:
-    """Every term of each word as a number (bytes, and above them length and a mark for whole words), and the word of each."""
+    """Every term of each word as a number (bytes or hash, and above them length and a mark for whole words), and the word of each."""
     loads = np.ndarray((len(data) - 7,), np.dtype("<u8"), data, strides=(1,))
     value = loads[words.start] if len(words.start) else np.zeros(0, np.uint64)
     found, owner = [], []
-    for n in PREFIXES:
+    for n in range(1, LONGEST + 1):
         mask = np.uint64((1 << 8 * n) - 1)
-        longer = np.flatnonzero(words.length > n)
-        found.append((value[longer] & mask) | np.uint64(n << 56))
-        owner.append(longer)
+        if n in PREFIXES:
+            longer = np.flatnonzero(words.length > n)
+            found.append((value[longer] & mask) | np.uint64(n << 56))
+            owner.append(longer)
         whole = np.flatnonzero(words.length == n)
         found.append((value[whole] & mask) | np.uint64((n | 0x80) << 56))
         owner.append(whole)
+    long = np.flatnonzero(words.length > LONGEST)
+    own = spans.hashes(data, spans.Spans(words.start[long], words.length[long], np.array([0, len(long)])), seed=2)
+    found.append((own & np.uint64((1 << 56) - 1)) | np.uint64(HASHED_WORD << 56))
+    owner.append(long)
     return np.concatenate(found), np.concatenate(owner)
 
 
-def term_text(term: int) -> tuple[bytes, bool]:
-    """The bytes of a packed term, and whether it is a whole word."""
+def term_text(term: int, head: int = 0) -> tuple[bytes, bool]:
+    """The bytes of a packed term, and whether it is a whole word. Of a hashed one its ``head``, with the hash behind it."""
     n = term >> 56 & 0x0F
+    if n > LONGEST:
+        return head.to_bytes(8, "little")[:LONGEST] + term.to_bytes(8, "little")[:LONGEST], True
     return term.to_bytes(8, "little")[:n], bool(term >> 63)
 
 
+def heads(data: np.ndarray, words: spans.Spans, terms: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The beginning of the word of each hashed term; 0 for other terms, which hold theirs."""
+    loads = np.ndarray((len(data) - 7,), np.dtype("<u8"), data, strides=(1,))
+    hashed = (terms & ~OFTEN) >> np.uint64(56) == HASHED_WORD
+    out = np.zeros(len(terms), np.uint64)
+    out[hashed] = loads[words.start[owner[hashed]]] & np.uint64((1 << 8 * LONGEST) - 1)
+    return out
+
+
 def is_often(count: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     return (count >= OFTEN_COUNT) & (count >= OFTEN_SHARE * n_words)
 
 
 def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each term how many texts of the partition hold it; the counts of several chunks are merged on the way."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """For each term how many texts of the partition hold it, and its head; the counts of several chunks are merged on the way."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in held])
-        own, inverse = np.unique(keys, return_inverse=True)
-        return own, np.bincount(inverse, weights=np.concatenate([n for _, n in held]), minlength=len(own)).astype(np.int64)
+    def merged() -> pa.RecordBatch:
+        keys, counts, begins = (np.concatenate(c) for c in zip(*held))
+        own, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        total = np.bincount(inverse, weights=counts, minlength=len(own)).astype(np.int64)
+        return pa.RecordBatch.from_pydict({"term": own.view(np.int64), "n": total, "head": begins[first].view(np.int64)})
 
     for part in spans.chunked(batches, "text"):
         texts = spans.texts_of(part.column("text"))
         found, _ = spans.lettered(texts)
         words, inverse = spans.distinct(texts, found)
         term, owner = packed_terms(texts.data, words)
-        own, code = np.unique(term, return_inverse=True)
+        own, first, code = np.unique(term, return_index=True, return_inverse=True)
+        head = heads(texts.data, words, own, owner[first])
         # The terms of each word, then those of the words of each text; a text counts once for a term.
         order = np.argsort(owner, kind="stable")
         code = code[order]
@@ -115,25 +139,23 @@ def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         total = np.bincount(of_hit, weights=np.repeat(seen, times), minlength=len(hits))
         text, term = np.divmod(hits, max(len(own), 1))
         often = is_often(total, found.counts()[text])
-        held.append((own, np.bincount(term, minlength=len(own)).astype(np.int64)))
+        held.append((own, np.bincount(term, minlength=len(own)).astype(np.int64), head))
         n_often = np.bincount(term[often], minlength=len(own)).astype(np.int64)
-        held.append((own[n_often > 0] | OFTEN, n_often[n_often > 0]))
-        if sum(len(k) for k, _ in held) > 2_000_000:
-            keys, counts = merged()
-            yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "n": counts})
+        held.append((own[n_often > 0] | OFTEN, n_often[n_often > 0], head[n_often > 0]))
+        if sum(len(k) for k, _, _ in held) > 2_000_000:
+            yield merged()
             held = []
     if held:
-        keys, counts = merged()
-        yield pa.RecordBatch.from_pydict({"term": keys.view(np.int64), "n": counts})
+        yield merged()
 
 
 def lexicon(labelled: DataFrame) -> Lexicon:
     """Terms that tell toxic texts: far more frequent there by all labelled rows."""
     totals = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    schema = "term long, n long"
+    schema = "term long, n long, head long"
     toxic = labelled.filter("toxic = 1").select("text").mapInArrow(_documents_with, schema)
-    compared = stored(toxic.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TOXIC))
+    compared = stored(toxic.groupBy("term").agg(F.sum("n").alias("n"), F.max("head").alias("head")).filter(F.col("n") >= MIN_TOXIC))
     number = compared.count()
     if not number or not n0:
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))
@@ -145,12 +167,12 @@ def lexicon(labelled: DataFrame) -> Lexicon:
     t, c = F.col("toxic"), F.col("clean")
     ratio = ((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1))
     gain = 2 * (t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
-    good = found.select("term", ratio.alias("ratio"), gain.alias("gain")).filter((F.col("ratio") >= MIN_RATIO) & (F.col("gain") >= 2 * np.log(number) + 4))
-    passed = good.select("term", "gain").toArrow()
-    return arranged(passed.column("term").to_numpy().view(np.uint64), passed.column("gain").to_numpy())
+    good = found.select("term", "head", ratio.alias("ratio"), gain.alias("gain")).filter((F.col("ratio") >= MIN_RATIO) & (F.col("gain") >= 2 * np.log(number) + 4))
+    passed = good.select("term", "gain", "head").toArrow()
+    return arranged(passed.column("term").to_numpy().view(np.uint64), passed.column("gain").to_numpy(), passed.column("head").to_numpy())
 
 
-def arranged(terms: np.ndarray, gain: np.ndarray) -> Lexicon:
+def arranged(terms: np.ndarray, gain: np.ndarray, head: np.ndarray) -> Lexicon:
     """All terms that passed; the most telling of each family of beginnings stands for it."""
     ranked = sorted(range(len(terms)), key=lambda i: (-gain[i], int(terms[i]) >> 56 & 0x0F, int(terms[i])))
     with np.errstate(over="ignore"):
@@ -159,7 +181,7 @@ def arranged(terms: np.ndarray, gain: np.ndarray) -> Lexicon:
     bodies: set[bytes] = set()
     beginnings: set[bytes] = set()
     for i in ranked:
-        body, _ = term_text(int(terms[i]))
+        body, _ = term_text(int(terms[i]), int(head[i]))
         own = {body[:n] for n in range(1, len(body) + 1)}
         if body in beginnings or own & bodies:
             continue
@@ -257,9 +279,10 @@ def label_model(cast: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.nda
         chance = np.stack([(kinds * p[None, :, None]).sum(1) + 0.1 for p in (1 - posterior, posterior)])
         chance /= chance.sum(1, keepdims=True)
         if step in (0, ROUNDS // 2):  # first by the given labels: later, copies of a voter would have bent the classes
-            expected = [c[2] - c[0] for c in chance]
+            expected = [(p @ ballots) / max(p.sum(), 1e-9) for p in (1 - posterior, posterior)]
             rest = ballots - (1 - posterior)[:, None] * expected[0] - posterior[:, None] * expected[1]
-            spread = np.sqrt((rest**2).mean(0)) + 1e-9
+            # Of a voter that the classes explain nothing is left that could be shared with others.
+            spread = np.sqrt((rest**2).mean(0)) + EXPLAINED
             left = (rest.T @ rest) / len(rest) / np.outer(spread, spread)
             weight = 1 / (1 + (np.maximum(np.abs(left) - 0.1, 0).sum(1) - np.maximum(np.abs(np.diag(left)) - 0.1, 0)))
         log = np.log(chance[1] / chance[0]) * weight

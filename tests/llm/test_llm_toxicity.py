@@ -43,6 +43,14 @@ def test_label_model_finds_accuracies_and_copies():
     assert accuracy[0] > accuracy[1] and left[1, 2] > 0.9 > abs(left[0, 1])
 
 
+def test_voters_that_the_classes_explain_are_not_copies():
+    given = np.array([1] * 60 + [0] * 540)
+    right = np.where(given == 1, 1, -1)
+    cast = np.column_stack([right, right, np.where(given == 1, 1, 0), *[np.zeros(600, int)] * 60, np.full(600, -1)])
+    posterior, accuracy, left = toxicity.label_model(cast, given)
+    assert posterior[:60].min() > 0.95 and posterior[60:].max() < 0.05 and accuracy[0] > 0.95
+
+
 def test_linear_fit():
     rng = np.random.default_rng(0)
     x = np.column_stack([rng.normal(size=2000), np.ones(2000)])
@@ -79,3 +87,37 @@ def test_rows_without_an_id_are_not_held_out(spark):
     labels = spark.createDataFrame([(1, 1), (6, 0)], "doc_id long, toxic int")
     found = toxicity.toxicity(edge_docs(spark), labels).collect()
     assert [r["held_out"] for r in found if r["doc_id"] is None] == [False] and all(r["held_out"] is not None for r in found)
+
+
+def test_whole_words_of_any_length(spark):
+    """A word of one or two letters, and long words that differ only behind byte 7, are told apart."""
+    texts = spans.texts_of(pa.array(["a zq considerate considerable"]))
+    found, _ = spans.lettered(texts)
+    terms, owner = toxicity.packed_terms(texts.data, found)
+    head = toxicity.heads(texts.data, found, terms, owner)
+    whole = {int(o): toxicity.term_text(int(t), int(h))[0] for t, o, h in zip(terms, owner, head) if int(t) >> 63}
+    assert whole[0] == b"a" and whole[1] == b"zq" and whole[2][:7] == whole[3][:7] == b"conside" and whole[2] != whole[3]
+    rng = np.random.default_rng(4)
+    say = lambda *more: " ".join([*(f"c{w}" for w in rng.integers(0, 200, 30)), *more])
+    for bad, fine in (("zq", "qz"), ("considerhate", "considerable")):
+        rows = [(i, say(bad), 1) for i in range(60)] + [(i, say(fine), 0) for i in range(60, 600)]
+        table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        assert len(toxicity.lexicon(table).terms) == 1
+        model = toxicity.fit(table)
+        asked = spark.createDataFrame([(1, say(bad)), (2, say(fine)), (3, say())], "doc_id long, text string")
+        got = {r["doc_id"]: r["score"] for r in toxicity.score(asked, model).collect()}
+        assert got[1] >= toxicity.TOXIC_FROM > max(got[2], got[3])
+
+
+def test_families_of_long_words():
+    """A long word belongs to the family of a beginning that passed before it; two long words without one are families of their own."""
+    texts = spans.texts_of(pa.array(["considerhate considerable"]))
+    found, _ = spans.lettered(texts)
+    terms, owner = toxicity.packed_terms(texts.data, found)
+    head = toxicity.heads(texts.data, found, terms, owner)
+    hashed = head > 0
+    alone = toxicity.arranged(terms[hashed], np.array([9.0, 8.0]), head[hashed])
+    assert alone.counted.tolist() == [True, True]
+    begin = np.array([int.from_bytes(b"con", "little") | 3 << 56], np.uint64)
+    joined = toxicity.arranged(np.concatenate([begin, terms[hashed]]), np.array([10.0, 9.0, 8.0]), np.append(np.zeros(1, np.uint64), head[hashed]))
+    assert joined.counted.sum() == 1
