@@ -6,7 +6,8 @@ loss less the background's: below zero, the text is more like the target than th
 and the bigrams of all documents are joined with them.
 
 Edge cases: NULL and empty texts have one token, the end; a target without documents knows no bigram; equal rows
-are counted and scored each; a target id that no document has is without effect; an empty table gives an empty result.
+are counted and scored each; a target id that no document has is without effect; an empty table gives an empty result; rows without an id belong to
+the background only, and are scored; further columns, whatever their names, are not used.
 """
 
 from __future__ import annotations

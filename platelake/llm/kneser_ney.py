@@ -9,7 +9,8 @@ fewer than ``MIN_HELD`` of them take the limit of all.
 Counts of logarithms of perplexity in hundredths are a sketch that adds up over any parts of the data; quantiles are read from it.
 
 Edge cases: NULL and empty texts have one token, the end; rows without a language are a language of their own; equal rows are counted
-and scored each; without held documents nothing is rejected; an empty table gives an empty result.
+and scored each; without held documents nothing is rejected; an empty table gives an empty result; rows without an id are scored and never
+trusted; further columns, whatever their names, are not used.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ Canonical form: host without ``www.`` and port 80 or 443, path without slashes a
 tracking parameters; no scheme, no fragment.
 
 Edge cases: NULL and text without ``://`` have an empty host and path, no rule, and are allowed; equal rows are judged each;
-an empty list blocks nothing; an empty table gives an empty result; further columns are not used.
+an empty list blocks nothing; an empty table gives an empty result; further columns are not used; URLs of any length are judged whole.
 """
 
 from __future__ import annotations

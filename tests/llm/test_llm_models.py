@@ -160,6 +160,18 @@ def test_edge_rows(spark, operator):
     assert operator(docs, ids.limit(0)).count() == docs.count()
 
 
+@pytest.mark.parametrize("operator", [cross_entropy.scores, kneser_ney.perplexities])
+def test_rows_without_an_id_and_clashing_columns(spark, operator):
+    rows = [(1, "one two three four", "en"), (2, "one two five", "en"), (None, "one two six", "en"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = spark.createDataFrame([(1,), (None,)], "doc_id long")
+    clashing = docs.selectExpr("*", "1 as key", "2 as v", "3 as w", "4 as n", "5 as wanted", "6 as loss0", "7 as trusted_id", "8 as `a.b`")
+    found = [sorted(map(repr, operator(d, ids).collect())) for d in (docs, clashing)]
+    assert found[0] == found[1] and len(found[0]) == 4
+    if operator is kneser_ney.perplexities:
+        assert {(r["doc_id"], r["trusted"]) for r in operator(docs, ids).collect()} == {(1, True), (2, False), (None, False)}
+
+
 def test_rare_words_are_counted_and_told_apart(spark, monkeypatch):
     """More different words than any list held: all are counted, and one rare word more or less changes a document's loss."""
     monkeypatch.setattr(ngrams, "HEAD", 1000)

@@ -45,6 +45,15 @@ def test_empty_tables(spark):
     assert url_filter.judged(pages.limit(0), nothing, queries.RULES).count() == 0
 
 
+def test_very_long_urls_are_judged_whole(spark):
+    """Texts that differ only at their end, behind 100,000 characters."""
+    url = "http://x.org/" + "a" * 100_000
+    pages = spark.createDataFrame([(1, url + "b"), (2, url + "c"), (3, "http://www.example.com/en/" + "d" * 100_000)], "page_id long, url string")
+    listed = spark.createDataFrame([("x.org/" + "a" * 100_000 + "b",)], "url string")
+    found = {r["page_id"]: (len(r["path"]), r["rule"], r["verdict"]) for r in url_filter.judged(pages, listed, queries.RULES).collect()}
+    assert found == {1: (100_002, None, "block"), 2: (100_002, None, "allow"), 3: (100_004, "www.example.com/en/", "allow")}
+
+
 def test_filter_has_no_false_negatives_and_a_largest_size(spark):
     keys = spark.range(2000).withColumnRenamed("id", "k")
     rows = spark.range(4000)
