@@ -12,27 +12,28 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the adaptive quality rules."""
+    """Documents that pass the adaptive quality rules. A NULL or empty text has no words and goes; a table too small for limits is held
+    to the base rules only."""
     return quality_rules.keep_good(docs)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is certain."""
+    """Documents whose language is certain. A text without a letter has none and goes."""
     return language_id.keep_known(docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates. Groups are of texts, so rows that share or lack an id are told apart by their text."""
     return dart_minhash.keep_first(docs)
 
 
 def unseen_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark of five words or more; an empty benchmark removes nothing, and rows without an id stay."""
     return decontaminate.keep_unseen(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces in sequences."""
+    """The documents' token pieces in sequences; an empty text is one piece, its end."""
     return packing.packed(docs, TOKENIZER)
 
 
