@@ -12,6 +12,7 @@ from platelake.plans.consolidate import consolidate
 from platelake.plans.plot_table import plot_table
 from platelake.sinks import pages
 from platelake.sources import archives, listing, tables, workbooks
+from workload import fixtures
 from workload.fixtures import workbook_bytes
 
 
@@ -373,3 +374,23 @@ def test_equal_images_are_stored_once(spark):
     assert refs.columns == ["image_no", "digest"] and refs.count() == 4
     assert rows(store.select(F.col("content").cast("string"), "n_uses")) == [("a", 2), ("b", 1)]
     assert rows(refs.join(store, "digest").select("image_no", F.col("content").cast("string"))) == [(1, "a"), (2, "a"), (3, "b")]
+
+
+def test_archives_are_written_by_the_task_that_makes_them(spark, tmp_path):
+    """Only addresses leave the task: one step in Python, no bytes in its rows, the same files as by way of rows."""
+    df = spark.range(2500).selectExpr("concat('m', id, '.txt') as m", "encode(repeat(cast(id as string), 50), 'UTF-8') as c")
+    methods = (archives.STORED, archives.DEFLATED, archives.BZIP2, archives.LZMA)
+    placed = fixtures.to_archives(df, F.col("m"), F.col("c"), ("", "a/"), methods, f"file:{tmp_path}/own")
+    assert placed.columns == ["path"]
+    assert plan_of(placed).count("MapInArrow") == 1
+    _, paths = fixtures.to_files(fixtures.to_archives(df, F.col("m"), F.col("c"), ("", "a/"), methods), f"file:{tmp_path}/rows")
+
+    def members(found):
+        out = {}
+        for r in found.collect():
+            with zipfile.ZipFile(r["path"].removeprefix("file:")) as archive:
+                out |= {i.filename.rpartition("/")[2]: archive.read(i) for i in archive.infolist()}
+        return out
+
+    found = members(placed)
+    assert len(found) == 2500 and found == members(paths)

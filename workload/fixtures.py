@@ -85,8 +85,13 @@ def to_workbooks(df: DataFrame, cells: dict[str, Column], sheet: str, header_row
     return dealt(df.select(body)).mapInArrow(run, FILE_SCHEMA)
 
 
-def to_archives(df: DataFrame, member: Column, content: Column, folders: Sequence[str], methods: Sequence[int] = (zipfile.ZIP_DEFLATED,)) -> DataFrame:
-    """Rows to ``path, content`` zip files with one member per row, spread over the given inner folders and ways of packing."""
+def to_archives(
+    df: DataFrame, member: Column, content: Column, folders: Sequence[str], methods: Sequence[int] = (zipfile.ZIP_DEFLATED,), base: str | None = None
+) -> DataFrame:
+    """Rows to ``path, content`` zip files with one member per row, spread over the given inner folders and ways of packing.
+
+    With ``base`` the task that makes a file writes it below that folder, and only its address, as ``path``, leaves the task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -98,9 +103,14 @@ def to_archives(df: DataFrame, member: Column, content: Column, folders: Sequenc
                 with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
                     for i, (name, data) in enumerate(zip(held["member"], held["content"])):
                         archive.writestr(f"{folders[i % len(folders)]}{name}", data, methods[i % len(methods)])
-                yield pa.RecordBatch.from_pydict({"path": [f"{part:05d}/{number}.zip"], "content": [out.getvalue()]})
-
-    return dealt(df.select(member.alias("member"), content.alias("content"))).mapInArrow(run, FILE_SCHEMA)
+                path = f"{part:05d}/{number}.zip"
+                if base is None:
+                    yield pa.RecordBatch.from_pydict({"path": [path], "content": [out.getvalue()]})
+                else:
+                    files.write_file(f"{base}/{path}", out.getvalue())
+                    yield pa.RecordBatch.from_pydict({"path": [f"{base}/{path}"]})
+
+    return dealt(df.select(member.alias("member"), content.alias("content"))).mapInArrow(run, FILE_SCHEMA if base is None else "path string")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -333,8 +333,8 @@ def _page_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directories of real zip files that hold the pages, packed in four ways."""
     methods = (archives.STORED, archives.DEFLATED, archives.BZIP2, archives.LZMA)
     pages = adapters.table(spark, sf_dir, "pages")
-    zips = fixtures.to_archives(pages, _page_members(), F.encode("html", "UTF-8"), ("", "c/", "c/d/"), methods)
-    _, paths = fixtures.to_files(zips)
+    base = fixtures.shared_folder(spark, "files")
+    paths = staged(fixtures.to_archives(pages, _page_members(), F.encode("html", "UTF-8"), ("", "c/", "c/d/"), methods, base))
     members, _ = archives.archive_workbooks(paths)
     return members
 
