@@ -33,7 +33,7 @@ def _model(counts: DataFrame) -> ngrams.Model:
     # A token that only follows unknown ones is known all the same.
     met = counts.filter(F.col("w").isNotNull() & (F.col("w") != ngrams.UNKNOWN)).groupBy(F.col("w").alias("token"))
     times = met.agg(*[F.sum(F.when(F.col("v") != ngrams.UNKNOWN, F.col(m)).otherwise(0)).alias(f"{m}_times") for m in MODELS])
-    tokens = stored(after.join(times, "token", "full").fillna(0).select("token", F.col("background_times").alias("weight"), *names))
+    tokens = stored(after.join(times, "token", "full").fillna(0).select("token", F.col("background_times").alias("weight"), *names), brief=True)
     sums = tokens.agg(F.count("*").alias("known"), *[F.coalesce(F.sum(f"{m}_times"), F.lit(0)).alias(m) for m in MODELS]).first()
     every = {m: sums[m] + sums["known"] for m in MODELS}
     chance = {m: (unknown + 1) / (n + 2) for m in MODELS for n, unknown in [ngrams.totals(counts, m)]}
@@ -58,8 +58,8 @@ def scores(docs: DataFrame, target_ids: DataFrame, name: str = "doc_id") -> Data
     texts = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     words = None if ngrams.VOCABULARY is None else ngrams.vocabulary(texts)
     marked = ngrams.bigram_rows(ngrams.with_mark(docs, target_ids, name, "wanted"), words, marked="wanted")
-    counts = stored(ngrams.grouped(marked.select("v", "w", F.col("n_marked").alias("target"), F.col("n").alias("background"))))
-    found = ngrams.scored(texts, words, counts, MODELS, _model(counts))
+    counts = ngrams.stored_counts(ngrams.grouped(marked.select("v", "w", F.col("n_marked").alias("target"), F.col("n").alias("background"))))
+    found = ngrams.scored(texts, words, counts, MODELS, _model(counts), covered=True)
     mean = [(F.col(f"loss{i}") / (ngrams.UNIT * F.col("n_tokens"))).alias(f"{m}_loss") for i, m in enumerate(MODELS)]
     difference = ((F.col("loss0") - F.col("loss1")) / (ngrams.UNIT * F.col("n_tokens"))).alias("score")
     return found.select("doc_id", "lang", "n_tokens", *mean, difference)

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platelake.llm import bloom, spans
-from platelake.llm.shared import stored
+from platelake.llm.shared import brief_shuffles, stored
 
 VOCABULARY: int | None = None
 UNKNOWN, EDGE = 0, 1
@@ -145,7 +147,8 @@ def bigram_rows(texts: DataFrame, words: Words | None = None, chosen: Callable[[
             total = rows.column("key").to_numpy() < 0
             v = np.where(total, rows.column("key").to_numpy(), rows.column("v").to_numpy())
             w = pa.array(rows.column("w").to_numpy(), mask=total)
-            yield pa.RecordBatch.from_arrays([pa.array(v), w, rows.column("n_marked"), rows.column("n")], ["v", "w", "n_marked", "n"])
+            # In the order of ``v``, whose repeats then take hardly any bytes in the shuffle.
+            yield pa.RecordBatch.from_arrays([pa.array(v), w, rows.column("n_marked"), rows.column("n")], ["v", "w", "n_marked", "n"]).take(pa.array(np.argsort(v)))
 
     found = texts.select("text", *([marked] if marked else [])).mapInArrow(run, "v long, w long, n_marked long, n long")
     return found if marked else found.drop("n_marked")
@@ -168,6 +171,12 @@ def bigram_counts(texts: DataFrame, words: Words | None = None) -> DataFrame:
     return grouped(bigram_rows(texts, words))
 
 
+def stored_counts(counts: DataFrame) -> DataFrame:
+    """``counts`` written in the order of their bigrams and without the key, which follows from them: a third of the bytes."""
+    written = stored(counts.drop("key").sortWithinPartitions("v", "w"), brief=True)
+    return written.select(_key(), *written.columns)
+
+
 def known_pairs(counts: DataFrame) -> DataFrame:
     """The bigrams of two known tokens."""
     return counts.filter(F.col("w").isNotNull() & (F.col("v") != UNKNOWN) & (F.col("w") != UNKNOWN))
@@ -219,37 +228,69 @@ def _numbers(tokens: np.ndarray, held: np.ndarray, numbers: dict[str, np.ndarray
     return {c: np.where(has, x[at], 0.0) if len(x) else np.zeros(len(tokens)) for c, x in numbers.items()}, has
 
 
-def _marked_entries(rows: DataFrame, names: Sequence[str], columns: Sequence[str], losses: Losses) -> DataFrame:
-    """``key, rank`` and whole losses of bigrams ``v, w``, whose counts and numbers of tokens (``v_..``, ``w_..``) are joined to them."""
-    out = [f"loss{m}" for m in range(len(columns))]
+def _cut(ranks: DataFrame, most: int) -> tuple[int, int]:
+    """Of ``rank, n`` the least rank that at most ``most`` rows are above (-1 if all rows are no more), and the number of the other rows."""
+    above = 0
+    sums = sorted(((r["rank"], r["n"]) for r in ranks.groupBy("rank").agg(F.sum("n").alias("n")).collect()), reverse=True)
+    for i, (rank, n) in enumerate(sums):
+        if above + n > most:
+            return rank, sum(n for _, n in sums[i:])
+        above += n
+    return -1, 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            def column(c: str) -> np.ndarray:
-                return part.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
 
-            found = _exact(losses(*({c: column(f"{t}_{c}") for c in names} for t in "vw"), *(column(f"{t}_known") > 0 for t in "vw"), [column(c) for c in columns]))
-            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("rank"), *map(pa.array, found)], ["key", "rank", *out])
+#: Most bits of a filter of hashes, and bits for each hash as long as there are fewer.
+FILTER_BITS, HASH_BITS = 1 << 26, 16
+
+
+def _filter_words(hashes: DataFrame, name: str, n_hashes: int) -> np.ndarray:
+    """A Bloom filter of a column of hashes as 64-bit words, two bits for each hash; of ``FILTER_BITS`` at most."""
+    bits = min(FILTER_BITS, max(64, 1 << (n_hashes * HASH_BITS - 1).bit_length()))
+    places = F.explode(F.array(*[F.shiftrightunsigned(name, at).bitwiseAND(F.lit(bits - 1)) for at in (0, 32)]))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
+    with brief_shuffles(hashes.sparkSession):
+        rows = hashes.select(places.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(mask).alias("mask"))
+        found = rows.toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return words
+
 
-    return rows.mapInArrow(run, "key long, rank long" + "".join(f", {c} long" for c in out))
+def _may_be_in(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    hit = np.ones(len(hashes), bool)
+    for at in (0, 32):
+        place = hashes.view(np.uint64) >> np.uint64(at) & np.uint64(len(words) * 64 - 1)
+        hit &= (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return hit
 
 
-def scored(docs: DataFrame, words: Words | None, counts: DataFrame, columns: Sequence[str], model: Model) -> DataFrame:
+def scored(docs: DataFrame, words: Words | None, counts: DataFrame, columns: Sequence[str], model: Model, covered: bool = False) -> DataFrame:
     """``doc_id, lang, n_tokens`` and the loss by each model, in 2^-20 nats, of every row of ``doc_id, lang, text``.
 
     ``counts``: ``key, v, w`` and a count for each model, in the order of ``columns``; the last ranks the bigrams.
+    ``covered``: the last counts all bigrams of these documents.
     """
     spark = docs.sparkSession
     listed = None if words is None else words.listed
     names = [f"loss{m}" for m in range(len(columns))]
     losses, plain, numbers = model.losses, [float(x) for x in model.plain], list(model.names)
-    beyond = model.tokens.count() > WORD_HEAD
-    held = (model.tokens.orderBy(F.desc("weight"), "token").limit(WORD_HEAD) if beyond else model.tokens).toArrow().sort_by("token")
-    of_words = spark.sparkContext.broadcast((held.column("token").to_numpy(), {c: held.column(c).to_numpy().astype(np.float64) for c in numbers}))
+    weight_cut, n_unsent = _cut(model.tokens.select(F.col("weight").alias("rank"), F.lit(1).alias("n")), WORD_HEAD)
+    held = model.tokens.filter(F.col("weight") > weight_cut).toArrow().sort_by("token")
+    unsent = model.tokens.filter(F.col("weight") <= weight_cut)
+    # Which of the other tokens may be known; all, where the counts cover the documents.
+    likely = None if covered or not n_unsent else _filter_words(unsent, "token", n_unsent)
+    of_words = spark.sparkContext.broadcast((held.column("token").to_numpy(), {c: held.column(c).to_numpy().astype(np.float64) for c in numbers}, likely))
+
+    def may_be_unsent(tokens: np.ndarray, has: np.ndarray | None = None) -> np.ndarray:
+        tokens_sent, _, words_of = of_words.value
+        if not n_unsent:
+            return np.zeros(len(tokens), bool)
+        rare = ~(_look_up(tokens, tokens_sent)[1] if has is None else has)
+        return rare if words_of is None else rare & _may_be_in(tokens, words_of)
 
     def extra(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            (v, has_v), (w, has_w) = (_numbers(part.column(t).to_numpy(), *of_words.value) for t in "vw")
+            (v, has_v), (w, has_w) = (_numbers(part.column(t).to_numpy(), *of_words.value[:2]) for t in "vw")
             n = [part.column(c).to_numpy().astype(np.float64) for c in columns]
             differs = has_v & has_w & np.any([c != x for c, x in zip(n, plain)], axis=0)
             v, w = ({c: x[differs] for c, x in t.items()} for t in (v, w))
@@ -258,24 +299,73 @@ def scored(docs: DataFrame, words: Words | None, counts: DataFrame, columns: Seq
             kept = [part.column(c).filter(pa.array(differs)) for c in ("key", columns[-1])]
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(a - b) for a, b in zip(with_counts, without))], ["key", "rank", *names])
 
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            v, w = (may_be_unsent(part.column(t).to_numpy()) for t in "vw")
+            part = pa.RecordBatch.from_arrays([*part.columns, pa.array(v), pa.array(w)], [*part.schema.names, "v_unsent", "w_unsent"])
+            yield part.filter(pa.array(v | w))
+
+    def unsent_extra(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            sent, full, has, known = [], [], [], []
+            for t in "vw":
+                own, own_has = _numbers(part.column(t).to_numpy(), *of_words.value[:2])
+                joined = part.column(f"{t}_known").to_numpy() > 0
+                sent.append(own)
+                full.append({c: np.where(joined, part.column(f"{t}_{c}").to_numpy().astype(np.float64), x) for c, x in own.items()})
+                has.append(own_has)
+                known.append(own_has | joined)
+            n = [part.column(c).to_numpy().astype(np.float64) for c in columns]
+            found = [a - b for a, b in zip(_exact(losses(*full, *known, n)), _exact(losses(*sent, *has, [np.full(part.num_rows, x) for x in plain])))]
+            rows = pa.RecordBatch.from_arrays([part.column("key"), part.column("rank"), *map(pa.array, found)], ["key", "rank", *names])
+            yield rows.filter(pa.array(np.any([x != 0 for x in found], axis=0)))
+
     pairs = counts.filter(F.col("w").isNotNull()).select("key", "v", "w", *columns)
-    entries = pairs.mapInArrow(extra, "key long, rank long" + "".join(f", {c} long" for c in names))
-    if beyond:
-        rare = bigram_rows(docs, words, lambda tokens: ~_look_up(tokens, of_words.value[0])[1])
-        rare = grouped(rare.filter("w is not null")).withColumnRenamed("n", "rank")
-        rare = rare.join(pairs.drop("key"), ["v", "w"], "left")
-        for t in "vw":
-            own = model.tokens.select(F.col("token").alias(t), F.lit(1).alias(f"{t}_known"), *[F.col(c).alias(f"{t}_{c}") for c in numbers])
-            rare = rare.join(own, t, "left")
-        entries = entries.union(stored(_marked_entries(rare.fillna(0), numbers, columns, losses)))
-    top = entries.orderBy(F.desc("rank"), "key").limit(HEAD).toArrow()
-    # What comes after the last of the head in the same order.
-    last, last_key = (top.column(c)[-1].as_py() if top.num_rows else 0 for c in ("rank", "key"))
-    tail = entries.filter((F.col("rank") < last) | (F.col("rank") == last) & (F.col("key") > last_key))
-    top = top.sort_by("key")
-    sent = spark.sparkContext.broadcast((listed, top.column("key").to_numpy(), [top.column(c).to_numpy() for c in names]))
+    differing = reduce(or_, [F.col(c) != x for c, x in zip(columns, model.plain)])
+    entry_schema = "key long, rank long" + "".join(f", {c} long" for c in names)
+
+    def entries(within: Column) -> DataFrame:
+        own = pairs.withColumn("rank", F.col(columns[-1])).filter(differing & within).select(*pairs.columns).mapInArrow(extra, entry_schema)
+        return own if unsent_entries is None else own.union(unsent_entries.filter(within))
+
+    unsent_entries = None
+    if n_unsent:
+        rows = pairs.select("v", "w", F.col(columns[-1]).alias("rank"), *columns)
+        row_schema = "v long, w long, rank long" + "".join(f", {c} long" for c in columns) + ", v_unsent boolean, w_unsent boolean"
+        if not covered:
+            asked = bigram_rows(docs, words, may_be_unsent).filter("w is not null")
+            asked = asked.select("v", "w", F.col("n").alias("rank"), *[F.lit(0).cast("long").alias(c) for c in columns])
+            own = rows.withColumn("rank", F.lit(0).cast("long")).mapInArrow(marked, row_schema).drop("v_unsent", "w_unsent")
+            rows = asked.union(own).groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in ("rank", *columns)]).filter("rank > 0")
+        rows = stored(rows.mapInArrow(marked, row_schema), brief=True)
+
+        def numbers_of(t: str, of: str) -> DataFrame:
+            return unsent.select(F.col("token").alias(t), F.lit(1).alias(f"{of}_known"), *[F.col(c).alias(f"{of}_{c}") for c in numbers])
+
+        # A bigram with one such token goes to it, in one join; only one with two of them takes two.
+        both = F.col("v_unsent") & F.col("w_unsent")
+        joined = ["known", *numbers]
+        at_one = rows.filter(~both).withColumn("token", F.when(F.col("v_unsent"), F.col("v")).otherwise(F.col("w"))).join(numbers_of("token", "one"), "token")
+        sides = [F.when(F.col(f"{t}_unsent"), F.col(f"one_{c}")).alias(f"{t}_{c}") for t in "vw" for c in joined]
+        at_two = rows.filter(both).join(numbers_of("v", "v"), "v", "left").join(numbers_of("w", "w"), "w", "left")
+        fields = [_key(), "v", "w", "rank", *columns]
+        found = at_one.select(*fields, *sides).union(at_two.select(*fields, *[f"{t}_{c}" for t in "vw" for c in joined])).fillna(0)
+        unsent_entries = stored(found.mapInArrow(unsent_extra, entry_schema), brief=True)
+    ranks = pairs.filter(differing).select(F.col(columns[-1]).alias("rank"), F.lit(1).alias("n"))
+    if unsent_entries is not None:
+        ranks = ranks.union(unsent_entries.select("rank", F.lit(1).alias("n")))
+    cut, rest = _cut(ranks, HEAD)
+    top = entries(F.col("rank") > cut).toArrow().sort_by("key")
+    tail = entries(F.col("rank") <= cut)
+    # Where the counts are those of other documents, most of the bigrams without an entry need not travel.
+    in_tail = None
+    if rest and not covered:
+        keys = pairs.withColumn("rank", F.col(columns[-1])).filter(differing & (F.col("rank") <= cut)).select("key")
+        if unsent_entries is not None:
+            keys = keys.union(unsent_entries.filter(F.col("rank") <= cut).select("key"))
+        in_tail = _filter_words(keys, "key", rest)
+    sent = spark.sparkContext.broadcast((listed, top.column("key").to_numpy(), [top.column(c).to_numpy() for c in names], in_tail))
     # Shards follow the entries beyond the head, salts the documents that are scored.
-    rest = tail.count() if top.num_rows == HEAD else 0
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-rest // SHARD_ROWS))
     salts = max(1, -(-size // (shards * TASK_BYTES)))
@@ -284,28 +374,29 @@ def scored(docs: DataFrame, words: Words | None, counts: DataFrame, columns: Seq
     asked += "".join(f", {c} array<long>" for c in names)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, known_keys, known_losses = sent.value
+        known_words, known_keys, known_losses, likely_keys = sent.value
         part_id, rows, chunk = TaskContext.get().partitionId(), 0, 0
         fields = ["shard", "salt", "row", "size", "keys", *kinds]
         for part in spans.chunked(batches, "text"):
             tokens, before, now, offsets = token_pairs(spans.texts_of(part.column("text")), known_words)
             keys = pair_key(tokens[before], tokens[now])
-            numbers_of, has = _numbers(tokens, *of_words.value)
-            v, w = ({c: x[at] for c, x in numbers_of.items()} for at in (before, now))
+            own_numbers, has = _numbers(tokens, *of_words.value[:2])
+            v, w = ({c: x[at] for c, x in own_numbers.items()} for at in (before, now))
             start = _exact(losses(v, w, has[before], has[now], [np.full(len(keys), x) for x in plain]))
-            both = has[before] & has[now]
+            # Other bigrams have no entry: their loss is the same with any counts.
+            rare = may_be_unsent(tokens, has)
+            open_to = has[before] & has[now] | rare[before] | rare[now]
             at, settled = _look_up(keys, known_keys)
-            if beyond:  # such a bigram has its whole loss in its entry
-                start = [np.where(both, x, 0) for x in start]
-            else:
-                settled &= both
+            settled &= open_to
             own = [spans.per_text(x + (np.where(settled, c[at], 0) if len(c) else 0), offsets) for x, c in zip(start, known_losses)]
             ids = (np.int64(part_id) << 36) + rows + np.arange(part.num_rows)
             info = [part.column("doc_id"), part.column("lang"), np.diff(offsets), *own]
             # No shard takes part in this group of one chunk.
             cells = [pa.array([-1], pa.int32()), pa.array([part_id << 32 | chunk], pa.int64()), _one_list(ids, pa.int64()), _one_list(None, pa.int64()), pa.nulls(1, pa.binary())]
             yield pa.RecordBatch.from_arrays([*cells, *(_one_list(v, t) for v, t in zip(info, kinds.values()))], fields)
-            open_at = np.flatnonzero(~settled if beyond else both & ~settled) if rest else np.zeros(0, np.int64)
+            open_at = np.flatnonzero(open_to & ~settled) if rest else np.zeros(0, np.int64)
+            if likely_keys is not None:
+                open_at = open_at[_may_be_in(keys[open_at], likely_keys)]
             shard = _shard(keys[open_at], shards)
             order = np.argsort(shard, kind="stable")  # documents stay in order within a shard
             found, begin = np.unique(shard[order], return_index=True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +12,27 @@ from pyspark.sql import functions as F
 from platelake.session import shared_dir
 
 
-def stored(df: DataFrame) -> DataFrame:
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that is run inside go when it ends, not when the driver next collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def stored(df: DataFrame, brief: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read from there: later passes do not compute it again, and losing an
-    executor loses nothing. The files go when the application ends."""
+    executor loses nothing. The files go when the application ends; with ``brief`` those of its shuffles go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with brief_shuffles(spark) if brief else nullcontext():
+        df.write.option("compression", "zstd").parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)

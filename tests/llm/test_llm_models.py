@@ -217,3 +217,44 @@ def test_words_beyond_the_head(spark, monkeypatch):
     monkeypatch.setattr(ngrams, "HEAD", 2)
     monkeypatch.setattr(ngrams, "SHARD_ROWS", 5)
     assert found() == expected
+
+
+def test_rare_words_take_no_second_count(spark, monkeypatch):
+    """The background has all bigrams of the scored documents, so those of rare words are taken from it."""
+    calls = []
+    real = ngrams.bigram_rows
+
+    def bigram_rows(*args, **named):
+        calls.append(args)
+        return real(*args, **named)
+
+    monkeypatch.setattr(ngrams, "bigram_rows", bigram_rows)
+    monkeypatch.setattr(ngrams, "WORD_HEAD", 3)
+    assert cross_entropy.scores(corpus(spark), spark.createDataFrame([(1,), (3,)], "doc_id long")).count() == len(TEXTS)
+    assert len(calls) == 1
+
+
+def test_counts_are_written_in_order_without_keys_and_shuffles_go(spark):
+    rows = spark.range(3000).selectExpr("concat_ws(' ', 'the', char(97 + id % 20), char(97 + id % 23), 'end') as text").repartition(5)
+    counts = ngrams.bigram_counts(rows)
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {n for n in files.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
+
+    before = shuffles()
+    found = ngrams.stored_counts(counts)
+    assert shuffles() <= before
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, counts.collect()), key=repr)
+    for path in found.inputFiles():
+        held = spark.read.parquet(path)
+        assert held.columns == ["v", "w", "n"]
+        own = [r["v"] for r in held.collect()]
+        assert own == sorted(own)
+
+
+def test_filter_of_hashes_misses_none(spark):
+    hashes = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 3000)
+    words = ngrams._filter_words(spark.createDataFrame([(int(h),) for h in hashes[:1000]], "token long"), "token", 1000)
+    hit = ngrams._may_be_in(hashes, words)
+    assert hit[:1000].all() and hit[1000:].mean() < 0.1
