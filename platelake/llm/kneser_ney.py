@@ -51,7 +51,7 @@ def model_tables(counts: DataFrame, known: int | None = None) -> tuple[DataFrame
     # A token that only follows unknown ones is known all the same.
     met = counts.filter(F.col("w").isNotNull() & (F.col("w") != ngrams.UNKNOWN)).groupBy(F.col("w").alias("token"))
     times = met.agg(F.sum((F.col("v") != ngrams.UNKNOWN).cast("long")).alias("contexts"), F.sum("n").alias("weight"))
-    tokens = stored(after.join(times, "token", "full").fillna(0))
+    tokens = stored(after.join(times, "token", "full").fillna(0), brief=True)
     of_contexts = [F.sum((F.col("contexts") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]
     r = tokens.agg(F.count("*").alias("met"), F.sum("contexts").alias("every"), F.sum((F.col("contexts") > 2).cast("long")).alias("more"), *of_contexts).first()
     known, every = known or max(r["met"], 1), r["every"] or 0
@@ -97,13 +97,13 @@ def perplexities(docs: DataFrame, trusted: DataFrame, name: str = "doc_id") -> D
     texts = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     ids = trusted.select(F.col(name).alias("trusted_id")).filter("trusted_id is not null").distinct()
     held = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_PART)) == 0
-    learned = stored(ngrams.with_ids(docs, ids.filter(~held), "trusted_id"))
+    learned = ngrams.with_ids(docs, ids.filter(~held), "trusted_id")
     words = None if ngrams.VOCABULARY is None else ngrams.vocabulary(learned)
-    counts = stored(ngrams.bigram_counts(learned, words))
+    counts = ngrams.stored_counts(ngrams.bigram_counts(learned, words))
     found = ngrams.scored(texts, words, counts, ("n",), pair_losses(model_tables(counts)))
     marked = found.join(ids.select(F.col("trusted_id"), held.alias("held")), F.col("doc_id") == F.col("trusted_id"), "left")
     log = F.col("loss0") / (ngrams.UNIT * F.col("n_tokens"))
-    rows = stored(marked.select("doc_id", "lang", "n_tokens", log.alias("log"), F.col("held").isNotNull().alias("trusted"), F.coalesce("held", F.lit(False)).alias("held")))
+    rows = stored(marked.select("doc_id", "lang", "n_tokens", log.alias("log"), F.col("held").isNotNull().alias("trusted"), F.coalesce("held", F.lit(False)).alias("held")), brief=True)
     sketch = rows.filter("held").groupBy("lang", F.ceil(F.col("log") * 100).alias("value")).agg(F.count("*").alias("n"))
     found_limits = limits(sketch)
     joined = rows.join(found_limits, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
