@@ -4,10 +4,10 @@ Tokens are the units of a text in small letters, known by a 64-bit hash; a bigra
 and every bigram is counted by ordinary aggregates, so the tables grow with the data and none of them is held by the driver or by a task.
 A limit on the vocabulary (``VOCABULARY``) is only for models that ask for one; tokens beyond it are unknown.
 
-Scoring starts from the loss that a bigram without an entry has, and adds what its entry says. The ``WORD_HEAD`` most
-frequent tokens and the ``HEAD`` most frequent bigrams are sent to every task and settled there. All other bigrams go, as packed arrays of
-one chunk of documents each, to the shard that has their entries. Bigrams with a token beyond the head get an entry by joins with the tables of
-tokens and bigrams. Shards are sized by the entries beyond the head, and repeated under as many salts as the bytes of the scored documents
+Scoring starts from the loss that tasks know without an entry, and adds what the bigram's entry says. At most ``WORD_HEAD`` of the most
+frequent tokens and ``HEAD`` of the most frequent bigrams are sent to every task and settled there. All other bigrams go, as packed arrays of
+one chunk of documents each, to the shard that has their entries. A token that is not sent is unknown to a task; a bigram with such a token gets an entry by
+joins with the table of tokens if it is known all the same. Shards are sized by the entries beyond the head, and repeated under as many salts as the bytes of the scored documents
 need. What is known of a chunk without the shards is a group of its own.
 Losses are whole multiples of 2^-20, so that sums do not depend on the order in which they arrive.
 """
