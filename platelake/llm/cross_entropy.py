@@ -57,9 +57,11 @@ def scores(docs: DataFrame, target_ids: DataFrame, name: str = "doc_id") -> Data
     """``doc_id, lang, n_tokens, target_loss, background_loss, score`` of every document (losses are means in nats)."""
     texts = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     words = None if ngrams.VOCABULARY is None else ngrams.vocabulary(texts)
-    marked = ngrams.bigram_rows(ngrams.with_mark(docs, target_ids, name, "wanted"), words, marked="wanted")
-    counts = ngrams.stored_counts(ngrams.grouped(marked.select("v", "w", F.col("n_marked").alias("target"), F.col("n").alias("background"))))
-    found = ngrams.scored(texts, words, counts, MODELS, _model(counts), covered=True)
+    size = ngrams.text_bytes(texts)
+    marked = ngrams.bigram_rows(ngrams.with_mark(docs, target_ids, name, "wanted"), words, marked="wanted", shards=ngrams.count_shards(size))
+    counts = ngrams.stored_counts(ngrams.grouped(marked.withColumnsRenamed({"n_marked": "target", "n": "background"})))
+    model = _model(counts)
+    found = ngrams.scored(texts, words, counts, MODELS, model, covered=True, size=size, spent=[counts, model.tokens])
     mean = [(F.col(f"loss{i}") / (ngrams.UNIT * F.col("n_tokens"))).alias(f"{m}_loss") for i, m in enumerate(MODELS)]
     difference = ((F.col("loss0") - F.col("loss1")) / (ngrams.UNIT * F.col("n_tokens"))).alias("score")
     return found.select("doc_id", "lang", "n_tokens", *mean, difference)

@@ -26,6 +26,8 @@ from platelake.llm.shared import stored
 
 HELD_PART = 10
 QUANTILE, MARGIN, MIN_HELD = 0.995, 1.1, 100
+#: Parts of many documents, of which one has its open places on disk at a time.
+SLICES = 3
 
 
 def discounts(of_counts: np.ndarray) -> np.ndarray:
@@ -99,8 +101,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame, name: str = "doc_id") -> D
     held = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_PART)) == 0
     learned = ngrams.with_ids(docs, ids.filter(~held), "trusted_id")
     words = None if ngrams.VOCABULARY is None else ngrams.vocabulary(learned)
-    counts = ngrams.stored_counts(ngrams.bigram_counts(learned, words))
-    found = ngrams.scored(texts, words, counts, ("n",), pair_losses(model_tables(counts)))
+    size = ngrams.text_bytes(texts)
+    counts = ngrams.stored_counts(ngrams.bigram_counts(learned, words, size))
+    model = pair_losses(model_tables(counts))
+    found = ngrams.scored(texts, words, counts, ("n",), model, size=size, slices=SLICES, spent=[counts, model.tokens])
     marked = found.join(ids.select(F.col("trusted_id"), held.alias("held")), F.col("doc_id") == F.col("trusted_id"), "left")
     log = F.col("loss0") / (ngrams.UNIT * F.col("n_tokens"))
     rows = stored(marked.select("doc_id", "lang", "n_tokens", log.alias("log"), F.col("held").isNotNull().alias("trusted"), F.coalesce("held", F.lit(False)).alias("held")), brief=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
@@ -38,6 +39,16 @@ def stored(df: DataFrame, brief: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """The files of ``stored`` tables that nothing reads any more go; those of other tables stay."""
+    own = re.compile("/llm-[0-9a-f]{32}$")
+    for df in tables:
+        for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+            if own.search(path):
+                jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+                jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or a variant that is no column of ``df`` (Spark ignores case)."""
     taken = {c.lower() for c in df.columns}

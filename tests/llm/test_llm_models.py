@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import documents, edge_docs, no_docs
 
@@ -258,3 +259,66 @@ def test_filter_of_hashes_misses_none(spark):
     words = ngrams._filter_words(spark.createDataFrame([(int(h),) for h in hashes[:1000]], "token long"), "token", 1000)
     hit = ngrams._may_be_in(hashes, words)
     assert hit[:1000].all() and hit[1000:].mean() < 0.1
+
+
+def test_packed_counts_are_those_of_single_rows(spark):
+    rows = spark.range(3000).selectExpr("concat_ws(' ', 'the', char(97 + id % 20), char(97 + id % 23), 'end') as text", "id % 3 = 0 as good").repartition(5)
+    packed = ngrams.bigram_rows(rows, marked="good", shards=4)
+    assert packed.count() <= 5 * (4 + 1)
+    single = ngrams.bigram_rows(rows, marked="good").groupBy("v", "w").agg({"n_marked": "sum", "n": "sum"}).select("v", "w", "sum(n_marked)", "sum(n)")
+    found = ngrams.grouped(packed)
+    assert found.columns == ["key", "v", "w", "n_marked", "n"]
+    assert sorted(map(tuple, found.drop("key").collect()), key=repr) == sorted(map(tuple, single.collect()), key=repr)
+    assert ngrams.totals(found) == (3000 * 5, 0) and found.filter("key >= 0 and w is null").count() == 0
+
+
+def test_large_counts_and_numbers_are_packed_whole():
+    for values in ([], [0], [127, -128], [128], [40_000, 1], [1 << 33, -5], [(1 << 63) - 1, -(1 << 63)]):
+        held = pa.array([ngrams._narrow(np.array(values, np.int64)), ngrams._narrow(np.array([7], np.int64))])
+        assert ngrams._wide(held, [len(values), 1]).tolist() == [*values, 7]
+
+
+@pytest.mark.parametrize("low, high, n", [(-(1 << 63), (1 << 63) - 1, 5000), (0, (1 << 63) - 1, 5000), (0, 100_000, 5000), (-5, 5, 4), (0, 9, 0)])
+def test_places_of_sorted_keys(low, high, n):
+    rng = np.random.default_rng(n)
+    held = np.unique(rng.integers(low, high, n))
+    asked = np.concatenate([held, rng.integers(low, high, 3000), [-(1 << 63), (1 << 63) - 1, 0, 1, -1]])
+    at, has = ngrams.Sorted(held).look_up(asked)
+    assert has.tolist() == np.isin(asked, held).tolist()
+    assert (held[at[has]] == asked[has]).all()
+
+
+def test_entries_and_answers_are_packed_and_parts_take_turns(spark, monkeypatch):
+    """Neither an entry nor a document with a shard is a row, a part of the documents is settled before the next, and spent tables go."""
+    rows = [(i if i % 10 else None, "en", f"a{chr(97 + i % 26)} b{chr(97 + i % 23)} c{chr(97 + i % 19)} end") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    ids = docs.filter("doc_id % 2 = 1").select("doc_id").distinct()
+
+    def found(operator):
+        return sorted(map(tuple, operator(docs, ids).drop("max_perplexity", "kept").collect()), key=repr)
+
+    operators = (cross_entropy.scores, kneser_ney.perplexities)
+    expected = [found(operator) for operator in operators]
+    monkeypatch.setattr(ngrams, "HEAD", 3)
+    monkeypatch.setattr(ngrams, "SHARD_ROWS", 100)
+    monkeypatch.setattr(ngrams, "TASK_BYTES", 2000)
+    written, gone = [], []
+    real, drop = ngrams.stored, ngrams.dropped
+
+    def stored(df, *args, **named):
+        written.append(real(df, *args, **named))
+        return written[-1]
+
+    def dropped(*tables):
+        gone.extend(path for df in tables for path in df.inputFiles())
+        drop(*tables)
+
+    monkeypatch.setattr(ngrams, "stored", stored)
+    monkeypatch.setattr(ngrams, "dropped", dropped)
+    assert [found(operator) for operator in operators] == expected
+    packed = [df for df in written if "shard" in df.columns]
+    assert len(packed) == 2
+    assert sum("n_tokens" in df.columns for df in written) == kneser_ney.SLICES
+    assert packed[0].agg({"rows": "sum"}).first()[0] > 5 * packed[0].count() > 0
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    assert gone and not any(files(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(files(p)) for p in gone)
