@@ -43,6 +43,8 @@ COORDINATES = BANDS * ROWS
 #: Signatures of a similar pair agree in fewer coordinates than this with a probability below 1e-5.
 MIN_AGREE = 58
 HEADS = 2
+#: A task works on about so many bytes of text at once: a byte of text needs some tens of bytes while its darts are thrown.
+CHUNK_BYTES = 1 << 20
 
 _G1, _G2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -125,9 +127,10 @@ def signatures(cells: np.ndarray, offsets: np.ndarray, share: np.ndarray | None
     return best.reshape(n, k)
 
 
+@spans.frugal
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, digest, text`` to ``doc_id, digest, weight, signature, bands``; without a word the last three are NULL."""
-    for part in spans.chunked(batches, "text"):
+    for part in spans.chunked(batches, "text", CHUNK_BYTES):
         grams, offsets = shingles(spans.texts_of(part.column("text")))
         found = signatures(occurrences(grams, offsets), offsets)
         has = np.diff(offsets) > 0
@@ -150,9 +153,10 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(len(a) + len(b) - both, 1)
 
 
+@spans.frugal
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for part in spans.chunked([whole], "text_a"):
+        for part in spans.chunked([whole], "text_a", CHUNK_BYTES):
             units = []
             for name in ("text_a", "text_b"):
                 grams, offsets = shingles(spans.texts_of(part.column(name)))
@@ -242,9 +246,10 @@ def with_heads(members: DataFrame) -> DataFrame:
     return pairs.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
 
 
+@spans.frugal
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``rep, text`` to the units of weight of each text, in 32 bits."""
-    for part in spans.chunked(batches, "text"):
+    for part in spans.chunked(batches, "text", CHUNK_BYTES):
         grams, offsets = shingles(spans.texts_of(part.column("text")))
         cells = (occurrences(grams, offsets) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
         yield pa.RecordBatch.from_arrays([part.column("rep"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(cells))], ["rep", "units"])

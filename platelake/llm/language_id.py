@@ -88,6 +88,7 @@ def _has_letter(part: pa.RecordBatch, column: str, sure: np.ndarray) -> np.ndarr
     return has
 
 
+@spans.frugal
 def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``lang, held, text`` rows to their bucket counts."""
     for part in spans.chunked(batches, "text", CHUNK_BYTES):
@@ -203,6 +204,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", names: tu
     kept = [f"c{i}" for i in range(len(docs.columns))]
     source = docs.select(*[col(c).alias("whole_text" if c == text else n) for c, n in zip(docs.columns, kept)])
 
+    @spans.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table, layer, bias, temperature, reject_below = held.value
         pool = pa.default_memory_pool()

@@ -26,10 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platelake.llm import tokens
+from platelake.llm import spans, tokens
 from platelake.llm.shared import col, stored
 
 GROUP = 20_000
+#: A task encodes about so many bytes of text at once.
+CHUNK_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,7 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> np.ndarray:
 def _pack_part(capacity: Capacity) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     tokens_most, documents, attention, weights, rule = capacity.tokens, capacity.documents, capacity.attention, capacity.weights, capacity.rule
 
+    @spans.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -113,8 +116,9 @@ def pieces(docs: DataFrame, path: str, capacity: Capacity, key: str = "doc_id",
     longest = capacity.longest
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
+    @spans.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, ids, offsets in tokens.encoded(batches, "text", path):
+        for part, ids, offsets in tokens.encoded(spans.chunked(batches, "text", CHUNK_BYTES), "text", path):
             n = np.diff(offsets)
             cuts = -(-n // longest)
             owner = np.repeat(np.arange(len(n)), cuts)

@@ -109,6 +109,7 @@ def measured(docs: DataFrame, into: str, text: str = "text", keep: tuple[str, ..
     others = [col(c).alias(n) for c, n in zip(kept, names) if c != text]
     rows = docs.select(*others, col(text).alias("whole_text"))
 
+    @spans.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunked(batches, "whole_text", CHUNK_BYTES):
             found = measure_texts(spans.texts_of(part.column("whole_text")))

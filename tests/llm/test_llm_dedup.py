@@ -1,7 +1,12 @@
+import ctypes
+import os
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from cases import LONG, WORDS, documents, edge_docs, no_docs
 
 from platelake.llm import dart_minhash as dart
@@ -160,3 +165,44 @@ def test_planted_copies_above_the_limit_are_all_found(spark):
     assert found == {i: c for (i, _), c in zip(rows, expected)}
     linked = sum(expected[2 * k] == expected[2 * k + 1] for k in range(60))
     assert linked >= 54
+
+
+def word_rows(n, words=300, seed=5):
+    """``n`` texts of random words, about eight bytes each."""
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1_000_000, words).tolist()) for _ in range(n)]
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "digest": [str(i).encode() for i in range(n)], "text": texts})
+
+
+def test_texts_are_signed_a_megabyte_at_a_time():
+    rows = word_rows(2000)
+    found = list(dart._signed(iter([rows])))
+    assert len(found) >= rows.column("text").nbytes >> 20 >= 4
+    whole = pa.Table.from_batches(found)
+    some = pa.Table.from_batches(list(dart._signed(iter([rows.slice(700, 50)]))))
+    assert whole.column("doc_id").to_pylist() == list(range(2000))
+    assert whole.slice(700, 50).equals(some)
+
+
+IDLE = """
+import ctypes
+from platelake.llm import dart_minhash
+from test_llm_dedup import word_rows
+
+def taken():
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith("RssAnon")) / 1024
+
+for _ in dart_minhash._signed(iter([word_rows(4000)])):
+    pass
+idle = taken()
+ctypes.CDLL(None).malloc_trim(0)
+print(idle - taken())
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux") or not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="measured by /proc and glibc")
+def test_an_idle_worker_holds_no_freed_memory():
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.pathsep.join([here, os.path.dirname(os.path.dirname(here))])
+    out = subprocess.run([sys.executable, "-c", IDLE], env=os.environ | {"PYTHONPATH": path}, capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 10
